@@ -50,8 +50,10 @@ def count_equal(c, value) -> Column:
 
 
 def pct(condition: Column) -> Column:
-    """Percentage of rows for which ``condition`` is true (NULL counts as false)."""
-    return F.round(F.avg(F.when(condition, 1.0).otherwise(0.0)) * 100.0, 3)
+    """Percentage of rows for which ``condition`` is true (NULL counts as false),
+    half-up to 3 decimals from an exact decimal ratio; NULL for no rows."""
+    share = F.try_divide(F.count_if(condition).cast("decimal(20,0)") * 100, F.count(F.lit(1)))
+    return F.round(share, 3).cast("double")
 
 
 def nan_to_null(c) -> Column:
@@ -77,7 +79,7 @@ def duration_to_seconds(c, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.DayTimeIntervalType):
         return c.cast(T.DayTimeIntervalType(3, 3)).cast("decimal(18,6)").cast("double")
     if isinstance(data_type, T.LongType):
-        return (c.cast("decimal(38,0)") / F.lit(1_000_000_000)).cast("double")
+        return c.cast("double") / F.lit(1e9)
     if isinstance(data_type, T.NullType):
         return c.cast("double")
     return nan_to_null(c.cast("double"))
@@ -96,7 +98,7 @@ def timestamp_to_utc_us(c, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.TimestampNTZType):
         return c
     if isinstance(data_type, T.LongType):
-        return micros_to_ntz(F.floor(c / F.lit(1000)))
+        return micros_to_ntz(F.floor(c.cast("decimal(38,0)") / F.lit(1000)).cast("long"))
     return c.cast("timestamp_ntz")
 
 

@@ -22,7 +22,9 @@ def MAX(x: str, n: int) -> str:
 
 
 def PCT(cond: str) -> str:
-    return f"round(avg(CASE WHEN {cond} THEN 1.0 ELSE 0.0 END) * 100.0, 3)"
+    """100 * share of rows meeting ``cond``, half-up to 3 decimals, in exact integer arithmetic."""
+    a, b = f"count_if({cond})", "count(*)"
+    return f"(CAST((200000 * {a} + {b}) // (2 * {b}) AS DOUBLE) / 1000)"
 
 
 CTE = {}
@@ -137,3 +139,266 @@ ORACLE: dict[str, str] = {}
 ORACLE["silver_laps"] = with_ctes(["silver_laps"], "SELECT * FROM silver_laps")
 ORACLE["gold_driver_performance"] = with_ctes(["gold_driver"], "SELECT * FROM gold_driver")
 ORACLE["gold_team_season_stats"] = with_ctes(["gold_team"], "SELECT * FROM gold_team")
+
+# ---- more fixture views ----
+
+EVENT_LABELS = """CAST(year(ts) AS INTEGER) AS year, CAST(day(ts) AS INTEGER) AS round, 'R' AS session_type,
+         concat('GP_', CAST(day(ts) AS INTEGER)) AS grand_prix"""
+JSON_K = "TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)"
+
+CTE["car_raw"] = f"""car_raw AS (
+  SELECT {EVENT_LABELS},
+         concat('D', user_id % 20) AS driver, ts AS Date,
+         CASE WHEN event_type = 'signup' AND value < 5 THEN NULL ELSE value END AS Speed,
+         value * 50 AS RPM, {JSON_K} * 1.05 AS Throttle, event_type = 'click' AS Brake
+  FROM events
+)"""
+
+CTE["weather_raw"] = f"""weather_raw AS (
+  SELECT {EVENT_LABELS},
+         CAST(event_id AS DOUBLE) AS Time, value / 4 - 15 AS AirTemp, {JSON_K} * 1.02 AS Humidity,
+         event_type = 'error' AS Rainfall
+  FROM events
+)"""
+
+CTE["silver_car"] = """silver_car AS (
+  SELECT year, round, session_type, grand_prix, driver, Date AS recorded_at, Speed AS speed_kmh, RPM AS rpm,
+         Throttle AS throttle_pct, Brake AS brake_on, CAST(NULL AS INTEGER) AS drs_active, CAST(NULL AS INTEGER) AS gear
+  FROM car_raw
+  WHERE Speed BETWEEN 0 AND 400 AND RPM BETWEEN 0 AND 20000 AND Throttle BETWEEN 0 AND 100 AND driver IS NOT NULL
+)"""
+
+CTE["silver_weather"] = """silver_weather AS (
+  SELECT year, round, session_type, grand_prix, Time AS session_time, AirTemp AS air_temp_c,
+         CAST(NULL AS DOUBLE) AS track_temp_c, Humidity AS humidity_pct, CAST(NULL AS DOUBLE) AS wind_speed_ms,
+         CAST(NULL AS INTEGER) AS wind_direction_deg, CAST(NULL AS DOUBLE) AS pressure_hpa, Rainfall AS is_raining
+  FROM weather_raw
+  WHERE AirTemp BETWEEN -10 AND 60 AND Humidity BETWEEN 0 AND 100
+)"""
+
+CTE["schedule"] = """schedule AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS round,
+         concat('GP_', CAST(quarter(o_orderdate) AS INTEGER)) AS grand_prix, max(o_orderdate) AS event_date
+  FROM orders GROUP BY 1, 2, 3
+)"""
+
+CTE["sessions"] = """sessions AS (
+  SELECT DISTINCT year, round, session_type FROM laps_raw WHERE session_type IN ('R', 'Q')
+)"""
+
+CTE["checkpoint_files"] = """checkpoint_files AS (
+  SELECT CASE WHEN s.year = 1995 AND s.session_type = 'R'
+              THEN k.kind || '_checkpoint_' || s.year || '_r' || s.round || '.parquet'
+              ELSE k.kind || '_checkpoint_' || s.year || '_r' || s.round || '_' || s.session_type || '.parquet'
+         END AS file_name,
+         k.kind, s.year, s.round, s.session_type
+  FROM sessions s CROSS JOIN (VALUES ('laps'), ('tel'), ('weather')) k(kind)
+  WHERE NOT (k.kind = 'tel' AND s.round = 4) AND NOT (k.kind = 'weather' AND s.year = 1997)
+)"""
+
+CTE["wanted"] = """wanted AS (
+  SELECT year, round, t.session_type
+  FROM schedule CROSS JOIN (VALUES ('R'), ('Q')) t(session_type)
+  WHERE CAST(event_date AS DATE) <= DATE '1999-06-30'
+)"""
+
+CTE["laps_even_d"] = """laps_even_d AS (
+  SELECT * FROM silver_laps WHERE CAST(lap_number AS BIGINT) % 2 = 0 AND driver <> 'D0'
+)"""
+CTE["laps_even_t"] = """laps_even_t AS (
+  SELECT * FROM silver_laps WHERE CAST(lap_number AS BIGINT) % 2 = 0 AND team <> 'T0'
+)"""
+CTE["target_d"] = "target_d AS (SELECT * FROM gold_driver WHERE year <= 1999)"
+CTE["stage_d"] = f"""stage_d AS (
+  SELECT * FROM (SELECT *, {RANK_IN_RACE} FROM ({driver_agg('laps_even_d')}) a) b WHERE year >= 1999
+)"""
+CTE["target_t"] = "target_t AS (SELECT * FROM gold_team WHERE year <= 1999)"
+CTE["stage_t"] = f"""stage_t AS (
+  SELECT * FROM (SELECT *, {TEAM_RANK} FROM ({team_agg('laps_even_t')}) a) b WHERE year >= 1999
+)"""
+
+CTE_DEPS.update({
+    "car_raw": [], "weather_raw": [], "schedule": [],
+    "silver_car": ["car_raw"], "silver_weather": ["weather_raw"],
+    "sessions": ["laps_raw"], "checkpoint_files": ["sessions"], "wanted": ["schedule"],
+    "laps_even_d": ["silver_laps"], "laps_even_t": ["silver_laps"],
+    "target_d": ["gold_driver"], "stage_d": ["laps_even_d"],
+    "target_t": ["gold_team"], "stage_t": ["laps_even_t"],
+})
+
+
+def keys_match(a: str, b: str, key: str) -> str:
+    return " AND ".join(f"{a}.{k} = {b}.{k}" for k in key.split(", "))
+
+
+SLICE = "year = 1997 AND round = 2 AND session_type = 'R'"
+NAME_RE = r"^(laps|tel|weather)_checkpoint_(\d+)_r(\d+)(?:_([RQ]))?\.parquet$"
+SILVER_KEY = "year, round, session_type, driver, lap_number"
+SILVER_OTHERS = ("grand_prix, driver_number, team, lap_time_s, sector1_s, sector2_s, sector3_s, speed_i1, speed_i2, "
+                 "speed_fl, speed_st, tyre_compound, tyre_life_laps, fresh_tyre, is_accurate, track_status, "
+                 "position, stint")
+
+# 2.2 projections, schema and type operators
+ORACLE["bronze_rename"] = with_ctes(["car_raw"], "SELECT * FROM car_raw")
+ORACLE["require_columns"] = with_ctes(["laps_raw"], """SELECT *, CAST(NULL AS DOUBLE) AS Sector2Time,
+  CAST(NULL AS DOUBLE) AS Sector3Time, CAST(NULL AS DOUBLE) AS SpeedI1, CAST(NULL AS DOUBLE) AS SpeedI2,
+  CAST(NULL AS DOUBLE) AS SpeedFL, CAST(NULL AS DOUBLE) AS TyreLife, CAST(NULL AS BOOLEAN) AS FreshTyre,
+  CAST(NULL AS VARCHAR) AS TrackStatus, CAST(NULL AS DOUBLE) AS Stint FROM laps_raw""")
+ORACLE["column_or_null"] = with_ctes(["laps_raw"],
+                                     "SELECT Driver, LapNumber, Team AS team, CAST(NULL AS DOUBLE) AS position FROM laps_raw")
+ORACLE["silver_car_data"] = with_ctes(["silver_car"], "SELECT * FROM silver_car")
+ORACLE["silver_weather"] = with_ctes(["silver_weather"], "SELECT * FROM silver_weather")
+ORACLE["align_to_target"] = with_ctes(["laps_raw"], """SELECT year, round, session_type, grand_prix,
+  Driver AS driver, Team AS team FROM laps_raw""")
+ORACLE["drop_all_null_columns"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw")
+ORACLE["duration_to_seconds"] = with_ctes(["laps_raw"], """SELECT LapNumber,
+  CAST(CAST(LapTime AS DECIMAL(18,6)) AS DOUBLE) AS from_interval,
+  CAST(CAST(round(LapTime * 1e9) AS BIGINT) AS DOUBLE) / 1e9 AS from_nanos FROM laps_raw""")
+ORACLE["timestamp_to_utc_us"] = with_ctes(["car_raw"],
+                                          "SELECT Date, Date AS from_instant, Date AS from_nanos FROM car_raw")
+ORACLE["conform_schema"] = with_ctes(["silver_laps"], "SELECT * FROM silver_laps")
+ORACLE["evolve_schema"] = with_ctes(["silver_laps"],
+                                    "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS session_type) FROM silver_laps")
+
+# 2.3 filters
+ORACLE["filter_lap_time_not_null"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE LapTime IS NOT NULL")
+ORACLE["filter_lap_time_positive"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE LapTime > 0")
+ORACLE["filter_driver_not_null"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE Driver IS NOT NULL")
+ORACLE["filter_accurate"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE IsAccurate")
+ORACLE["filter_speed_range"] = with_ctes(["car_raw"], "SELECT * FROM car_raw WHERE Speed BETWEEN 0 AND 400")
+ORACLE["filter_rpm_range"] = with_ctes(["car_raw"], "SELECT * FROM car_raw WHERE RPM BETWEEN 0 AND 20000")
+ORACLE["filter_throttle_range"] = with_ctes(["car_raw"], "SELECT * FROM car_raw WHERE Throttle BETWEEN 0 AND 100")
+ORACLE["filter_air_temp_range"] = with_ctes(["weather_raw"],
+                                            "SELECT * FROM weather_raw WHERE AirTemp BETWEEN -10 AND 60")
+ORACLE["filter_humidity_range"] = with_ctes(["weather_raw"],
+                                            "SELECT * FROM weather_raw WHERE Humidity BETWEEN 0 AND 100")
+ORACLE["select_seasons"] = with_ctes(["schedule"], """SELECT * FROM schedule
+  WHERE year IN (1995, 1996, 1998, 1999, 2000) AND year >= 1996""")
+ORACLE["select_rounds_sessions"] = with_ctes(["silver_laps"], """SELECT * FROM silver_laps
+  WHERE round IN (1, 2) AND session_type IN ('R')""")
+ORACLE["events_until"] = with_ctes(["schedule"],
+                                   "SELECT * FROM schedule WHERE CAST(event_date AS DATE) <= DATE '1999-06-30'")
+ORACLE["driver_laps"] = with_ctes(["silver_laps"], "SELECT * FROM silver_laps WHERE driver = 'D3'")
+
+# 2.4 joins and session sets
+ORACLE["anti_join_keys"] = with_ctes(["target_d", "stage_d"], f"""SELECT * FROM target_d t
+  WHERE NOT EXISTS (SELECT 1 FROM stage_d s WHERE {keys_match('s', 't', DRIVER_KEY)})""")
+ORACLE["sessions_to_ingest"] = with_ctes(["wanted", "checkpoint_files"], f"""SELECT w.* FROM wanted w
+  WHERE NOT EXISTS (
+    SELECT 1 FROM (SELECT year, round, session_type FROM checkpoint_files GROUP BY ALL
+                   HAVING count(DISTINCT kind) = 3) c
+    WHERE {keys_match('c', 'w', 'year, round, session_type')})""")
+ORACLE["selected_sessions_semi"] = with_ctes(["wanted", "checkpoint_files"], f"""SELECT DISTINCT
+  d.year, d.round, d.session_type FROM checkpoint_files d
+  WHERE EXISTS (SELECT 1 FROM wanted w WHERE {keys_match('w', 'd', 'year, round, session_type')})""")
+ORACLE["missing_sessions"] = with_ctes(["wanted", "checkpoint_files"], f"""SELECT k.kind, w.year, w.round,
+  w.session_type FROM wanted w CROSS JOIN (VALUES ('laps'), ('tel'), ('weather')) k(kind)
+  WHERE NOT EXISTS (SELECT 1 FROM checkpoint_files f
+                    WHERE f.kind = k.kind AND {keys_match('f', 'w', 'year, round, session_type')})""")
+
+# 2.5 aggregations
+ORACLE["agg_distinct_laps"] = with_ctes(["silver_laps"], f"""SELECT {TEAM_KEY},
+  count(DISTINCT lap_number) AS total_laps FROM silver_laps WHERE {TEAM_KEY_NOT_NULL} GROUP BY {TEAM_KEY}""")
+ORACLE["agg_distinct_drivers"] = with_ctes(["silver_laps"], f"""SELECT {TEAM_KEY},
+  count(DISTINCT driver) AS drivers_count FROM silver_laps WHERE {TEAM_KEY_NOT_NULL} GROUP BY {TEAM_KEY}""")
+
+
+def _driver_grain(cols: str) -> str:
+    return with_ctes(["silver_laps"], f"""SELECT {DRIVER_KEY}, {cols} FROM silver_laps
+  WHERE {DRIVER_KEY_NOT_NULL} GROUP BY {DRIVER_KEY}""")
+
+
+ORACLE["agg_avg_times"] = _driver_grain(
+    f"{AVG('lap_time_s', 3)} AS avg_lap_time_s, {AVG('sector1_s', 3)} AS avg_sector1_s, "
+    f"{AVG('sector2_s', 3)} AS avg_sector2_s, {AVG('sector3_s', 3)} AS avg_sector3_s")
+ORACLE["agg_avg_speed"] = _driver_grain(f"{AVG('speed_st', 1)} AS avg_speed_trap_kmh")
+ORACLE["agg_best_lap"] = _driver_grain(f"{MIN('lap_time_s', 3)} AS best_lap_time_s")
+ORACLE["agg_max_speed"] = _driver_grain(f"{MAX('speed_st', 1)} AS max_speed_trap_kmh")
+ORACLE["agg_compound_laps"] = _driver_grain(
+    "count(CASE WHEN tyre_compound = 'SOFT' THEN 1 END) AS soft_laps, "
+    "count(CASE WHEN tyre_compound = 'MEDIUM' THEN 1 END) AS medium_laps, "
+    "count(CASE WHEN tyre_compound = 'HARD' THEN 1 END) AS hard_laps")
+ORACLE["slice_row_counts"] = with_ctes(["silver_laps"], """SELECT year, round, session_type,
+  count(*) AS row_count FROM silver_laps GROUP BY year, round, session_type""")
+ORACLE["lap_time_distribution"] = with_ctes(["silver_laps"], f"""SELECT year, round, session_type,
+  {AVG('lap_time_s', 6)} AS avg_lap_time, {MIN('lap_time_s', 6)} AS fastest, {MAX('lap_time_s', 6)} AS slowest
+  FROM silver_laps GROUP BY year, round, session_type""")
+
+# 2.6 windows
+ORACLE["rank_in_race"] = with_ctes(["gold_driver"],
+                                   f"SELECT {DRIVER_KEY}, best_lap_time_s, rank_in_race FROM gold_driver")
+ORACLE["team_rank_in_season"] = with_ctes(["gold_team"],
+                                          f"SELECT {TEAM_KEY}, avg_lap_time_s, team_rank_in_season FROM gold_team")
+
+# 2.7 sorts, limits, top-k
+ORACLE["driver_performance_one_event"] = with_ctes(["gold_driver"], """SELECT driver, team, avg_lap_time_s,
+  best_lap_time_s, rank_in_race FROM gold_driver
+  WHERE year = 1997 AND grand_prix = 'GP_2' AND session_type = 'R'
+  ORDER BY rank_in_race ASC NULLS FIRST, driver, team""")
+ORACLE["team_season_trends"] = with_ctes(["gold_team"], """SELECT session_type, team, avg_lap_time_s,
+  best_lap_time_s, drivers_count, team_rank_in_season FROM gold_team WHERE year = 1997
+  ORDER BY session_type, avg_lap_time_s ASC NULLS FIRST, team""")
+ORACLE["top5_drivers"] = with_ctes(["gold_driver"], """SELECT driver, avg_lap_time_s FROM gold_driver
+  WHERE grand_prix = 'GP_2' AND session_type = 'R'
+  ORDER BY rank_in_race ASC NULLS FIRST, year, driver, team LIMIT 5""")
+ORACLE["silver_row_count"] = with_ctes(["silver_laps"], "SELECT count(*) AS record_count FROM silver_laps")
+
+# 2.8 set operations
+ORACLE["union_session_frames"] = with_ctes(["car_raw"], """SELECT * FROM car_raw
+  WHERE CAST(substring(driver, 2, 2) AS INTEGER) < 10
+  UNION ALL
+  SELECT * REPLACE (CAST(NULL AS BOOLEAN) AS Brake) FROM car_raw
+  WHERE CAST(substring(driver, 2, 2) AS INTEGER) >= 10""")
+ORACLE["distinct_sessions"] = with_ctes(["checkpoint_files"],
+                                        "SELECT DISTINCT year, round, session_type FROM checkpoint_files")
+
+# 2.9 scalar functions
+ORACLE["scalar_round"] = with_ctes(["silver_laps"], f"""SELECT {SILVER_KEY},
+  CAST(round(CAST(lap_time_s AS DECIMAL(18,6)), 3) AS DOUBLE) AS lap_time_3,
+  CAST(round(CAST(sector1_s AS DECIMAL(18,6)), 1) AS DOUBLE) AS sector1_1,
+  CAST(round(CAST(speed_st AS DECIMAL(18,6)), 1) AS DOUBLE) AS speed_st_1 FROM silver_laps""")
+ORACLE["parse_checkpoint_name"] = with_ctes(["checkpoint_files"], f"""SELECT file_name,
+  regexp_extract(file_name, '{NAME_RE}', 1) AS kind,
+  CAST(regexp_extract(file_name, '{NAME_RE}', 2) AS INTEGER) AS year,
+  CAST(regexp_extract(file_name, '{NAME_RE}', 3) AS INTEGER) AS round,
+  regexp_extract(file_name, '{NAME_RE}', 4) AS session_suffix FROM checkpoint_files""")
+ORACLE["checkpoint_tag"] = with_ctes(["checkpoint_files"], """SELECT DISTINCT year, round, session_type,
+  'checkpoint_' || year || '_r' || round || '_' || session_type AS tag FROM checkpoint_files""")
+
+# 2.10 refresh
+ORACLE["refresh_session_slice"] = with_ctes(["silver_laps"], f"""SELECT * FROM silver_laps WHERE NOT ({SLICE})
+  UNION ALL
+  SELECT * REPLACE (lap_time_s + 1 AS lap_time_s) FROM silver_laps WHERE {SLICE}""")
+ORACLE["refresh_empty_slice"] = with_ctes(["silver_laps"], f"SELECT * FROM silver_laps WHERE NOT ({SLICE})")
+ORACLE["upsert_gold_driver"] = with_ctes(["target_d", "stage_d"], f"""SELECT * FROM target_d t
+  WHERE NOT EXISTS (SELECT 1 FROM stage_d s WHERE {keys_match('s', 't', DRIVER_KEY)})
+  UNION ALL SELECT * FROM stage_d""")
+ORACLE["upsert_gold_team"] = with_ctes(["target_t", "stage_t"], f"""SELECT * FROM target_t t
+  WHERE NOT EXISTS (SELECT 1 FROM stage_t s WHERE {keys_match('s', 't', TEAM_KEY)})
+  UNION ALL SELECT * FROM stage_t""")
+ORACLE["pk_violations"] = with_ctes(["silver_laps"], f"""SELECT {SILVER_KEY}, count(*) AS duplicate_rows
+  FROM silver_laps GROUP BY {SILVER_KEY} HAVING count(*) > 1""")
+ORACLE["dedup_laps"] = with_ctes(["silver_laps"], f"""SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY {SILVER_KEY}
+    ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in SILVER_OTHERS.split(', '))}) AS rn
+  FROM silver_laps) d WHERE rn = 1""")
+ORACLE["not_null_violations"] = with_ctes(["silver_laps"], "\n  UNION ALL ".join(
+    f"SELECT '{k}' AS column_name, count_if({k} IS NULL) AS null_rows FROM silver_laps"
+    for k in DRIVER_KEY.split(", ")))
+
+# 2.11 data quality
+
+
+def _metric(name: str, cond: str, src: str, passed: str) -> str:
+    return f"""SELECT '{name}' AS metric, v AS value_pct, n AS rows_checked, {passed} AS passed
+  FROM (SELECT {PCT(cond)} AS v, count(*) AS n FROM {src}) m"""
+
+
+ORACLE["dq_completeness"] = with_ctes(["gold_driver"], _metric(
+    "completeness_avg_lap_time_s", "avg_lap_time_s IS NOT NULL", "gold_driver", "v > 99.0"))
+ORACLE["dq_session_validity"] = with_ctes(["gold_driver"], _metric(
+    "validity_session_type", "session_type IN ('Q', 'R')", "gold_driver", "v >= 100.0"))
+ORACLE["dq_lap_consistency"] = with_ctes(["silver_laps"], _metric(
+    "consistency_lap_time", "lap_time_s > 60 AND lap_time_s < 200", "silver_laps", "v > 98.0"))
+ORACLE["contract_view"] = with_ctes(["gold_driver"], """SELECT year, grand_prix, session_type, driver, team,
+  avg_lap_time_s, CAST(soft_laps AS INTEGER) AS soft_laps, rank_in_race FROM gold_driver""")

@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
