@@ -402,3 +402,38 @@ ORACLE["dq_lap_consistency"] = with_ctes(["silver_laps"], _metric(
     "consistency_lap_time", "lap_time_s > 60 AND lap_time_s < 200", "silver_laps", "v > 98.0"))
 ORACLE["contract_view"] = with_ctes(["gold_driver"], """SELECT year, grand_prix, session_type, driver, team,
   avg_lap_time_s, CAST(soft_laps AS INTEGER) AS soft_laps, rank_in_race FROM gold_driver""")
+
+# 2.1 sources and sinks
+ORACLE["bronze_write_roundtrip"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw")
+ORACLE["bronze_scan"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE session_type IN ('R', 'Q')")
+ORACLE["discover_sessions"] = with_ctes(["laps_raw"], "SELECT DISTINCT year, round, session_type FROM laps_raw")
+ORACLE["legacy_session_default"] = with_ctes(["checkpoint_files"], f"""SELECT kind, year, round, session_type,
+  file_name, is_legacy FROM (
+    SELECT *, row_number() OVER (PARTITION BY kind, year, round, session_type
+                                 ORDER BY is_legacy, file_name) AS rn
+    FROM (SELECT file_name, regexp_extract(file_name, '{NAME_RE}', 1) AS kind,
+                 CAST(regexp_extract(file_name, '{NAME_RE}', 2) AS INTEGER) AS year,
+                 CAST(regexp_extract(file_name, '{NAME_RE}', 3) AS INTEGER) AS round,
+                 coalesce(nullif(regexp_extract(file_name, '{NAME_RE}', 4), ''), 'R') AS session_type,
+                 regexp_extract(file_name, '{NAME_RE}', 4) = '' AS is_legacy
+          FROM (SELECT file_name FROM checkpoint_files
+                UNION ALL
+                SELECT kind || '_checkpoint_' || year || '_r' || round || '_R.parquet' FROM checkpoint_files
+                WHERE year = 1995 AND session_type = 'R') f) p) r
+  WHERE rn = 1""")
+ORACLE["session_labels"] = with_ctes(["checkpoint_files", "schedule"], """SELECT f.file_name, f.year AS Year,
+  f.round AS Round, f.session_type AS SessionType, s.grand_prix AS GrandPrix
+  FROM checkpoint_files f LEFT JOIN schedule s ON f.year = s.year AND f.round = s.round""")
+ORACLE["silver_table_scan"] = with_ctes(["silver_laps"], "SELECT * FROM silver_laps")
+ORACLE["silver_all"] = with_ctes(["silver_laps", "silver_car", "silver_weather"], """
+  SELECT 'silver_laps' AS table_name, year, round, session_type, count(*) AS row_count
+  FROM (SELECT DISTINCT year, round, session_type, driver, lap_number FROM silver_laps) a
+  GROUP BY year, round, session_type
+  UNION ALL
+  SELECT 'silver_car_data', year, round, session_type, count(*)
+  FROM (SELECT DISTINCT year, round, session_type, driver, recorded_at FROM silver_car) b
+  GROUP BY year, round, session_type
+  UNION ALL
+  SELECT 'silver_weather', year, round, session_type, count(*)
+  FROM (SELECT DISTINCT year, round, session_type, session_time FROM silver_weather) c
+  GROUP BY year, round, session_type""")

@@ -435,3 +435,81 @@ def q_dq_lap_consistency(spark, sf_dir):
 @query("contract_view")
 def q_contract_view(spark, sf_dir):
     return quality.contract_view(gold_driver_of(spark, sf_dir))
+
+
+# ---- 2.1 sources and sinks: real files below the shared checkpoint folder ----
+
+def bronze_layout(spark, sf_dir, kinds=("laps",)):
+    """Write the fixture views as bronze session files (S7) in a fresh folder."""
+    from paddock.plans.medallion import Layout
+    from paddock.session import scratch_path
+    from paddock.sources import bronze
+    layout = Layout(scratch_path(spark, "bronze-run"))
+    views = {"laps": fx.laps_raw, "tel": fx.car_raw, "weather": fx.weather_raw}
+    for kind in kinds:
+        bronze.write_bronze(views[kind](spark, sf_dir), layout.bronze, kind)
+    return layout
+
+
+@query("bronze_write_roundtrip")
+def q_bronze_write_roundtrip(spark, sf_dir):
+    from paddock.sources import bronze
+    layout = bronze_layout(spark, sf_dir)
+    return bronze.scan_bronze(spark, layout.bronze, "laps").select(*fx.laps_raw(spark, sf_dir).columns)
+
+
+@query("bronze_scan")
+def q_bronze_scan(spark, sf_dir):
+    from paddock.sources import bronze
+    layout = bronze_layout(spark, sf_dir)
+    wanted = selection.expand_session_types(fx.schedule(spark, sf_dir).select("year", "round"))
+    return bronze.scan_bronze(spark, layout.bronze, "laps", sessions=wanted).select(
+        *fx.laps_raw(spark, sf_dir).columns)
+
+
+@query("discover_sessions")
+def q_discover_sessions(spark, sf_dir):
+    from paddock.sources import bronze
+    layout = bronze_layout(spark, sf_dir)
+    return bronze.discover_partition_sessions(spark, layout.bronze, "laps")
+
+
+def _names_as_listing(files):
+    return files.select(F.concat(F.lit("file:/archive/"), F.col("file_name")).alias("path"))
+
+
+@query("legacy_session_default")
+def q_legacy_session_default(spark, sf_dir):
+    """Archive listing where 1995 races exist under both names; the suffixed file wins."""
+    from paddock.sources import bronze
+    files = fx.checkpoint_files(spark, sf_dir)
+    both = files.filter((F.col("year") == fx.LEGACY_YEAR) & (F.col("session_type") == "R")).select(
+        scalars.checkpoint_file_name("kind", "year", "round", "session_type").alias("file_name"))
+    listing = _names_as_listing(files).unionByName(_names_as_listing(both))
+    parsed = bronze.parse_checkpoint_listing(listing)
+    return bronze.prefer_suffixed(parsed)
+
+
+@query("session_labels")
+def q_session_labels(spark, sf_dir):
+    from paddock.sources import bronze
+    return bronze.session_labels(fx.checkpoint_files(spark, sf_dir), fx.schedule(spark, sf_dir))
+
+
+@query("silver_table_scan")
+def q_silver_table_scan(spark, sf_dir):
+    from paddock.plans.medallion import Layout
+    from paddock.session import scratch_path
+    table = Layout(scratch_path(spark, "silver-scan")).silver("silver_laps")
+    table.refresh(spark, silver_laps_of(spark, sf_dir), check_key=False)
+    return table.read(spark)
+
+
+@query("silver_all")
+def q_silver_all(spark, sf_dir):
+    """Bronze of all three kinds -> the three silver tables, deduplicated on their keys;
+    the result is the written row count of every slice."""
+    from paddock.plans import medallion
+    layout = bronze_layout(spark, sf_dir, kinds=("laps", "tel", "weather"))
+    medallion.run_silver(spark, layout)
+    return medallion.silver_slice_counts(spark, layout)
