@@ -80,9 +80,9 @@ def duration_to_seconds(c, data_type: T.DataType) -> Column:
         return c.cast(T.DayTimeIntervalType(3, 3)).cast("decimal(18,6)").cast("double")
     if isinstance(data_type, T.LongType):
         return c.cast("double") / F.lit(1e9)
-    if isinstance(data_type, T.NullType):
-        return c.cast("double")
-    return nan_to_null(c.cast("double"))
+    if isinstance(data_type, T.DoubleType):
+        return c      # kept raw so range predicates still push into the scan
+    return c.cast("double")
 
 
 def timestamp_to_utc_us(c, data_type: T.DataType) -> Column:

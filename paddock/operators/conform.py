@@ -70,7 +70,12 @@ def column_or_null(df: DataFrame, name: str, data_type: T.DataType | None = None
 
 
 def conform_bronze_types(df: DataFrame, types: dict | None = None) -> DataFrame:
-    """Cast known bronze columns to their declared type (P11/P12 by physical type, NaN -> NULL)."""
+    """Cast known bronze columns to their declared type (P11/P12 by physical type).
+
+    Columns already of the declared type are left as they are, so filters on
+    them still reach the Parquet reader; NaN is handled by the predicates
+    (F2) and by :func:`nan_to_null_columns` in the final projection.
+    """
     types = schemas.BRONZE_TYPES if types is None else types
     by_name = {f.name: f.dataType for f in df.schema.fields}
     exprs = {}
@@ -82,10 +87,8 @@ def conform_bronze_types(df: DataFrame, types: dict | None = None) -> DataFrame:
             expr = scalars.duration_to_seconds(F.col(name), source_type)
         elif isinstance(target, T.TimestampNTZType):
             expr = scalars.timestamp_to_utc_us(F.col(name), source_type)
-        elif isinstance(target, T.DoubleType):
-            expr = scalars.nan_to_null(F.col(name).cast("double"))
         elif source_type == target:
-            continue
+            continue      # untouched: predicates on it push down to the Parquet scan
         elif isinstance(target, T.BooleanType) and isinstance(source_type, T.StringType):
             expr = F.col(name).try_cast("boolean")
         else:
@@ -94,6 +97,12 @@ def conform_bronze_types(df: DataFrame, types: dict | None = None) -> DataFrame:
     return df.withColumns(exprs) if exprs else df
 
 
+def nan_to_null_columns(df: DataFrame) -> DataFrame:
+    """NaN -> NULL in every DOUBLE column (applied after the filters, in the projection)."""
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    return df.withColumns({c: scalars.nan_to_null(F.col(c)) for c in doubles}) if doubles else df
+
+
 def align_to_target(df: DataFrame, target: T.StructType) -> DataFrame:
     """Keep only the columns the target has, in the frame's order; error if none."""
     wanted = {f.name.lower() for f in target.fields}

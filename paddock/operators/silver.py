@@ -26,8 +26,8 @@ def lap_time_not_null() -> Column:          # F1
     return F.col("LapTime").isNotNull()
 
 
-def lap_time_positive() -> Column:          # F2 (NaN already NULL)
-    return F.col("LapTime") > 0
+def lap_time_positive() -> Column:          # F2: NaN > 0 is true in Spark, so exclude it
+    return (F.col("LapTime") > 0) & ~F.isnan(F.col("LapTime"))
 
 
 def driver_not_null(name: str = "Driver") -> Column:   # F3
@@ -101,7 +101,7 @@ def transform_laps(bronze: DataFrame, session_type: str | None = None) -> DataFr
             F.col("Stint").alias("stint"),
         )
     )
-    return conform.conform_schema(out, schemas.SILVER_LAPS)
+    return conform.conform_schema(conform.nan_to_null_columns(out), schemas.SILVER_LAPS)
 
 
 def transform_car_data(bronze: DataFrame, session_type: str | None = None) -> DataFrame:
@@ -124,7 +124,7 @@ def transform_car_data(bronze: DataFrame, session_type: str | None = None) -> Da
             F.col("nGear").alias("gear"),
         )
     )
-    return conform.conform_schema(out, schemas.SILVER_CAR_DATA)
+    return conform.conform_schema(conform.nan_to_null_columns(out), schemas.SILVER_CAR_DATA)
 
 
 def transform_weather(bronze: DataFrame, session_type: str | None = None) -> DataFrame:
@@ -147,7 +147,7 @@ def transform_weather(bronze: DataFrame, session_type: str | None = None) -> Dat
             F.col("Rainfall").alias("is_raining"),
         )
     )
-    return conform.conform_schema(out, schemas.SILVER_WEATHER)
+    return conform.conform_schema(conform.nan_to_null_columns(out), schemas.SILVER_WEATHER)
 
 
 TRANSFORMS = {

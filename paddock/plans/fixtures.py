@@ -31,8 +31,32 @@ LEGACY_YEAR = 1995
 AS_OF = dt.date(1999, 6, 30)
 
 
+# Declared schemas of the input tables this module reads: a known schema means
+# no footer-inference job per query (at scale, footers of thousands of files).
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(table_path(sf_dir, name))
+
+
+def _mapped(c: F.Column, mapping: dict) -> F.Column:
+    """CASE c WHEN k1 THEN v1 ... END (NULL for anything else)."""
+    out = None
+    for k, v in mapping.items():
+        out = F.when(c == k, v) if out is None else out.when(c == k, v)
+    return out
 
 
 def laps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +69,7 @@ def laps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     rnd = F.quarter("o_orderdate").cast("int")
     driver_no = F.col("l_suppkey") % DRIVERS_MOD
-    status = F.col("o_orderstatus")
-    session = F.when(status == "F", "R").when(status == "O", "Q").when(status == "P", "S")
+    session = _mapped(F.col("o_orderstatus"), STATUS_TO_SESSION)
     flag = F.col("l_returnflag")
     price = F.col("l_extendedprice")
     return j.select(
@@ -65,8 +88,8 @@ def laps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_quantity") == NULL_SECTOR_QUANTITY, F.lit(None).cast("double"))
         .otherwise(F.col("l_quantity") + F.col("l_discount")).alias("Sector1Time"),
         (F.col("p_retailprice") / 3).alias("SpeedST"),
-        F.when(flag == "R", "SOFT").when(flag == "A", "MEDIUM")
-        .when((flag == "N") & (F.col("l_linenumber") != NULL_COMPOUND_LINE), "HARD").alias("Compound"),
+        F.when((flag == "N") & (F.col("l_linenumber") == NULL_COMPOUND_LINE), F.lit(None).cast("string"))
+        .otherwise(_mapped(flag, RETURNFLAG_TO_COMPOUND)).alias("Compound"),
         (F.col("l_linestatus") == "F").alias("IsAccurate"),
     )
 
