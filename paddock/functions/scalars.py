@@ -10,9 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Averages are taken over an exact decimal so the rounded result does not
-# depend on the order partial sums arrive in (double sums do).
+# Averages are exact: every value is taken to whole microseconds (half-up, as
+# a cast to decimal(18,6) would) and summed as a LONG — a primitive, codegen'd
+# aggregate buffer, independent of the order partial sums arrive in (a double
+# sum is not) and far cheaper than a decimal(28,6) buffer.  Only the final,
+# per-group division and rounding happen in decimal.
 EXACT = "decimal(18,6)"
+MICROS = 1_000_000
 
 # --- fixed values: bronze checkpoint file naming ---
 # "<kind>_checkpoint_<year>_r<round>_<R|Q>.parquet"; legacy files lack "_<R|Q>".
@@ -24,9 +28,21 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def to_micros(c) -> Column:
+    """x -> whole micro-units as LONG, rounded half away from zero (like ``cast(x as decimal(18,6))``)."""
+    c = _c(c)
+    return (F.signum(c) * F.floor(F.abs(c) * float(MICROS) + 0.5)).cast("long")
+
+
 def round_avg(c, scale: int) -> Column:
-    """``round(avg(x), scale)`` as DOUBLE, averaged exactly."""
-    return F.round(F.avg(_c(c).cast(EXACT)), scale).cast("double")
+    """``round(avg(x), scale)`` as DOUBLE, averaged exactly.
+
+    avg = sum(micros) / count, kept in decimal at 6 places of a micro-unit,
+    rounded half-up to ``scale`` places of the unit; NULL for no values.
+    """
+    c = _c(c)
+    avg_micros = F.try_divide(F.sum(to_micros(c)).cast("decimal(38,0)"), F.count(c))
+    return (F.round(avg_micros, scale - 6).cast("double") / float(MICROS))
 
 
 def round_min(c, scale: int) -> Column:

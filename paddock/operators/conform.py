@@ -24,13 +24,10 @@ def has_column(df: DataFrame, name: str) -> bool:
 
 
 def _exact_name(df: DataFrame, name: str) -> str | None:
-    for c in df.columns:
-        if c == name:
-            return c
-    for c in df.columns:
-        if c.lower() == name.lower():
-            return c
-    return None
+    columns = df.columns
+    if name in columns:
+        return name
+    return next((c for c in columns if c.lower() == name.lower()), None)
 
 
 def rename_bronze_columns(df: DataFrame, bronze_table: str = "bronze_laps") -> DataFrame:
@@ -43,10 +40,12 @@ def rename_bronze_columns(df: DataFrame, bronze_table: str = "bronze_laps") -> D
     renames = dict(schemas.LABEL_RENAMES)
     if bronze_table == "bronze_car_data":
         renames.update(schemas.CAR_DATA_RENAMES)
+    columns = df.columns
+    lower = {c.lower() for c in columns}
     mapping = {}
     for source, target in renames.items():
-        if source in df.columns and target not in df.columns:
-            if source.lower() == target.lower() or not has_column(df, target):
+        if source in columns and target not in columns:
+            if source.lower() == target.lower() or target.lower() not in lower:
                 mapping[source] = target
     return df.withColumnsRenamed(mapping) if mapping else df
 
@@ -54,10 +53,13 @@ def rename_bronze_columns(df: DataFrame, bronze_table: str = "bronze_laps") -> D
 def require_columns(df: DataFrame, required: list[str], types: dict | None = None) -> DataFrame:
     """Add each missing column as a NULL of its declared type (never VOID)."""
     types = schemas.BRONZE_TYPES if types is None else types
-    missing = [c for c in required if not has_column(df, c)]
+    present = _lower_names(df)
+    missing = [c for c in required if c.lower() not in present]
     if not missing:
         return df
-    return df.withColumns({c: F.lit(None).cast(types.get(c, T.StringType())) for c in missing})
+    # One projection for all of them (a single plan node, a single JVM call).
+    return df.selectExpr("*", *[f"CAST(NULL AS {types.get(c, T.StringType()).simpleString()}) AS `{c}`"
+                                for c in missing])
 
 
 def column_or_null(df: DataFrame, name: str, data_type: T.DataType | None = None) -> Column:
@@ -99,8 +101,11 @@ def conform_bronze_types(df: DataFrame, types: dict | None = None) -> DataFrame:
 
 def nan_to_null_columns(df: DataFrame) -> DataFrame:
     """NaN -> NULL in every DOUBLE column (applied after the filters, in the projection)."""
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: scalars.nan_to_null(F.col(c)) for c in doubles}) if doubles else df
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, T.DoubleType) for f in fields):
+        return df
+    return df.selectExpr(*[f"CASE WHEN isnan(`{f.name}`) THEN NULL ELSE `{f.name}` END AS `{f.name}`"
+                           if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`" for f in fields])
 
 
 def align_to_target(df: DataFrame, target: T.StructType) -> DataFrame:
@@ -135,21 +140,19 @@ def conform_schema(df: DataFrame, target: T.StructType, strict: bool = False) ->
     (a bad value fails the job); otherwise ``try_cast`` turns it into NULL so
     that the NOT NULL check can route the row to a reject frame.
     """
-    present = {c.lower(): c for c in df.columns}
-    cols = []
+    source_types = {f.name: f.dataType for f in df.schema.fields}
+    present = {c.lower(): c for c in source_types}
+    exprs = []
     for f in target.fields:
         src = present.get(f.name.lower())
+        type_sql = f.dataType.simpleString()
         if src is None:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-            continue
-        source_type = df.schema[src].dataType
-        if source_type == f.dataType:
-            cols.append(F.col(src).alias(f.name))
-        elif strict:
-            cols.append(F.col(src).cast(f.dataType).alias(f.name))
+            exprs.append(f"CAST(NULL AS {type_sql}) AS `{f.name}`")
+        elif source_types[src] == f.dataType:
+            exprs.append(f"`{src}` AS `{f.name}`")
         else:
-            cols.append(F.col(src).try_cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+            exprs.append(f"{'CAST' if strict else 'TRY_CAST'}(`{src}` AS {type_sql}) AS `{f.name}`")
+    return df.selectExpr(*exprs)
 
 
 def evolve_schema(df: DataFrame, target: T.StructType) -> DataFrame:

@@ -58,10 +58,44 @@ def humidity_in_range() -> Column:          # F9
     return F.col("Humidity").between(*HUMIDITY_RANGE)
 
 
-def _session_type(session_type: str | None) -> Column:
-    # The reference takes the session type from the file name; here it is the
-    # slice column the source derived from the path, or an explicit literal.
-    return F.lit(session_type) if session_type else F.col("session_type")
+# --- fixed values: bronze column -> silver column, in silver order ---
+LAPS_PROJECTION = [
+    ("year", "year"), ("round", "round"), ("session_type", "session_type"), ("grand_prix", "grand_prix"),
+    ("Driver", "driver"), ("DriverNumber", "driver_number"), ("Team", "team"), ("LapNumber", "lap_number"),
+    ("LapTime", "lap_time_s"), ("Sector1Time", "sector1_s"), ("Sector2Time", "sector2_s"),
+    ("Sector3Time", "sector3_s"), ("SpeedI1", "speed_i1"), ("SpeedI2", "speed_i2"), ("SpeedFL", "speed_fl"),
+    ("SpeedST", "speed_st"), ("Compound", "tyre_compound"), ("TyreLife", "tyre_life_laps"),
+    ("FreshTyre", "fresh_tyre"), ("IsAccurate", "is_accurate"), ("TrackStatus", "track_status"),
+    ("Position", "position"), ("Stint", "stint"),
+]
+CAR_DATA_PROJECTION = [
+    ("year", "year"), ("round", "round"), ("session_type", "session_type"), ("grand_prix", "grand_prix"),
+    ("driver", "driver"), ("Date", "recorded_at"), ("Speed", "speed_kmh"), ("RPM", "rpm"),
+    ("Throttle", "throttle_pct"), ("Brake", "brake_on"), ("DRS", "drs_active"), ("nGear", "gear"),
+]
+WEATHER_PROJECTION = [
+    ("year", "year"), ("round", "round"), ("session_type", "session_type"), ("grand_prix", "grand_prix"),
+    ("Time", "session_time"), ("AirTemp", "air_temp_c"), ("TrackTemp", "track_temp_c"),
+    ("Humidity", "humidity_pct"), ("WindSpeed", "wind_speed_ms"), ("WindDirection", "wind_direction_deg"),
+    ("Pressure", "pressure_hpa"), ("Rainfall", "is_raining"),
+]
+
+
+def _project(pairs, session_type: str | None, position: str | None = None) -> list[str]:
+    """SQL select list for a projection.  The session type is the slice column
+    the source derived from the path (the original took it from the file
+    name), or an explicit literal."""
+    out = []
+    for src, dst in pairs:
+        if dst == "session_type" and session_type:
+            if not session_type.isalnum():
+                raise ValueError(f"bad session type {session_type!r}")
+            out.append(f"'{session_type}' AS session_type")
+        elif dst == "position" and position is not None:
+            out.append(f"{position} AS position")
+        else:
+            out.append(f"`{src}` AS `{dst}`")
+    return out
 
 
 def _prepare(bronze: DataFrame, bronze_table: str, required: list[str]) -> DataFrame:
@@ -73,33 +107,10 @@ def _prepare(bronze: DataFrame, bronze_table: str, required: list[str]) -> DataF
 def transform_laps(bronze: DataFrame, session_type: str | None = None) -> DataFrame:
     """P5 + F1-F4: bronze laps -> ``silver_laps`` (23 columns, declared types)."""
     df = _prepare(bronze, "bronze_laps", schemas.LAPS_REQUIRED)
+    position = None if conform.has_column(df, "Position") else "CAST(NULL AS double)"   # P3
     out = (
         df.filter(lap_time_not_null() & lap_time_positive() & driver_not_null() & is_accurate())
-        .select(
-            F.col("year"),
-            F.col("round"),
-            _session_type(session_type).alias("session_type"),
-            F.col("grand_prix"),
-            F.col("Driver").alias("driver"),
-            F.col("DriverNumber").alias("driver_number"),
-            F.col("Team").alias("team"),
-            F.col("LapNumber").alias("lap_number"),
-            F.col("LapTime").alias("lap_time_s"),
-            F.col("Sector1Time").alias("sector1_s"),
-            F.col("Sector2Time").alias("sector2_s"),
-            F.col("Sector3Time").alias("sector3_s"),
-            F.col("SpeedI1").alias("speed_i1"),
-            F.col("SpeedI2").alias("speed_i2"),
-            F.col("SpeedFL").alias("speed_fl"),
-            F.col("SpeedST").alias("speed_st"),
-            F.col("Compound").alias("tyre_compound"),
-            F.col("TyreLife").alias("tyre_life_laps"),
-            F.col("FreshTyre").alias("fresh_tyre"),
-            F.col("IsAccurate").alias("is_accurate"),
-            F.col("TrackStatus").alias("track_status"),
-            conform.column_or_null(df, "Position").alias("position"),
-            F.col("Stint").alias("stint"),
-        )
+        .selectExpr(*_project(LAPS_PROJECTION, session_type, position))
     )
     return conform.conform_schema(conform.nan_to_null_columns(out), schemas.SILVER_LAPS)
 
@@ -109,20 +120,7 @@ def transform_car_data(bronze: DataFrame, session_type: str | None = None) -> Da
     df = _prepare(bronze, "bronze_car_data", schemas.CAR_DATA_REQUIRED)
     out = (
         df.filter(speed_in_range() & rpm_in_range() & throttle_in_range() & driver_not_null("driver"))
-        .select(
-            F.col("year"),
-            F.col("round"),
-            _session_type(session_type).alias("session_type"),
-            F.col("grand_prix"),
-            F.col("driver"),
-            F.col("Date").alias("recorded_at"),
-            F.col("Speed").alias("speed_kmh"),
-            F.col("RPM").alias("rpm"),
-            F.col("Throttle").alias("throttle_pct"),
-            F.col("Brake").alias("brake_on"),
-            F.col("DRS").alias("drs_active"),
-            F.col("nGear").alias("gear"),
-        )
+        .selectExpr(*_project(CAR_DATA_PROJECTION, session_type))
     )
     return conform.conform_schema(conform.nan_to_null_columns(out), schemas.SILVER_CAR_DATA)
 
@@ -132,20 +130,7 @@ def transform_weather(bronze: DataFrame, session_type: str | None = None) -> Dat
     df = _prepare(bronze, "bronze_weather", schemas.WEATHER_REQUIRED)
     out = (
         df.filter(air_temp_in_range() & humidity_in_range())
-        .select(
-            F.col("year"),
-            F.col("round"),
-            _session_type(session_type).alias("session_type"),
-            F.col("grand_prix"),
-            F.col("Time").alias("session_time"),
-            F.col("AirTemp").alias("air_temp_c"),
-            F.col("TrackTemp").alias("track_temp_c"),
-            F.col("Humidity").alias("humidity_pct"),
-            F.col("WindSpeed").alias("wind_speed_ms"),
-            F.col("WindDirection").alias("wind_direction_deg"),
-            F.col("Pressure").alias("pressure_hpa"),
-            F.col("Rainfall").alias("is_raining"),
-        )
+        .selectExpr(*_project(WEATHER_PROJECTION, session_type))
     )
     return conform.conform_schema(conform.nan_to_null_columns(out), schemas.SILVER_WEATHER)
 

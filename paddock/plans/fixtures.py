@@ -51,12 +51,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(table_path(sf_dir, name))
 
 
-def _mapped(c: F.Column, mapping: dict) -> F.Column:
-    """CASE c WHEN k1 THEN v1 ... END (NULL for anything else)."""
-    out = None
-    for k, v in mapping.items():
-        out = F.when(c == k, v) if out is None else out.when(c == k, v)
-    return out
+def _case(column: str, mapping: dict) -> str:
+    """``CASE column WHEN k THEN v ... END`` (NULL for anything else)."""
+    return "CASE " + " ".join(f"WHEN {column} = '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
 
 
 def laps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,71 +64,60 @@ def laps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Plain equi-joins: Catalyst/AQE pick broadcast only when a side's measured
     # size is under the threshold, otherwise a shuffle join.
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    rnd = F.quarter("o_orderdate").cast("int")
-    driver_no = F.col("l_suppkey") % DRIVERS_MOD
-    session = _mapped(F.col("o_orderstatus"), STATUS_TO_SESSION)
-    flag = F.col("l_returnflag")
-    price = F.col("l_extendedprice")
-    return j.select(
-        F.year("o_orderdate").cast("int").alias("year"),
-        rnd.alias("round"),
-        session.alias("session_type"),
-        F.concat(F.lit("GP_"), rnd.cast("string")).alias("grand_prix"),
-        F.concat(F.lit("D"), driver_no.cast("string")).alias("Driver"),
-        driver_no.cast("string").alias("DriverNumber"),
-        F.when(F.col("l_discount") == NO_TEAM_DISCOUNT, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("T"), F.floor(driver_no / 2).cast("int").cast("string"))).alias("Team"),
-        F.col("l_orderkey").cast("double").alias("LapNumber"),
-        F.when(F.col("l_tax") == NULL_LAP_TAX, F.lit(None).cast("double"))
-        .when(F.col("l_tax") == NEGATIVE_LAP_TAX, -price / 1000)
-        .otherwise(price / 1000).alias("LapTime"),
-        F.when(F.col("l_quantity") == NULL_SECTOR_QUANTITY, F.lit(None).cast("double"))
-        .otherwise(F.col("l_quantity") + F.col("l_discount")).alias("Sector1Time"),
-        (F.col("p_retailprice") / 3).alias("SpeedST"),
-        F.when((flag == "N") & (F.col("l_linenumber") == NULL_COMPOUND_LINE), F.lit(None).cast("string"))
-        .otherwise(_mapped(flag, RETURNFLAG_TO_COMPOUND)).alias("Compound"),
-        (F.col("l_linestatus") == "F").alias("IsAccurate"),
+    rnd = "CAST(quarter(o_orderdate) AS INT)"
+    drv = f"(l_suppkey % {DRIVERS_MOD})"
+    return j.selectExpr(
+        "CAST(year(o_orderdate) AS INT) AS year",
+        f"{rnd} AS round",
+        f"{_case('o_orderstatus', STATUS_TO_SESSION)} AS session_type",
+        f"concat('GP_', CAST({rnd} AS STRING)) AS grand_prix",
+        f"concat('D', CAST({drv} AS STRING)) AS Driver",
+        f"CAST({drv} AS STRING) AS DriverNumber",
+        f"CASE WHEN l_discount = CAST({NO_TEAM_DISCOUNT} AS DOUBLE) THEN CAST(NULL AS STRING) "
+        f"ELSE concat('T', CAST(CAST(floor({drv} / 2) AS INT) AS STRING)) END AS Team",
+        "CAST(l_orderkey AS DOUBLE) AS LapNumber",
+        f"CASE WHEN l_tax = CAST({NULL_LAP_TAX} AS DOUBLE) THEN CAST(NULL AS DOUBLE) "
+        f"WHEN l_tax = CAST({NEGATIVE_LAP_TAX} AS DOUBLE) THEN -l_extendedprice / 1000 "
+        "ELSE l_extendedprice / 1000 END AS LapTime",
+        f"CASE WHEN l_quantity = {NULL_SECTOR_QUANTITY} THEN CAST(NULL AS DOUBLE) "
+        "ELSE l_quantity + l_discount END AS Sector1Time",
+        "p_retailprice / 3 AS SpeedST",
+        f"CASE WHEN l_returnflag = 'N' AND l_linenumber = {NULL_COMPOUND_LINE} THEN CAST(NULL AS STRING) "
+        f"ELSE {_case('l_returnflag', RETURNFLAG_TO_COMPOUND)} END AS Compound",
+        "l_linestatus = 'F' AS IsAccurate",
     )
 
 
-def _event_labels() -> list:
-    rnd = F.dayofmonth("ts").cast("int")
-    return [
-        F.year("ts").cast("int").alias("year"),
-        rnd.alias("round"),
-        F.lit("R").alias("session_type"),
-        F.concat(F.lit("GP_"), rnd.cast("string")).alias("grand_prix"),
-    ]
-
-
-def _json_k() -> F.Column:
-    return F.get_json_object("props", "$.k").try_cast("double")
+EVENT_LABELS = [
+    "CAST(year(ts) AS INT) AS year",
+    "CAST(dayofmonth(ts) AS INT) AS round",
+    "'R' AS session_type",
+    "concat('GP_', CAST(CAST(dayofmonth(ts) AS INT) AS STRING)) AS grand_prix",
+]
+JSON_K = "TRY_CAST(get_json_object(props, '$.k') AS DOUBLE)"
 
 
 def car_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as bronze car data (one row per telemetry sample)."""
-    ev = read_table(spark, sf_dir, "events")
-    return ev.select(
-        *_event_labels(),
-        F.concat(F.lit("D"), (F.col("user_id") % DRIVERS_MOD).cast("string")).alias("driver"),
-        F.col("ts").alias("Date"),
-        F.when((F.col("event_type") == "signup") & (F.col("value") < 5), F.lit(None).cast("double"))
-        .otherwise(F.col("value")).alias("Speed"),
-        (F.col("value") * 50).alias("RPM"),
-        (_json_k() * 1.05).alias("Throttle"),
-        (F.col("event_type") == "click").alias("Brake"),
+    return read_table(spark, sf_dir, "events").selectExpr(
+        *EVENT_LABELS,
+        f"concat('D', CAST(user_id % {DRIVERS_MOD} AS STRING)) AS driver",
+        "ts AS Date",
+        "CASE WHEN event_type = 'signup' AND value < 5 THEN CAST(NULL AS DOUBLE) ELSE value END AS Speed",
+        "value * 50 AS RPM",
+        f"{JSON_K} * CAST(1.05 AS DOUBLE) AS Throttle",
+        "event_type = 'click' AS Brake",
     )
 
 
 def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as bronze weather samples."""
-    ev = read_table(spark, sf_dir, "events")
-    return ev.select(
-        *_event_labels(),
-        F.col("event_id").cast("double").alias("Time"),
-        (F.col("value") / 4 - 15).alias("AirTemp"),
-        (_json_k() * 1.02).alias("Humidity"),
-        (F.col("event_type") == "error").alias("Rainfall"),
+    return read_table(spark, sf_dir, "events").selectExpr(
+        *EVENT_LABELS,
+        "CAST(event_id AS DOUBLE) AS Time",
+        "value / 4 - 15 AS AirTemp",
+        f"{JSON_K} * CAST(1.02 AS DOUBLE) AS Humidity",
+        "event_type = 'error' AS Rainfall",
     )
 
 

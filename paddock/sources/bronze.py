@@ -42,11 +42,23 @@ def write_bronze(df: DataFrame, root: str, kind: str, mode: str = "overwrite") -
     alone.  Timestamps are stored as microsecond TIMESTAMP_NTZ.
     """
     path = f"{root.rstrip('/')}/{kind}"
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (clustered_by_slice(df).write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*schemas.SLICE_KEY).parquet(path))
     return path
 
 
+def clustered_by_slice(df: DataFrame) -> DataFrame:
+    """Group rows of a session into few tasks before a partitioned write.
+
+    Without it every task writes one file per session it happens to hold
+    (tasks x sessions small files).  ``rebalance`` lets AQE size the output
+    partitions: small sessions share a task and a file, and a session that
+    holds a large share of all rows is split across several tasks instead of
+    landing on one.
+    """
+    return df.hint("rebalance", *schemas.SLICE_KEY)
+
+
 # ------------------------------------------------------------- listing
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet", recursive: bool = False) -> DataFrame:

@@ -110,8 +110,10 @@ class SliceTable:
             problems = bad.select(F.lit(1)).unionByName(dups.select(F.lit(1))).limit(1).count()
             if problems:
                 raise ValueError(f"stage violates the primary key {self.key} of {self.root}")
+        from paddock.sources.bronze import clustered_by_slice
+
         obs = Observation("slice_rows")
-        observed = stage.observe(obs, F.count(F.lit(1)).alias("rows"))
+        observed = clustered_by_slice(stage).observe(obs, F.count(F.lit(1)).alias("rows"))
         (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*schemas.SLICE_KEY).parquet(self.root))
         written = obs.get.get("rows", 0)
