@@ -437,3 +437,18 @@ ORACLE["silver_all"] = with_ctes(["silver_laps", "silver_car", "silver_weather"]
   SELECT 'silver_weather', year, round, session_type, count(*)
   FROM (SELECT DISTINCT year, round, session_type, session_time FROM silver_weather) c
   GROUP BY year, round, session_type""")
+
+# incremental refresh: silver deduplicated on its key (least row by the other columns)
+CTE["silver_dedup"] = f"""silver_dedup AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY {SILVER_KEY}
+      ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in SILVER_OTHERS.split(', '))}) AS rn
+    FROM silver_laps) d
+  WHERE rn = 1
+)"""
+CTE["gold_driver_dedup"] = f"""gold_driver_dedup AS (
+  SELECT *, {RANK_IN_RACE} FROM ({driver_agg('silver_dedup')}) a
+)"""
+CTE_DEPS.update({"silver_dedup": ["silver_laps"], "gold_driver_dedup": ["silver_dedup"]})
+ORACLE["incremental_silver_laps"] = with_ctes(["silver_dedup"], "SELECT * FROM silver_dedup")
+ORACLE["incremental_gold_driver"] = with_ctes(["gold_driver_dedup"], "SELECT * FROM gold_driver_dedup")

@@ -513,3 +513,24 @@ def q_silver_all(spark, sf_dir):
     layout = bronze_layout(spark, sf_dir, kinds=("laps", "tel", "weather"))
     medallion.run_silver(spark, layout)
     return medallion.silver_slice_counts(spark, layout)
+
+
+# ---- incremental refresh (Structured Streaming over bronze files) ----
+
+def _incremental_layout(spark, sf_dir):
+    from paddock.streaming.incremental import run_incremental
+    layout = bronze_layout(spark, sf_dir, kinds=("laps",))
+    run_incremental(spark, layout, tables=("silver_laps",), with_gold=True)
+    return layout
+
+
+@query("incremental_silver_laps")
+def q_incremental_silver_laps(spark, sf_dir):
+    """Bronze laps files -> streamed refresh -> the silver table (deduplicated on its key)."""
+    return _incremental_layout(spark, sf_dir).silver("silver_laps").read(spark)
+
+
+@query("incremental_gold_driver")
+def q_incremental_gold_driver(spark, sf_dir):
+    """The versioned gold driver table after the streamed refresh (R2 with real writes)."""
+    return _incremental_layout(spark, sf_dir).gold("gold_driver_performance").read(spark)
