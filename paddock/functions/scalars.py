@@ -22,6 +22,8 @@ MICROS = 1_000_000
 # "<kind>_checkpoint_<year>_r<round>_<R|Q>.parquet"; legacy files lack "_<R|Q>".
 CHECKPOINT_NAME = r"^(laps|tel|weather)_checkpoint_(\d+)_r(\d+)(?:_([RQ]))?\.parquet$"
 LEGACY_SESSION_TYPE = "R"
+# A checkpoint may be a single file or a folder of part files named like one.
+CHECKPOINT_IN_PATH = r"/((?:laps|tel|weather)_checkpoint_\d+_r\d+(?:_[RQ])?\.parquet)(?:/[^/]+)?$"
 
 
 def _c(c) -> Column:
@@ -159,6 +161,11 @@ def checkpoint_file_name(kind, year, rnd, session_type, legacy: Column | None =
     return F.when(legacy, plain).otherwise(suffixed)
 
 
+def checkpoint_entry_name(path) -> Column:
+    """The checkpoint name inside a path (the file itself or the folder holding its parts)."""
+    return F.regexp_extract(_c(path), CHECKPOINT_IN_PATH, 1)
+
+
 def base_name(path) -> Column:
     """Last path element of a file URI."""
     return F.regexp_extract(_c(path), r"([^/]+)$", 1)

@@ -452,3 +452,5 @@ CTE["gold_driver_dedup"] = f"""gold_driver_dedup AS (
 CTE_DEPS.update({"silver_dedup": ["silver_laps"], "gold_driver_dedup": ["silver_dedup"]})
 ORACLE["incremental_silver_laps"] = with_ctes(["silver_dedup"], "SELECT * FROM silver_dedup")
 ORACLE["incremental_gold_driver"] = with_ctes(["gold_driver_dedup"], "SELECT * FROM gold_driver_dedup")
+ORACLE["bronze_nanos_read"] = with_ctes(["silver_car"], "SELECT * FROM silver_car")
+ORACLE["bronze_duration_read"] = with_ctes(["silver_weather"], "SELECT * FROM silver_weather")

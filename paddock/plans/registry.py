@@ -534,3 +534,35 @@ def q_incremental_silver_laps(spark, sf_dir):
 def q_incremental_gold_driver(spark, sf_dir):
     """The versioned gold driver table after the streamed refresh (R2 with real writes)."""
     return _incremental_layout(spark, sf_dir).gold("gold_driver_performance").read(spark)
+
+
+# ---- S5: archives in the original file format (nanosecond types) ----
+
+RAW_HEADERS = {"year": "Year", "round": "Round", "session_type": "SessionType", "grand_prix": "GrandPrix"}
+
+
+def _archive_roundtrip(spark, raw, kind, durations=()):
+    from paddock.session import scratch_path
+    from paddock.sources import bronze
+    root = scratch_path(spark, "archive")
+    raw = raw.withColumnsRenamed(RAW_HEADERS)
+    bronze.write_checkpoint_archive(raw, root, kind, labels=("Year", "Round", "SessionType"),
+                                    durations=durations).write.format("noop").mode("overwrite").save()
+    listing = bronze.parse_checkpoint_listing(bronze.list_files(spark, root, recursive=True))
+    entries = [r.entry for r in listing.select("entry").distinct().collect()]   # one per session
+    accepted, _ = bronze.label_from_file(bronze.read_checkpoint_files(spark, entries))
+    return accepted
+
+
+@query("bronze_nanos_read")
+def q_bronze_nanos_read(spark, sf_dir):
+    """Telemetry archived with TIMESTAMP(NANOS) -> read, conformed to microseconds -> silver."""
+    car = fx.car_raw(spark, sf_dir).withColumnRenamed("driver", "Driver")
+    return silver.transform_car_data(_archive_roundtrip(spark, car, "tel"))
+
+
+@query("bronze_duration_read")
+def q_bronze_duration_read(spark, sf_dir):
+    """Weather archived with BIGINT-nanosecond session times -> read as seconds -> silver."""
+    return silver.transform_weather(_archive_roundtrip(spark, fx.weather_raw(spark, sf_dir), "weather",
+                                                       durations=("Time",)))

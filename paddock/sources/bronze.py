@@ -70,11 +70,16 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.parquet", recursiv
 
 
 def parse_checkpoint_listing(listing: DataFrame) -> DataFrame:
-    """Kind, year, round, session type and legacy flag from checkpoint file names."""
-    name = scalars.base_name("path")
+    """Kind, year, round, session type and legacy flag from checkpoint names.
+
+    A checkpoint is either one file or a folder of part files named like one;
+    ``entry`` is the readable path of the checkpoint in both cases.
+    """
+    name = scalars.checkpoint_entry_name("path")
     return (listing.select("path", name.alias("file_name"))
             .filter(F.col("file_name").rlike(scalars.CHECKPOINT_NAME))
-            .select("path", "file_name",
+            .select(F.expr("substring(path, 1, instr(path, file_name) + length(file_name) - 1)").alias("entry"),
+                    "file_name",
                     scalars.checkpoint_kind("file_name").alias("kind"),
                     scalars.checkpoint_year("file_name").alias("year"),
                     scalars.checkpoint_round("file_name").alias("round"),
@@ -96,8 +101,8 @@ def prefer_suffixed(files: DataFrame) -> DataFrame:
 
 def discover_checkpoint_sessions(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """S3: distinct sessions of one kind present as flat checkpoint files under ``root``."""
-    files = parse_checkpoint_listing(list_files(spark, root, f"{kind}_checkpoint_*.parquet"))
-    return files.select(*schemas.SLICE_KEY).distinct()
+    files = parse_checkpoint_listing(list_files(spark, root, recursive=True))
+    return files.filter(F.col("kind") == kind).select(*schemas.SLICE_KEY).distinct()
 
 
 def discover_partition_sessions(spark: SparkSession, root: str, kind: str) -> DataFrame:
@@ -168,7 +173,10 @@ def read_checkpoint_files(spark: SparkSession, paths: Iterable[str]) -> DataFram
     except Exception as exc:  # noqa: BLE001 - only schema conflicts are expected here
         if "CANNOT_MERGE" not in str(exc) and "Failed merging" not in str(exc):
             raise
-        groups = [spark.read.parquet(*group) for group in _footer_schemas(spark, paths).values()]
+        # Checkpoints may be folders of parts: list their files (names only) first.
+        files = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", "*.parquet").load(paths).select("path").collect()]
+        groups = [spark.read.parquet(*group) for group in _footer_schemas(spark, files).values()]
     frames = []
     for g in groups:
         g = conform.conform_bronze_types(g.withColumn("_path", F.col("_metadata.file_path")))
@@ -176,7 +184,7 @@ def read_checkpoint_files(spark: SparkSession, paths: Iterable[str]) -> DataFram
     df = frames[0]
     for g in frames[1:]:
         df = df.unionByName(g, allowMissingColumns=True)
-    name = scalars.base_name("_path")
+    name = scalars.checkpoint_entry_name("_path")
     return df.withColumns({
         "file_year": scalars.checkpoint_year(name),
         "file_round": scalars.checkpoint_round(name),
@@ -214,6 +222,50 @@ def session_labels(files: DataFrame, schedule: DataFrame) -> DataFrame:
                     F.col("session_type").alias("SessionType"), F.col("grand_prix").alias("GrandPrix")))
 
 
+def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year", "round", "session_type"),
+                             durations: tuple[str, ...] = ()) -> DataFrame:
+    """Write rows in the archive format of the original pipeline, as Spark tasks.
+
+    One folder per session named ``<kind>_checkpoint_<year>_r<round>_<R|Q>.parquet``
+    holding part files written by pyarrow with TIMESTAMP(NANOS) timestamps and
+    BIGINT-nanosecond durations — physical types Spark itself never writes.
+    Each task writes only its own rows; nothing passes through the driver.
+    Lazy: returns one row per written part file (path, rows).
+    """
+    import pandas as pd
+
+    root = root.rstrip("/")
+    labels = list(labels)
+
+    def write(batches):
+        import uuid
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
+
+        filesystem, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
+        for pdf in batches:
+            out = []
+            for (y, r, s), part in pdf.groupby(labels, sort=False):
+                folder = f"{base}/{kind}_checkpoint_{int(y)}_r{int(r)}_{s}.parquet"
+                filesystem.create_dir(folder, recursive=True)
+                data = part.reset_index(drop=True)
+                for c in durations:
+                    if c in data:
+                        data[c] = (data[c] * 1e9).round().astype("Int64")
+                table = pa.Table.from_pandas(data, preserve_index=False)
+                table = table.cast(pa.schema([
+                    pa.field(f.name, pa.timestamp("ns") if pa.types.is_timestamp(f.type) else f.type)
+                    for f in table.schema]))
+                path = f"{folder}/part-{uuid.uuid4().hex}.parquet"
+                pq.write_table(table, path, filesystem=filesystem)
+                out.append((path, len(part)))
+            yield pd.DataFrame(out, columns=["path", "rows"])
+
+    return df.mapInPandas(write, "path string, rows long")
+
+
 def union_frames(frames: list[DataFrame]) -> DataFrame:
     """Per-driver (or per-file) frames into one, by name, missing columns as NULL."""
     out = frames[0]

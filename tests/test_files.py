@@ -98,3 +98,24 @@ def test_partitioned_bronze_roundtrip_and_pruning(spark, tmpdir_fresh):
     bronze.write_bronze(df.filter((F.col("round") == 1) & (F.col("session_type") == "R")).limit(1),
                         tmpdir_fresh, "laps")
     assert bronze.scan_bronze(spark, tmpdir_fresh, "laps").count() == 10
+
+
+def test_archive_folders_with_mixed_schemas(spark, tmpdir_fresh):
+    a = spark.createDataFrame([(2024, 1, "R", "VER", 100.0, 9000.0, 50.0)],
+                              "Year int, Round int, SessionType string, Driver string, Speed double, RPM double, "
+                              "Throttle double").withColumn("Date", F.lit("2024-01-01 00:00:01").cast("timestamp_ntz"))
+    b = spark.createDataFrame([(2024, 2, "R", "HAM", 120, 9500.0, 60.0)],
+                              "Year int, Round int, SessionType string, Driver string, Speed long, RPM double, "
+                              "Throttle double").withColumn("Date", F.lit("2024-01-02 00:00:02").cast("timestamp_ntz"))
+    for df in (a, b):
+        written = bronze.write_checkpoint_archive(df, tmpdir_fresh, "tel", labels=("Year", "Round", "SessionType"))
+        assert written.count() == 1
+    listing = bronze.parse_checkpoint_listing(bronze.list_files(spark, tmpdir_fresh, recursive=True))
+    entries = sorted(r.entry for r in listing.select("entry").distinct().collect())
+    assert [e.rsplit("/", 1)[1] for e in entries] == ["tel_checkpoint_2024_r1_R.parquet",
+                                                      "tel_checkpoint_2024_r2_R.parquet"]
+    ok, rejected = bronze.label_from_file(bronze.read_checkpoint_files(spark, entries))
+    car = silver.transform_car_data(ok).orderBy("round").collect()
+    assert [(r.round, r.driver, r.speed_kmh) for r in car] == [(1, "VER", 100.0), (2, "HAM", 120.0)]
+    assert car[1].recorded_at == dt.datetime(2024, 1, 2, 0, 0, 2)
+    assert rejected.count() == 0
