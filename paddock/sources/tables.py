@@ -103,26 +103,32 @@ class SliceTable:
         """
         from pyspark.sql import Observation
 
+        from paddock.sources.bronze import clustered_by_slice
+
         stage = conform.conform_schema(stage, self.schema)
         if check_key:
+            # Materialise once in the shared folder, validate that copy, write from it:
+            # the stage is computed a single time and a lost executor does not redo it.
+            stage = materialize(spark, stage, "slice-stage")
             _, bad = refresh.not_null_split(stage, self.key)
             dups = refresh.pk_violations(stage, self.key)
-            problems = bad.select(F.lit(1)).unionByName(dups.select(F.lit(1))).limit(1).count()
-            if problems:
+            if not bad.isEmpty() or not dups.isEmpty():
                 raise ValueError(f"stage violates the primary key {self.key} of {self.root}")
-        from paddock.sources.bronze import clustered_by_slice
-
+        # Row count and the set of written sessions are observed during the write:
+        # no second pass over the stage.
         obs = Observation("slice_rows")
-        observed = clustered_by_slice(stage).observe(obs, F.count(F.lit(1)).alias("rows"))
+        observed = clustered_by_slice(stage).observe(
+            obs, F.count(F.lit(1)).alias("rows"),
+            F.collect_set(F.struct(*schemas.SLICE_KEY)).alias("slices"))
         (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*schemas.SLICE_KEY).parquet(self.root))
-        written = obs.get.get("rows", 0)
+        metrics = obs.get
+        written = metrics.get("rows", 0)
+        present = {tuple(r) for r in (metrics.get("slices") or [])}
         removed = []
-        if requested:
-            present = {tuple(r) for r in stage.select(*schemas.SLICE_KEY).distinct().collect()}
-            for s in requested:
-                if tuple(s) not in present and delete_path(spark, self._slice_dir(*s)):
-                    removed.append(tuple(s))
+        for s in requested or []:
+            if tuple(s) not in present and delete_path(spark, self._slice_dir(*s)):
+                removed.append(tuple(s))
         return {"rows": written, "emptied_slices": removed}
 
 
@@ -181,6 +187,9 @@ class VersionedTable:
         an aggregate, so small) — like a staging table it survives executor
         loss and is not recomputed for the emptiness check and the merge.
         """
+        from paddock.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(spark)
         stage = conform.conform_schema(stage, self.schema).checkpoint(eager=True)
         if stage.isEmpty():
             return self.current_version(spark)
@@ -207,6 +216,15 @@ class VersionedTable:
         return removed
 
 
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint folder and read it back (cuts lineage)."""
+    from paddock.session import scratch_path
+
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def table_columns(spark: SparkSession, table: str) -> list[str]:
     """Declared columns of a target table, in order; error for an unknown table."""
     if table not in schemas.TARGETS:

@@ -2,7 +2,7 @@
 
 The original refreshed weekly and skipped sessions already on disk.  Here the
 bronze folder of each kind is a streaming file source: the stream's own
-checkpoint (in the shared ``spark.checkpoint.dir`` folder) remembers which
+checkpoint (kept with the lake, on the shared file system) remembers which
 files were seen, so every run handles exactly the files that arrived since
 the last one — no driver-side bookkeeping, and a run killed half-way resumes.
 
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from paddock import schemas
 from paddock.operators import gold
 from paddock.plans.medallion import SILVER_KINDS, Layout, silver_stage
-from paddock.session import checkpoint_root
 
 
 def _refresh_sessions(spark: SparkSession, layout: Layout, table: str, touched: DataFrame,
@@ -63,7 +62,8 @@ def start_incremental(spark: SparkSession, layout: Layout, table: str = "silver_
     # A streaming file source needs its schema up front: take it from the files
     # already there (partition columns included).
     schema = spark.read.option("basePath", source).parquet(source).schema
-    checkpoint = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/paddock-streams/{table}"
+    # Stream progress belongs to the lake it feeds (which lives in the shared folder).
+    checkpoint = checkpoint or f"{layout.root}/_streams/{table}"
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         touched = batch.select(F.col("year").cast("int"), F.col("round").cast("int"),
