@@ -114,7 +114,7 @@ def test_gold_team_matches_brute_force(spark, data):
 @given(rows)
 def test_dedup_keeps_least_row_per_key(spark, data):
     laps = silver.transform_laps(_frame(spark, data))
-    got = sorted(tuple(r) for r in refresh.dedup_by_key(laps, schemas.SILVER_LAPS_KEY).collect())
+    got = sorted((tuple(r) for r in refresh.dedup_by_key(laps, schemas.SILVER_LAPS_KEY).collect()), key=repr)
     key_idx = [laps.columns.index(k) for k in schemas.SILVER_LAPS_KEY]
     other_idx = [i for i in range(len(laps.columns)) if i not in key_idx]
 
@@ -126,7 +126,7 @@ def test_dedup_keeps_least_row_per_key(spark, data):
         k = tuple(row[i] for i in key_idx)
         if k not in best or order(row) < order(best[k]):
             best[k] = row
-    assert got == sorted(best.values())
+    assert got == sorted(best.values(), key=repr)
     dups = {tuple(r)[:5]: r.duplicate_rows for r in refresh.pk_violations(laps, schemas.SILVER_LAPS_KEY).collect()}
     counts = defaultdict(int)
     for row in (tuple(r) for r in laps.collect()):
