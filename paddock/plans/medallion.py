@@ -58,7 +58,10 @@ def run_silver(spark: SparkSession, layout: Layout, sessions: list[tuple] | None
     if sessions is not None:
         selected = spark.createDataFrame(sessions, "year int, round int, session_type string")
     out = {}
-    for table in SILVER_KINDS:
+    for table, kind in SILVER_KINDS.items():
+        if not tables.path_exists(spark, f"{layout.bronze}/{kind}"):
+            out[table] = {"skipped": "no bronze files of this kind"}
+            continue
         stage = silver_stage(spark, layout, table, selected, on_duplicate)
         out[table] = layout.silver(table).refresh(spark, stage, requested=sessions,
                                                   check_key=(on_duplicate == "fail"))
@@ -77,6 +80,58 @@ def run_gold(spark: SparkSession, layout: Layout, mode: str = "upsert") -> dict:
     return results
 
 
+def select_sessions(spark: SparkSession, layout: Layout, seasons=None, rounds=None, session_types=None,
+                    kind: str = "laps", strict: bool = False) -> list[tuple]:
+    """Sessions present in bronze that match the filters.
+
+    With ``strict`` a requested season without any session is an error (the
+    original raised when a year had no files).  Returns a session list: small,
+    one entry per race or qualifying.
+    """
+    from paddock.operators import selection
+
+    found = selection.select_rounds_sessions(
+        selection.select_seasons(bronze.discover_partition_sessions(spark, layout.bronze, kind), seasons),
+        rounds, session_types)
+    sessions = sorted(tuple(r) for r in found.collect())
+    if strict and seasons is not None:
+        missing = sorted(set(int(y) for y in seasons) - {s[0] for s in sessions})
+        if missing:
+            raise FileNotFoundError(f"no bronze sessions for seasons {missing} under {layout.bronze}/{kind}")
+    return sessions
+
+
+def import_archive(spark: SparkSession, archive: str, layout: Layout) -> dict:
+    """Bring an archive of flat checkpoint files (any naming generation, any of the
+    known physical types) into the bronze layout, one job per kind.
+
+    Listing reads names only; where a suffixed and a legacy file describe the
+    same session the suffixed one wins; rows whose data year/round disagree
+    with their file name are returned as a reject count rather than written.
+    """
+    listing = bronze.parse_checkpoint_listing(bronze.list_files(spark, archive, recursive=True))
+    chosen = bronze.prefer_suffixed(listing.select("kind", "year", "round", "session_type", "file_name",
+                                                   "is_legacy"))
+    entries = (listing.join(chosen.select("kind", "file_name"), on=["kind", "file_name"], how="left_semi")
+               .select("kind", "entry").distinct().collect())
+    by_kind: dict[str, list[str]] = {}
+    for r in entries:
+        by_kind.setdefault(r.kind, []).append(r.entry)
+    out = {}
+    for kind, paths in sorted(by_kind.items()):
+        accepted, rejected = bronze.label_from_file(bronze.read_checkpoint_files(spark, paths))
+        if kind == "tel":
+            accepted = conform_car_driver(accepted)
+        bronze.write_bronze(accepted.drop("_path"), layout.bronze, kind)
+        out[kind] = {"files": len(paths), "rejected_rows": rejected.count()}
+    return out
+
+
+def conform_car_driver(df: DataFrame) -> DataFrame:
+    from paddock.operators import conform
+    return conform.rename_bronze_columns(df, "bronze_car_data")
+
+
 def silver_slice_counts(spark: SparkSession, layout: Layout) -> DataFrame:
     """A10 for all silver tables: rows per (table, slice)."""
     frames = [refresh.slice_row_counts(layout.silver(t).read(spark)).select(F.lit(t).alias("table_name"), "*")
