@@ -4,9 +4,9 @@ The reference replaced rows inside a database transaction.  Here a refresh is
 a pure function (old table, stage) -> new table; ``sources.tables`` writes the
 result as a new version and switches to it atomically.
 
-Skew: every operator below is either a hash aggregate with partial
-aggregation (so a key holding a third of all rows is pre-combined in every
-task before the shuffle) or an anti join against a small, distinct key set.
+Skew: every operator below is either an aggregate with partial aggregation
+(so a key holding a third of all rows is pre-combined in every task before
+the shuffle), a filter, or an anti join of two aggregated (gold-sized) sides.
 """
 
 from __future__ import annotations
@@ -32,22 +32,61 @@ def anti_join_keys(target: DataFrame, stage: DataFrame, key: list[str]) -> DataF
     return target.join(stage.select(*key).distinct(), on=key, how="left_anti")
 
 
-def replace_slices(target: DataFrame, stage: DataFrame, requested: Iterable[tuple] | DataFrame | None = None,
+# Session sets are tiny (a few dozen per season).  Up to this many they become
+# a partition predicate; beyond it a broadcast frame whose size is known
+# (the list length); more than MAX_SLICES in one refresh is refused.
+MAX_SLICES_INLINE = 1_000
+MAX_SLICES = 1_000_000
+
+
+def slice_predicate(slices: list[tuple], slice_key: list[str]) -> Column:
+    """``(year = y AND round = r AND session_type = s) OR ...`` — prunes stored partitions."""
+    cond = F.lit(False)
+    for s in slices:
+        one = F.lit(True)
+        for k, v in zip(slice_key, s):
+            one = one & (F.col(k) == F.lit(v))
+        cond = cond | one
+    return cond
+
+
+def stage_slices(stage: DataFrame, slice_key: list[str] | None = None) -> list[tuple]:
+    """The distinct sessions in ``stage`` (an action; bounded by ``MAX_SLICES``)."""
+    slice_key = slice_key or schemas.SLICE_KEY
+    rows = stage.select(*slice_key).distinct().limit(MAX_SLICES + 1).collect()
+    if len(rows) > MAX_SLICES:
+        raise ValueError(f"more than {MAX_SLICES} sessions in one refresh; split it")
+    return [tuple(r) for r in rows]
+
+
+def replace_slices(target: DataFrame, stage: DataFrame, requested: Iterable[tuple] | None = None,
                    slice_key: list[str] | None = None) -> DataFrame:
-    """Drop every requested slice (and every slice present in ``stage``), add ``stage``.
+    """Drop the requested slices from ``target`` and add the ``stage`` rows of those slices.
+
+    An empty stage still deletes its requested slices.  Stage rows outside
+    the requested slices are not inserted (their data disagrees with the
+    session they were delivered for).  ``requested=None`` means "the slices
+    present in the stage" (one small aggregate over the stage to find them).
 
-    An empty stage still deletes its requested slices.  The slice set is
-    distinct (one row per session), so the anti join is a broadcast once AQE
-    has measured it; partitions of other sessions pass through untouched.
+    No join touches the target: the session set is a partition predicate, or
+    for long lists a broadcast of a frame whose size is the list length —
+    other sessions stream through untouched, and a session holding a large
+    share of all rows is never gathered into one task.
     """
     slice_key = slice_key or schemas.SLICE_KEY
-    slices = stage.select(*slice_key)
-    if requested is not None:
-        req = requested if isinstance(requested, DataFrame) else _slices_frame(
-            target.sparkSession, requested, slice_key)
-        slices = slices.unionByName(req.select(*slice_key))
-    kept = target.join(slices.distinct(), on=slice_key, how="left_anti")
-    return kept.unionByName(stage.select(*target.columns))
+    slices = [tuple(s) for s in requested] if requested is not None else stage_slices(stage, slice_key)
+    if len(slices) > MAX_SLICES:
+        raise ValueError(f"more than {MAX_SLICES} sessions in one refresh; split it")
+    columns = target.columns
+    if len(slices) <= MAX_SLICES_INLINE:
+        inside = slice_predicate(slices, slice_key)
+        kept = target.filter(~inside)
+        inserted = stage.filter(inside)
+    else:
+        listed = F.broadcast(_slices_frame(target.sparkSession, slices, slice_key))
+        kept = target.join(listed, on=slice_key, how="left_anti")
+        inserted = stage.join(listed, on=slice_key, how="left_semi")
+    return kept.select(*columns).unionByName(inserted.select(*columns))
 
 
 def upsert_by_key(target: DataFrame, stage: DataFrame, key: list[str]) -> DataFrame:

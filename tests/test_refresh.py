@@ -90,3 +90,34 @@ def test_rebuild_drops_stale_keys_and_vacuum_keeps_current(spark, tmpdir_fresh):
     table.overwrite(spark, gold.gold_team_season_stats(_silver(spark, [lap(team="RB")])))
     table.vacuum(spark, keep=1)
     assert [r.team for r in table.read(spark).collect()] == ["RB"]
+
+
+def _slices_of(df):
+    return sorted({(r.year, r.round, r.session_type) for r in df.collect()})
+
+
+def test_replace_slices_algebra_paths(spark, monkeypatch):
+    from paddock.operators import refresh
+    target = _two_sessions(spark)
+    stage = target.filter(F.col("round") == 1).withColumn("lap_time_s", F.col("lap_time_s") + 1)
+    other = _silver(spark, [(2030, 9, "R", "GP_9", "Z", "T", 1.0, 70.0, 20.0, 300.0, "SOFT", True)])
+    expected = None
+    for inline in (1000, 0):                       # predicate path, then broadcast-list path
+        monkeypatch.setattr(refresh, "MAX_SLICES_INLINE", inline)
+        out = refresh.replace_slices(target, stage.unionByName(other), [(2024, 1, "R")])
+        rows = sorted(tuple(r) for r in out.collect())
+        assert expected is None or rows == expected
+        expected = rows
+        # the stray 2030 row (not requested) is not inserted; round 2 untouched; round 1 replaced
+        assert _slices_of(out) == [(2024, 1, "R"), (2024, 2, "Q")]
+        assert sorted(r.lap_time_s for r in out.filter(F.col("round") == 1).collect()) == [91.0, 92.0, 93.0]
+    derived = refresh.replace_slices(target, stage)          # requested = the stage's own sessions
+    assert sorted(tuple(r) for r in derived.collect()) == expected
+
+
+def test_replace_slices_plans_no_join_on_the_target(spark):
+    from paddock.operators import refresh
+    target = _two_sessions(spark)
+    plan = refresh.replace_slices(target, target.limit(0), [(2024, 1, "R")])._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
