@@ -50,6 +50,27 @@ def slice_predicate(slices: list[tuple], slice_key: list[str]) -> Column:
     return cond
 
 
+def session_list(sessions, slice_key: list[str] | None = None) -> list[tuple]:
+    """A session set as a list: lists pass through; a frame is read once (bounded by ``MAX_SLICES``)."""
+    if isinstance(sessions, DataFrame):
+        return stage_slices(sessions, slice_key)
+    out = [tuple(s) for s in sessions]
+    if len(out) > MAX_SLICES:
+        raise ValueError(f"more than {MAX_SLICES} sessions in one request; split it")
+    return out
+
+
+def restrict_to_slices(df: DataFrame, slices: list[tuple], slice_key: list[str] | None = None,
+                       keep: bool = True) -> DataFrame:
+    """Rows in (``keep``) or outside (not ``keep``) the given slices, without shuffling ``df``."""
+    slice_key = slice_key or schemas.SLICE_KEY
+    if len(slices) <= MAX_SLICES_INLINE:
+        inside = slice_predicate(slices, slice_key)
+        return df.filter(inside if keep else ~inside)
+    listed = F.broadcast(_slices_frame(df.sparkSession, slices, slice_key))   # size = len(slices), bounded
+    return df.join(listed, on=slice_key, how="left_semi" if keep else "left_anti")
+
+
 def stage_slices(stage: DataFrame, slice_key: list[str] | None = None) -> list[tuple]:
     """The distinct sessions in ``stage`` (an action; bounded by ``MAX_SLICES``)."""
     slice_key = slice_key or schemas.SLICE_KEY
@@ -74,18 +95,10 @@ def replace_slices(target: DataFrame, stage: DataFrame, requested: Iterable[tupl
     share of all rows is never gathered into one task.
     """
     slice_key = slice_key or schemas.SLICE_KEY
-    slices = [tuple(s) for s in requested] if requested is not None else stage_slices(stage, slice_key)
-    if len(slices) > MAX_SLICES:
-        raise ValueError(f"more than {MAX_SLICES} sessions in one refresh; split it")
+    slices = session_list(requested, slice_key) if requested is not None else stage_slices(stage, slice_key)
     columns = target.columns
-    if len(slices) <= MAX_SLICES_INLINE:
-        inside = slice_predicate(slices, slice_key)
-        kept = target.filter(~inside)
-        inserted = stage.filter(inside)
-    else:
-        listed = F.broadcast(_slices_frame(target.sparkSession, slices, slice_key))
-        kept = target.join(listed, on=slice_key, how="left_anti")
-        inserted = stage.join(listed, on=slice_key, how="left_semi")
+    kept = restrict_to_slices(target, slices, slice_key, keep=False)
+    inserted = restrict_to_slices(stage, slices, slice_key, keep=True)
     return kept.select(*columns).unionByName(inserted.select(*columns))
 
 

@@ -38,7 +38,7 @@ class Layout:
         return tables.VersionedTable(f"{self.root}/gold/{table}", schema, key, part)
 
 
-def silver_stage(spark: SparkSession, layout: Layout, table: str, sessions: DataFrame | None = None,
+def silver_stage(spark: SparkSession, layout: Layout, table: str, sessions=None,
                  on_duplicate: str = "dedup") -> DataFrame:
     """Bronze of every selected session -> cleaned silver rows (not yet written)."""
     kind = SILVER_KINDS[table]
@@ -54,9 +54,7 @@ def silver_stage(spark: SparkSession, layout: Layout, table: str, sessions: Data
 def run_silver(spark: SparkSession, layout: Layout, sessions: list[tuple] | None = None,
                on_duplicate: str = "dedup") -> dict:
     """Refresh the three silver tables for the selected sessions (all if None)."""
-    selected = None
-    if sessions is not None:
-        selected = spark.createDataFrame(sessions, "year int, round int, session_type string")
+    selected = sessions
     out = {}
     for table, kind in SILVER_KINDS.items():
         if not tables.path_exists(spark, f"{layout.bronze}/{kind}"):

@@ -117,14 +117,15 @@ def discover_partition_sessions(spark: SparkSession, root: str, kind: str) -> Da
 
 # ------------------------------------------------------------- scanning
 
-def scan_bronze(spark: SparkSession, root: str, kind: str, sessions: DataFrame | None = None,
-                with_source: bool = False) -> DataFrame:
+def scan_bronze(spark: SparkSession, root: str, kind: str, sessions=None, with_source: bool = False) -> DataFrame:
     """Every session of one kind in one scan (paddock layout).
 
-    A ``sessions`` frame restricts the scan with a semi join on the partition
-    columns; AQE turns its small side into a broadcast and Spark prunes
-    partitions dynamically.
+    ``sessions`` (a list of (year, round, session_type) or a small frame of
+    them) becomes a predicate on the partition columns, so only those session
+    folders are listed and read — static partition pruning, no join.
     """
+    from paddock.operators.refresh import restrict_to_slices, session_list
+
     path = f"{root.rstrip('/')}/{kind}"
     df = spark.read.option("basePath", path).parquet(path)
     if with_source:
@@ -132,7 +133,7 @@ def scan_bronze(spark: SparkSession, root: str, kind: str, sessions: DataFrame |
     df = df.withColumns({"year": F.col("year").cast("int"), "round": F.col("round").cast("int"),
                          "session_type": F.col("session_type").cast("string")})
     if sessions is not None:
-        df = df.join(sessions.select(*schemas.SLICE_KEY).distinct(), on=schemas.SLICE_KEY, how="left_semi")
+        df = restrict_to_slices(df, session_list(sessions))
     return df
 
 

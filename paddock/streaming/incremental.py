@@ -30,8 +30,7 @@ def _refresh_sessions(spark: SparkSession, layout: Layout, table: str, touched:
     sessions = [tuple(r) for r in touched.select(*schemas.SLICE_KEY).distinct().collect()]
     if not sessions:
         return []
-    selected = spark.createDataFrame(sessions, "year int, round int, session_type string")
-    stage = silver_stage(spark, layout, table, selected, on_duplicate)
+    stage = silver_stage(spark, layout, table, sessions, on_duplicate)
     layout.silver(table).refresh(spark, stage, requested=sessions, check_key=(on_duplicate == "fail"))
     return sessions
 
@@ -40,11 +39,13 @@ def refresh_gold_for(spark: SparkSession, layout: Layout, sessions: list[tuple])
     """Upsert gold rows of the events and seasons that the given sessions belong to."""
     if not sessions:
         return
+    from paddock.operators.refresh import restrict_to_slices, slice_predicate
+
     laps = layout.silver("silver_laps").read(spark)
-    selected = spark.createDataFrame(sessions, "year int, round int, session_type string")
-    event_laps = laps.join(selected, on=schemas.SLICE_KEY, how="left_semi")
-    seasons = selected.select("year", "session_type").distinct()
-    season_laps = laps.join(seasons, on=["year", "session_type"], how="left_semi")
+    # Predicates on the partition columns: only the affected session folders are read.
+    event_laps = restrict_to_slices(laps, sessions)
+    seasons = sorted({(y, s) for y, _, s in sessions})
+    season_laps = laps.filter(slice_predicate(seasons, ["year", "session_type"]))
     layout.gold("gold_driver_performance").upsert(spark, gold.gold_driver_performance(event_laps))
     layout.gold("gold_team_season_stats").upsert(spark, gold.gold_team_season_stats(season_laps))
 
