@@ -32,9 +32,10 @@ def anti_join_keys(target: DataFrame, stage: DataFrame, key: list[str]) -> DataF
     return target.join(stage.select(*key).distinct(), on=key, how="left_anti")
 
 
-# Session sets are tiny (a few dozen per season).  Up to this many they become
-# a partition predicate; beyond it a broadcast frame whose size is known
-# (the list length); more than MAX_SLICES in one refresh is refused.
+# Session sets are tiny (a few dozen per season).  Up to MAX_SLICES_INLINE they
+# become a partition predicate; up to MAX_SLICES a broadcast frame whose size
+# is the (checked) list length; beyond that an ordinary join that AQE plans
+# from measured sizes — exact in every case, no session is ever dropped.
 MAX_SLICES_INLINE = 1_000
 MAX_SLICES = 1_000_000
 
@@ -50,33 +51,42 @@ def slice_predicate(slices: list[tuple], slice_key: list[str]) -> Column:
     return cond
 
 
-def session_list(sessions, slice_key: list[str] | None = None) -> list[tuple]:
-    """A session set as a list: lists pass through; a frame is read once (bounded by ``MAX_SLICES``)."""
+def session_list(sessions, slice_key: list[str] | None = None):
+    """A session set as a list when it is small (a frame is read once, at most ``MAX_SLICES``
+    rows); otherwise the distinct frame itself, to be joined."""
     if isinstance(sessions, DataFrame):
         return stage_slices(sessions, slice_key)
-    out = [tuple(s) for s in sessions]
-    if len(out) > MAX_SLICES:
-        raise ValueError(f"more than {MAX_SLICES} sessions in one request; split it")
-    return out
+    return [tuple(s) for s in sessions]
 
 
-def restrict_to_slices(df: DataFrame, slices: list[tuple], slice_key: list[str] | None = None,
+def restrict_to_slices(df: DataFrame, slices, slice_key: list[str] | None = None,
                        keep: bool = True) -> DataFrame:
-    """Rows in (``keep``) or outside (not ``keep``) the given slices, without shuffling ``df``."""
+    """Rows in (``keep``) or outside (not ``keep``) the given slices.
+
+    Small lists never shuffle ``df`` (predicate or checked broadcast); a frame
+    (more sessions than ``MAX_SLICES``) is joined exactly, planned by AQE.
+    """
     slice_key = slice_key or schemas.SLICE_KEY
+    how = "left_semi" if keep else "left_anti"
+    if isinstance(slices, DataFrame):
+        return df.join(slices.select(*slice_key).distinct(), on=slice_key, how=how)
+    if len(slices) > MAX_SLICES:
+        return df.join(_slices_frame(df.sparkSession, slices, slice_key), on=slice_key, how=how)
     if len(slices) <= MAX_SLICES_INLINE:
         inside = slice_predicate(slices, slice_key)
         return df.filter(inside if keep else ~inside)
-    listed = F.broadcast(_slices_frame(df.sparkSession, slices, slice_key))   # size = len(slices), bounded
-    return df.join(listed, on=slice_key, how="left_semi" if keep else "left_anti")
+    listed = F.broadcast(_slices_frame(df.sparkSession, slices, slice_key))   # size = len(slices) <= MAX_SLICES
+    return df.join(listed, on=slice_key, how=how)
 
 
-def stage_slices(stage: DataFrame, slice_key: list[str] | None = None) -> list[tuple]:
-    """The distinct sessions in ``stage`` (an action; bounded by ``MAX_SLICES``)."""
+def stage_slices(stage: DataFrame, slice_key: list[str] | None = None):
+    """The distinct sessions in ``stage``: a list if at most ``MAX_SLICES`` (one small
+    aggregate; at most that many rows reach the driver), else the distinct frame."""
     slice_key = slice_key or schemas.SLICE_KEY
-    rows = stage.select(*slice_key).distinct().limit(MAX_SLICES + 1).collect()
+    distinct = stage.select(*slice_key).distinct()
+    rows = distinct.limit(MAX_SLICES + 1).collect()
     if len(rows) > MAX_SLICES:
-        raise ValueError(f"more than {MAX_SLICES} sessions in one refresh; split it")
+        return distinct
     return [tuple(r) for r in rows]
 
 

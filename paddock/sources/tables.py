@@ -85,7 +85,8 @@ class SliceTable:
         """Scan with partition pruning and pushed filters; empty frame if absent."""
         if not self.exists(spark):
             return spark.createDataFrame([], self.schema)
-        df = spark.read.option("basePath", self.root).parquet(self.root)
+        # Declared schema: no footer inference; partition values parse to the declared types.
+        df = spark.read.schema(self.schema).option("basePath", self.root).parquet(self.root)
         return conform.conform_schema(df, self.schema)
 
     def _slice_dir(self, year: int, rnd: int, session_type: str) -> str:
@@ -166,7 +167,9 @@ class VersionedTable:
         path = self.current_path(spark)
         if path is None:
             return spark.createDataFrame([], self.schema)
-        reader = spark.read.option("basePath", path) if self.partition_by else spark.read
+        reader = spark.read.schema(self.schema)
+        if self.partition_by:
+            reader = reader.option("basePath", path)
         return conform.conform_schema(reader.parquet(path), self.schema)
 
     def commit(self, spark: SparkSession, df: DataFrame) -> int:

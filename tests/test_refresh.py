@@ -121,3 +121,13 @@ def test_replace_slices_plans_no_join_on_the_target(spark):
     plan = refresh.replace_slices(target, target.limit(0), [(2024, 1, "R")])._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_replace_slices_beyond_the_list_limit_is_exact(spark, monkeypatch):
+    from paddock.operators import refresh
+    target = _two_sessions(spark)
+    stage = target.filter(F.col("round") == 1).withColumn("lap_time_s", F.col("lap_time_s") + 1)
+    want = sorted(tuple(r) for r in refresh.replace_slices(target, stage, [(2024, 1, "R")]).collect())
+    monkeypatch.setattr(refresh, "MAX_SLICES", 0)                # every set counts as "large"
+    assert sorted(tuple(r) for r in refresh.replace_slices(target, stage, [(2024, 1, "R")]).collect()) == want
+    assert sorted(tuple(r) for r in refresh.replace_slices(target, stage).collect()) == want
