@@ -51,19 +51,39 @@ def silver_stage(spark: SparkSession, layout: Layout, table: str, sessions=None,
     return accepted
 
 
+def concurrently(jobs: dict, workers: int = 3) -> dict:
+    """Run independent Spark actions from a few driver threads.
+
+    The scheduler interleaves their tasks, so one job's tail (its last, slow
+    tasks) overlaps with the others' work instead of idling the cluster.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def run_silver(spark: SparkSession, layout: Layout, sessions: list[tuple] | None = None,
-               on_duplicate: str = "dedup") -> dict:
-    """Refresh the three silver tables for the selected sessions (all if None)."""
-    selected = sessions
+               on_duplicate: str = "dedup", parallel: bool = True) -> dict:
+    """Refresh the three silver tables for the selected sessions (all if None).
+
+    The three tables are independent jobs and run side by side when ``parallel``.
+    """
     out = {}
+    jobs = {}
     for table, kind in SILVER_KINDS.items():
         if not tables.path_exists(spark, f"{layout.bronze}/{kind}"):
             out[table] = {"skipped": "no bronze files of this kind"}
             continue
-        stage = silver_stage(spark, layout, table, selected, on_duplicate)
-        out[table] = layout.silver(table).refresh(spark, stage, requested=sessions,
-                                                  check_key=(on_duplicate == "fail"))
-    return out
+
+        def job(table=table):
+            stage = silver_stage(spark, layout, table, sessions, on_duplicate)
+            return layout.silver(table).refresh(spark, stage, requested=sessions,
+                                                check_key=(on_duplicate == "fail"))
+        jobs[table] = job
+    out.update(concurrently(jobs, 3 if parallel else 1))
+    return {t: out[t] for t in SILVER_KINDS if t in out}
 
 
 def run_gold(spark: SparkSession, layout: Layout, mode: str = "upsert") -> dict:

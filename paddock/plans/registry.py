@@ -444,10 +444,11 @@ def bronze_layout(spark, sf_dir, kinds=("laps",)):
     from paddock.plans.medallion import Layout
     from paddock.session import scratch_path
     from paddock.sources import bronze
+    from paddock.plans.medallion import concurrently
     layout = Layout(scratch_path(spark, "bronze-run"))
     views = {"laps": fx.laps_raw, "tel": fx.car_raw, "weather": fx.weather_raw}
-    for kind in kinds:
-        bronze.write_bronze(views[kind](spark, sf_dir), layout.bronze, kind)
+    concurrently({kind: (lambda kind=kind: bronze.write_bronze(views[kind](spark, sf_dir), layout.bronze, kind))
+                  for kind in kinds})
     return layout
 
 
