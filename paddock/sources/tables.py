@@ -89,6 +89,11 @@ class SliceTable:
         df = spark.read.schema(self.schema).option("basePath", self.root).parquet(self.root)
         return conform.conform_schema(df, self.schema)
 
+    def _reads_itself(self, df: DataFrame) -> bool:
+        """Does the physical plan of ``df`` scan this table?  (Planning only, no job.)"""
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        return self.root.split(":", 1)[-1].rstrip("/") in plan
+
     def _slice_dir(self, year: int, rnd: int, session_type: str) -> str:
         return f"{self.root}/year={year}/round={rnd}/session_type={session_type}"
 
@@ -107,10 +112,12 @@ class SliceTable:
         from paddock.sources.bronze import clustered_by_slice
 
         stage = conform.conform_schema(stage, self.schema)
-        if check_key:
-            # Materialise once in the shared folder, validate that copy, write from it:
-            # the stage is computed a single time and a lost executor does not redo it.
+        if check_key or self._reads_itself(stage):
+            # A stage derived from this very table must not be read while its
+            # partitions are overwritten: cut the lineage with a written copy.
+            # (Also used for key checks: computed once, validated and written from the copy.)
             stage = materialize(spark, stage, "slice-stage")
+        if check_key:
             _, bad = refresh.not_null_split(stage, self.key)
             dups = refresh.pk_violations(stage, self.key)
             if not bad.isEmpty() or not dups.isEmpty():
