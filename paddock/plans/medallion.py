@@ -89,13 +89,14 @@ def run_silver(spark: SparkSession, layout: Layout, sessions: list[tuple] | None
 def run_gold(spark: SparkSession, layout: Layout, mode: str = "upsert") -> dict:
     """Gold from the current silver laps; ``upsert`` keeps stale keys, ``rebuild`` replaces."""
     laps = layout.silver("silver_laps").read(spark)
-    results = {}
+    jobs = {}
     for table, build in (("gold_driver_performance", gold.gold_driver_performance),
                          ("gold_team_season_stats", gold.gold_team_season_stats)):
-        target = layout.gold(table)
-        frame = build(laps)
-        results[table] = target.upsert(spark, frame) if mode == "upsert" else target.overwrite(spark, frame)
-    return results
+        def job(table=table, build=build):
+            target, frame = layout.gold(table), build(laps)
+            return target.upsert(spark, frame) if mode == "upsert" else target.overwrite(spark, frame)
+        jobs[table] = job
+    return concurrently(jobs, 2)       # two independent aggregates of the same scan
 
 
 def select_sessions(spark: SparkSession, layout: Layout, seasons=None, rounds=None, session_types=None,

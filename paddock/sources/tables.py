@@ -142,6 +142,10 @@ class SliceTable:
 
 # -------------------------------------------------------------- versioned tables
 
+class CommitConflict(RuntimeError):
+    """Another writer published the version this writer was about to publish."""
+
+
 class VersionedTable:
     """A table published as immutable versions behind an atomic commit pointer."""
 
@@ -179,23 +183,33 @@ class VersionedTable:
             reader = reader.option("basePath", path)
         return conform.conform_schema(reader.parquet(path), self.schema)
 
-    def commit(self, spark: SparkSession, df: DataFrame) -> int:
-        """Write ``df`` as the next version and publish it."""
-        base = self.current_version(spark)
+    def commit(self, spark: SparkSession, df: DataFrame, base: int | None = None) -> int:
+        """Write ``df`` as version ``base + 1`` and publish it.
+
+        Raises :class:`CommitConflict` (after removing the unpublished folder)
+        if another writer published that version first.
+        """
+        base = self.current_version(spark) if base is None else base
         name = f"v{base + 1:06d}-{uuid.uuid4().hex[:8]}"
         writer = conform.conform_schema(df, self.schema).write.mode("errorifexists")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.root}/{name}")
-        _write_text_once(spark, f"{self.commits}/{base + 1:020d}", name)
+        try:
+            _write_text_once(spark, f"{self.commits}/{base + 1:020d}", name)
+        except Exception as exc:  # noqa: BLE001 - the commit file exists: someone else won
+            delete_path(spark, f"{self.root}/{name}")
+            raise CommitConflict(f"version {base + 1} of {self.root} was published concurrently") from exc
         return base + 1
 
-    def upsert(self, spark: SparkSession, stage: DataFrame) -> int:
+    def upsert(self, spark: SparkSession, stage: DataFrame, attempts: int = 5) -> int:
         """R2: delete rows whose key is in ``stage``, insert ``stage``; a no-op for an empty stage.
 
         The stage is materialised once in the shared checkpoint folder (it is
         an aggregate, so small) — like a staging table it survives executor
         loss and is not recomputed for the emptiness check and the merge.
+        Optimistic concurrency: if another writer publishes first, the merge
+        is redone on top of its version, so no update is lost.
         """
         from paddock.session import ensure_checkpoint_dir
 
@@ -203,8 +217,15 @@ class VersionedTable:
         stage = conform.conform_schema(stage, self.schema).checkpoint(eager=True)
         if stage.isEmpty():
             return self.current_version(spark)
-        merged = refresh.upsert_by_key(self.read(spark), stage, self.key)
-        return self.commit(spark, merged)
+        for attempt in range(attempts):
+            base = self.current_version(spark)
+            merged = refresh.upsert_by_key(self.read(spark), stage, self.key)
+            try:
+                return self.commit(spark, merged, base)
+            except CommitConflict:
+                if attempt == attempts - 1:
+                    raise
+        raise AssertionError("unreachable")
 
     def overwrite(self, spark: SparkSession, df: DataFrame) -> int:
         """Full rebuild: the new version holds exactly ``df`` (stale keys disappear)."""

@@ -142,3 +142,31 @@ def test_refresh_from_the_table_itself(spark, tmpdir_fresh):
     got = sorted(r.lap_time_s for r in table.read(spark).filter(F.col("round") == 1).collect())
     assert got == [180.0, 182.0, 184.0]
     assert table.read(spark).filter(F.col("round") == 2).count() == 2
+
+
+def test_concurrent_publish_is_retried_without_losing_updates(spark, tmpdir_fresh):
+    from paddock.sources import tables
+    table = VersionedTable(f"{tmpdir_fresh}/gold", schemas.GOLD_TEAM, schemas.GOLD_TEAM_KEY)
+    table.upsert(spark, gold.gold_team_season_stats(_silver(spark, [lap(team="RB")])))
+    real_commit = VersionedTable.commit
+    calls = {"n": 0}
+
+    def racing_commit(self, spark_, df, base=None):
+        calls["n"] += 1
+        if calls["n"] == 1:       # another writer slips in version 2 first
+            other = VersionedTable(self.root, self.schema, self.key)
+            real_commit(other, spark_, refresh_upsert(other, spark_), base)
+        return real_commit(self, spark_, df, base)
+
+    def refresh_upsert(t, spark_):
+        from paddock.operators import refresh
+        st = gold.gold_team_season_stats(_silver(spark_, [lap(team="MER", driver="H")]))
+        return refresh.upsert_by_key(t.read(spark_), st, t.key)
+
+    VersionedTable.commit = racing_commit
+    try:
+        v = table.upsert(spark, gold.gold_team_season_stats(_silver(spark, [lap(team="FER", driver="L")])))
+    finally:
+        VersionedTable.commit = real_commit
+    assert v == 3 and isinstance(tables.CommitConflict("x"), RuntimeError)
+    assert sorted(r.team for r in table.read(spark).collect()) == ["FER", "MER", "RB"]
