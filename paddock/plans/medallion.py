@@ -16,7 +16,8 @@ from paddock import schemas
 from paddock.operators import gold, refresh, silver
 from paddock.sources import bronze, tables
 
-SILVER_KINDS = {"silver_laps": "laps", "silver_car_data": "tel", "silver_weather": "weather"}
+# silver table -> bronze kind (file prefix), from the bronze table each transform reads.
+SILVER_KINDS = {table: bronze.bronze_prefix(source) for table, (source, _) in silver.TRANSFORMS.items()}
 
 
 @dataclass

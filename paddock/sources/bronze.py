@@ -32,6 +32,11 @@ PARTITION_PATH = r"/year=(\d+)/round=(\d+)/session_type=([^/]+)/"
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
 
+def bronze_prefix(bronze_table: str) -> str:
+    """Bronze table name -> file prefix / kind (``bronze_laps`` -> ``laps``)."""
+    return schemas.BRONZE_PREFIX[bronze_table]
+
+
 # ---------------------------------------------------------------- writing
 
 def write_bronze(df: DataFrame, root: str, kind: str, mode: str = "overwrite") -> str:

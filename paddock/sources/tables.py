@@ -137,7 +137,15 @@ class SliceTable:
         for s in requested or []:
             if tuple(s) not in present and delete_path(spark, self._slice_dir(*s)):
                 removed.append(tuple(s))
-        return {"rows": written, "emptied_slices": removed}
+        return {"rows": written, "emptied_slices": removed, "slice_rows": self.slice_rows(spark, sorted(present))}
+
+    def slice_rows(self, spark: SparkSession, slices: list[tuple]) -> dict:
+        """A10: rows per written slice, reading only those partitions (row counts
+        come from Parquet footers; no data columns are read)."""
+        if not slices:
+            return {}
+        counts = refresh.slice_row_counts(refresh.restrict_to_slices(self.read(spark), slices))
+        return {tuple(r)[:3]: r["row_count"] for r in counts.collect()}
 
 
 # -------------------------------------------------------------- versioned tables

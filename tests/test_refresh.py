@@ -170,3 +170,9 @@ def test_concurrent_publish_is_retried_without_losing_updates(spark, tmpdir_fres
         VersionedTable.commit = real_commit
     assert v == 3 and isinstance(tables.CommitConflict("x"), RuntimeError)
     assert sorted(r.team for r in table.read(spark).collect()) == ["FER", "MER", "RB"]
+
+
+def test_refresh_reports_rows_per_written_slice(spark, tmpdir_fresh):
+    table = SliceTable(f"{tmpdir_fresh}/silver_laps", schemas.SILVER_LAPS, schemas.SILVER_LAPS_KEY)
+    info = table.refresh(spark, _two_sessions(spark))
+    assert info["slice_rows"] == {(2024, 1, "R"): 3, (2024, 2, "Q"): 2} and info["rows"] == 5
