@@ -108,8 +108,16 @@ def nan_to_null_columns(df: DataFrame) -> DataFrame:
                            if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`" for f in fields])
 
 
-def align_to_target(df: DataFrame, target: T.StructType) -> DataFrame:
-    """Keep only the columns the target has, in the frame's order; error if none."""
+def align_to_target(df: DataFrame, target: T.StructType | str) -> DataFrame:
+    """Keep only the columns the target has, in the frame's order; error if none.
+
+    ``target`` is a schema or a table name, looked up in the declared catalog
+    (S11; an unknown table is an error, as a missing table was).
+    """
+    if isinstance(target, str):
+        if target not in schemas.TARGETS:
+            raise ValueError(f"Target table {target} does not exist")
+        target = schemas.schema_of(target)
     wanted = {f.name.lower() for f in target.fields}
     keep = [c for c in df.columns if c.lower() in wanted]
     if not keep:

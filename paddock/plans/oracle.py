@@ -400,6 +400,10 @@ ORACLE["dq_session_validity"] = with_ctes(["gold_driver"], _metric(
     "validity_session_type", "session_type IN ('Q', 'R')", "gold_driver", "v >= 100.0"))
 ORACLE["dq_lap_consistency"] = with_ctes(["silver_laps"], _metric(
     "consistency_lap_time", "lap_time_s > 60 AND lap_time_s < 200", "silver_laps", "v > 98.0"))
+ORACLE["dq_report"] = with_ctes(["gold_driver"], "\nUNION ALL\n".join([
+    _metric("completeness_avg_lap_time_s", "avg_lap_time_s IS NOT NULL", "gold_driver", "v > 99.0"),
+    _metric("validity_session_type", "session_type IN ('Q', 'R')", "gold_driver", "v >= 100.0"),
+    _metric("consistency_lap_time", "lap_time_s > 60 AND lap_time_s < 200", "silver_laps", "v > 98.0")]))
 ORACLE["contract_view"] = with_ctes(["gold_driver"], """SELECT year, grand_prix, session_type, driver, team,
   avg_lap_time_s, CAST(soft_laps AS INTEGER) AS soft_laps, rank_in_race FROM gold_driver""")
 

@@ -113,7 +113,7 @@ def q_silver_weather(spark, sf_dir):
 @query("align_to_target")
 def q_align_to_target(spark, sf_dir):
     df = fx.laps_raw(spark, sf_dir).withColumnsRenamed({"Driver": "driver", "Team": "team"})
-    return conform.align_to_target(df, schemas.SILVER_LAPS)
+    return conform.align_to_target(df, "silver_laps")
 
 
 @query("drop_all_null_columns")
@@ -432,6 +432,12 @@ def q_dq_lap_consistency(spark, sf_dir):
     return quality.lap_consistency(silver_laps_of(spark, sf_dir))
 
 
+@query("dq_report")
+def q_dq_report(spark, sf_dir):
+    laps = silver_laps_of(spark, sf_dir)
+    return quality.quality_report(gold.gold_driver_performance(laps), laps)
+
+
 @query("contract_view")
 def q_contract_view(spark, sf_dir):
     return quality.contract_view(gold_driver_of(spark, sf_dir))
