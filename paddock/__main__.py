@@ -35,6 +35,11 @@ def main(argv=None) -> int:
     report: dict = {}
     if args.import_archive:
         report["import"] = medallion.import_archive(spark, args.import_archive, lake)
+    from paddock.session import size_for_input
+    from paddock.sources import bronze, tables
+
+    if tables.path_exists(spark, lake.bronze):
+        report["shuffle_partitions"] = size_for_input(spark, bronze.total_bytes(spark, lake.bronze))
     if args.incremental:
         from paddock.streaming.incremental import run_incremental
         run_incremental(spark, lake, with_gold=args.gold != "skip", on_duplicate=args.on_duplicate)

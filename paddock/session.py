@@ -71,5 +71,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/paddock/{name}-{uuid.uuid4().hex}"
 
 
+MB = 1 << 20
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * MB) -> int:
+    """Size shuffles and scan splits for the data about to be processed.
+
+    Initial shuffle partitions ~ input / 128 MB (never fewer than twice the
+    cores), so each reduce task holds a slice that fits executor memory at any
+    scale; AQE then coalesces the ones that turn out small.  Scan splits of
+    256 MB keep task counts manageable for large inputs.  Runtime SQL settings
+    only — nothing a deployment fixed at startup is overridden.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = max(2 * cores, -(-int(input_bytes) // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(2 * partition_bytes))
+    return n
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

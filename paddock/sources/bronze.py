@@ -74,6 +74,11 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.parquet", recursiv
     return reader.load(root).select("path", "length")
 
 
+def total_bytes(spark: SparkSession, root: str) -> int:
+    """Bytes of all Parquet files below ``root`` (a listing; file contents are not read)."""
+    return int(list_files(spark, root, recursive=True).agg(F.sum("length")).first()[0] or 0)
+
+
 def parse_checkpoint_listing(listing: DataFrame) -> DataFrame:
     """Kind, year, round, session type and legacy flag from checkpoint names.
 

@@ -45,3 +45,16 @@ def test_cli_arguments():
     from paddock.__main__ import parse_args
     a = parse_args(["--lake", "/x", "--seasons", "2024", "2025", "--sessions", "R", "--gold", "rebuild"])
     assert (a.seasons, a.sessions, a.gold, a.incremental) == ([2024, 2025], ["R"], "rebuild", False)
+
+
+def test_sizing_follows_input(spark):
+    from paddock.session import MB, size_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_for_input(spark, 10) == 2 * spark.sparkContext.defaultParallelism
+        assert size_for_input(spark, 100_000 * MB) == 782
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "782"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * MB))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(64 * MB))
