@@ -240,7 +240,8 @@ def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year"
     One folder per session named ``<kind>_checkpoint_<year>_r<round>_<R|Q>.parquet``
     holding part files written by pyarrow with TIMESTAMP(NANOS) timestamps and
     BIGINT-nanosecond durations — physical types Spark itself never writes.
-    Each task writes only its own rows; nothing passes through the driver.
+    Each task writes only its own rows; nothing passes through the driver, and
+    file names are deterministic per task so retries are idempotent.
     Lazy: returns one row per written part file (path, rows).
     """
     import pandas as pd
@@ -249,19 +250,21 @@ def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year"
     labels = list(labels)
 
     def write(batches):
-        import uuid
-
         import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs as pafs
+        from pyspark import TaskContext
 
+        # Names depend only on (partition, batch): a retried or speculative
+        # attempt rewrites the same files instead of adding duplicates.
+        part = TaskContext.get().partitionId()
         filesystem, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
-        for pdf in batches:
+        for batch_no, pdf in enumerate(batches):
             out = []
-            for (y, r, s), part in pdf.groupby(labels, sort=False):
+            for (y, r, s), rows in pdf.groupby(labels, sort=False):
                 folder = f"{base}/{kind}_checkpoint_{int(y)}_r{int(r)}_{s}.parquet"
                 filesystem.create_dir(folder, recursive=True)
-                data = part.reset_index(drop=True)
+                data = rows.reset_index(drop=True)
                 for c in durations:
                     if c in data:
                         data[c] = (data[c] * 1e9).round().astype("Int64")
@@ -269,9 +272,9 @@ def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year"
                 table = table.cast(pa.schema([
                     pa.field(f.name, pa.timestamp("ns") if pa.types.is_timestamp(f.type) else f.type)
                     for f in table.schema]))
-                path = f"{folder}/part-{uuid.uuid4().hex}.parquet"
+                path = f"{folder}/part-{part:05d}-{batch_no:05d}.parquet"
                 pq.write_table(table, path, filesystem=filesystem)
-                out.append((path, len(part)))
+                out.append((path, len(rows)))
             yield pd.DataFrame(out, columns=["path", "rows"])
 
     return df.mapInPandas(write, "path string, rows long")
