@@ -383,7 +383,7 @@ ORACLE["dedup_laps"] = with_ctes(["silver_laps"], f"""SELECT * EXCLUDE (rn) FROM
     ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in SILVER_OTHERS.split(', '))}) AS rn
   FROM silver_laps) d WHERE rn = 1""")
 ORACLE["not_null_violations"] = with_ctes(["silver_laps"], "\n  UNION ALL ".join(
-    f"SELECT '{k}' AS column_name, count_if({k} IS NULL) AS null_rows FROM silver_laps"
+    f"SELECT '{k}' AS column_name, CAST(count_if({k} IS NULL) AS BIGINT) AS null_rows FROM silver_laps"
     for k in DRIVER_KEY.split(", ")))
 
 # 2.11 data quality

@@ -12,6 +12,8 @@ from .conftest import SF_SMALL
 
 ORACLES = entry.oracle_sql()
 QUERIES = entry.queries()
+SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                   "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +40,8 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(res.columns)
     assert len(got) == len(want)
     assert digest(got) == digest(want)
+    duck_types = {r[0]: r[1] for r in con.sql("DESCRIBE " + ORACLES[name]).fetchall()}
+    assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in df.dtypes} == duck_types
 
 
 def test_entry_smoke(spark):
