@@ -164,8 +164,3 @@ def checkpoint_file_name(kind, year, rnd, session_type, legacy: Column | None =
 def checkpoint_entry_name(path) -> Column:
     """The checkpoint name inside a path (the file itself or the folder holding its parts)."""
     return F.regexp_extract(_c(path), CHECKPOINT_IN_PATH, 1)
-
-
-def base_name(path) -> Column:
-    """Last path element of a file URI."""
-    return F.regexp_extract(_c(path), r"([^/]+)$", 1)

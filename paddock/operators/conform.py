@@ -136,11 +136,6 @@ def drop_all_null_columns(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if counts[c] > 0])
 
 
-def non_null_counts(df: DataFrame) -> DataFrame:
-    """Lazy companion of P10: one row with ``count(c)`` for each column."""
-    return df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
-
-
 def conform_schema(df: DataFrame, target: T.StructType, strict: bool = False) -> DataFrame:
     """Select target columns in declared order, cast to the declared types.
 

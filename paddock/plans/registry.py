@@ -333,9 +333,10 @@ def q_silver_row_count(spark, sf_dir):
 @query("union_session_frames")
 def q_union_session_frames(spark, sf_dir):
     car = fx.car_raw(spark, sf_dir)
+    from paddock.sources import bronze
     first = car.filter(F.substring("driver", 2, 2).cast("int") < 10)
     rest = car.filter(F.substring("driver", 2, 2).cast("int") >= 10).drop("Brake")
-    return first.unionByName(rest, allowMissingColumns=True)
+    return bronze.union_frames([first, rest])
 
 
 @query("distinct_sessions")
