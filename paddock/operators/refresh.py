@@ -73,7 +73,8 @@ def restrict_to_slices(df: DataFrame, slices, slice_key: list[str] | None = None
     if len(slices) > MAX_SLICES:
         return df.join(_slices_frame(df.sparkSession, slices, slice_key), on=slice_key, how=how)
     if len(slices) <= MAX_SLICES_INLINE:
-        inside = slice_predicate(slices, slice_key)
+        # NULL-safe: a row with a NULL slice column is in no slice (kept, never lost).
+        inside = F.coalesce(slice_predicate(slices, slice_key), F.lit(False))
         return df.filter(inside if keep else ~inside)
     listed = F.broadcast(_slices_frame(df.sparkSession, slices, slice_key))   # size = len(slices) <= MAX_SLICES
     return df.join(listed, on=slice_key, how=how)

@@ -217,7 +217,9 @@ def label_from_file(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         "round": F.coalesce(F.col("round").cast("int"), F.col("file_round")),
         "session_type": F.col("file_session_type"),
     })
-    agree = (F.col("year") == F.col("file_year")) & (F.col("round") == F.col("file_round"))
+    # NULL-safe: a row whose file name yields no label is rejected, never lost.
+    agree = F.coalesce((F.col("year") == F.col("file_year")) & (F.col("round") == F.col("file_round")),
+                       F.lit(False))
     drop = ["file_year", "file_round", "file_session_type"]
     return labelled.filter(agree).drop(*drop), labelled.filter(~agree)
 

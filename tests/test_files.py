@@ -119,3 +119,10 @@ def test_archive_folders_with_mixed_schemas(spark, tmpdir_fresh):
     assert [(r.round, r.driver, r.speed_kmh) for r in car] == [(1, "VER", 100.0), (2, "HAM", 120.0)]
     assert car[1].recorded_at == dt.datetime(2024, 1, 2, 0, 0, 2)
     assert rejected.count() == 0
+
+
+def test_rows_without_a_file_label_are_rejected_not_lost(spark):
+    df = spark.createDataFrame([(2024, 1, None, None, "R"), (2024, 1, 2024, 1, "R")],
+                               "Year int, Round int, file_year int, file_round int, file_session_type string")
+    ok, rejected = bronze.label_from_file(df)
+    assert ok.count() == 1 and rejected.count() == 1
