@@ -70,6 +70,9 @@ def run_silver(spark: SparkSession, layout: Layout, sessions: list[tuple] | None
     """Refresh the three silver tables for the selected sessions (all if None).
 
     The three tables are independent jobs and run side by side when ``parallel``.
+    Per kind, only requested sessions that have bronze files of that kind are
+    replaced: a session whose telemetry never arrived keeps its silver rows, as
+    the original left sessions it did not discover untouched.
     """
     out = {}
     jobs = {}
@@ -77,10 +80,14 @@ def run_silver(spark: SparkSession, layout: Layout, sessions: list[tuple] | None
         if not tables.path_exists(spark, f"{layout.bronze}/{kind}"):
             out[table] = {"skipped": "no bronze files of this kind"}
             continue
-
-        def job(table=table):
-            stage = silver_stage(spark, layout, table, sessions, on_duplicate)
-            return layout.silver(table).refresh(spark, stage, requested=sessions,
+        wanted = sessions
+        if sessions is not None:
+            present = {tuple(r) for r in bronze.discover_partition_sessions(spark, layout.bronze, kind).collect()}
+            wanted = [tuple(s) for s in sessions if tuple(s) in present]
+
+        def job(table=table, wanted=wanted):
+            stage = silver_stage(spark, layout, table, wanted, on_duplicate)
+            return layout.silver(table).refresh(spark, stage, requested=wanted,
                                                 check_key=(on_duplicate == "fail"))
         jobs[table] = job
     out.update(concurrently(jobs, 3 if parallel else 1))

@@ -58,3 +58,23 @@ def test_sizing_follows_input(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * MB))
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(64 * MB))
+
+
+def test_session_without_files_of_a_kind_keeps_its_silver_rows(spark, tmpdir_fresh):
+    from pyspark.sql import functions as F
+
+    from paddock.sources import bronze
+    lake = medallion.Layout(f"{tmpdir_fresh}/lake")
+    car = spark.createDataFrame([(2024, r, "R", "GP", "VER", 100.0, 9000.0, 50.0) for r in (1, 2)],
+                                "year int, round int, session_type string, grand_prix string, driver string, "
+                                "Speed double, RPM double, Throttle double") \
+        .withColumn("Date", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    bronze.write_bronze(car, lake.bronze, "tel")
+    medallion.run_silver(spark, lake, [(2024, 1, "R"), (2024, 2, "R")])
+    bronze.write_bronze(car.filter("round = 1").withColumn("Speed", F.lit(200.0)), lake.bronze, "tel")
+    # round 2's telemetry folder is gone from bronze for this test: remove it
+    from paddock.sources.tables import delete_path
+    delete_path(spark, f"{lake.bronze}/tel/year=2024/round=2")
+    medallion.run_silver(spark, lake, [(2024, 1, "R"), (2024, 2, "R")])
+    got = sorted((r.round, r.speed_kmh) for r in lake.silver("silver_car_data").read(spark).collect())
+    assert got == [(1, 200.0), (2, 100.0)]
