@@ -91,10 +91,10 @@ def conform_bronze_types(df: DataFrame, types: dict | None = None) -> DataFrame:
             expr = scalars.timestamp_to_utc_us(F.col(name), source_type)
         elif source_type == target:
             continue      # untouched: predicates on it push down to the Parquet scan
-        elif isinstance(target, T.BooleanType) and isinstance(source_type, T.StringType):
-            expr = F.col(name).try_cast("boolean")
         else:
-            expr = F.col(name).cast(target)
+            # Lenient: one malformed raw value becomes NULL (then fails the range
+            # checks) instead of failing the whole job under ANSI casts.
+            expr = F.col(name).try_cast(target)
         exprs[name] = expr
     return df.withColumns(exprs) if exprs else df
 

@@ -130,3 +130,21 @@ def test_not_null_report(spark):
     rep = {r.column_name: r.null_rows for r in
            refresh.not_null_violations(silver.transform_laps(df), schemas.GOLD_DRIVER_KEY).collect()}
     assert rep == {"year": 0, "grand_prix": 0, "session_type": 0, "driver": 0, "team": 1}
+
+
+def test_numeric_and_boolean_physical_forms_conform(spark):
+    # Brake / DRS / nGear / Rainfall may arrive as numbers or booleans; strings may be malformed.
+    car = spark.createDataFrame(
+        [(2024, 1, "R", "GP_1", "VER", "100.5", 9000, 50.0, 1, 8.0, "7"),
+         (2024, 1, "R", "GP_1", "HAM", "oops", 9000, 50.0, 0, 0.0, "x")],
+        "year int, round int, session_type string, grand_prix string, driver string, Speed string, RPM long, "
+        "Throttle double, Brake int, DRS double, nGear string").withColumn(
+        "Date", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    rows = silver.transform_car_data(car).collect()
+    assert [(r.driver, r.speed_kmh, r.rpm, r.brake_on, r.drs_active, r.gear) for r in rows] == [
+        ("VER", 100.5, 9000.0, True, 8, 7)]
+    weather = spark.createDataFrame([(2024, 1, "R", "GP_1", 1.0, 20.0, 50.0, 1.0), (2024, 1, "R", "GP_1", 2.0, 21.0,
+                                                                                   40.0, 0.0)],
+                                    "year int, round int, session_type string, grand_prix string, Time double, "
+                                    "AirTemp double, Humidity double, Rainfall double")
+    assert sorted(r.is_raining for r in silver.transform_weather(weather).collect()) == [False, True]
