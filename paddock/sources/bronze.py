@@ -89,7 +89,7 @@ def parse_checkpoint_listing(listing: DataFrame) -> DataFrame:
     return (listing.select("path", name.alias("file_name"))
             .filter(F.col("file_name").rlike(scalars.CHECKPOINT_NAME))
             .select(F.expr("substring(path, 1, instr(path, file_name) + length(file_name) - 1)").alias("entry"),
-                    "file_name",
+                    "path", "file_name",
                     scalars.checkpoint_kind("file_name").alias("kind"),
                     scalars.checkpoint_year("file_name").alias("year"),
                     scalars.checkpoint_round("file_name").alias("round"),
@@ -147,8 +147,13 @@ def scan_bronze(spark: SparkSession, root: str, kind: str, sessions=None, with_s
     return df
 
 
-def _footer_schemas(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Group files by physical schema; footers are read by Spark tasks, not the driver."""
+def _schemas_by_entry(spark: SparkSession, entries: list[str]) -> dict[str, list[str]]:
+    """Group checkpoint entries by physical schema.
+
+    All parts of one entry share a schema (one session, one writer), so one
+    footer per entry is read — by Spark tasks, not the driver — and the
+    groups hold entries (sessions), never the growing list of part files.
+    """
     import pandas as pd
 
     def read_footers(batches):
@@ -159,13 +164,15 @@ def _footer_schemas(spark: SparkSession, paths: list[str]) -> dict[str, list[str
             for p in pdf["path"]:
                 filesystem, inner = pafs.FileSystem.from_uri(p if "://" in p else p.replace("file:", "file://", 1))
                 out.append(str(pq.read_schema(inner, filesystem=filesystem)))
-            yield pd.DataFrame({"path": pdf["path"], "schema": out})
+            yield pd.DataFrame({"entry": pdf["entry"], "schema": out})
 
-    listing = spark.createDataFrame([(p,) for p in paths], "path string")
-    grouped = (listing.mapInPandas(read_footers, "path string, schema string")
-               .groupBy("schema").agg(F.collect_list("path").alias("paths")))
-    # One row per distinct schema: a handful, however many files there are.
-    return {r["schema"]: list(r["paths"]) for r in grouped.collect()}
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(entries).select("path", "length"))
+    one_per_entry = parse_checkpoint_listing(files).groupBy("entry").agg(F.min("path").alias("path"))
+    grouped = (one_per_entry.mapInPandas(read_footers, "entry string, schema string")
+               .groupBy("schema").agg(F.collect_list("entry").alias("entries")))
+    # One row per distinct schema, listing sessions: bounded by the number of sessions.
+    return {r["schema"]: list(r["entries"]) for r in grouped.collect()}
 
 
 def read_checkpoint_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
@@ -184,10 +191,7 @@ def read_checkpoint_files(spark: SparkSession, paths: Iterable[str]) -> DataFram
     except Exception as exc:  # noqa: BLE001 - only schema conflicts are expected here
         if "CANNOT_MERGE" not in str(exc) and "Failed merging" not in str(exc):
             raise
-        # Checkpoints may be folders of parts: list their files (names only) first.
-        files = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", "*.parquet").load(paths).select("path").collect()]
-        groups = [spark.read.parquet(*group) for group in _footer_schemas(spark, files).values()]
+        groups = [spark.read.parquet(*group) for group in _schemas_by_entry(spark, paths).values()]
     frames = []
     for g in groups:
         g = conform.conform_bronze_types(g.withColumn("_path", F.col("_metadata.file_path")))
@@ -247,9 +251,17 @@ def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year"
     Lazy: returns one row per written part file (path, rows).
     """
     import pandas as pd
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
 
     root = root.rstrip("/")
     labels = list(labels)
+    # One fixed file schema for every part (pandas would otherwise turn a nullable
+    # long into double in some batches): nanosecond timestamps, int64 durations.
+    target = pa.schema([
+        pa.field(f.name, pa.timestamp("ns") if pa.types.is_timestamp(f.type)
+                 else pa.int64() if f.name in durations else f.type)
+        for f in to_arrow_schema(df.schema)])
 
     def write(batches):
         import pyarrow as pa
@@ -270,10 +282,7 @@ def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year"
                 for c in durations:
                     if c in data:
                         data[c] = (data[c] * 1e9).round().astype("Int64")
-                table = pa.Table.from_pandas(data, preserve_index=False)
-                table = table.cast(pa.schema([
-                    pa.field(f.name, pa.timestamp("ns") if pa.types.is_timestamp(f.type) else f.type)
-                    for f in table.schema]))
+                table = pa.Table.from_pandas(data, schema=target, preserve_index=False)
                 path = f"{folder}/part-{part:05d}-{batch_no:05d}.parquet"
                 pq.write_table(table, path, filesystem=filesystem)
                 out.append((path, len(rows)))
