@@ -89,12 +89,6 @@ class SliceTable:
         df = spark.read.schema(self.schema).option("basePath", self.root).parquet(self.root)
         return conform.conform_schema(df, self.schema)
 
-    def _reads_itself(self, df: DataFrame) -> bool:
-        """Does ``df`` read files of this table?  (``inputFiles`` returns the files the
-        planner already listed — metadata only, no job, safe from several threads.)"""
-        root = self.root.split(":", 1)[-1].rstrip("/") + "/"
-        return any(root in f for f in df.inputFiles())
-
     def _slice_dir(self, year: int, rnd: int, session_type: str) -> str:
         return f"{self.root}/year={year}/round={rnd}/session_type={session_type}"
 
@@ -112,13 +106,14 @@ class SliceTable:
 
         from paddock.sources.bronze import clustered_by_slice
 
+        # A stage may be derived from this very table: with *dynamic* partition
+        # overwrite, tasks write to a staging folder and partitions are swapped in
+        # only at job commit, after every read has finished (static overwrite,
+        # which deletes first, is never used here).
         stage = conform.conform_schema(stage, self.schema)
-        if check_key or self._reads_itself(stage):
-            # A stage derived from this very table must not be read while its
-            # partitions are overwritten: cut the lineage with a written copy.
-            # (Also used for key checks: computed once, validated and written from the copy.)
-            stage = materialize(spark, stage, "slice-stage")
         if check_key:
+            # Computed once, validated and written from the copy in the shared folder.
+            stage = materialize(spark, stage, "slice-stage")
             _, bad = refresh.not_null_split(stage, self.key)
             dups = refresh.pk_violations(stage, self.key)
             if not bad.isEmpty() or not dups.isEmpty():
