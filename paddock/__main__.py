@@ -52,6 +52,8 @@ def main(argv=None) -> int:
             report["silver"] = medallion.run_silver(spark, lake, sessions, on_duplicate=args.on_duplicate)
         if args.gold != "skip":
             report["gold_versions"] = medallion.run_gold(spark, lake, mode=args.gold)
+    if args.gold != "skip":
+        report["quality"] = medallion.contract_metrics(spark, lake)
     print(json.dumps(report, default=str))
     spark.stop()
     return 0

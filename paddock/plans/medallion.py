@@ -159,6 +159,16 @@ def conform_car_driver(df: DataFrame) -> DataFrame:
     return conform.rename_bronze_columns(df, "bronze_car_data")
 
 
+def contract_metrics(spark: SparkSession, layout: Layout) -> list[dict]:
+    """D1-D3 over the stored tables, as the contract asks after every run
+    (three global aggregates; three small rows reach the driver)."""
+    from paddock.operators import quality
+
+    report = quality.quality_report(layout.gold("gold_driver_performance").read(spark),
+                                    layout.silver("silver_laps").read(spark))
+    return [r.asDict() for r in report.collect()]
+
+
 def silver_slice_counts(spark: SparkSession, layout: Layout) -> DataFrame:
     """A10 for all silver tables: rows per (table, slice)."""
     frames = [refresh.slice_row_counts(layout.silver(t).read(spark)).select(F.lit(t).alias("table_name"), "*")

@@ -39,6 +39,9 @@ def test_import_select_and_run(spark, tmpdir_fresh):
     g = lake.gold("gold_driver_performance").read(spark).collect()
     assert sorted((r.grand_prix, r.session_type, r.total_laps, r.rank_in_race) for r in g) == [
         ("GP_1", "R", 3, 1), ("GP_2", "Q", 2, 1)]
+    q = {m["metric"]: (m["value_pct"], m["passed"]) for m in medallion.contract_metrics(spark, lake)}
+    assert q == {"completeness_avg_lap_time_s": (100.0, True), "validity_session_type": (100.0, True),
+                 "consistency_lap_time": (100.0, True)}
 
 
 def test_cli_arguments():
