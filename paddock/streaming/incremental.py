@@ -82,8 +82,13 @@ def start_incremental(spark: SparkSession, layout: Layout, table: str = "silver_
 
 def run_incremental(spark: SparkSession, layout: Layout, tables=tuple(SILVER_KINDS), with_gold: bool = True,
                     on_duplicate: str = "dedup", checkpoint_base: str | None = None) -> None:
-    """One scheduled run: process every new bronze file of every kind, then stop."""
+    """One scheduled run: process every new bronze file of every kind, then stop.
+    Kinds with no bronze folder yet are skipped (their stream starts once files exist)."""
+    from paddock.sources.tables import path_exists
+
     for table in tables:
+        if not path_exists(spark, f"{layout.bronze}/{SILVER_KINDS[table]}"):
+            continue
         ck = f"{checkpoint_base}/{table}" if checkpoint_base else None
         q = start_incremental(spark, layout, table, with_gold, on_duplicate, ck, available_now=True)
         q.awaitTermination()

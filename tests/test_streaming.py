@@ -19,7 +19,7 @@ def test_new_sessions_are_picked_up_and_reruns_are_noops(spark, tmpdir_fresh):
     layout = Layout(f"{tmpdir_fresh}/lake")
     ck = f"{tmpdir_fresh}/streams"
     bronze.write_bronze(_session(spark, 1, 3).unionByName(_session(spark, 2, 2)), layout.bronze, "laps")
-    run_incremental(spark, layout, tables=("silver_laps",), checkpoint_base=ck)
+    run_incremental(spark, layout, checkpoint_base=ck)      # no tel/weather bronze yet: skipped
     silver = layout.silver("silver_laps")
     assert silver.read(spark).count() == 10
     g1 = layout.gold("gold_driver_performance")
