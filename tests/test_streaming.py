@@ -49,3 +49,16 @@ def test_replaced_session_file_replaces_the_slice(spark, tmpdir_fresh):
     run_incremental(spark, layout, tables=("silver_laps",), checkpoint_base=ck, with_gold=False)
     rows = layout.silver("silver_laps").read(spark).filter(F.col("round") == 1).collect()
     assert sorted(r.lap_time_s for r in rows) == [80.0, 80.0]
+
+
+def test_telemetry_stream_refreshes_silver_car_data(spark, tmpdir_fresh):
+    layout = Layout(f"{tmpdir_fresh}/lake")
+    car = spark.createDataFrame([(2024, 1, "R", "GP_1", d, 100.0 + i, 9000.0, 50.0)
+                                 for i, d in enumerate(("A", "B", "A"))],
+                                "year int, round int, session_type string, grand_prix string, driver string, "
+                                "Speed double, RPM double, Throttle double") \
+        .withColumn("Date", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, Speed)"))
+    bronze.write_bronze(car, layout.bronze, "tel")
+    run_incremental(spark, layout, checkpoint_base=f"{tmpdir_fresh}/streams")
+    rows = layout.silver("silver_car_data").read(spark).collect()
+    assert sorted((r.driver, r.speed_kmh) for r in rows) == [("A", 100.0), ("A", 102.0), ("B", 101.0)]
