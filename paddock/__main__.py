@@ -25,12 +25,13 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--on-duplicate", choices=["dedup", "fail"], default="dedup")
     p.add_argument("--gold", choices=["upsert", "rebuild", "skip"], default="upsert")
     p.add_argument("--incremental", action="store_true", help="only files new since the last run")
+    p.add_argument("--event-log", help="folder for Spark's event log (stage and task timings)")
     return p.parse_args(argv)
 
 
 def main(argv=None) -> int:
     args = parse_args(argv)
-    spark = build_session()
+    spark = build_session(event_log_dir=args.event_log)
     lake = medallion.Layout(args.lake.rstrip("/"))
     report: dict = {}
     if args.import_archive:

@@ -28,13 +28,21 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, app_name: str = "paddock",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
+    """Session with paddock's defaults; ``event_log_dir`` records stage/task timings there
+    (read them from the log — the web UI stays off)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if event_log_dir:
+        if "://" not in event_log_dir:          # a local folder must exist; remote ones are created
+            os.makedirs(event_log_dir, exist_ok=True)
+        conf["spark.eventLog.enabled"] = "true"
+        conf["spark.eventLog.dir"] = event_log_dir
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
