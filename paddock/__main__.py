@@ -29,9 +29,11 @@ def parse_args(argv=None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
-def main(argv=None) -> int:
+def main(argv=None, spark=None) -> int:
+    """Run the stages; a given ``spark`` session is used and left running."""
     args = parse_args(argv)
-    spark = build_session(event_log_dir=args.event_log)
+    own_session = spark is None
+    spark = spark or build_session(event_log_dir=args.event_log)
     lake = medallion.Layout(args.lake.rstrip("/"))
     report: dict = {}
     if args.import_archive:
@@ -56,7 +58,8 @@ def main(argv=None) -> int:
     if args.gold != "skip":
         report["quality"] = medallion.contract_metrics(spark, lake)
     print(json.dumps(report, default=str))
-    spark.stop()
+    if own_session:
+        spark.stop()
     return 0
 
 

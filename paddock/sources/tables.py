@@ -144,13 +144,14 @@ class SliceTable:
                 removed.append(tuple(s))
         return {"rows": written, "emptied_slices": removed, "slice_rows": self.slice_rows(spark, sorted(present))}
 
-    def slice_rows(self, spark: SparkSession, slices: list[tuple]) -> dict:
+    def slice_rows(self, spark: SparkSession, slices: list[tuple]) -> list[dict]:
         """A10: rows per written slice, reading only those partitions (row counts
         come from Parquet footers; no data columns are read)."""
         if not slices:
-            return {}
+            return []
         counts = refresh.slice_row_counts(refresh.restrict_to_slices(self.read(spark), slices))
-        return {tuple(r)[:3]: r["row_count"] for r in counts.collect()}
+        return sorted((r.asDict() for r in counts.collect()),
+                      key=lambda d: (d["year"], d["round"], d["session_type"]))
 
 
 # -------------------------------------------------------------- versioned tables

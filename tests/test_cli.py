@@ -81,3 +81,21 @@ def test_session_without_files_of_a_kind_keeps_its_silver_rows(spark, tmpdir_fre
     medallion.run_silver(spark, lake, [(2024, 1, "R"), (2024, 2, "R")])
     got = sorted((r.round, r.speed_kmh) for r in lake.silver("silver_car_data").read(spark).collect())
     assert got == [(1, 200.0), (2, 100.0)]
+
+
+def test_main_end_to_end(spark, tmpdir_fresh, capsys):
+    import json
+
+    from paddock.__main__ import main
+    archive = f"{tmpdir_fresh}/archive"
+    import os
+    os.makedirs(archive)
+    pq.write_table(_laps(1, 3), f"{archive}/laps_checkpoint_2024_r1_R.parquet")
+    lake = f"{tmpdir_fresh}/lake"
+    assert main(["--lake", lake, "--import-archive", archive, "--seasons", "2024"], spark=spark) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["sessions"] == 1 and report["silver"]["silver_laps"]["rows"] == 3
+    assert {m["metric"] for m in report["quality"]} == {
+        "completeness_avg_lap_time_s", "validity_session_type", "consistency_lap_time"}
+    assert main(["--lake", lake, "--incremental"], spark=spark) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["incremental"] == "done"
