@@ -132,3 +132,33 @@ def test_dedup_keeps_least_row_per_key(spark, data):
     for row in (tuple(r) for r in laps.collect()):
         counts[tuple(row[i] for i in key_idx)] += 1
     assert dups == {k: n for k, n in counts.items() if n > 1}
+
+
+slice_rows = st.lists(st.tuples(st.integers(2023, 2024), st.integers(1, 3), st.sampled_from(["R", "Q"]),
+                                st.integers(0, 9)), max_size=15)
+SLICE_SCHEMA = "year int, round int, session_type string, v int"
+
+
+@SETTINGS
+@given(slice_rows, slice_rows, st.lists(st.tuples(st.integers(2023, 2024), st.integers(1, 3),
+                                                  st.sampled_from(["R", "Q"])), max_size=4))
+def test_replace_slices_matches_brute_force(spark, target, stage, requested):
+    t = spark.createDataFrame(target, SLICE_SCHEMA)
+    s = spark.createDataFrame(stage, SLICE_SCHEMA)
+    got = sorted(tuple(r) for r in refresh.replace_slices(t, s, requested).collect())
+    req = set(requested)
+    want = sorted([r for r in target if r[:3] not in req] + [r for r in stage if r[:3] in req])
+    assert got == want
+
+
+@SETTINGS
+@given(st.dictionaries(st.tuples(st.integers(1, 4), st.sampled_from(["A", "B"])), st.integers(0, 9), max_size=8),
+       st.dictionaries(st.tuples(st.integers(1, 4), st.sampled_from(["A", "B"])), st.integers(0, 9), max_size=8))
+def test_upsert_matches_brute_force(spark, target, stage):
+    schema = "k int, d string, v int"
+    t = spark.createDataFrame([(*k, v) for k, v in target.items()], schema)
+    s = spark.createDataFrame([(*k, v) for k, v in stage.items()], schema)
+    got = sorted(tuple(r) for r in refresh.upsert_by_key(t, s, ["k", "d"]).collect())
+    assert got == sorted((*k, v) for k, v in {**target, **stage}.items())
+    again = refresh.upsert_by_key(refresh.upsert_by_key(t, s, ["k", "d"]), s, ["k", "d"])
+    assert sorted(tuple(r) for r in again.collect()) == got        # R2 twice = once
