@@ -4,10 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paddock.llm import exact_dedup
-from paddock.llm.common import LOWER, UPPER, table
+from paddock.llm import exact_dedup, packing
+from paddock.llm.common import LOWER, UPPER, materialise, table
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+
+
+def pack_digests(docs: DataFrame) -> DataFrame:
+    """Pack every document; of each piece's ids only their CRC-32 goes on."""
+    pieces = packing.tokenise(docs, RANKS, PATTERN).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    packed = packing.place(materialise(docs.sparkSession, pieces, "pieces"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_digests(table(spark, sf_dir, "documents"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +31,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op4_exact_dedup": op4_exact_dedup,
 }
 
