@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paddock.llm import exact_dedup as dedup
 from paddock.llm.common import materialise, table
+from paddock.llm.queries import pack_digests
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,8 +21,14 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup.unique_rows(docs, index)
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document left, packed into sequences of at most 1024 tokens."""
+    return pack_digests(docs)
+
+
 STAGES = [
     ("exact_dedup", exact_dedup),
+    ("best_fit_packing", packing),
 ]
 
 ORACLE_SQL = None  # learned scores and tokenizers have no SQL; tests hold the stages against brute force
