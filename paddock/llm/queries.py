@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import exact_dedup, packing
+from paddock.llm import exact_dedup, packing, sharding
 from paddock.llm.common import LOWER, UPPER, materialise, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,9 +30,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op9_sharding": op9_sharding,
 }
 
 ORACLE: dict[str, str] = {
