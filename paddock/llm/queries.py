@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import exact_dedup, packing, sharding
+from paddock.llm import exact_dedup, labelled, packing, quality, sharding, toxicity
 from paddock.llm.common import LOWER, UPPER, materialise, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,6 +30,29 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
+    return toxicity.train(docs, table(spark, sf_dir, "labels"), F.col("toxic"))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.OrdinalModel:
+    """Grades 0: junk, 1: well-formed but toxic, 2: good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    return quality.train(docs, table(spark, sf_dir, "labels"), grade, 3)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.withColumn("selected", F.col(quality.TAIL) >= 0.5)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"), "clauses")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -39,6 +62,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
 }
 
