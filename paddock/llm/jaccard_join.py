@@ -298,3 +298,14 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     F.when(F.col("n") > 0, F.col("copies")).otherwise(1).alias("copies")))
+
+
+def one_per_component(docs: DataFrame, percent: int = PERCENT, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, less all but the first of every component.
+
+    Rows are numbered by their place in the files ``docs`` is read from, so repeated and null ids don't
+    matter; give it a table, not a frame that may come in another order when it is read again."""
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    joined = jaccard_join(numbered, percent, id_col="__row", text=text)
+    first = joined.where("doc_id = component_id").select(F.col("doc_id").alias("__row"))
+    return numbered.join(first, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
