@@ -10,8 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paddock.llm import exact_dedup as dedup
+from paddock.llm import jaccard_join, quality, toxicity
 from paddock.llm.common import materialise, table
-from paddock.llm.queries import pack_digests
+from paddock.llm.queries import pack_digests, quality_model, toxicity_model
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.3 or more for toxicity go."""
+    return toxicity.select_clean(docs, toxicity_model(spark, docs, sf_dir))
+
+
+def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are more likely junk than not go."""
+    return quality.select_quality(docs, quality_model(spark, docs, sf_dir))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,13 +32,21 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup.unique_rows(docs, index)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return jaccard_join.one_per_component(docs)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document left, packed into sequences of at most 1024 tokens."""
     return pack_digests(docs)
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality_classifier", drop_junk),
     ("exact_dedup", exact_dedup),
+    ("ngram_jaccard_join", near_dedup),
     ("best_fit_packing", packing),
 ]
 
