@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import exact_dedup, jaccard_join, labelled, packing, quality, sharding, toxicity
+from paddock.llm import exact_dedup, jaccard_join, kdtree_search, labelled, packing, quality, sharding, toxicity
 from paddock.llm.common import LOWER, UPPER, materialise, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -63,6 +63,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_kdtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_jaccard_join": op3_jaccard_join,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": op6_quality_classifier,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
+    "op10_kdtree_search": op10_kdtree_search,
 }
 
 ORACLE: dict[str, str] = {
