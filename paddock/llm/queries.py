@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import exact_dedup, jaccard_join, kdtree_search, labelled, packing, quality, sharding, toxicity
+from paddock.llm import exact_dedup, jaccard_join, kdtree_search, labelled, license_scan, packing, quality, sharding, toxicity
 from paddock.llm.common import LOWER, UPPER, materialise, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -34,6 +34,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
     return toxicity.train(docs, table(spark, sf_dir, "labels"), F.col("toxic"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_license_scan": op7_license_scan,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_kdtree_search": op10_kdtree_search,
