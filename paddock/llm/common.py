@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +22,31 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage is cut, and a lost
     executor costs a re-read instead of a recomputation."""
     path = scratch_path(spark, f"llm/{name}")
+    schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    release_shuffles(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def materialise_bucketed(spark: SparkSession, df: DataFrame, name: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` written once, bucketed and sorted by ``key``: read in bucket order (joins on ``key`` shuffle
+    only the other side), and read plainly."""
+    path, schema = scratch_path(spark, f"llm/{name}"), df.schema
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    called = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.format("parquet").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(called))
+    del df
+    release_shuffles(spark)
+    return spark.table(called), spark.read.schema(schema).parquet(path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of plans that the driver has collected as garbage; after a step
+    is written nothing needs its own, so don't wait until the driver runs short of memory."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def fold_az(text: Column) -> Column:

@@ -2,10 +2,11 @@
 
 ``d = 1 - |a & b| / |a | b|`` is a metric, so pivots and the triangle inequality can do the work:
 
-1. Regions.  Shingles are ordered globally, rare ones first.  Two linked documents share one of
-   the first ``n - ceil(t n) + 1`` shingles of each, so the documents that hold a shingle there meet around
+1. Regions.  Shingles are ordered globally, rare ones first.  Two linked documents share several of
+   the first ``n - ceil(t n) + l`` shingles of each, so the documents that hold a shingle there meet around
    a pivot, the smallest of them.  Each document is replicated into the regions of its rare shingles' pivots
-   (near copies have the same pivot again and again, so few regions each).
+   (near copies have the same pivot again and again, so few regions each), except for those that so few
+   of its shingles lead to that a link could not depend on them.
 2. Windows.  The distance of every member to its pivot is exact.  Within ``r = 1 - t`` it is a link.
    ``|d(a, p) - d(b, p)| <= d(a, b)``: a member without a member of another component within ``r`` of
    its own distance is done.
@@ -39,17 +40,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from paddock.llm.common import materialise
+from paddock.llm.common import materialise, materialise_bucketed
 from paddock.llm.components import components
 from paddock.llm.shingles import fingerprint, shingle_set
 
 PERCENT = 75
 SHINGLE = 5
-SKETCH_BITS = 22     # cells of the rarity counts: 4 MB on the driver and in each task
+SKETCH_BITS = 22     # cells of the rarity counts: a byte each, 4 MB, on the driver and in each task
+SLACK = 10           # percent of its shingles that a document's prefix has beyond the shortest right one
 BLOCK_BITS = 14
 FILTER_BITS = 25     # bits of the filter of documents whose sets are needed: 4 MB
-LEAF = 32
+LEAF = 64
 STEP = 0.05          # width of a distance class of the windows
 
 
@@ -115,15 +118,25 @@ def rarity(spark: SparkSession, blocks: DataFrame, bits: int = SKETCH_BITS) -> n
         parts = -(-parts // 64)
         if parts == 1:
             break
-    total = np.zeros(1 << bits, np.float64)
-    for r in blocks.collect():  # 2**bits counts, whatever the input
-        at = r["block"] * block
-        total[at:at + block] = np.frombuffer(pa.decompress(r["counts"], block * 4, "zstd", asbytes=True), "<u4")
-    return np.round(8 * np.log2(1 + total)).astype(np.uint8)
 
+    def grade(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, packed in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                total = np.frombuffer(pa.decompress(packed, block * 4, "zstd", asbytes=True), "<u4").astype(np.float32)
+                yield _rows(schema, part=[0], block=[at], counts=[np.round(7 * np.log2(1 + total)).astype(np.uint8).tobytes()])
+
+    scale = np.zeros(1 << bits, np.uint8)
+    for r in blocks.mapInArrow(grade, schema).toLocalIterator():  # 2**bits bytes, whatever the input
+        scale[r["block"] * block:(r["block"] + 1) * block] = np.frombuffer(bytes(r["counts"]), np.uint8)
+    return scale
+
+
+def prefixes(docs: DataFrame, scale, shingle: int = SHINGLE, percent: int = PERCENT, bits: int = SKETCH_BITS,
+             slack: int = SLACK) -> DataFrame:
+    """(``s``, ``fp``): the rare shingles by which a document must meet whatever it is linked with.
 
-def prefixes(docs: DataFrame, scale, shingle: int = SHINGLE, percent: int = PERCENT, bits: int = SKETCH_BITS) -> DataFrame:
-    """(``s``, ``fp``): the rare shingles by which a document must meet whatever it is linked with."""
+    Linked documents of n and m shingles share ``ceil(t n)`` at least, so of the first ``n - ceil(t n) + l`` of each
+    they share ``l`` at least; ``l`` is ``SLACK`` percent of the smaller one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = scale.value
         for batch in batches:
@@ -131,7 +144,7 @@ def prefixes(docs: DataFrame, scale, shingle: int = SHINGLE, percent: int = PERC
             for text in batch.column(0).to_pylist():
                 s = shingle_set(text or "", shingle)
                 if len(s):
-                    first = len(s) + percent * -len(s) // 100 + 1
+                    first = len(s) + percent * -len(s) // 100 - slack * -len(s) // 100
                     rare = classes[(s >> np.uint64(64 - bits)).astype(np.int64)]
                     order = np.argsort((rare.astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8)), kind="stable")
                     keys.append(s[order[:first]])
@@ -142,6 +155,23 @@ def prefixes(docs: DataFrame, scale, shingle: int = SHINGLE, percent: int = PERC
     return docs.select("text").mapInArrow(run, "s long, fp long")
 
 
+def regions(keys: DataFrame, nodes: DataFrame, percent: int = PERCENT, slack: int = SLACK) -> DataFrame:
+    """(member ``a``, pivot ``b``): the pivot of a shingle is the smallest document that holds it.
+
+    A document leaves the regions that few of its shingles lead to.  Linked documents of n >= m >= t n shingles
+    share ``slack m`` in their prefixes; each leaves less than ``slack t / (1 + t)`` of its own number behind, together
+    less than ``slack m``, so one shingle's region at least keeps them both."""
+    spark = keys.sparkSession
+    shared = (keys.groupBy("s").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last"))
+              .where("pivot <> last").select("s", "pivot"))
+    shared = materialise(spark, shared, "shared")
+    led = (keys.join(shared, "s").where("fp <> pivot").groupBy(F.col("fp").alias("a"), F.col("pivot").alias("b"))
+           .agg(F.count(F.lit(1)).alias("c")))
+    below = F.sum("c").over(Window.partitionBy("a").orderBy("c", "b"))  # a document has at most its prefix of regions
+    led = led.join(nodes.select(F.col("fp").alias("a"), "n"), "a").withColumn("below", below)
+    return led.where(F.col("below") * (100 * (100 + percent)) >= slack * percent * F.col("n")).select("a", "b")
+
+
 def needed_sets(docs: DataFrame, nodes: DataFrame, needed: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(``fp``, ``shingles``) of the nodes in ``needed`` (``fp``), from one document of each.
 
@@ -174,10 +204,15 @@ def needed_sets(docs: DataFrame, nodes: DataFrame, needed: DataFrame, shingle: i
 
 
 def distances(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``pairs`` (``a``, ``b``, ...) with the exact distance ``d`` and whether it is a ``link``."""
+    """``pairs`` (``a``, ``b``, ...) with the exact distance ``d`` and whether it is a ``link``.
+
+    ``sets`` is bucketed by fingerprint and stays where it is.  Few documents are a ``b`` (a pivot), but one may have very
+    many members: their sets are dealt out for a join that can split it."""
+    pivots = pairs.select(F.col("b").alias("fp")).distinct()
+    pivots = materialise(sets.sparkSession, sets.join(pivots, "fp", "left_semi"), "pivot-sets")
     one = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(two, "b").join(one, "a")
+    two = pivots.select(F.col("fp").alias("b"), F.col("shingles").alias("sb"))
+    both = pairs.join(one, "a").join(two, "b")
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     both = both.withColumn("common", common).withColumn("all", F.size("sa") + F.size("sb") - F.col("common"))
     return both.select(*pairs.columns, (1 - F.col("common") / F.col("all")).alias("d"),
@@ -235,21 +270,22 @@ def join_regions(spark: SparkSession, pairs: DataFrame, nodes: DataFrame, sets:
     roots = components(spark, met.where("link"))
     # A pivot is a member of its own region at distance 0, but has met everyone in it.
     members = met.select(F.col("b").alias("cell"), F.col("a").alias("node"), "d")
-    k = 8
+    k = 16
     while True:
         left = materialise(spark, undecided(members, roots, radius), "undecided")
         sizes = left.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
         left = left.join(sizes, "cell")
         if left.isEmpty():
             return roots
-        checked = distances(leaf_pairs(left.where(F.col("m") <= leaf), nodes, radius, percent), sets, percent)
+        few = materialise(spark, leaf_pairs(left.where(F.col("m") <= leaf), nodes, radius, percent), "leaf-pairs")
+        checked = distances(few, sets, percent)
         large = left.where(F.col("m") > leaf)
         # About k pivots a cell, by hash, and its smallest member: one at least.
         chance = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(1 << 30)) < (1 << 30) * k / F.col("m")
         first = large.groupBy("cell").agg(F.min("node").alias("pivot"))
         pivots = large.where(chance).select("cell", F.col("node").alias("pivot")).unionByName(first).distinct()
         meet = large.join(pivots, "cell").where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"), "cell")
-        meet = materialise(spark, distances(meet, sets, percent), "voronoi")
+        meet = materialise(spark, distances(materialise(spark, meet, "voronoi-pairs"), sets, percent), "voronoi")
         roots = _merge(spark, roots, checked.where("link").select("a", "b").unionByName(meet.where("link").select("a", "b")))
         if meet.isEmpty():
             return roots
@@ -265,7 +301,7 @@ def join_regions(spark: SparkSession, pairs: DataFrame, nodes: DataFrame, sets:
         whole = (rest.join(first.select("cell", F.col("pivot").alias("b")), ["cell", "b"]).join(thin, "cell", "left_anti")
                  .select("cell", F.col("a").alias("node"), "d"))
         members = split.unionByName(whole)
-        k *= 2
+        k *= 4
 
 
 def jaccard_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, bits: int = SKETCH_BITS,
@@ -281,13 +317,9 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE
         F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "nodes")
 
     keys = materialise(spark, prefixes(docs, scale, shingle, percent, bits), "prefixes")
-    shared = (keys.groupBy("s").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last"))
-              .where("pivot <> last").select("s", "pivot"))
-    shared = materialise(spark, shared, "shared")
-    pairs = materialise(spark, keys.join(shared, "s").where("fp <> pivot")
-                        .select(F.col("fp").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
+    pairs = materialise(spark, regions(keys, nodes, percent), "pairs")
     needed = materialise(spark, pairs.select(F.col("a").alias("fp")).unionAll(pairs.select("b")).distinct(), "needed")
-    sets = materialise(spark, needed_sets(docs, nodes, needed, shingle), "sets")
+    sets, _ = materialise_bucketed(spark, needed_sets(docs, nodes, needed, shingle), "sets", "fp")
     roots = join_regions(spark, pairs, nodes, sets, percent, leaf)
 
     ids = with_roots(nodes.withColumnRenamed("fp", "node"), roots)
