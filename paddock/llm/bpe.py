@@ -51,23 +51,25 @@ def bucket(token: Column) -> Column:
     return (F.xxhash64(token).bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("int")
 
 
-def java_pattern(pattern: str) -> str:
-    """The tokenizer's pattern for Spark's regular expressions: classes and white space as in Unicode, and letters and
-    numbers that are younger than the JVM's tables by their code points (more of them do no harm)."""
-    for name in ("L", "N"):
-        pattern = pattern.replace(rf"[^\s\p{{L}}\p{{N}}]", "\0").replace(rf"\p{{{name}}}", f"[\\p{{{name}}}{ranges(name)}]")
-        pattern = pattern.replace("\0", rf"[^\s\p{{L}}\p{{N}}]")
-    return "(?U)" + pattern.replace(r"[^\s\p{L}\p{N}]", f"[^\\s\\p{{L}}\\p{{N}}{ranges('L')}{ranges('N')}]")
+def split_words(text: Column, pattern: str) -> Column:
+    """The pattern's matches.  White space is as in Unicode; in the rare text with code points that the JVM's tables
+    don't know, letters and numbers are listed (as the tokenizer's own tables have them), which is far slower."""
+    space = r"\x09-\x0D\x{85}\p{Z}"
+    plain = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{space}\p{{L}}\p{{N}}]").replace(r"\s", f"[{space}]").replace(r"\S", f"[^{space}]")
+    listed = (plain.replace(rf"[^{space}\p{{L}}\p{{N}}]", f"[^{space}{ranges('L')}{ranges('N')}]")
+              .replace(r"\p{L}+", f"[{ranges('L')}]+").replace(r"\p{N}+", f"[{ranges('N')}]+"))
+    return F.when(text.rlike(r"\p{Cn}"), F.regexp_extract_all(text, F.lit(listed), F.lit(0))).otherwise(
+        F.regexp_extract_all(text, F.lit(plain), F.lit(0)))
 
 
 @lru_cache(maxsize=4)
 def ranges(name: str) -> str:
-    """Code points beyond Latin-1 that the tokenizer's own regular expressions count to a general category, as the
-    inside of a character class."""
+    """Code points that the tokenizer's own regular expressions count to a general category, as the inside of a
+    character class."""
     import tiktoken
 
     match = tiktoken.Encoding("class", pat_str=rf"\p{{{name}}}+", mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
-    points = "".join(chr(c) for c in range(0x100, 0x110000) if not 0xD800 <= c < 0xE000)
+    points = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
     found = np.array([ord(c) for c in match.decode(match.encode_ordinary(points))])
     runs = np.split(found, np.flatnonzero(np.diff(found) > 1) + 1)
     return "".join(f"\\x{{{r[0]:X}}}-\\x{{{r[-1]:X}}}" for r in runs)
@@ -112,11 +114,15 @@ def encode_word(word: Column, ranks: Column) -> Column:
     return F.when(rank(word).isNotNull(), F.array(rank(word))).otherwise(folded)
 
 
+def encode_words(words: Column, ranks: Column) -> Column:
+    """Ids of every word; the literal stands in the plan once."""
+    return let(ranks, lambda literal: F.transform(words, lambda word: encode_word(word, literal)))
+
+
 def chunks(docs: DataFrame, pattern: str, limit: int = CHUNK_WORDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(``ids``, ``counts``, ``codes``, ``words``): ids of a run of documents, how many words each has, the words' numbers one
     after the other (32-bit), and the distinct words as byte strings."""
-    split = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
-    rows = docs.select(F.col(id_col).alias("doc_id"), split.alias("words"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), split_words(F.coalesce(F.col(text), F.lit("")), pattern).alias("words"))
     schema = T.StructType([T.StructField("ids", T.ArrayType(rows.schema["doc_id"].dataType)),
                            T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("codes", T.BinaryType()),
                            T.StructField("words", T.ArrayType(T.StringType()))])
@@ -156,7 +162,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, limit: int = CHUNK_WO
     """One row per document: ``doc_id`` and ``ids``, little-endian unsigned 32-bit integers."""
     ranks = rank_literal(docs.sparkSession, ranks_path)
     coded = (chunks(docs, pattern, limit, id_col, text)
-             .select("ids", "counts", "codes", F.transform("words", lambda w: encode_word(w, ranks)).alias("pieces")))
+             .select("ids", "counts", "codes", encode_words(F.col("words"), ranks).alias("pieces")))
     schema = T.StructType([T.StructField("doc_id", coded.schema["ids"].dataType.elementType), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import exact_dedup, jaccard_join, kdtree_search, labelled, license_scan, packing, quality, sharding, toxicity
+from paddock.llm import bpe, exact_dedup, jaccard_join, kdtree_search, labelled, license_scan, packing, quality, sharding, toxicity
 from paddock.llm.common import LOWER, UPPER, materialise, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -34,6 +34,17 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Encode every text, decode the ids, and digest both."""
+    coded = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -75,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
     "op8_toxicity": op8_toxicity,
