@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import bpe, exact_dedup, jaccard_join, kdtree_search, labelled, license_scan, packing, quality, sharding, toxicity
+from paddock.llm import bpe, chat_format, exact_dedup, jaccard_join, kdtree_search, labelled, license_scan, packing, quality, sharding, toxicity
 from paddock.llm.common import LOWER, UPPER, materialise, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,6 +26,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_digests(table(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.repair(table(spark, sf_dir, "conversations"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -84,6 +88,7 @@ def op10_kdtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_chat_format": op2_chat_format,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
