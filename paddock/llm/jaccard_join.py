@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -155,21 +155,36 @@ def prefixes(docs: DataFrame, scale, shingle: int = SHINGLE, percent: int = PERC
     return docs.select("text").mapInArrow(run, "s long, fp long")
 
 
+def needed_in_common(n: Column, m: Column, percent: int, slack: int) -> Column:
+    """A lower bound of how many shingles the prefixes of linked documents of n and m shingles share.
+
+    Linked, they share ``t (n + m) / (1 + t)`` in all, of which no more can lie behind either prefix than it leaves."""
+    whole, behind = percent / (100 + percent) * (n + m), (percent - slack) / 100
+    return whole - behind * F.greatest(n, m) - 1
+
+
 def regions(keys: DataFrame, nodes: DataFrame, percent: int = PERCENT, slack: int = SLACK) -> DataFrame:
     """(member ``a``, pivot ``b``): the pivot of a shingle is the smallest document that holds it.
 
     A document leaves the regions that few of its shingles lead to.  Linked documents of n >= m >= t n shingles
     share ``slack m`` in their prefixes; each leaves less than ``slack t / (1 + t)`` of its own number behind, together
-    less than ``slack m``, so one shingle's region at least keeps them both."""
+    less than ``slack m``, so one shingle's region at least keeps them both.  It also leaves a region where it
+    can't be linked with a document of any size in it, as it has too few shingles that any other one has."""
     spark = keys.sparkSession
     shared = (keys.groupBy("s").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last"))
               .where("pivot <> last").select("s", "pivot"))
     shared = materialise(spark, shared, "shared")
-    led = (keys.join(shared, "s").where("fp <> pivot").groupBy(F.col("fp").alias("a"), F.col("pivot").alias("b"))
-           .agg(F.count(F.lit(1)).alias("c")))
-    below = F.sum("c").over(Window.partitionBy("a").orderBy("c", "b"))  # a document has at most its prefix of regions
-    led = led.join(nodes.select(F.col("fp").alias("a"), "n"), "a").withColumn("below", below)
-    return led.where(F.col("below") * (100 * (100 + percent)) >= slack * percent * F.col("n")).select("a", "b")
+    led = keys.join(shared, "s").groupBy(F.col("fp").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    one = Window.partitionBy("a")  # a document has at most its prefix of regions
+    others = F.when(F.col("a") != F.col("b"), F.col("c")).otherwise(0)
+    led = led.withColumn("common", F.sum("c").over(one)).withColumn("below", F.sum(others).over(one.orderBy(others, "b")))
+    led = led.join(nodes.select(F.col("fp").alias("a"), "n"), "a")
+    led = materialise(spark, led.where((F.col("a") == F.col("b")) | (F.col("below") * (100 * (100 + percent)) >= slack * percent * F.col("n"))), "led")
+    sizes = led.groupBy("b").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    low = F.greatest(F.col("least"), F.col("n") * (percent / 100))
+    high = F.least(F.col("most"), F.col("n") / (percent / 100))
+    bound = F.least(needed_in_common(F.col("n"), low, percent, slack), needed_in_common(F.col("n"), high, percent, slack))
+    return led.where("a <> b").join(sizes, "b").where(F.col("common") >= bound).select("a", "b", "common")
 
 
 def needed_sets(docs: DataFrame, nodes: DataFrame, needed: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -234,15 +249,17 @@ def undecided(members: DataFrame, roots: DataFrame, radius: float) -> DataFrame:
     return rows.join(windows, ["cell", "class"], "left_semi").drop("class")
 
 
-def leaf_pairs(small: DataFrame, sizes: DataFrame, radius: float, percent: int) -> DataFrame:
-    """Pairs of different components, within window and size ratio, of cells of at most ``LEAF`` members."""
-    rows = small.join(sizes.select(F.col("fp").alias("node"), "n"), "node")
-    cells = rows.groupBy("cell").agg(F.collect_list(F.struct("node", "root", "d", "n")).alias("all"))
+def leaf_pairs(small: DataFrame, sizes: DataFrame, radius: float, percent: int, slack: int = SLACK) -> DataFrame:
+    """Pairs of different components that windows, sizes and shared shingles leave, of cells of at most ``LEAF`` members;
+    ``sizes``: ``node``, ``n`` and ``common``, a bound of what its prefix shares with any other."""
+    rows = small.join(sizes, "node")
+    cells = rows.groupBy("cell").agg(F.collect_list(F.struct("node", "root", "d", "n", "common")).alias("all"))
     one = cells.select("all", F.explode("all").alias("x"))
     pair = one.select("x", F.explode("all").alias("y"))
     fits = ((F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
             & (F.abs(F.col("x.d") - F.col("y.d")) <= radius + 1e-9)
-            & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
+            & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+            & (F.least("x.common", "y.common") >= needed_in_common(F.col("x.n"), F.col("y.n"), percent, slack)))
     return pair.where(fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
@@ -266,24 +283,30 @@ def join_regions(spark: SparkSession, pairs: DataFrame, nodes: DataFrame, sets:
                  percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
     """``node``, ``root`` of every node that is linked; ``pairs`` are the (member ``a``, pivot ``b``) of regions."""
     radius = 1 - percent / 100
-    met = materialise(spark, distances(pairs, sets, percent), "regions")
+    sizes = materialise(spark, pairs.groupBy(F.col("a").alias("node")).agg(F.max("common").alias("common"))
+                        .join(nodes.select(F.col("fp").alias("node"), "n"), "node"), "sizes")
+    met = materialise(spark, distances(pairs.select("a", "b"), sets, percent), "regions")
     roots = components(spark, met.where("link"))
     # A pivot is a member of its own region at distance 0, but has met everyone in it.
     members = met.select(F.col("b").alias("cell"), F.col("a").alias("node"), "d")
-    k = 16
+    k, small = 0, 0
     while True:
         left = materialise(spark, undecided(members, roots, radius), "undecided")
-        sizes = left.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
-        left = left.join(sizes, "cell")
+        many = left.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
+        left = left.join(many, "cell")
         if left.isEmpty():
             return roots
-        few = materialise(spark, leaf_pairs(left.where(F.col("m") <= leaf), nodes, radius, percent), "leaf-pairs")
+        few = materialise(spark, leaf_pairs(left.where(F.col("m") <= small), sizes, radius, percent), "leaf-pairs")
         checked = distances(few, sets, percent)
-        large = left.where(F.col("m") > leaf)
-        # About k pivots a cell, by hash, and its smallest member: one at least.
+        large = left.where(F.col("m") > small)
+        # A cell's member nearest to the last pivot is near the middle of a family of copies: it goes first, alone.
+        # Later it is joined by about k members, by hash.
+        first = large.groupBy("cell").agg(F.min(F.struct("d", "node")).alias("near")).select("cell", F.col("near.node").alias("pivot"))
         chance = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(1 << 30)) < (1 << 30) * k / F.col("m")
-        first = large.groupBy("cell").agg(F.min("node").alias("pivot"))
         pivots = large.where(chance).select("cell", F.col("node").alias("pivot")).unionByName(first).distinct()
+        pivots = materialise(spark, pivots, "pivots")
+        if pivots.isEmpty():
+            return _merge(spark, roots, checked.where("link").select("a", "b"))
         meet = large.join(pivots, "cell").where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"), "cell")
         meet = materialise(spark, distances(materialise(spark, meet, "voronoi-pairs"), sets, percent), "voronoi")
         roots = _merge(spark, roots, checked.where("link").select("a", "b").unionByName(meet.where("link").select("a", "b")))
@@ -301,7 +324,7 @@ def join_regions(spark: SparkSession, pairs: DataFrame, nodes: DataFrame, sets:
         whole = (rest.join(first.select("cell", F.col("pivot").alias("b")), ["cell", "b"]).join(thin, "cell", "left_anti")
                  .select("cell", F.col("a").alias("node"), "d"))
         members = split.unionByName(whole)
-        k *= 4
+        k, small = max(16, 4 * k), leaf
 
 
 def jaccard_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, bits: int = SKETCH_BITS,
