@@ -53,8 +53,18 @@ def test_nulls_empties_long_words_ties_and_clashing_columns(spark, library):
 
     check(bpe_digests(docs).collect(), texts, library)
     assert bpe_digests(docs.limit(0)).collect() == []
-    few = bpe.decode(bpe.encode(docs, RANKS, PATTERN, limit=5), RANKS).collect()  # a chunk for every document or two
-    assert sorted((bytes(r.decoded) for r in few)) == sorted((t or "").encode() for _, t in texts)
+    for style in ("task", "native"):  # a chunk for every document or two
+        few = bpe.decode(bpe.encode(docs, RANKS, PATTERN, limit=5, style=style), RANKS).collect()
+        assert sorted((bytes(r.decoded) for r in few)) == sorted((t or "").encode() for _, t in texts)
+        assert sorted(np.frombuffer(bytes(r.ids), "<u4").tolist() for r in few) == sorted(library.encode_ordinary(t or "") for _, t in texts)
+
+
+@given(st.binary(min_size=1, max_size=200) | st.text("ab the in", min_size=1, max_size=300).map(str.encode))
+@settings(max_examples=300, deadline=None)
+def test_folds_against_the_library(library, word):
+    rank = tokens.ranks(RANKS)
+    assert bpe.fold_word(word, rank) == library._core_bpe.encode_single_piece(word)
+    assert rank.get(word) is not None or bpe._fold_long(word, rank) == library._core_bpe.encode_single_piece(word)
 
 
 @given(words=st.lists(st.text(alphabet=st.characters(exclude_categories=["Cs"]), min_size=1, max_size=24) | st.text("abcdeinorst ", min_size=1, max_size=24),
