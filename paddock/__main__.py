@@ -19,6 +19,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--lake", required=True, help="root folder of bronze/silver/gold (shared file system)")
     p.add_argument("--import-archive", help="folder of <kind>_checkpoint_<year>_r<round>[_<R|Q>].parquet files")
     p.add_argument("--seasons", type=int, nargs="*", help="seasons to refresh (default: all found)")
+    p.add_argument("--resume-year", type=int, help="only seasons from this one on")
     p.add_argument("--rounds", type=int, nargs="*", help="rounds to refresh")
     p.add_argument("--sessions", nargs="*", choices=["R", "Q"], help="session types to refresh")
     p.add_argument("--strict", action="store_true", help="fail if a requested season has no bronze files")
@@ -49,7 +50,7 @@ def main(argv=None, spark=None) -> int:
         report["incremental"] = "done"
     else:
         sessions = medallion.select_sessions(spark, lake, args.seasons, args.rounds, args.sessions,
-                                             strict=args.strict)
+                                             strict=args.strict, resume_year=args.resume_year)
         report["sessions"] = len(sessions)
         if sessions:
             report["silver"] = medallion.run_silver(spark, lake, sessions, on_duplicate=args.on_duplicate)

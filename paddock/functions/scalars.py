@@ -36,25 +36,37 @@ def to_micros(c) -> Column:
     return (F.signum(c) * F.floor(F.abs(c) * float(MICROS) + 0.5)).cast("long")
 
 
+# Magnitudes beyond which the exact paths would overflow: values are then rounded as doubles.
+AVG_LIMIT, DECIMAL_LIMIT = 1e9, 1e11
+
+
 def round_avg(c, scale: int) -> Column:
     """``round(avg(x), scale)`` as DOUBLE, averaged exactly.
 
     avg = sum(micros) / count, kept in decimal at 6 places of a micro-unit,
-    rounded half-up to ``scale`` places of the unit; NULL for no values.
+    rounded half-up to ``scale`` places of the unit; NULL for no values.  A group that holds a value
+    beyond ``AVG_LIMIT`` (or a non-finite one, or whose sum overflows) gets its plain double average.
     """
     c = _c(c)
-    avg_micros = F.try_divide(F.sum(to_micros(c)).cast("decimal(38,0)"), F.count(c))
-    return (F.round(avg_micros, scale - 6).cast("double") / float(MICROS))
+    small = F.abs(c) <= AVG_LIMIT
+    total = F.try_sum(F.when(small, to_micros(F.when(small, c))))
+    exact = F.round(F.try_divide(total.cast("decimal(38,0)"), F.count(c)), scale - 6).cast("double") / float(MICROS)
+    return F.when((F.max(F.abs(c)) <= AVG_LIMIT) & total.isNotNull(), exact).otherwise(F.round(F.avg(c), scale))
+
+
+def _round_exact(value: Column, scale: int) -> Column:
+    return F.when(F.abs(value) <= DECIMAL_LIMIT, F.round(value.try_cast(EXACT), scale).cast("double")).otherwise(
+        F.round(value, scale))
 
 
 def round_min(c, scale: int) -> Column:
     """``round(min(x), scale)`` as DOUBLE."""
-    return F.round(F.min(_c(c)).cast(EXACT), scale).cast("double")
+    return _round_exact(F.min(_c(c)), scale)
 
 
 def round_max(c, scale: int) -> Column:
     """``round(max(x), scale)`` as DOUBLE."""
-    return F.round(F.max(_c(c)).cast(EXACT), scale).cast("double")
+    return _round_exact(F.max(_c(c)), scale)
 
 
 def round_half_up(c, scale: int) -> Column:

@@ -20,75 +20,45 @@ from pyspark.sql import types as T
 from paddock import schemas
 
 
-def _slices_frame(spark, slices: Iterable[tuple], slice_key: list[str]) -> DataFrame:
-    """A caller-given list of slices (bounded by the caller) as a frame with declared types."""
-    declared = {f.name: f.dataType for f in schemas.SILVER_LAPS.fields}
-    schema = T.StructType([T.StructField(k, declared.get(k, T.StringType()), False) for k in slice_key])
-    return spark.createDataFrame([tuple(s) for s in slices], schema)
-
-
 def anti_join_keys(target: DataFrame, stage: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``target`` whose key has no match in ``stage`` (NULL never matches)."""
     return target.join(stage.select(*key).distinct(), on=key, how="left_anti")
 
 
-# Session sets are tiny (a few dozen per season).  Up to MAX_SLICES_INLINE they
-# become a partition predicate; up to MAX_SLICES a broadcast frame whose size
-# is the (checked) list length; beyond that an ordinary join that AQE plans
-# from measured sizes — exact in every case, no session is ever dropped.
-MAX_SLICES_INLINE = 1_000
-MAX_SLICES = 1_000_000
-
-
-def slice_predicate(slices: list[tuple], slice_key: list[str]) -> Column:
-    """``(year = y AND round = r AND session_type = s) OR ...`` — prunes stored partitions."""
-    cond = F.lit(False)
-    for s in slices:
-        one = F.lit(True)
-        for k, v in zip(slice_key, s):
-            one = one & (F.col(k) == F.lit(v))
-        cond = cond | one
-    return cond
+def slice_predicate(slices: Iterable[tuple], slice_key: list[str]) -> Column:
+    """``(year, round, session_type) IN ((y, r, s), ...)``: one flat set, whatever its length.
 
+    On partition columns it prunes stored folders; elsewhere a row costs one lookup.  Written as SQL
+    text, so thousands of sessions are parsed in one go."""
+    def literal(v) -> str:
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(int(v))
 
-def session_list(sessions, slice_key: list[str] | None = None):
-    """A session set as a list when it is small (a frame is read once, at most ``MAX_SLICES``
-    rows); otherwise the distinct frame itself, to be joined."""
-    if isinstance(sessions, DataFrame):
-        return stage_slices(sessions, slice_key)
-    return [tuple(s) for s in sessions]
+    listed = [f"({', '.join(literal(v) for v in s)})" for s in slices if all(v is not None for v in s)]
+    if not listed:
+        return F.lit(False)
+    return F.expr(f"({', '.join(f'`{k}`' for k in slice_key)}) IN ({', '.join(listed)})")
 
 
 def restrict_to_slices(df: DataFrame, slices, slice_key: list[str] | None = None,
                        keep: bool = True) -> DataFrame:
     """Rows in (``keep``) or outside (not ``keep``) the given slices.
 
-    Small lists never shuffle ``df`` (predicate or checked broadcast); a frame
-    (more sessions than ``MAX_SLICES``) is joined exactly, planned by AQE.
+    A list the caller holds becomes a predicate on the slice columns; a frame of slices is
+    joined (planned by AQE) and never brought to the driver.  A row with a NULL slice column is
+    in no slice: outside, never lost.
     """
     slice_key = slice_key or schemas.SLICE_KEY
-    how = "left_semi" if keep else "left_anti"
     if isinstance(slices, DataFrame):
-        return df.join(slices.select(*slice_key).distinct(), on=slice_key, how=how)
-    if len(slices) > MAX_SLICES:
-        return df.join(_slices_frame(df.sparkSession, slices, slice_key), on=slice_key, how=how)
-    if len(slices) <= MAX_SLICES_INLINE:
-        # NULL-safe: a row with a NULL slice column is in no slice (kept, never lost).
-        inside = F.coalesce(slice_predicate(slices, slice_key), F.lit(False))
-        return df.filter(inside if keep else ~inside)
-    listed = F.broadcast(_slices_frame(df.sparkSession, slices, slice_key))   # size = len(slices) <= MAX_SLICES
-    return df.join(listed, on=slice_key, how=how)
-
-
-def stage_slices(stage: DataFrame, slice_key: list[str] | None = None):
-    """The distinct sessions in ``stage``: a list if at most ``MAX_SLICES`` (one small
-    aggregate; at most that many rows reach the driver), else the distinct frame."""
-    slice_key = slice_key or schemas.SLICE_KEY
-    distinct = stage.select(*slice_key).distinct()
-    rows = distinct.limit(MAX_SLICES + 1).collect()
-    if len(rows) > MAX_SLICES:
-        return distinct
-    return [tuple(r) for r in rows]
+        return df.join(slices.select(*slice_key).distinct(), on=slice_key, how="left_semi" if keep else "left_anti")
+    inside = F.coalesce(slice_predicate(slices, slice_key), F.lit(False))
+    return df.filter(inside if keep else ~inside)
+
+
+def stage_slices(stage: DataFrame, slice_key: list[str] | None = None) -> DataFrame:
+    """The distinct sessions in ``stage``, as a frame."""
+    return stage.select(*(slice_key or schemas.SLICE_KEY)).distinct()
 
 
 def replace_slices(target: DataFrame, stage: DataFrame, requested: Iterable[tuple] | None = None,
@@ -98,15 +68,16 @@ def replace_slices(target: DataFrame, stage: DataFrame, requested: Iterable[tupl
     An empty stage still deletes its requested slices.  Stage rows outside
     the requested slices are not inserted (their data disagrees with the
     session they were delivered for).  ``requested=None`` means "the slices
-    present in the stage" (one small aggregate over the stage to find them).
+    present in the stage".
 
-    No join touches the target: the session set is a partition predicate, or
-    for long lists a broadcast of a frame whose size is the list length —
-    other sessions stream through untouched, and a session holding a large
-    share of all rows is never gathered into one task.
+    A list of sessions is a predicate: nothing is joined, other sessions stream
+    through untouched, and a session holding a large share of all rows is never
+    gathered into one task.  A frame of sessions is semi- and anti-joined.
     """
     slice_key = slice_key or schemas.SLICE_KEY
-    slices = session_list(requested, slice_key) if requested is not None else stage_slices(stage, slice_key)
+    slices = stage_slices(stage, slice_key) if requested is None else requested
+    if not isinstance(slices, DataFrame):
+        slices = [tuple(x) for x in slices]
     columns = target.columns
     kept = restrict_to_slices(target, slices, slice_key, keep=False)
     inserted = restrict_to_slices(stage, slices, slice_key, keep=True)
@@ -160,6 +131,27 @@ def not_null_split(df: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]
     return df.filter(ok), df.filter(~ok)
 
 
+def rejects(df: DataFrame, key: list[str]) -> DataFrame:
+    """Rows that the key's constraints leave out, with a ``reason``: ``null key``, or ``duplicate key`` for every row of
+    a key but the one that :func:`dedup_by_key` keeps."""
+    accepted, null = not_null_split(df, key)
+    repeated = pk_violations(accepted, key).select(*key)
+    kept = dedup_by_key(accepted.join(repeated, key, "left_semi"), key)
+    # As many copies of a row as there are, less the one kept.
+    same = df.columns
+    counted = accepted.join(repeated, key, "left_semi").groupBy(*same).agg(F.count(F.lit(1)).alias("_n"))
+    kept = kept.select(*[F.col(c).alias(f"_kept_{c}") for c in same], F.lit(1).alias("_kept"))
+    on = [F.col(c).eqNullSafe(F.col(f"_kept_{c}")) for c in same]
+    left = counted.join(kept, on, "left").select(*same, (F.col("_n") - F.coalesce("_kept", F.lit(0))).alias("_n"))
+    extra = left.where("_n > 0").select(*same, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")).drop("_copy")
+    return (null.withColumn("reason", F.lit("null key"))
+            .unionByName(extra.withColumn("reason", F.lit("duplicate key"))))
+
+
+def reject_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*[T.StructField(f.name, f.dataType) for f in schema.fields], T.StructField("reason", T.StringType())])
+
+
 def not_null_violations(df: DataFrame, key: list[str]) -> DataFrame:
     """R4 report: per key column, how many rows hold NULL there (one pass)."""
     counts = df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in key])

@@ -33,23 +33,36 @@ class Layout:
         schema, key = schemas.TARGETS[table]
         return tables.SliceTable(f"{self.root}/silver/{table}", schema, key)
 
+    def rejects(self, table: str) -> tables.SliceTable:
+        schema, key = schemas.TARGETS[table]
+        return tables.SliceTable(f"{self.root}/rejects/{table}", refresh.reject_schema(schema), key)
+
     def gold(self, table: str) -> tables.VersionedTable:
         schema, key = schemas.TARGETS[table]
         part = ["year", "session_type"] if table == "gold_driver_performance" else []
         return tables.VersionedTable(f"{self.root}/gold/{table}", schema, key, part)
 
 
+def silver_rows(spark: SparkSession, layout: Layout, table: str, sessions=None) -> DataFrame:
+    """Bronze of every selected session -> cleaned silver rows, constraints not yet checked."""
+    _, transform = silver.TRANSFORMS[table]
+    return transform(bronze.scan_bronze(spark, layout.bronze, SILVER_KINDS[table], sessions))
+
+
 def silver_stage(spark: SparkSession, layout: Layout, table: str, sessions=None,
                  on_duplicate: str = "dedup") -> DataFrame:
-    """Bronze of every selected session -> cleaned silver rows (not yet written)."""
-    kind = SILVER_KINDS[table]
-    _, transform = silver.TRANSFORMS[table]
-    df = transform(bronze.scan_bronze(spark, layout.bronze, kind, sessions))
+    """Cleaned silver rows that satisfy NOT NULL (and, with ``dedup``, uniqueness) of their key."""
     key = schemas.key_of(table)
-    accepted, _ = refresh.not_null_split(df, key)
-    if on_duplicate == "dedup":
-        accepted = refresh.dedup_by_key(accepted, key)
-    return accepted
+    accepted, _ = refresh.not_null_split(silver_rows(spark, layout, table, sessions), key)
+    return refresh.dedup_by_key(accepted, key) if on_duplicate == "dedup" else accepted
+
+
+def write_rejects(spark: SparkSession, layout: Layout, table: str, sessions=None) -> int:
+    """Rows that silver leaves out for their key, with a reason, kept under ``rejects/<table>``.
+    The rejects of a refreshed session replace those of its last refresh."""
+    rejected = refresh.rejects(silver_rows(spark, layout, table, sessions), schemas.key_of(table))
+    target = layout.rejects(table)
+    return target.refresh(spark, rejected, requested=sessions, check_key=False)["rows"]
 
 
 def concurrently(jobs: dict, workers: int = 3) -> dict:
@@ -80,15 +93,16 @@ def run_silver(spark: SparkSession, layout: Layout, sessions: list[tuple] | None
         if not tables.path_exists(spark, f"{layout.bronze}/{kind}"):
             out[table] = {"skipped": "no bronze files of this kind"}
             continue
-        wanted = sessions
-        if sessions is not None:
-            present = {tuple(r) for r in bronze.discover_partition_sessions(spark, layout.bronze, kind).collect()}
-            wanted = [tuple(s) for s in sessions if tuple(s) in present]
+        # One entry per session of this kind; all of them are replaced when none are named, so that a
+        # session whose rows were all cleaned away loses its old ones.
+        present = sorted(tuple(r) for r in bronze.discover_partition_sessions(spark, layout.bronze, kind).collect())
+        wanted = present if sessions is None else [tuple(s) for s in sessions if tuple(s) in set(present)]
 
         def job(table=table, wanted=wanted):
             stage = silver_stage(spark, layout, table, wanted, on_duplicate)
-            return layout.silver(table).refresh(spark, stage, requested=wanted,
-                                                check_key=(on_duplicate == "fail"))
+            report = layout.silver(table).refresh(spark, stage, requested=wanted,
+                                                  check_key=(on_duplicate == "fail"))
+            return report | {"rejected_rows": write_rejects(spark, layout, table, wanted)}
         jobs[table] = job
     out.update(concurrently(jobs, 3 if parallel else 1))
     return {t: out[t] for t in SILVER_KINDS if t in out}
@@ -108,8 +122,8 @@ def run_gold(spark: SparkSession, layout: Layout, mode: str = "upsert") -> dict:
 
 
 def select_sessions(spark: SparkSession, layout: Layout, seasons=None, rounds=None, session_types=None,
-                    kind: str = "laps", strict: bool = False) -> list[tuple]:
-    """Sessions present in bronze that match the filters.
+                    kind: str | None = None, strict: bool = False, resume_year: int | None = None) -> list[tuple]:
+    """Sessions present in bronze (in any kind, unless one is named) that match the filters.
 
     With ``strict`` a requested season without any session is an error (the
     original raised when a year had no files).  Returns a session list: small,
@@ -117,14 +131,18 @@ def select_sessions(spark: SparkSession, layout: Layout, seasons=None, rounds=No
     """
     from paddock.operators import selection
 
-    found = selection.select_rounds_sessions(
-        selection.select_seasons(bronze.discover_partition_sessions(spark, layout.bronze, kind), seasons),
-        rounds, session_types)
-    sessions = sorted(tuple(r) for r in found.collect())
+    sessions: set[tuple] = set()
+    for one in [kind] if kind else schemas.KINDS:
+        if tables.path_exists(spark, f"{layout.bronze}/{one}"):
+            found = selection.select_rounds_sessions(
+                selection.select_seasons(bronze.discover_partition_sessions(spark, layout.bronze, one), seasons,
+                                         resume_year), rounds, session_types)
+            sessions |= {tuple(r) for r in found.collect()}
+    sessions = sorted(sessions)
     if strict and seasons is not None:
         missing = sorted(set(int(y) for y in seasons) - {s[0] for s in sessions})
         if missing:
-            raise FileNotFoundError(f"no bronze sessions for seasons {missing} under {layout.bronze}/{kind}")
+            raise FileNotFoundError(f"no bronze sessions for seasons {missing} under {layout.bronze}")
     return sessions
 
 
@@ -139,6 +157,10 @@ def import_archive(spark: SparkSession, archive: str, layout: Layout) -> dict:
     listing = bronze.parse_checkpoint_listing(bronze.list_files(spark, archive, recursive=True))
     chosen = bronze.prefer_suffixed(listing.select("kind", "year", "round", "session_type", "file_name",
                                                    "is_legacy"))
+    for kind in schemas.KINDS:  # S8: sessions that are there already are not read again
+        if tables.path_exists(spark, f"{layout.bronze}/{kind}"):
+            there = bronze.discover_partition_sessions(spark, layout.bronze, kind).withColumn("kind", F.lit(kind))
+            chosen = chosen.join(there, on=["kind", *schemas.SLICE_KEY], how="left_anti")
     entries = (listing.join(chosen.select("kind", "file_name"), on=["kind", "file_name"], how="left_semi")
                .select("kind", "entry").distinct().collect())
     by_kind: dict[str, list[str]] = {}
@@ -150,6 +172,8 @@ def import_archive(spark: SparkSession, archive: str, layout: Layout) -> dict:
         if kind == "tel":
             accepted = conform_car_driver(accepted)
         bronze.write_bronze(accepted.drop("_path"), layout.bronze, kind)
+        rejects = f"{layout.root}/rejects/bronze_{kind}"
+        rejected.withColumn("reason", F.lit("labels disagree with the file name")).write.mode("append").parquet(rejects)
         out[kind] = {"files": len(paths), "rejected_rows": rejected.count()}
     return out
 

@@ -382,6 +382,14 @@ ORACLE["dedup_laps"] = with_ctes(["silver_laps"], f"""SELECT * EXCLUDE (rn) FROM
   SELECT *, row_number() OVER (PARTITION BY {SILVER_KEY}
     ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in SILVER_OTHERS.split(', '))}) AS rn
   FROM silver_laps) d WHERE rn = 1""")
+_KEY_NULL = " OR ".join(f"{k} IS NULL" for k in SILVER_KEY.split(", "))
+ORACLE["silver_rejects"] = with_ctes(["silver_laps"], f"""
+  SELECT year, round, session_type, 'null key' AS reason, count(*) AS row_count
+  FROM silver_laps WHERE {_KEY_NULL} GROUP BY year, round, session_type
+  UNION ALL
+  SELECT year, round, session_type, 'duplicate key', CAST(sum(n - 1) AS BIGINT)
+  FROM (SELECT {SILVER_KEY}, count(*) AS n FROM silver_laps WHERE NOT ({_KEY_NULL}) GROUP BY {SILVER_KEY}) k
+  WHERE n > 1 GROUP BY year, round, session_type""")
 ORACLE["not_null_violations"] = with_ctes(["silver_laps"], "\n  UNION ALL ".join(
     f"SELECT '{k}' AS column_name, CAST(count_if({k} IS NULL) AS BIGINT) AS null_rows FROM silver_laps"
     for k in DRIVER_KEY.split(", ")))
@@ -410,6 +418,13 @@ ORACLE["contract_view"] = with_ctes(["gold_driver"], """SELECT year, grand_prix,
 # 2.1 sources and sinks
 ORACLE["bronze_write_roundtrip"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw")
 ORACLE["bronze_scan"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE session_type IN ('R', 'Q')")
+_SPEED = "CASE WHEN round = 1 THEN floor(SpeedST) ELSE SpeedST END"
+ORACLE["bronze_scan_mixed"] = with_ctes(["laps_raw"], f"""SELECT year, round, session_type, count(*) AS row_count,
+  count(CASE WHEN round = 1 THEN 1 END) AS with_position,
+  max(CASE WHEN round = 1 THEN CAST(CAST(LapNumber AS BIGINT) % 20 AS DOUBLE) END) AS max_position,
+  {MAX(_SPEED, 1)} AS max_speed
+  FROM laps_raw GROUP BY year, round, session_type""")
+ORACLE["bronze_scan_many_sessions"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE session_type IN ('R', 'Q')")
 ORACLE["discover_sessions"] = with_ctes(["laps_raw"], "SELECT DISTINCT year, round, session_type FROM laps_raw")
 ORACLE["legacy_session_default"] = with_ctes(["checkpoint_files"], f"""SELECT kind, year, round, session_type,
   file_name, is_legacy FROM (

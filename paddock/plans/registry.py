@@ -475,6 +475,53 @@ def q_bronze_scan(spark, sf_dir):
         *fx.laps_raw(spark, sf_dir).columns)
 
 
+MIXED_POSITION_ROUND = 1    # sessions of this round have a Position column, and BIGINT speeds
+
+
+def mixed_bronze(spark, sf_dir):
+    """Bronze laps written by two writers whose columns and physical types differ."""
+    from paddock.plans.medallion import Layout
+    from paddock.session import scratch_path
+    from paddock.sources import bronze
+    layout = Layout(scratch_path(spark, "bronze-mixed"))
+    laps = fx.laps_raw(spark, sf_dir)
+    with_position = (laps.where(F.col("round") == MIXED_POSITION_ROUND)
+                     .withColumn("Position", (F.col("LapNumber") % 20).cast("bigint"))
+                     .withColumn("SpeedST", F.floor("SpeedST").cast("bigint")))
+    bronze.write_bronze(laps.where(F.col("round") != MIXED_POSITION_ROUND), layout.bronze, "laps")
+    bronze.write_bronze(with_position, layout.bronze, "laps")
+    return layout
+
+
+@query("bronze_scan_mixed")
+def q_bronze_scan_mixed(spark, sf_dir):
+    from paddock.sources import bronze
+    scan = bronze.scan_bronze(spark, mixed_bronze(spark, sf_dir).bronze, "laps")
+    return scan.groupBy("year", "round", "session_type").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("Position").alias("with_position"),
+        F.max("Position").alias("max_position"), scalars.round_max("SpeedST", 1).alias("max_speed"))
+
+
+@query("bronze_scan_many_sessions")
+def q_bronze_scan_many_sessions(spark, sf_dir):
+    """Every session of the view among thousands that have no files."""
+    from paddock.sources import bronze
+    layout = bronze_layout(spark, sf_dir)
+    wanted = [(y, r, s) for y in range(1800, 2100) for r in range(1, 13) for s in schemas.SESSION_TYPES]
+    return bronze.scan_bronze(spark, layout.bronze, "laps", sessions=wanted).select(
+        *fx.laps_raw(spark, sf_dir).columns)
+
+
+@query("silver_rejects")
+def q_silver_rejects(spark, sf_dir):
+    """R4 end to end: what a silver run leaves out for its key, read back with the reasons."""
+    from paddock.plans import medallion
+    layout = bronze_layout(spark, sf_dir)
+    medallion.write_rejects(spark, layout, "silver_laps")
+    stored = layout.rejects("silver_laps").read(spark)
+    return stored.groupBy("year", "round", "session_type", "reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query("discover_sessions")
 def q_discover_sessions(spark, sf_dir):
     from paddock.sources import bronze

@@ -99,6 +99,15 @@ BRONZE_TYPES = {
     "Time": D, "AirTemp": D, "TrackTemp": D, "Humidity": D, "WindSpeed": D,
     "WindDirection": I, "Pressure": D, "Rainfall": B,
 }
+
+def bronze_schema(kind: str) -> T.StructType:
+    """Declared columns of a kind's bronze files; a column that a file lacks reads as NULL."""
+    columns = {"laps": [*LAPS_REQUIRED, "Position"], "tel": CAR_DATA_REQUIRED, "weather": WEATHER_REQUIRED}[kind]
+    labels = [c for c in columns if c in SLICE_KEY]
+    rest = [c for c in columns if c not in SLICE_KEY]
+    return T.StructType([T.StructField(c, BRONZE_TYPES[c]) for c in [*rest, *labels, "session_type"]])
+
+
 # Bronze columns holding durations (seconds once conformed).
 DURATION_COLUMNS = {"LapTime", "Sector1Time", "Sector2Time", "Sector3Time", "Time"}
 

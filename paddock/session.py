@@ -60,7 +60,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Unset only in local tests: choose our own once per session.
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # Unset in local runs only: choose our own once per session.
         root = tempfile.mkdtemp(prefix="paddock-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -82,21 +84,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 MB = 1 << 20
 
 
-def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * MB) -> int:
+def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * MB,
+                   most: int = 20_000) -> int:
     """Size shuffles and scan splits for the data about to be processed.
 
-    Initial shuffle partitions ~ input / 128 MB (never fewer than twice the
-    cores), so each reduce task holds a slice that fits executor memory at any
-    scale; AQE then coalesces the ones that turn out small.  Scan splits of
-    256 MB keep task counts manageable for large inputs.  Runtime SQL settings
-    only — nothing a deployment fixed at startup is overridden.
+    Initial shuffle partitions ~ input / 128 MB, at least twice the cores and at most ``most`` (each map
+    task reports a size per partition to the driver); AQE then coalesces the ones that turn out small.  Scan
+    splits of 256 MB keep task counts manageable.  What the deployment has set itself is left alone.
     """
     cores = spark.sparkContext.defaultParallelism
-    n = max(2 * cores, -(-int(input_bytes) // partition_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(2 * partition_bytes))
-    return n
+    n = min(most, max(2 * cores, -(-int(input_bytes) // partition_bytes)))
+    given = spark.sparkContext.getConf()
+    for key, value in {"spark.sql.shuffle.partitions": n, "spark.sql.adaptive.advisoryPartitionSizeInBytes": partition_bytes,
+                       "spark.sql.files.maxPartitionBytes": 2 * partition_bytes}.items():
+        if not given.contains(key):
+            spark.conf.set(key, str(value))
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -44,9 +44,12 @@ def write_bronze(df: DataFrame, root: str, kind: str, mode: str = "overwrite") -
 
     With dynamic partition overwrite only the sessions present in ``df`` are
     replaced, so re-ingesting a session is idempotent and leaves the others
-    alone.  Timestamps are stored as microsecond TIMESTAMP_NTZ.
+    alone.  Columns are stored under their declared names and types (S2, P1, P11, P12), so files of
+    one kind always read together; timestamps as microsecond TIMESTAMP_NTZ.
     """
     path = f"{root.rstrip('/')}/{kind}"
+    table = next(t for t, k in schemas.BRONZE_PREFIX.items() if k == kind)
+    df = conform.conform_bronze_types(conform.rename_bronze_columns(df, table))
     (clustered_by_slice(df).write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*schemas.SLICE_KEY).parquet(path))
     return path
@@ -132,18 +135,19 @@ def scan_bronze(spark: SparkSession, root: str, kind: str, sessions=None, with_s
 
     ``sessions`` (a list of (year, round, session_type) or a small frame of
     them) becomes a predicate on the partition columns, so only those session
-    folders are listed and read — static partition pruning, no join.
+    folders are read — static partition pruning, no join.  The schema is the kind's declared
+    one: no footer is read to infer it, and a column that only some sessions have is NULL in the others.
     """
-    from paddock.operators.refresh import restrict_to_slices, session_list
+    from paddock.operators.refresh import restrict_to_slices
 
     path = f"{root.rstrip('/')}/{kind}"
-    df = spark.read.option("basePath", path).parquet(path)
+    df = spark.read.schema(schemas.bronze_schema(kind)).option("basePath", path).parquet(path)
     if with_source:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     df = df.withColumns({"year": F.col("year").cast("int"), "round": F.col("round").cast("int"),
                          "session_type": F.col("session_type").cast("string")})
     if sessions is not None:
-        df = restrict_to_slices(df, session_list(sessions))
+        df = restrict_to_slices(df, sessions)
     return df
 
 
@@ -183,9 +187,24 @@ def read_checkpoint_files(spark: SparkSession, paths: Iterable[str]) -> DataFram
     * labels come from the file name (``file_year``, ``file_round``,
       ``file_session_type``) next to whatever the data carries;
     * conflicting physical schemas are read per schema group and unioned.
+
+    The rows are written once to the shared folder and read from there: the archive is scanned once
+    however often the result is used, and the reader setting for nanoseconds is put back.
     """
-    paths = list(paths)
+    from paddock.sources.tables import materialize
+
+    before = spark.conf.get(NANOS_AS_LONG, None)
     spark.conf.set(NANOS_AS_LONG, "true")
+    try:
+        return materialize(spark, _conformed_checkpoints(spark, list(paths)), "checkpoint-rows")
+    finally:
+        if before is None:
+            spark.conf.unset(NANOS_AS_LONG)
+        else:
+            spark.conf.set(NANOS_AS_LONG, before)
+
+
+def _conformed_checkpoints(spark: SparkSession, paths: list[str]) -> DataFrame:
     try:
         groups = [spark.read.option("mergeSchema", "true").parquet(*paths)]
     except Exception as exc:  # noqa: BLE001 - only schema conflicts are expected here
@@ -275,6 +294,8 @@ def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year"
         filesystem, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
         for batch_no, pdf in enumerate(batches):
             out = []
+            if pdf[labels].isna().any(axis=None):
+                raise ValueError(f"a row without {labels} has no session file to go to")
             for (y, r, s), rows in pdf.groupby(labels, sort=False):
                 folder = f"{base}/{kind}_checkpoint_{int(y)}_r{int(r)}_{s}.parquet"
                 filesystem.create_dir(folder, recursive=True)

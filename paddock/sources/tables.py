@@ -11,8 +11,8 @@ Two layouts, both plain Parquet:
   proportional to the refreshed sessions, not to the table.
 
 * **Versioned tables** (gold, small): every refresh writes a complete new
-  version directory, then publishes it by creating the next commit file
-  ``_commits/<n>`` (create-if-absent, atomic on HDFS and object stores).
+  version directory, then publishes it by renaming a complete commit file to
+  ``_commits/<n>``, which fails if that exists (atomic where the store's rename is).
   Readers resolve the newest commit, so they never see half a table, and the
   plan that reads version *n* never writes into it.
 
@@ -57,14 +57,33 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+class AlreadyThere(RuntimeError):
+    """The file to create exists."""
+
+
 def _write_text_once(spark: SparkSession, path: str, text: str) -> None:
-    """Create ``path`` with ``text``; fails if it already exists (the commit point)."""
-    fs, p, jvm = _fs(spark, path)
+    """Create ``path`` with ``text`` all at once: written under another name, then renamed without
+    overwriting (the commit point).  Raises :class:`AlreadyThere` if it exists; any other error is
+    passed on as it is."""
+    from py4j.protocol import Py4JJavaError
+
+    temporary = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    fs, p, jvm = _fs(spark, temporary)
     out = fs.create(p, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    target = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), fs.getConf())
+    no_options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(fs.makeQualified(p), target, no_options)
+    except Py4JJavaError as exc:
+        fs.delete(p, False)
+        if exc.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            raise AlreadyThere(path) from exc
+        raise
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
@@ -177,8 +196,9 @@ class VersionedTable:
         fs, p, _ = _fs(spark, self.commits)
         if not fs.exists(p):
             return 0
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        versions = [int(n) for n in names if n.isdigit()]
+        # A commit without content (a writer of another kind died half-way) is none.
+        versions = [int(s.getPath().getName()) for s in fs.listStatus(p)
+                    if s.getPath().getName().isdigit() and s.getLen() > 0]
         return max(versions) if versions else 0
 
     def current_path(self, spark: SparkSession) -> str | None:
@@ -211,7 +231,7 @@ class VersionedTable:
         writer.parquet(f"{self.root}/{name}")
         try:
             _write_text_once(spark, f"{self.commits}/{base + 1:020d}", name)
-        except Exception as exc:  # noqa: BLE001 - the commit file exists: someone else won
+        except AlreadyThere as exc:  # someone else won
             delete_path(spark, f"{self.root}/{name}")
             raise CommitConflict(f"version {base + 1} of {self.root} was published concurrently") from exc
         return base + 1
@@ -223,7 +243,8 @@ class VersionedTable:
         an aggregate, so small) — like a staging table it survives executor
         loss and is not recomputed for the emptiness check and the merge.
         Optimistic concurrency: if another writer publishes first, the merge
-        is redone on top of its version, so no update is lost.
+        is redone on top of its version, so no update is lost; after ``attempts``
+        conflicts in a row :class:`CommitConflict` is raised and nothing is published.
         """
         from paddock.session import ensure_checkpoint_dir
 
@@ -246,19 +267,14 @@ class VersionedTable:
         return self.commit(spark, df)
 
     def vacuum(self, spark: SparkSession, keep: int = 2) -> list[str]:
-        """Delete version directories older than the newest ``keep`` commits."""
+        """Delete the versions that commits before the newest ``keep`` name; a folder that no commit
+        names may be another writer's next version and is left."""
         v = self.current_version(spark)
-        live = set()
-        for n in range(max(1, v - keep + 1), v + 1):
-            live.add(_read_text(spark, f"{self.commits}/{n:020d}"))
-        fs, p, _ = _fs(spark, self.root)
-        removed = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v") and name not in live:
-                fs.delete(st.getPath(), True)
-                removed.append(name)
-        return removed
+        named = {n: _read_text(spark, f"{self.commits}/{n:020d}") for n in range(1, v + 1)
+                 if path_exists(spark, f"{self.commits}/{n:020d}")}
+        live = {name for n, name in named.items() if n > v - keep}
+        old = sorted(name for name in named.values() if name and name not in live)
+        return [name for name in old if delete_path(spark, f"{self.root}/{name}")]
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

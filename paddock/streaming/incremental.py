@@ -42,10 +42,11 @@ def refresh_gold_for(spark: SparkSession, layout: Layout, sessions: list[tuple])
     from paddock.operators.refresh import restrict_to_slices, slice_predicate
 
     laps = layout.silver("silver_laps").read(spark)
-    # Predicates on the partition columns: only the affected session folders are read.
-    event_laps = restrict_to_slices(laps, sessions)
     seasons = sorted({(y, s) for y, _, s in sessions})
     season_laps = laps.filter(slice_predicate(seasons, ["year", "session_type"]))
+    # A gold row's event is its name, which several rounds may carry: all laps of the touched events.
+    event = ["year", "grand_prix", "session_type"]
+    event_laps = season_laps.join(restrict_to_slices(laps, sessions).select(*event).distinct(), event, "left_semi")
     layout.gold("gold_driver_performance").upsert(spark, gold.gold_driver_performance(event_laps))
     layout.gold("gold_team_season_stats").upsert(spark, gold.gold_team_season_stats(season_laps))
 
@@ -60,9 +61,7 @@ def start_incremental(spark: SparkSession, layout: Layout, table: str = "silver_
     """
     kind = SILVER_KINDS[table]
     source = f"{layout.bronze}/{kind}"
-    # A streaming file source needs its schema up front: take it from the files
-    # already there (partition columns included).
-    schema = spark.read.option("basePath", source).parquet(source).schema
+    schema = schemas.bronze_schema(kind)
     # Stream progress belongs to the lake it feeds (which lives in the shared folder).
     checkpoint = checkpoint or f"{layout.root}/_streams/{table}"
 
@@ -73,7 +72,9 @@ def start_incremental(spark: SparkSession, layout: Layout, table: str = "silver_
         if with_gold and table == "silver_laps":
             refresh_gold_for(batch.sparkSession, layout, sessions)
 
-    stream = (spark.readStream.schema(schema).option("basePath", source).parquet(source)
+    stream = (spark.readStream.schema(schema).option("basePath", source)
+              .option("maxFileAge", "36500d")   # a restored archive's files may be old: none is too old to be new
+              .parquet(source)
               .select(*schemas.SLICE_KEY))
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

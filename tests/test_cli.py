@@ -50,17 +50,33 @@ def test_cli_arguments():
     assert (a.seasons, a.sessions, a.gold, a.incremental) == ([2024, 2025], ["R"], "rebuild", False)
 
 
-def test_sizing_follows_input(spark):
+def test_sizing_follows_input_and_leaves_the_deployment_alone(spark, monkeypatch):
+    from paddock import session
     from paddock.session import MB, size_for_input
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+
+    class Unset:
+        """A deployment that has set nothing but the named key."""
+        def __init__(self, *keys):
+            self.keys = keys
+
+        def contains(self, key):
+            return key in self.keys
+
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = {k: spark.conf.get(k) for k in keys}
     try:
+        monkeypatch.setattr(type(spark.sparkContext), "getConf", lambda self: Unset())
         assert size_for_input(spark, 10) == 2 * spark.sparkContext.defaultParallelism
         assert size_for_input(spark, 100_000 * MB) == 782
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "782"
+        assert size_for_input(spark, 100_000_000 * MB) == 20_000
+        monkeypatch.setattr(type(spark.sparkContext), "getConf", lambda self: Unset("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        assert size_for_input(spark, 100_000 * MB) == 7
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * MB))
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(64 * MB))
+        monkeypatch.undo()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert session.MB == MB
 
 
 def test_session_without_files_of_a_kind_keeps_its_silver_rows(spark, tmpdir_fresh):

@@ -96,15 +96,15 @@ def _slices_of(df):
     return sorted({(r.year, r.round, r.session_type) for r in df.collect()})
 
 
-def test_replace_slices_algebra_paths(spark, monkeypatch):
+def test_replace_slices_algebra_paths(spark):
     from paddock.operators import refresh
     target = _two_sessions(spark)
     stage = target.filter(F.col("round") == 1).withColumn("lap_time_s", F.col("lap_time_s") + 1)
     other = _silver(spark, [(2030, 9, "R", "GP_9", "Z", "T", 1.0, 70.0, 20.0, 300.0, "SOFT", True)])
     expected = None
-    for inline in (1000, 0):                       # predicate path, then broadcast-list path
-        monkeypatch.setattr(refresh, "MAX_SLICES_INLINE", inline)
-        out = refresh.replace_slices(target, stage.unionByName(other), [(2024, 1, "R")])
+    named = spark.createDataFrame([(2024, 1, "R")], "year int, round int, session_type string")
+    for slices in ([(2024, 1, "R")], named):       # a list is a predicate, a frame is joined
+        out = refresh.replace_slices(target, stage.unionByName(other), slices)
         rows = sorted(tuple(r) for r in out.collect())
         assert expected is None or rows == expected
         expected = rows
@@ -123,14 +123,19 @@ def test_replace_slices_plans_no_join_on_the_target(spark):
     assert "Join" not in plan and "Exchange" not in plan
 
 
-def test_replace_slices_beyond_the_list_limit_is_exact(spark, monkeypatch):
+@pytest.mark.parametrize("n", [1, 500, 1000, 5000])
+def test_long_session_lists_plan_quickly_and_exactly(spark, n):
+    import time
+
     from paddock.operators import refresh
     target = _two_sessions(spark)
-    stage = target.filter(F.col("round") == 1).withColumn("lap_time_s", F.col("lap_time_s") + 1)
-    want = sorted(tuple(r) for r in refresh.replace_slices(target, stage, [(2024, 1, "R")]).collect())
-    monkeypatch.setattr(refresh, "MAX_SLICES", 0)                # every set counts as "large"
-    assert sorted(tuple(r) for r in refresh.replace_slices(target, stage, [(2024, 1, "R")]).collect()) == want
-    assert sorted(tuple(r) for r in refresh.replace_slices(target, stage).collect()) == want
+    wanted = [(2024, 1, "R")] + [(1900 + i // 50, i % 50, "Q'\\"[i % 3]) for i in range(n - 1)]
+    start = time.perf_counter()
+    kept = refresh.restrict_to_slices(target, wanted)
+    kept._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - start < 5
+    assert _slices_of(kept) == [(2024, 1, "R")]
+    assert _slices_of(refresh.restrict_to_slices(target, wanted, keep=False)) == [(2024, 2, "Q")]
 
 
 def test_refresh_from_the_table_itself(spark, tmpdir_fresh):
