@@ -12,9 +12,9 @@
    its own distance is done.
 3. Recursion.  What remains of a region gets new pivots; members go to the nearest one's Voronoi cell,
    and into every other cell whose pivot is at most ``2 r`` farther; cells are windowed again.  Pivots
-   have met every member, so each round takes them out; cells of at most ``LEAF`` members compare the pairs
-   that windows and sizes leave.  Nothing is capped: the recursion ends when no cell holds two components
-   that could still be linked.
+   have met every member, so each round takes them out; a cell with at most ``LEAF`` members outside its largest
+   component compares the pairs that windows and sizes leave.  Nothing is capped: the recursion ends when no cell
+   holds two components that could still be linked.
 
 Documents with equal sets are one node, and links already known make one component of two nodes, so
 a large group of copies or near copies costs one distance a member, never its pairs.
@@ -249,18 +249,32 @@ def undecided(members: DataFrame, roots: DataFrame, radius: float) -> DataFrame:
     return rows.join(windows, ["cell", "class"], "left_semi").drop("class")
 
 
-def leaf_pairs(small: DataFrame, sizes: DataFrame, radius: float, percent: int, slack: int = SLACK) -> DataFrame:
-    """Pairs of different components that windows, sizes and shared shingles leave, of cells of at most ``LEAF`` members;
-    ``sizes``: ``node``, ``n`` and ``common``, a bound of what its prefix shares with any other."""
-    rows = small.join(sizes, "node")
-    cells = rows.groupBy("cell").agg(F.collect_list(F.struct("node", "root", "d", "n", "common")).alias("all"))
-    one = cells.select("all", F.explode("all").alias("x"))
-    pair = one.select("x", F.explode("all").alias("y"))
-    fits = ((F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-            & (F.abs(F.col("x.d") - F.col("y.d")) <= radius + 1e-9)
-            & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-            & (F.least("x.common", "y.common") >= needed_in_common(F.col("x.n"), F.col("y.n"), percent, slack)))
-    return pair.where(fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+def distances_in_cells(members: DataFrame, pivots: DataFrame, sets: DataFrame, fits: Column | None = None,
+                       percent: int = PERCENT) -> DataFrame:
+    """(``cell``, ``a``, ``b``, ``d``, ``link``) of every member (``cell``, ``node``, ...) and pivot (``cell``, ``x_node``, ...) of a
+    cell that ``fits``.  Each set travels once for each cell it is in, not once for each pair, and a cell
+    with very many members can be split."""
+    one = members.join(sets.select(F.col("fp").alias("node"), F.col("shingles").alias("sa")), "node")
+    two = pivots.join(sets.select(F.col("fp").alias("x_node"), F.col("shingles").alias("sb")), "x_node")
+    two = two.withColumnRenamed("cell", "x_cell")
+    on = (F.col("cell") == F.col("x_cell")) & (F.col("node") != F.col("x_node"))
+    both = one.join(two, on if fits is None else on & fits)
+    both = both.withColumn("common_n", F.size(F.array_intersect("sa", "sb")).cast("long"))
+    both = both.withColumn("all_n", F.size("sa") + F.size("sb") - F.col("common_n"))
+    return both.select("cell", F.col("node").alias("a"), F.col("x_node").alias("b"), (1 - F.col("common_n") / F.col("all_n")).alias("d"),
+                       (100 * F.col("common_n") >= percent * F.col("all_n")).alias("link"))
+
+
+def open_links(few: DataFrame, sizes: DataFrame, sets: DataFrame, radius: float, percent: int, slack: int = SLACK) -> DataFrame:
+    """Links (``a``, ``b``) among the pairs of different components that windows, sizes and shared shingles leave open, where ``b``
+    is outside its cell's largest component; ``sizes``: ``node``, ``n`` and ``common``, a bound of what its prefix shares."""
+    rows = few.join(sizes, "node")
+    x = rows.where("root <> main").select("cell", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "d", "n", "common")])
+    fits = ((F.col("root") != F.col("x_root")) & ((F.col("root") == F.col("main")) | (F.col("node") < F.col("x_node")))
+            & (F.abs(F.col("d") - F.col("x_d")) <= radius + 1e-9)
+            & (100 * F.least("n", "x_n") >= percent * F.greatest("n", "x_n"))
+            & (F.least("common", "x_common") >= needed_in_common(F.col("n"), F.col("x_n"), percent, slack)))
+    return distances_in_cells(rows, x, sets, fits, percent).where("link").select("a", "b").distinct()
 
 
 def _merge(spark: SparkSession, roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -291,40 +305,41 @@ def join_regions(spark: SparkSession, pairs: DataFrame, nodes: DataFrame, sets:
     members = met.select(F.col("b").alias("cell"), F.col("a").alias("node"), "d")
     k, small = 0, 0
     while True:
-        left = materialise(spark, undecided(members, roots, radius), "undecided")
-        many = left.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
-        left = left.join(many, "cell")
+        left = undecided(members, roots, radius)
+        parts = left.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("m"))
+        main = parts.groupBy("cell").agg(F.sum("m").alias("all"), F.max(F.struct("m", "root")).alias("main"))
+        main = main.select("cell", F.col("main.root").alias("main"), (F.col("all") - F.col("main.m")).alias("others"))
+        left = materialise(spark, left.join(main, "cell"), "undecided")
         if left.isEmpty():
             return roots
-        few = materialise(spark, leaf_pairs(left.where(F.col("m") <= small), sizes, radius, percent), "leaf-pairs")
-        checked = distances(few, sets, percent)
-        large = left.where(F.col("m") > small)
-        # A cell's member nearest to the last pivot is near the middle of a family of copies: it goes first, alone.
-        # Later it is joined by about k members, by hash.
+        # Every open pair has a member outside its cell's largest component.  Few of those: their pairs, at once.
+        found = materialise(spark, open_links(left.where(F.col("others") <= small), sizes, sets, radius, percent), "open-links")
+        large = left.where(F.col("others") > small)
+        # Else new pivots.  A cell's member nearest to the last one is near the middle of a family of copies: it goes
+        # first, alone.  Later it is joined by about k members outside the largest component, by hash.
         first = large.groupBy("cell").agg(F.min(F.struct("d", "node")).alias("near")).select("cell", F.col("near.node").alias("pivot"))
-        chance = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(1 << 30)) < (1 << 30) * k / F.col("m")
-        pivots = large.where(chance).select("cell", F.col("node").alias("pivot")).unionByName(first).distinct()
+        chance = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(1 << 30)) < (1 << 30) * k / F.col("others")
+        pivots = (large.where((F.col("root") != F.col("main")) & chance).select("cell", F.col("node").alias("pivot"))
+                  .unionByName(first).distinct())
         pivots = materialise(spark, pivots, "pivots")
         if pivots.isEmpty():
-            return _merge(spark, roots, checked.where("link").select("a", "b"))
-        meet = large.join(pivots, "cell").where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"), "cell")
-        meet = materialise(spark, distances(materialise(spark, meet, "voronoi-pairs"), sets, percent), "voronoi")
-        roots = _merge(spark, roots, checked.where("link").select("a", "b").unionByName(meet.where("link").select("a", "b")))
-        if meet.isEmpty():
-            return roots
-        rest = meet.join(pivots.select("cell", F.col("pivot").alias("a")), ["cell", "a"], "left_anti")
-        near = rest.groupBy("cell", "a").agg(F.min("d").alias("near"))
-        spread = (rest.join(near, ["cell", "a"]).where(F.col("d") <= F.col("near") + 2 * radius + 1e-9)
-                  .select("cell", F.xxhash64("cell", "b").alias("inner"), F.col("a").alias("node"), "d"))
-        # A cell that replication would not thin out (its members are as far from each other as from any
-        # pivot) stays whole, less its pivots, with the distances to its first one.
-        thin = (spread.groupBy("cell").agg(F.count(F.lit(1)).alias("copies"))
-                .join(near.groupBy("cell").agg(F.count(F.lit(1)).alias("m")), "cell").where("copies <= 2 * m").select("cell"))
-        split = spread.join(thin, "cell", "left_semi").select(F.col("inner").alias("cell"), "node", "d")
-        whole = (rest.join(first.select("cell", F.col("pivot").alias("b")), ["cell", "b"]).join(thin, "cell", "left_anti")
-                 .select("cell", F.col("a").alias("node"), "d"))
-        members = split.unionByName(whole)
-        k, small = max(16, 4 * k), leaf
+            return _merge(spark, roots, found)
+        meet = distances_in_cells(large.select("cell", "node"), pivots.select("cell", F.col("pivot").alias("x_node")), sets, None, percent)
+        meet = materialise(spark, meet, "voronoi")
+        roots = _merge(spark, roots, found.unionByName(meet.where("link").select("a", "b")))
+        # Every member but the pivots goes on: into the cell of its nearest pivot, and of every other that is at most
+        # 2 r farther.  A cell that this would not thin out (its members are as far from each other as from
+        # any pivot) stays whole, with the distances to one pivot.
+        to = F.collect_list(F.struct("b", "d"))  # one for each pivot of the cell
+        on = (meet.groupBy("cell", "a").agg(to.alias("to"), F.min("d").alias("near"))
+              .join(pivots.select("cell", F.col("pivot").alias("a")), ["cell", "a"], "left_anti"))
+        on = on.withColumn("close", F.filter("to", lambda t: t["d"] <= F.col("near") + 2 * radius + 1e-9))
+        on = materialise(spark, on.select("cell", "a", "close", F.array_min("to").alias("one")), "cells")
+        thin = on.groupBy("cell").agg((F.sum(F.size("close")) <= 2 * F.count(F.lit(1))).alias("thin"))
+        goes = F.when(F.col("thin"), F.col("close")).otherwise(F.array("one"))
+        members = on.join(thin, "cell").select("cell", F.col("a").alias("node"), "thin", F.explode(goes).alias("t")).select(
+            F.when(F.col("thin"), F.xxhash64("cell", "t.b")).otherwise(F.col("cell")).alias("cell"), "node", F.col("t.d").alias("d"))
+        k, small = max(leaf, 2 * k), leaf
 
 
 def jaccard_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, bits: int = SKETCH_BITS,
