@@ -48,7 +48,7 @@ class DigestIndex:
     def read_plain(self) -> DataFrame:
         """Without bucketing, so that both sides of a join are dealt out anew and a digest with
         very many rows on the other side can be split by the skew join."""
-        return self.spark.read.parquet(self.path)
+        return self.spark.read.schema(self.read().schema).parquet(self.path)
 
     def append(self, groups: DataFrame) -> None:
         (groups.write.format("parquet").mode("append").option("path", self.path)

@@ -7,7 +7,7 @@ worked out once.  What it leaves of a clause is scored: matched clauses, not iso
 
 Insult words come from a short fixed list and from labels: on a bounded sample of labelled documents,
 Spark counts in how many toxic and clean ones each word and word stem stands; those that are
-significantly tied to the label *and* explain toxic documents no earlier choice explains join the
+significantly tied to the label, next to never in clean documents, *and* explain toxic documents no earlier choice explains join the
 lexicon (so words that merely ride along in copies of one toxic text don't).  The same sample sets how
 much plain, targeted, negated and reported matches count.  Scoring is a narrow map over whole texts
 with one Aho-Corasick scan; clauses without a trigger never reach the machine.
@@ -38,6 +38,7 @@ from paddock.llm.common import materialise
 FIT_ROWS = 8192          # bound of the labelled sample
 CANDIDATES = 5000        # bound of the candidate words and stems gathered, the most significant first
 STEMS = (4, 5, 6, 7, 8)  # lengths of stems
+PRECISION = 95           # percent of a word's documents that must be toxic
 
 # Fixed word lists of the grammar.
 INSULTS = ("idiot", "idiots", "moron", "morons", "imbecile", "scum", "loser", "losers", "worthless", "pathetic",
@@ -245,8 +246,12 @@ def train(docs: DataFrame, labels: DataFrame, toxic: Column, rows: int = FIT_ROW
     """Lexicon and weights from a bounded sample of labelled documents."""
     spark = docs.sparkSession
     sample = labelled.sample(docs, labels, toxic.cast("int"), rows, id_col, text)
-    # Copies say nothing new about a word, and repeated rows must not outgrow the bound.
-    sample = materialise(spark, sample.groupBy(F.xxhash64(labelled.TEXT).alias("doc")).agg(
+    # Copies and near copies say nothing new about a word: of documents with the same smallest hash of five
+    # words in a row one counts.  (So repeated rows don't outgrow the bound either.)
+    words = F.split(F.lower(labelled.TEXT), r"\s+")
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))),
+                       lambda i: F.xxhash64(F.array_join(F.slice("words", i, F.lit(5)), " ")))
+    sample = materialise(spark, sample.withColumn("words", words).groupBy(F.array_min(runs).alias("doc")).agg(
         F.max(labelled.TARGET).alias("toxic"), F.first(labelled.TEXT).alias("text"))
         .orderBy("doc").limit(rows).repartition(spark.sparkContext.defaultParallelism), "toxicity-sample")
     total, toxic_n = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
@@ -258,7 +263,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic: Column, rows: int = FIT_ROW
     held = (sample.select("doc", "toxic", words).where(F.length("word") > 2)
             .select("doc", "toxic", stems.alias("stem")).where(F.col("stem").isNotNull()).distinct())
     counts = (held.groupBy("stem").agg(F.sum("toxic").alias("hits"), F.count("*").alias("n"))
-              .where((F.col("hits") >= 3) & (2 * F.col("hits") > F.col("n"))))
+              .where((F.col("hits") >= 3) & (100 * F.col("hits") >= PRECISION * F.col("n"))))
     # Order by the significance bound of a word that no clean text holds, then its clean count.
     top = (counts.orderBy((F.col("hits") - 4 * (F.col("n") - F.col("hits"))).desc(), "stem").limit(CANDIDATES))
     top = materialise(spark, top, "toxicity-candidates")
