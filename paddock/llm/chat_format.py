@@ -22,10 +22,14 @@ Defined results
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from paddock.llm.common import materialise
@@ -162,6 +166,35 @@ def tail(state: int) -> str:
 
 # --- the Spark side --------------------------------------------------------------------------------
 
+def grouped(df: DataFrame, keys: list[str], order: list[str], each: Callable[[list[dict]], list[tuple]],
+            schema: T.StructType) -> DataFrame:
+    """``each`` on the rows of every group in order.  Groups are small and many, so a task takes them one after the
+    other from its sorted rows instead of being called for each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+
+        def batch(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow, strict=True)], schema=arrow)
+
+        held: list[dict] = []
+        out: list[tuple] = []
+        for rows in batches:
+            for row in rows.to_pylist():
+                if held and any(row[k] != held[0][k] for k in keys):
+                    out += each(held)
+                    held = []
+                    if len(out) >= 1024:
+                        yield batch(out)
+                        out = []
+                held.append(row)
+        if held:
+            out += each(held)
+        if out:
+            yield batch(out)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
 def repair(turns: DataFrame, run: int = RUN, conv: str = "conv_id", turn: str = "turn", role: str = "role",
            text: str = "text") -> DataFrame:
     """One row per turn, repaired: ``conv_id``, ``position`` (from 0), ``turn``, ``role``, ``action``, ``inserted`` (roles of
@@ -184,38 +217,37 @@ def repair(turns: DataFrame, run: int = RUN, conv: str = "conv_id", turn: str =
               .select("conv_id", "position", "turn", "number", "text", F.floor(F.col("position") / run).alias("run")))
     placed = materialise(spark, placed, "placed-turns")
 
-    def measure(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("position")
-        m = run_matrix(group["number"].tolist())
-        return pd.DataFrame({"conv_id": group["conv_id"].iloc[:1], "run": group["run"].iloc[:1], "m": [m.ravel().tolist()]})
+    conv_type = placed.schema["conv_id"].dataType
+
+    def schema(*fields: tuple[str, str]) -> T.StructType:
+        rest = T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields))
+        return T.StructType([T.StructField("conv_id", conv_type), *rest.fields])
+
+    def measure(rows: list[dict]) -> list[tuple]:
+        m = run_matrix([r["number"] for r in rows])
+        return [(rows[0]["conv_id"], rows[0]["run"], m.ravel().tolist())]
 
-    conv_type = placed.schema["conv_id"].dataType.simpleString()
-    runs = placed.select("conv_id", "run", "position", "number").groupBy("conv_id", "run").applyInPandas(
-        measure, f"conv_id {conv_type}, run long, m array<double>")
+    runs = grouped(placed.select("conv_id", "run", "position", "number"), ["conv_id", "run"], ["position"], measure,
+                   schema(("run", "bigint"), ("m", "array<double>")))
 
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("run")
-        states, cost = settle([np.array(m, float).reshape(len(ROLES), -1) for m in group["m"]])
-        return pd.DataFrame({"conv_id": group["conv_id"], "run": group["run"], "first": states[:-1], "last": states[1:],
-                             "ends": [False] * (len(group) - 1) + [True], "cost": cost})
+    def walk(rows: list[dict]) -> list[tuple]:
+        states, cost = settle([np.array(r["m"], float).reshape(len(ROLES), -1) for r in rows])
+        return [(r["conv_id"], r["run"], states[i], states[i + 1], i == len(rows) - 1, cost) for i, r in enumerate(rows)]
 
-    settled = materialise(spark, runs.groupBy("conv_id").applyInPandas(
-        walk, f"conv_id {conv_type}, run long, first int, last int, ends boolean, cost double"), "settled-runs")
+    settled = materialise(spark, grouped(runs, ["conv_id"], ["run"], walk, schema(
+        ("run", "bigint"), ("first", "int"), ("last", "int"), ("ends", "boolean"), ("cost", "double"))), "settled-runs")
     s = settled.select(F.col("conv_id").alias("c"), F.col("run").alias("r"), "first", "last", "ends", "cost")
     known = placed.join(s, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("run") == F.col("r"))).drop("c", "r")
 
-    def finish(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("position")
-        first, last, ends = int(group["first"].iloc[0]), int(group["last"].iloc[0]), bool(group["ends"].iloc[0])
-        changes = edits(group["number"].tolist(), first, last)
-        rendered = render_run(group["text"].tolist(), changes, first)
-        if ends:
-            rendered[-1] += tail(last)
-        return pd.DataFrame({"conv_id": group["conv_id"], "position": group["position"], "turn": group["turn"],
-                             "role": [ROLES[c[1]] for c in changes], "action": [c[2] for c in changes],
-                             "inserted": [[ROLES[r] for r in c[0]] for c in changes], "rendered": rendered,
-                             "conversation_cost": group["cost"]})
-
-    return known.groupBy("conv_id", "run").applyInPandas(
-        finish, f"conv_id {conv_type}, position long, turn long, role string, action string, inserted array<string>, "
-                "rendered string, conversation_cost double")
+    def finish(rows: list[dict]) -> list[tuple]:
+        one = rows[0]
+        changes = edits([r["number"] for r in rows], one["first"], one["last"])
+        rendered = render_run([r["text"] for r in rows], changes, one["first"])
+        if one["ends"]:
+            rendered[-1] += tail(one["last"])
+        return [(r["conv_id"], r["position"], r["turn"], ROLES[c[1]], c[2], [ROLES[x] for x in c[0]], text, one["cost"])
+                for r, c, text in zip(rows, changes, rendered, strict=True)]
+
+    return grouped(known, ["conv_id", "run"], ["position"], finish, schema(
+        ("position", "bigint"), ("turn", "bigint"), ("role", "string"), ("action", "string"), ("inserted", "array<string>"),
+        ("rendered", "string"), ("conversation_cost", "double")))
