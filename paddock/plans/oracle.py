@@ -425,6 +425,9 @@ ORACLE["bronze_scan_mixed"] = with_ctes(["laps_raw"], f"""SELECT year, round, se
   {MAX(_SPEED, 1)} AS max_speed
   FROM laps_raw GROUP BY year, round, session_type""")
 ORACLE["bronze_scan_many_sessions"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE session_type IN ('R', 'Q')")
+ORACLE["archive_legacy_read"] = with_ctes(["laps_raw"], f"""SELECT year, round, session_type, count(*) AS row_count,
+  count(LapTime) AS timed, {MAX('LapTime', 3)} AS slowest
+  FROM laps_raw WHERE session_type IN ('R', 'Q') GROUP BY year, round, session_type""")
 ORACLE["discover_sessions"] = with_ctes(["laps_raw"], "SELECT DISTINCT year, round, session_type FROM laps_raw")
 ORACLE["legacy_session_default"] = with_ctes(["checkpoint_files"], f"""SELECT kind, year, round, session_type,
   file_name, is_legacy FROM (

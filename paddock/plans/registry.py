@@ -609,6 +609,26 @@ def _archive_roundtrip(spark, raw, kind, durations=()):
     return accepted
 
 
+@query("archive_legacy_read")
+def q_archive_legacy_read(spark, sf_dir):
+    """S4 over real files: races of one season under legacy names, the first round of them under a suffixed
+    name as well (which wins; its legacy twin lacks every other lap), all else suffixed."""
+    from paddock.plans import medallion
+    from paddock.session import scratch_path
+    from paddock.sources import bronze
+    root = scratch_path(spark, "archive-legacy")
+    laps = fx.laps_raw(spark, sf_dir).where(F.col("session_type").isin(*schemas.SESSION_TYPES))
+    old = (F.col("year") == fx.LEGACY_YEAR) & (F.col("session_type") == schemas.SESSION_TYPES[0])
+    twin = old & (F.col("round") == 1)
+    for rows, legacy in ((laps.where(~old | twin), False), (laps.where(old & (~twin | (F.col("LapNumber") % 2 == 0))), True)):
+        bronze.write_checkpoint_archive(rows.withColumnsRenamed(RAW_HEADERS), root, "laps", labels=("Year", "Round", "SessionType"),
+                                        legacy=legacy).write.format("noop").mode("overwrite").save()
+    layout = medallion.Layout(scratch_path(spark, "archive-lake"))
+    medallion.import_archive(spark, root, layout)
+    return bronze.scan_bronze(spark, layout.bronze, "laps").groupBy(*schemas.SLICE_KEY).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("LapTime").alias("timed"), scalars.round_max("LapTime", 3).alias("slowest"))
+
+
 @query("bronze_nanos_read")
 def q_bronze_nanos_read(spark, sf_dir):
     """Telemetry archived with TIMESTAMP(NANOS) -> read, conformed to microseconds -> silver."""

@@ -259,8 +259,9 @@ def session_labels(files: DataFrame, schedule: DataFrame) -> DataFrame:
 
 
 def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year", "round", "session_type"),
-                             durations: tuple[str, ...] = ()) -> DataFrame:
-    """Write rows in the archive format of the original pipeline, as Spark tasks.
+                             durations: tuple[str, ...] = (), legacy: bool = False) -> DataFrame:
+    """Write rows in the archive format of the original pipeline, as Spark tasks (``legacy``: under names
+    without the session suffix).
 
     One folder per session named ``<kind>_checkpoint_<year>_r<round>_<R|Q>.parquet``
     holding part files written by pyarrow with TIMESTAMP(NANOS) timestamps and
@@ -297,7 +298,7 @@ def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year"
             if pdf[labels].isna().any(axis=None):
                 raise ValueError(f"a row without {labels} has no session file to go to")
             for (y, r, s), rows in pdf.groupby(labels, sort=False):
-                folder = f"{base}/{kind}_checkpoint_{int(y)}_r{int(r)}_{s}.parquet"
+                folder = f"{base}/{kind}_checkpoint_{int(y)}_r{int(r)}{'' if legacy else f'_{s}'}.parquet"
                 filesystem.create_dir(folder, recursive=True)
                 data = rows.reset_index(drop=True)
                 for c in durations:
