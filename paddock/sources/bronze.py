@@ -147,6 +147,8 @@ def scan_bronze(spark: SparkSession, root: str, kind: str, sessions=None, with_s
     df = df.withColumns({"year": F.col("year").cast("int"), "round": F.col("round").cast("int"),
                          "session_type": F.col("session_type").cast("string")})
     if sessions is not None:
+        if isinstance(sessions, DataFrame):  # one row per session, like the folders that are listed here
+            sessions = [tuple(r) for r in sessions.select(*schemas.SLICE_KEY).distinct().collect()]
         df = restrict_to_slices(df, sessions)
     return df
 
