@@ -331,10 +331,10 @@ def join_regions(spark: SparkSession, pairs: DataFrame, nodes: DataFrame, sets:
         # 2 r farther.  A cell that this would not thin out (its members are as far from each other as from
         # any pivot) stays whole, with the distances to one pivot.
         to = F.collect_list(F.struct("b", "d"))  # one for each pivot of the cell
-        on = (meet.groupBy("cell", "a").agg(to.alias("to"), F.min("d").alias("near"))
-              .join(pivots.select("cell", F.col("pivot").alias("a")), ["cell", "a"], "left_anti"))
+        on = meet.groupBy("cell", "a").agg(to.alias("to"), F.min("d").alias("near"))
         on = on.withColumn("close", F.filter("to", lambda t: t["d"] <= F.col("near") + 2 * radius + 1e-9))
         on = materialise(spark, on.select("cell", "a", "close", F.array_min("to").alias("one")), "cells")
+        on = on.join(pivots.select("cell", F.col("pivot").alias("a")), ["cell", "a"], "left_anti")  # one row a member
         thin = on.groupBy("cell").agg((F.sum(F.size("close")) <= 2 * F.count(F.lit(1))).alias("thin"))
         goes = F.when(F.col("thin"), F.col("close")).otherwise(F.array("one"))
         members = on.join(thin, "cell").select("cell", F.col("a").alias("node"), "thin", F.explode(goes).alias("t")).select(
