@@ -6,10 +6,10 @@ negation, one those inside reported speech — and are composed into a single ma
 worked out once.  What it leaves of a clause is scored: matched clauses, not isolated words.
 
 Insult words come from a short fixed list and from labels: on a bounded sample of labelled documents,
-Spark counts in how many toxic and clean ones each word and word stem stands; those that are
-significantly tied to the label, next to never in clean documents, *and* explain toxic documents no earlier choice explains join the
-lexicon (so words that merely ride along in copies of one toxic text don't).  The same sample sets how
-much plain, targeted, negated and reported matches count.  Scoring is a narrow map over whole texts
+Spark counts in how many toxic and clean ones each word and word stem stands (near copies count once);
+every one that is next to never in clean documents and significantly tied to the label on all its own
+hits joins the lexicon, rarer ones with less weight (one match of a rare one never decides alone).  The
+same sample sets how much plain, targeted, negated and reported matches count.  Scoring is a narrow map over whole texts
 with one Aho-Corasick scan; clauses without a trigger never reach the machine.
 
 Defined results
@@ -39,6 +39,8 @@ FIT_ROWS = 8192          # bound of the labelled sample
 CANDIDATES = 5000        # bound of the candidate words and stems gathered, the most significant first
 STEMS = (4, 5, 6, 7, 8)  # lengths of stems
 PRECISION = 95           # percent of a word's documents that must be toxic
+SHRINK = 4               # hits at which a learned word has half of its weight
+RARE, LONE = 20, 0.25    # a word learned from fewer hits gives a text at most this score alone: it takes a second match
 
 # Fixed word lists of the grammar.
 INSULTS = ("idiot", "idiots", "moron", "morons", "imbecile", "scum", "loser", "losers", "worthless", "pathetic",
@@ -219,26 +221,17 @@ def significance(hits: float, n: float, rate: float) -> float:
     return n * (share * math.log(share / rate) + rest)
 
 
-def choose(candidates: dict[str, tuple[int, int]], holders: dict[str, set], toxic: int, total: int,
-           least: float) -> dict[str, float]:
-    """Greedy cover: the most significant word or stem (the longest, among equals) of what toxic
-    documents are left, until none is significant."""
-    rate, left = toxic / total, set().union(*holders.values()) if holders else set()
-    chosen: dict[str, float] = {}
-    alive = {w: set(holders.get(w, ())) for w in candidates}
-    while left and alive:
-        def worth(w: str) -> tuple[float, int, str]:
-            hits, clean = len(alive[w]), candidates[w][1] - candidates[w][0]
-            return (round(significance(hits, hits + clean, rate), 6) if hits else 0.0, len(w), w)
-        best = max(alive, key=worth)
-        if worth(best)[0] < least:
-            break
-        hits, n = candidates[best]
-        chosen[best] = math.log((hits + 0.5) / (toxic + 1)) - math.log((n - hits + 0.5) / (total - toxic + 1))
-        gone = alive.pop(best)
-        left -= gone
-        alive = {w: d - gone for w, d in alive.items() if d - gone}
-    return {w: max(1.0, v / 3) for w, v in chosen.items()}
+def choose(candidates: dict[str, tuple[int, int]], toxic: int, total: int, least: float) -> dict[str, float]:
+    """Every word or stem that is significant on its own hits, whatever the others explain; of a stem and its
+    longer forms that stand in the same documents, the longest."""
+    chosen = {}
+    for w, (hits, n) in candidates.items():
+        if significance(hits, n, toxic / total) >= least:
+            odds = math.log((hits + 0.5) / (toxic + 1)) - math.log((n - hits + 0.5) / (total - toxic + 1))
+            chosen[w] = odds / 3 * hits / (hits + SHRINK)
+    same = {w[:k] + "*" for w in chosen for k in STEMS
+            if len(w.rstrip("*")) > k and candidates.get(w[:k] + "*") == candidates[w]}
+    return {w: v for w, v in chosen.items() if w not in same and v > 0}
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic: Column, rows: int = FIT_ROWS, id_col: str = "doc_id",
@@ -268,11 +261,9 @@ def train(docs: DataFrame, labels: DataFrame, toxic: Column, rows: int = FIT_ROW
     top = (counts.orderBy((F.col("hits") - 4 * (F.col("n") - F.col("hits"))).desc(), "stem").limit(CANDIDATES))
     top = materialise(spark, top, "toxicity-candidates")
     candidates = {r["stem"]: (r["hits"], r["n"]) for r in top.collect()}
-    holders: dict[str, set] = {}
-    for r in (held.where("toxic = 1").join(F.broadcast(top.select("stem")), "stem")  # at most CANDIDATES rows
-              .groupBy("stem").agg(F.collect_list("doc").alias("docs")).collect()):  # bounded by the sample
-        holders[r["stem"]] = set(r["docs"])
-    lexicon = {w: 2.0 for w in INSULTS} | choose(candidates, holders, toxic_n, total, math.log(CANDIDATES * 1000.0))
+    # The bar leaves less than one of the candidates to chance.
+    learned = choose(candidates, toxic_n, total, math.log(CANDIDATES))
+    lexicon = learned | {w: max(2.0, learned.get(w, 0.0)) for w in INSULTS}
     draft = ToxicityModel(lexicon)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +275,9 @@ def train(docs: DataFrame, labels: DataFrame, toxic: Column, rows: int = FIT_ROW
     seen = sample.select("toxic", "text").mapInArrow(describe, "y int, x array<double>").collect()
     x, y = np.array([r["x"] for r in seen]), np.array([r["y"] for r in seen], float)
     coefficients, bias = fit_kinds(x, y)
-    return ToxicityModel(lexicon, coefficients, bias)
+    alone = math.expm1(max(0.0, math.log(LONE / (1 - LONE)) - bias) / max(*coefficients, 1e-9))
+    rare = {w: min(v, alone) for w, v in learned.items() if candidates[w][0] < RARE and w not in INSULTS}
+    return ToxicityModel(lexicon | rare, coefficients, bias)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -62,6 +62,22 @@ def test_toxicity_held_out(spark, labels):
     assert sum(clean) == 0 and len(toxic) > 20 and np.mean(toxic) > 0.9
 
 
+def test_toxicity_held_out_by_language(spark, labels):
+    language = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
+    found = {}
+    for r in op8_toxicity(spark, SF).where("held_out").select("doc_id", "predicted").collect():
+        if labels.get(r.doc_id, (0, 0))[1] == 1:
+            found.setdefault(language[r.doc_id], []).append(r.predicted)
+    assert all(np.mean(found[lang]) >= least for lang, least in {"en": 0.9, "de": 0.8, "fr": 0.75, "es": 0.5}.items())
+
+
+def test_every_significant_word_joins_whatever_others_explain():
+    candidates = {"first": (40, 40), "overlaps": (20, 20), "few": (4, 4), "chance": (3, 3), "stem*": (9, 9), "stemlonger": (9, 9)}
+    chosen = toxicity.choose(candidates, 330, 3000, np.log(toxicity.CANDIDATES))
+    assert set(chosen) == {"first", "overlaps", "few", "stemlonger"}
+    assert chosen["first"] > chosen["overlaps"] > chosen["stemlonger"] > chosen["few"] > 0
+
+
 def test_labels_of_the_held_out_fold_change_nothing(spark):
     docs, labs = spark.read.parquet(f"{SF_SMALL}/documents.parquet"), spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     turned = labs.withColumn("toxic", F.when(labelled.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
