@@ -1,16 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols (insult, threat, target, negation, report, other).  Three transducers rewrite a
-clause's symbols — one marks insults and threats aimed at a target, one those within reach of a
-negation, one those inside reported speech — and are composed into a single machine whose table is
-worked out once.  What it leaves of a clause is scored: matched clauses, not isolated words.
+Words become symbols (insult, threat, target, negation, report, other).  Transducers rewrite a clause's
+symbols.  The insult and the threat transducer wait for a target within some words *after* the word
+("I will kill you"): they are composed into one that reads the clause from its end.  Three more mark
+insults and threats a target stands before, those within reach of a negation, and those inside reported
+speech; they are composed into a single machine that reads what the first one wrote.  Both tables are
+worked out once.  What they leave of a clause is scored: matched clauses, not isolated words.
 
 Insult words come from a short fixed list and from labels: on a bounded sample of labelled documents,
 Spark counts in how many toxic and clean ones each word and word stem stands (near copies count once);
 every one that is next to never in clean documents and significantly tied to the label on all its own
 hits joins the lexicon, rarer ones with less weight (one match of a rare one never decides alone).  The
-same sample sets how much plain, targeted, negated and reported matches count.  Scoring is a narrow map over whole texts
-with one Aho-Corasick scan; clauses without a trigger never reach the machine.
+same sample sets how much plain, targeted, negated and reported matches count.  Threats come from a fixed
+list and, by the same counts, from words that are tied to the label only where a target follows them.
+Scoring is a narrow map over whole texts with one Aho-Corasick scan; clauses without a trigger never
+reach the machine.
 
 Defined results
 * null and empty texts match nothing and get the score of a text without matches;
@@ -49,6 +53,7 @@ THREATS = ("kill", "murder", "strangle", "exterminate")
 TARGETS = ("you", "your", "he", "she", "they", "them", "this", "these", "those", "du", "dich", "ihr", "tu", "toi",
            "vous", "usted", "ellos")
 NEGATIONS = ("not", "no", "never", "nobody", "nicht", "kein", "keine", "nie", "pas", "jamais", "nunca")
+INSULT_WAITS, THREAT_WAITS = 2, 4  # words after an insult or threat within which its target may stand
 REPORTS = ("said", "says", "called", "calls", "wrote", "quoted", "reported", "sagte", "dijo", "dit")
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "ITGNRO"
@@ -89,28 +94,38 @@ class Transducer:
         return Transducer(arcs)
 
 
-def window(opener: str, mark: str, reach: int, symbols: list[str]) -> Transducer:
-    """After ``opener`` the next ``reach`` words are in its window (for ever, if 0): insults and threats there
-    get ``mark`` appended."""
+def window(opener: str, mark: str, reach: int, symbols: list[str], marked: str = INSULT + THREAT) -> Transducer:
+    """After ``opener`` the next ``reach`` words are in its window (for ever, if 0): ``marked`` symbols there
+    (insults and threats) get ``mark`` appended."""
     arcs = {}
     for state in range((reach or 1) + 1):
         for s in symbols:
             following = (reach or 1) if s[0] == opener else state if not reach else max(0, state - 1)
-            arcs[state, s] = (following, s + mark if state and s[0] in (INSULT, THREAT) else s)
+            arcs[state, s] = (following, s + mark if state and s[0] in marked else s)
     return Transducer(arcs)
 
 
+PLAIN = [INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER]
+
+
+def waiting() -> Transducer:
+    """Reads a clause from its end: insults and threats whose target stands within some words after them."""
+    return window(TARGET, "w", INSULT_WAITS, PLAIN, INSULT).then(
+        window(TARGET, "w", THREAT_WAITS, [*PLAIN, INSULT + "w"], THREAT))
+
+
 def grammar() -> Transducer:
-    plain = [INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER]
-    aimed = [*plain, INSULT + "g", THREAT + "g"]
+    """Reads what ``waiting`` wrote, from the start."""
+    found = [*PLAIN, INSULT + "w", THREAT + "w"]
+    aimed = [*found, *[s + "g" for s in found if s[0] in (INSULT, THREAT)]]
     negated = [*aimed, *[s + "n" for s in aimed if s[0] in (INSULT, THREAT)]]
-    return (window(TARGET, "g", 4, plain).then(window(NEGATION, "n", 3, aimed))
+    return (window(TARGET, "g", 4, found).then(window(NEGATION, "n", 3, aimed))
             .then(window(REPORT, "r", 0, negated)))
 
 
 #: What a matched word counts as, and the weight it has before labels are seen.
 KINDS = ("plain", "aimed", "negated", "reported", "threat")
-PRIOR = np.array([1.2, 1.5, 0.4, 0.5, 0.8])
+PRIOR = np.array([1.2, 1.5, 0.4, 0.5, 2.0])
 PRIOR_BIAS = -2.5
 
 
@@ -120,19 +135,21 @@ def kind(symbol: str) -> int:
     if "n" in symbol:
         return 2
     if symbol[0] == THREAT:
-        return 4 if "g" in symbol else 2  # a threat without a target counts as little as a negated one
-    return 1 if "g" in symbol else 0
+        return 4 if "w" in symbol else 2  # without a target after it (before it stands who acts) as little as a negated one
+    return 1 if "g" in symbol or "w" in symbol else 0
 
 
 # --- the model ----------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Lexicon (a word, or a stem ending in ``*``, with its weight) and the weights of match kinds."""
+    """Lexicon (a word, or a stem ending in ``*``, with its weight), words that are threats where a target is
+    near, and the weights of match kinds."""
 
     lexicon: dict[str, float]
     coefficients: np.ndarray = field(default_factory=lambda: PRIOR)
     bias: float = PRIOR_BIAS
+    threats: dict[str, float] = field(default_factory=lambda: dict.fromkeys(THREATS, 2.0))
 
 
 class Matcher:
@@ -141,9 +158,9 @@ class Matcher:
     def __init__(self, model: ToxicityModel):
         import ahocorasick
 
-        self.model, self.machine = model, grammar()
+        self.model, self.waiting, self.machine = model, waiting(), grammar()
         self.scan = ahocorasick.Automaton()
-        for word in [*model.lexicon, *THREATS]:
+        for word in {**model.threats, **model.lexicon}:
             self.scan.add_word(word.rstrip("*"), word)
         self.scan.make_automaton()
         self.symbols = ({w: TARGET for w in TARGETS} | {w: NEGATION for w in NEGATIONS} | {w: REPORT for w in REPORTS})
@@ -160,7 +177,7 @@ class Matcher:
                 if stem == word:
                     continue
                 end = WORD.match(low, start).end()
-            symbol, weight = (INSULT, self.model.lexicon[word]) if word in self.model.lexicon else (THREAT, 1.0)
+            symbol, weight = (INSULT, self.model.lexicon[word]) if word in self.model.lexicon else (THREAT, self.model.threats[word])
             if start not in found or weight > found[start][1]:
                 found[start] = (end, weight, symbol)
         return found
@@ -178,7 +195,8 @@ class Matcher:
             stop = CLAUSE_END.search(low, found[at][0])
             end = done = stop.start() if stop else len(low)
             words = [(m.start(), m.group()) for m in WORD.finditer(low, begin, end)]
-            marked = self.machine([found[s][2] if s in found else self.symbols.get(w, OTHER) for s, w in words])
+            symbols = [found[s][2] if s in found else self.symbols.get(w, OTHER) for s, w in words]
+            marked = self.machine(self.waiting(symbols[::-1])[::-1])
             mass = np.zeros(len(KINDS))
             for (s, _), symbol in zip(words, marked, strict=True):
                 if s in found:
@@ -198,7 +216,8 @@ class Matcher:
 
 
 def fit_kinds(x: np.ndarray, y: np.ndarray, l2: float = 2.0, steps: int = 25) -> tuple[np.ndarray, float]:
-    """Logistic regression by Newton steps, pulled towards the prior weights; no weight below 0."""
+    """Logistic regression by Newton steps, pulled towards the prior weights; no weight below 0, an aimed insult
+    counts no less than a plain one, an aimed threat no less than an aimed insult."""
     prior = np.append(PRIOR, PRIOR_BIAS)
     x1 = np.hstack([x, np.ones((len(x), 1))])
     pull = np.append(np.full(len(PRIOR), l2), 0.1)
@@ -209,6 +228,10 @@ def fit_kinds(x: np.ndarray, y: np.ndarray, l2: float = 2.0, steps: int = 25) ->
         hessian = (x1 * (p * (1 - p))[:, None]).T @ x1 + np.diag(pull)
         w = w - np.linalg.solve(hessian, gradient)
         w[:-1] = np.maximum(w[:-1], 0)
+        w[1] = max(w[0], w[1])
+        w[4] = max(w[1], w[4])
+    if not len(x) or not x[:, 4].any():  # no threat seen: one counts against the fitted bias as it did against the prior one
+        w[4] = max(w[4], PRIOR[4] + (PRIOR_BIAS - w[-1]) / math.log1p(2.0))
     return w[:-1], float(w[-1])
 
 
@@ -234,6 +257,31 @@ def choose(candidates: dict[str, tuple[int, int]], toxic: int, total: int, least
     return {w: v for w, v in chosen.items() if w not in same and v > 0}
 
 
+def followed(text: str) -> list[str]:
+    """Distinct words with a target within ``THREAT_WAITS`` words after them in their clause."""
+    out: set[str] = set()
+    for clause in CLAUSE_END.split(text.lower()):
+        near = 0
+        for w in reversed(WORD.findall(clause)):
+            if near:
+                out.add(w)
+            near = THREAT_WAITS if w in TARGETS else max(0, near - 1)
+    return sorted(out.difference(TARGETS, NEGATIONS, REPORTS))
+
+
+def tally(words: DataFrame) -> dict[str, tuple[int, int]]:
+    """Word or stem -> (toxic documents, documents) that hold it, of (``doc``, ``toxic``, ``word``); the precise ones."""
+    stems = F.explode(F.array(F.col("word"), *[
+        F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in STEMS]))
+    held = (words.where(F.length("word") > 2)
+            .select("doc", "toxic", stems.alias("stem")).where(F.col("stem").isNotNull()).distinct())
+    counts = (held.groupBy("stem").agg(F.sum("toxic").alias("hits"), F.count("*").alias("n"))
+              .where((F.col("hits") >= 3) & (100 * F.col("hits") >= PRECISION * F.col("n"))))
+    # Order by the significance bound of a word that no clean text holds, then its clean count.
+    top = (counts.orderBy((F.col("hits") - 4 * (F.col("n") - F.col("hits"))).desc(), "stem").limit(CANDIDATES))
+    return {r["stem"]: (r["hits"], r["n"]) for r in top.collect()}
+
+
 def train(docs: DataFrame, labels: DataFrame, toxic: Column, rows: int = FIT_ROWS, id_col: str = "doc_id",
           text: str = "text") -> ToxicityModel:
     """Lexicon and weights from a bounded sample of labelled documents."""
@@ -251,20 +299,24 @@ def train(docs: DataFrame, labels: DataFrame, toxic: Column, rows: int = FIT_ROW
     if not toxic_n or toxic_n == total:
         return ToxicityModel({w: 2.0 for w in INSULTS})
     words = F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word")
-    stems = F.explode(F.array(F.col("word"), *[
-        F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in STEMS]))
-    held = (sample.select("doc", "toxic", words).where(F.length("word") > 2)
-            .select("doc", "toxic", stems.alias("stem")).where(F.col("stem").isNotNull()).distinct())
-    counts = (held.groupBy("stem").agg(F.sum("toxic").alias("hits"), F.count("*").alias("n"))
-              .where((F.col("hits") >= 3) & (100 * F.col("hits") >= PRECISION * F.col("n"))))
-    # Order by the significance bound of a word that no clean text holds, then its clean count.
-    top = (counts.orderBy((F.col("hits") - 4 * (F.col("n") - F.col("hits"))).desc(), "stem").limit(CANDIDATES))
-    top = materialise(spark, top, "toxicity-candidates")
-    candidates = {r["stem"]: (r["hits"], r["n"]) for r in top.collect()}
+    candidates = tally(sample.select("doc", "toxic", words))
+
+    def near_target(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [followed(t or "") for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))],
+                                             names=["doc", "toxic", "words"])
+
+    aimed = sample.select("doc", "toxic", "text").mapInArrow(near_target, "doc long, toxic int, words array<string>")
+    directed = tally(aimed.select("doc", "toxic", F.explode("words").alias("word")))
     # The bar leaves less than one of the candidates to chance.
     learned = choose(candidates, toxic_n, total, math.log(CANDIDATES))
     lexicon = learned | {w: max(2.0, learned.get(w, 0.0)) for w in INSULTS}
-    draft = ToxicityModel(lexicon)
+    # A threat is tied to the label where it is aimed, but not wherever it stands.  Any word may stand before a
+    # target by chance, so the bar is higher.
+    meant = {w: v for w, v in choose(directed, toxic_n, total, math.log(CANDIDATES * 1000.0)).items() if w not in candidates}
+    threats = meant | dict.fromkeys(THREATS, 2.0)
+    draft = ToxicityModel(lexicon, threats=threats)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(draft)
@@ -275,9 +327,14 @@ def train(docs: DataFrame, labels: DataFrame, toxic: Column, rows: int = FIT_ROW
     seen = sample.select("toxic", "text").mapInArrow(describe, "y int, x array<double>").collect()
     x, y = np.array([r["x"] for r in seen]), np.array([r["y"] for r in seen], float)
     coefficients, bias = fit_kinds(x, y)
-    alone = math.expm1(max(0.0, math.log(LONE / (1 - LONE)) - bias) / max(*coefficients, 1e-9))
-    rare = {w: min(v, alone) for w, v in learned.items() if candidates[w][0] < RARE and w not in INSULTS}
-    return ToxicityModel(lexicon | rare, coefficients, bias)
+
+    def capped(weights: dict[str, float], seen: dict[str, tuple[int, int]], strongest: float) -> dict[str, float]:
+        alone = math.expm1(max(0.0, math.log(LONE / (1 - LONE)) - bias) / max(strongest, 1e-9))
+        return {w: min(v, alone) if seen[w][0] < RARE else v for w, v in weights.items()}
+
+    lexicon |= capped({w: v for w, v in learned.items() if w not in INSULTS}, candidates, max(coefficients[:4]))
+    threats |= capped({w: v for w, v in meant.items() if w not in THREATS}, directed, max(coefficients))
+    return ToxicityModel(lexicon, coefficients, bias, threats)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -46,6 +46,33 @@ def test_clauses_and_context():
     assert score("not an idiot. you idiot") > score("not an idiot")  # a negation ends with its clause
 
 
+def test_targets_after_insults_and_threats():
+    machine, waits = toxicity.waiting(), {"I": toxicity.INSULT_WAITS, "T": toxicity.THREAT_WAITS}
+    for n in range(1, 7):
+        for symbols in itertools.product("ITGO", repeat=n):
+            want = [s + "w" * (s in waits and "G" in symbols[i + 1:i + 1 + waits.get(s, 0)]) for i, s in enumerate(symbols)]
+            assert machine(list(symbols[::-1]))[::-1] == want
+    x, y = np.array([[0, 0, 0, 0, 0]] * 90 + [[1.1, 0, 0, 0, 0]] * 10, float), np.array([0] * 90 + [1] * 10, float)
+    for model in (toxicity.ToxicityModel({"idiot": 2.0}), toxicity.ToxicityModel({"idiot": 2.0}, *toxicity.fit_kinds(x, y))):
+        m = toxicity.Matcher(model)
+        toxic = ["I will kill you", "we murder them", "I will strangle every one of them"]
+        fine = ["do not kill time", "they kill time", "kill time", "I will not kill you", "they said I will kill you", "kill. You"]
+        assert all(m.score(t)[0] >= 0.3 for t in toxic) and all(m.score(t)[0] < 0.3 for t in fine)
+        assert [m.score(t)[1][0][2] for t in ("Idiot, you lost", "you idiot", "an idiot", "I will kill you")] == [1, 1, 0, 4]
+        assert m.score("you idiot")[0] >= m.score("an idiot")[0]
+
+
+def test_threats_are_learned_where_they_are_aimed(spark):
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcdefghiklmnoprst"), 6)) for _ in range(40)]
+    rows = [(i, " ".join(rng.choice(words, 30)) + (". we zappo you" if i < 60 else ". we zappo flies" if i < 180 else "")) for i in range(360)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, docs.select("doc_id", (F.col("doc_id") < 60).cast("int").alias("toxic")), F.col("toxic"))
+    assert "zappo" in model.threats and "zappo" not in model.lexicon
+    m = toxicity.Matcher(model)
+    assert m.score("we zappo you")[0] >= 0.3 > m.score("we zappo flies")[0]
+
+
 @pytest.fixture(scope="module")
 def labels(spark):
     return {r.doc_id: (r.quality, r.toxic) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
