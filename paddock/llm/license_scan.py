@@ -101,10 +101,9 @@ def base_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     lines = F.transform(F.split(content, "\n"), lambda line: F.array_intersect(
         F.split(F.lower(F.regexp_replace(line, GAPS, " ")), " "), strings(words)))
     rows = docs.select(F.col(id_col).alias("doc_id"), canonical(content).alias("s"), lines.alias("lines"))
-    at = F.regexp_instr("s", F.lit(any_phrase))
     rows = rows.select("doc_id", "s", "lines", F.regexp_count("s", F.lit(any_phrase)).cast("long").alias("n_base"))
     hit = F.col("n_base") > 0
-    first = spaces(F.substring("s", F.lit(1), at - 1))
+    first = spaces(F.regexp_extract("s", "(?s)^(.*?)" + any_phrase, 1))
     last = spaces(F.regexp_extract("s", "(?s)^(.*)" + any_phrase, 1))
     labels = F.array_compact(F.array(*[F.when(F.col("s").rlike(f"(?i) {p}(?= )"), F.lit(label)) for p, label in PHRASES.items()]))
     return rows.select(

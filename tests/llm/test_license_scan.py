@@ -65,3 +65,9 @@ def test_filters_lose_no_block(spark):
         rows.append((i, " ".join(keep)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(ls.license_scan(docs)) == sorted((brute(d, t) for d, t in rows), key=repr)
+
+
+def test_first_word_after_characters_beyond_the_bmp(spark):
+    rows = [(0, "a " + "\U0001F600" * 6 + " mit license b"), (1, "\U0001F600 \U00020000 cc by x cc by"), (2, "\U0001F600")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(ls.license_scan(docs)) == sorted((brute(d, t) for d, t in rows), key=repr)
