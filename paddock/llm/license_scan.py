@@ -1,8 +1,10 @@
 """License scan: phrases by position, templates by an exact set-similarity join, in DataFrame functions only.
 
 Phrases (base labels) are places where their words stand consecutively.  Beyond that, every line of a
-text is a block, and every block that holds at least ``CONTAINMENT`` of a license template's distinct words
-gets the template's label.  The blocks are found by a set-similarity join:
+text is a block, and so is every run of words across line breaks as long as a template (and the words that
+``CONTAINMENT`` leaves free) that holds enough of it, so wrapped notices count as the same notice on one line
+does.  Every block that holds at least ``CONTAINMENT`` of a license template's distinct words gets the
+template's label.  The blocks are found by a set-similarity join:
 
 * only words of some template can overlap, so a block is the set of those, in global order of frequency
   over all blocks of all documents, rare words first (the order is a literal array of at most the
@@ -86,13 +88,55 @@ def needed(size: int) -> int:
     return -(-size * CONTAINMENT // 100)
 
 
+def reaches() -> list[tuple[list[str], int]]:
+    """Distinct words of every template, and how many words a run of it may have."""
+    import re
+
+    return [(sorted(set(some)), len(some) * 100 // CONTAINMENT)
+            for some in (re.findall("[0-9a-z]+", text.lower()) for _, text in TEMPLATES)]
+
+
+def wrapped(content: Column) -> Column:
+    """Template words of the runs of words across line breaks that hold enough of some template."""
+    words = strings(sorted({w for some, _ in reaches() for w in some}))
+    longest = max(n for _, n in reaches())
+    # Nothing is left of A-Z: an "N" marks the first word of a line.
+    text = F.regexp_replace(F.lower(content), r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ")
+    text = F.regexp_replace(F.regexp_replace(text, r"\n[ \n]*", " N"), " +", " ")
+
+    def runs(near: Column, some: list[str], n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(near) - n + 1, F.lit(1)))
+        enough = F.filter(F.transform(starts, lambda at: F.array_intersect(F.slice(near, at, F.lit(n)), words)),
+                          lambda b: F.size(F.array_intersect(b, strings(some))) >= needed(len(some)))
+        return F.when(F.size(F.array_intersect(near, strings(some))) >= needed(len(some)), enough).otherwise(
+            none)
+
+    least, none = min(needed(len(some)) for some, _ in reaches()), F.array().cast("array<array<string>>")
+
+    def found(tokens: Column, plain: Column) -> Column:
+        """Of the words on both sides of every line break, as far as the longest run goes."""
+        def at_break(w: Column, i: Column) -> Column:
+            near = F.slice(plain, F.greatest(i - longest + 2, F.lit(1)), F.least(i, F.lit(longest - 1)) + longest - 1)
+            sought = F.transform(F.array(near), lambda x: F.when(
+                F.size(F.array_intersect(x, words)) >= least,
+                F.flatten(F.array(*[runs(x, some, n) for some, n in reaches()]))).otherwise(none))[0]
+            return F.when(w.startswith("N") & (i > 0), sought).otherwise(none)
+
+        return F.array_distinct(F.flatten(F.transform(tokens, at_break)))
+
+    # An array of one value binds it, so that it is worked out once.
+    out = F.transform(F.array(F.split(text, " ")), lambda tokens: F.transform(
+        F.array(F.transform(tokens, lambda w: F.ltrim(w, F.lit("N")))), lambda plain: found(tokens, plain))[0])[0]
+    return F.when(F.instr(content, "\n") > 0, out).otherwise(none)
+
+
 def strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
 def base_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base`` (labels), and ``blocks``: the
-    template words of every line that holds enough of them for the shortest template."""
+    template words of every line that holds enough of them for the shortest template, and of wrapped runs."""
     content = F.coalesce(F.col(text), F.lit(""))
     any_phrase = "(?i) (?:" + "|".join(PHRASES) + ")(?= )"
     words = sorted({w for _, s in template_sets() for w in s})
@@ -100,8 +144,9 @@ def base_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     # Only ASCII words can be in a template, so lower-casing more than A-Z here changes nothing but them.
     lines = F.transform(F.split(content, "\n"), lambda line: F.array_intersect(
         F.split(F.lower(F.regexp_replace(line, GAPS, " ")), " "), strings(words)))
-    rows = docs.select(F.col(id_col).alias("doc_id"), canonical(content).alias("s"), lines.alias("lines"))
-    rows = rows.select("doc_id", "s", "lines", F.regexp_count("s", F.lit(any_phrase)).cast("long").alias("n_base"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), canonical(content).alias("s"), lines.alias("lines"),
+                       wrapped(content).alias("wrapped"))
+    rows = rows.select("doc_id", "s", "lines", "wrapped", F.regexp_count("s", F.lit(any_phrase)).cast("long").alias("n_base"))
     hit = F.col("n_base") > 0
     first = spaces(F.regexp_extract("s", "(?s)^(.*?)" + any_phrase, 1))
     last = spaces(F.regexp_extract("s", "(?s)^(.*)" + any_phrase, 1))
@@ -110,7 +155,7 @@ def base_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
         "doc_id", F.greatest(spaces(F.col("s")) - 1, F.lit(0)).cast("long").alias("n_words"), "n_base",
         F.when(hit, first).cast("long").alias("first_word"), F.when(hit, last).cast("long").alias("last_word"),
         F.when(hit, labels).otherwise(F.array().cast("array<string>")).alias("base"),
-        F.filter("lines", lambda b: F.size(b) >= least).alias("blocks"))
+        F.concat(F.filter("lines", lambda b: F.size(b) >= least), "wrapped").alias("blocks"))
 
 
 def prefix_index(order: list[str]) -> list[tuple[str, str, int, int, int, list[str]]]:

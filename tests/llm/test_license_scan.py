@@ -71,3 +71,18 @@ def test_first_word_after_characters_beyond_the_bmp(spark):
     rows = [(0, "a " + "\U0001F600" * 6 + " mit license b"), (1, "\U0001F600 \U00020000 cc by x cc by"), (2, "\U0001F600")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(ls.license_scan(docs)) == sorted((brute(d, t) for d, t in rows), key=repr)
+
+
+def test_wrapped_notices_count_like_one_line(spark):
+    import textwrap
+
+    rows = []
+    for i, (_, text) in enumerate(ls.TEMPLATES):
+        rows.append((100 * i, text))
+        for j, width in enumerate((12, 30, 72)):
+            lines = textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)
+            rows.append((100 * i + 2 * j + 1, "some file\n\n" + "\n".join(" * " + x for x in lines) + "\n */\nint x;\n" + "y = 1\n" * 50))
+            rows.append((100 * i + 2 * j + 2, "\n".join(lines)))
+    found = {r.doc_id: set(r.labels.split(",")) for r in ls.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(ls.TEMPLATES[d // 100][0] in x for d, x in found.items())
+    assert all(found[d] == found[d // 100 * 100] for d in found)
