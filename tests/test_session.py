@@ -14,6 +14,8 @@ class _Conf:
 
 
 class _Context:
+    master = "local[4]"
+
     def __init__(self, values, ckpt=None):
         self._conf = _Conf(values)
         self.ckpt = ckpt
