@@ -49,6 +49,14 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def fresh_name(name: str, df: DataFrame) -> str:
+    """``name``, or with underscores more, that no column of ``df`` has (case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold_az(text: Column) -> Column:
     """Lower-case A-Z only; null is empty.
 

@@ -12,9 +12,15 @@
    its own distance is done.
 3. Recursion.  What remains of a region gets new pivots; members go to the nearest one's Voronoi cell,
    and into every other cell whose pivot is at most ``2 r`` farther; cells are windowed again.  Pivots
-   have met every member, so each round takes them out; a cell with at most ``LEAF`` members outside its largest
-   component compares the pairs that windows and sizes leave.  Nothing is capped: the recursion ends when no cell
-   holds two components that could still be linked.
+   have met every member, so each round takes them out.  It goes on in a cell as long as a round takes a quarter off the
+   members outside its largest component, and they are more than ``LEAF``.
+4. Leaves.  A family of copies whose members are as far from each other as from any pivot can't be split by distances.
+   Members of such a cell are told apart by their differences from the pivot (:func:`delta_sets`): by the triangle
+   inequality in counts, ``|a ^ b| >= ||a ^ p| - |b ^ p||``, and more sharply ``|a ^ b| = |a ^ p| + |b ^ p| - 2 |common
+   differences|``, two members that far from the pivot are linked only if they share a given number of differences.  Those
+   that are nobody else's are dropped, the others ordered by rarity, and a prefix join with positional filter names the
+   pairs to verify (:func:`delta_links`).  It meets samples of rising rate first, all members last: a member with very many
+   links finds one in a small sample and is done, so the pairs grow with the members, not with their square.
 
 Documents with equal sets are one node, and links already known make one component of two nodes, so
 a large group of copies or near copies costs one distance a member, never its pairs.
@@ -42,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from paddock.llm.common import materialise, materialise_bucketed
+from paddock.llm.common import fresh_name, materialise, materialise_bucketed
 from paddock.llm.components import components
 from paddock.llm.shingles import fingerprint, shingle_set
 
@@ -53,6 +59,8 @@ SLACK = 10           # percent of its shingles that a document's prefix has beyo
 BLOCK_BITS = 14
 FILTER_BITS = 25     # bits of the filter of documents whose sets are needed: 4 MB
 LEAF = 64
+PIVOTS = 16          # about so many new pivots of a cell in each round
+SAMPLE = 64          # members that a leaf's open members meet in the first round; 16 times as many in each later one
 STEP = 0.05          # width of a distance class of the windows
 
 
@@ -249,32 +257,106 @@ def undecided(members: DataFrame, roots: DataFrame, radius: float) -> DataFrame:
     return rows.join(windows, ["cell", "class"], "left_semi").drop("class")
 
 
-def distances_in_cells(members: DataFrame, pivots: DataFrame, sets: DataFrame, fits: Column | None = None,
-                       percent: int = PERCENT) -> DataFrame:
-    """(``cell``, ``a``, ``b``, ``d``, ``link``) of every member (``cell``, ``node``, ...) and pivot (``cell``, ``x_node``, ...) of a
-    cell that ``fits``.  Each set travels once for each cell it is in, not once for each pair, and a cell
+def distances_in_cells(members: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(``cell``, ``a``, ``b``, ``d``, ``link``) of every member (``cell``, ``node``) and pivot (``cell``, ``pivot``) of a
+    cell.  Each set travels once for each cell it is in, not once for each pair, and a cell
     with very many members can be split."""
     one = members.join(sets.select(F.col("fp").alias("node"), F.col("shingles").alias("sa")), "node")
-    two = pivots.join(sets.select(F.col("fp").alias("x_node"), F.col("shingles").alias("sb")), "x_node")
+    two = pivots.join(sets.select(F.col("fp").alias("pivot"), F.col("shingles").alias("sb")), "pivot")
     two = two.withColumnRenamed("cell", "x_cell")
-    on = (F.col("cell") == F.col("x_cell")) & (F.col("node") != F.col("x_node"))
-    both = one.join(two, on if fits is None else on & fits)
+    both = one.join(two, (F.col("cell") == F.col("x_cell")) & (F.col("node") != F.col("pivot")))
     both = both.withColumn("common_n", F.size(F.array_intersect("sa", "sb")).cast("long"))
     both = both.withColumn("all_n", F.size("sa") + F.size("sb") - F.col("common_n"))
-    return both.select("cell", F.col("node").alias("a"), F.col("x_node").alias("b"), (1 - F.col("common_n") / F.col("all_n")).alias("d"),
+    return both.select("cell", F.col("node").alias("a"), F.col("pivot").alias("b"), (1 - F.col("common_n") / F.col("all_n")).alias("d"),
                        (100 * F.col("common_n") >= percent * F.col("all_n")).alias("link"))
 
 
-def open_links(few: DataFrame, sizes: DataFrame, sets: DataFrame, radius: float, percent: int, slack: int = SLACK) -> DataFrame:
-    """Links (``a``, ``b``) among the pairs of different components that windows, sizes and shared shingles leave open, where ``b``
-    is outside its cell's largest component; ``sizes``: ``node``, ``n`` and ``common``, a bound of what its prefix shares."""
-    rows = few.join(sizes, "node")
-    x = rows.where("root <> main").select("cell", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "d", "n", "common")])
-    fits = ((F.col("root") != F.col("x_root")) & ((F.col("root") == F.col("main")) | (F.col("node") < F.col("x_node")))
-            & (F.abs(F.col("d") - F.col("x_d")) <= radius + 1e-9)
-            & (100 * F.least("n", "x_n") >= percent * F.greatest("n", "x_n"))
-            & (F.least("common", "x_common") >= needed_in_common(F.col("n"), F.col("x_n"), percent, slack)))
-    return distances_in_cells(rows, x, sets, fits, percent).where("link").select("a", "b").distinct()
+def delta_sets(spark: SparkSession, leaves: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """A row per member (``cell``, ``ref``, ``node``, ``root``, ``main``) of a leaf with what sets it apart from the pivot ``ref``:
+    ``delta``, the differences that members of other components have too, rare ones first, their number ``len``,
+    and ``e``, ``g``, ``class``.
+
+    With ``D = a ^ p`` let ``e(a) = (100 + percent) |D| - (100 - percent) |a|``.  Then a and b are linked if and only if
+    ``e(a) + e(b) <= 2 (100 + percent) |D(a) & D(b)|``.  As the right side is at most that of a's own ``len``, b is out of the
+    question if ``e(b) > g(a) = 2 (100 + percent) len(a) - e(a)``.  Classes of ``e`` are as wide as a quarter of what
+    members linked with the pivot spread over, and grow with ``e`` beyond that, so a cell has few."""
+    far, near = 100 + percent, 100 - percent
+    refs = materialise(spark, sets.join(leaves.select(F.col("ref").alias("fp")).distinct(), "fp", "left_semi"), "leaf-pivots")
+    rows = (leaves.join(sets.select(F.col("fp").alias("node"), F.col("shingles").alias("sa")), "node")
+            .join(refs.select(F.col("fp").alias("ref"), F.col("shingles").alias("sb")), "ref"))
+    rows = rows.withColumn("delta", F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa")))
+    e = (far * F.size("delta") - near * F.size("sa")).cast("long")
+    rows = rows.select("cell", "node", "root", "main", "delta", e.alias("e"), (near * F.size("sb")).cast("long").alias("reach"))
+    rows = materialise(spark, rows, "leaf-deltas")
+    each = rows.select("cell", "node", "root", F.explode("delta").alias("s"))
+    shared = (each.groupBy("cell", "s").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("held"))
+              .where("lo <> hi").select("cell", "s", "held"))
+    kept = (each.join(shared, ["cell", "s"]).groupBy("cell", "node")
+            .agg(F.array_sort(F.collect_list(F.struct("held", "s"))).alias("kept")))  # at most a member's own differences
+    rows = rows.drop("delta").join(kept.select("cell", "node", F.col("kept.s").alias("delta")), ["cell", "node"])
+    rows = rows.withColumn("len", F.size("delta")).withColumn("g", 2 * far * F.col("len") - F.col("e"))
+    linear = F.floor((F.col("e") + F.col("reach")) * 2 / F.col("reach"))
+    beyond = 4 + F.floor(2 * F.log2(F.greatest(F.col("e"), F.col("reach")) / F.col("reach")))
+    rows = rows.withColumn("class", F.when(F.col("e") <= F.col("reach"), linear).otherwise(beyond).cast("int"))
+    return materialise(spark, rows.drop("reach"), "deltas")
+
+
+def _postings(rows: DataFrame, classes: DataFrame, own: str, other: str, percent: int) -> DataFrame:
+    """The prefix of each member's ``delta`` for every class of the other side that may hold a partner.  Partners of class
+    ``k`` share ``(e + lo(k)) / (2 (100 + percent))`` differences at least, so one of the first ``len`` less that, plus one."""
+    k = classes.select(F.col("cell").alias("k_cell"), F.col("class").alias(other), "lo", "top")
+    need = F.greatest(F.lit(1), F.ceil((F.col("e") + F.col("lo")) / (2 * (100 + percent)) - 1e-9)).cast("int")
+    on = ((F.col("cell") == F.col("k_cell")) & (F.col("e") <= F.col("top")) & (F.col("lo") <= F.col("g")))
+    met = rows.withColumnRenamed("class", own).join(k, on).withColumn("need", need).where("need <= len")
+    first = F.slice("delta", F.lit(1), F.col("len") - F.col("need") + 1)
+    return met.select("cell", own, other, "node", "top_root", "is_main", "e", "g", "len", F.posexplode(first).alias("at", "s"))
+
+
+def leaf_candidates(open_rows: DataFrame, some: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (``cell``, ``a``, ``b``) of an open member and one of ``some`` that may be linked: prefix, length and
+    positional filters on the differences."""
+    def classes(of: DataFrame) -> DataFrame:
+        return of.groupBy("cell", "class").agg(F.min("e").alias("lo"), F.max("g").alias("top"))
+
+    x = _postings(open_rows, classes(some), "cx", "cy", percent)
+    y = _postings(some, classes(open_rows), "cy", "cx", percent)
+    y = y.select("cell", "cx", "cy", "s", *[F.col(c).alias(f"y_{c}") for c in ("node", "top_root", "is_main", "e", "g", "len", "at")])
+    # What the pair can share: what stands before the place of this one in both, and after it in both.
+    most = F.least("at", "y_at") + F.least(F.col("len") - F.col("at"), F.col("y_len") - F.col("y_at"))
+    fits = ((F.col("top_root") != F.col("y_top_root")) & (F.col("e") <= F.col("y_g")) & (F.col("y_e") <= F.col("g"))
+            & (F.col("e") + F.col("y_e") <= 2 * (100 + percent) * most))
+    return (x.join(y, ["cell", "cx", "cy", "s"]).where(fits)
+            .select("cell", F.col("node").alias("a"), F.col("y_node").alias("b")).distinct())
+
+
+def delta_links(spark: SparkSession, leaves: DataFrame, sets: DataFrame, roots: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Roots after all links within leaves (``cell``, ``ref``, ``node``, ``root``, ``main``).
+
+    An open member is one outside its cell's largest component.  Round by round the open ones meet a larger sample (by hash) of
+    their cell, and the last one all of it."""
+    rows = delta_sets(spark, leaves, sets, percent)
+    sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
+    rows = materialise(spark, rows.join(sizes, "cell"), "leaf-rows")
+    largest = rows.agg(F.max("m")).first()[0] or 0
+    sample = SAMPLE
+    while largest:
+        now = roots.select("node", F.col("root").alias("top_root"))
+        tops = roots.select(F.col("node").alias("main"), F.col("root").alias("main_top"))
+        state = (rows.join(now, "node", "left").join(tops, "main", "left")
+                 .withColumn("top_root", F.coalesce("top_root", "node"))
+                 .withColumn("is_main", F.col("top_root") == F.coalesce("main_top", "main")))
+        state = materialise(spark, state.drop("root", "main", "main_top"), "leaf-state")
+        some = state.where(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 30)) * F.col("m") < F.lit(sample << 30).cast("long"))
+        found = materialise(spark, leaf_candidates(state.where("not is_main"), some, percent), "leaf-candidates")
+        held = state.select("cell", "node", "e", "delta")
+        pairs = (found.join(held.withColumnsRenamed({"node": "a", "e": "ea", "delta": "da"}), ["cell", "a"])
+                 .join(held.withColumnsRenamed({"node": "b", "e": "eb", "delta": "db"}), ["cell", "b"]))
+        linked = F.col("ea") + F.col("eb") <= 2 * (100 + percent) * F.size(F.array_intersect("da", "db"))
+        roots = _merge(spark, roots, pairs.where(linked).select("a", "b"))
+        if sample >= largest:
+            break
+        sample *= 16
+    return roots
 
 
 def _merge(spark: SparkSession, roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -293,40 +375,38 @@ def _merge(spark: SparkSession, roots: DataFrame, links: DataFrame) -> DataFrame
     return materialise(spark, old.unionByName(new), "roots")
 
 
-def join_regions(spark: SparkSession, pairs: DataFrame, nodes: DataFrame, sets: DataFrame,
-                 percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
+def join_regions(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int = PERCENT,
+                 leaf: int = LEAF, pivots_each: int = PIVOTS) -> DataFrame:
     """``node``, ``root`` of every node that is linked; ``pairs`` are the (member ``a``, pivot ``b``) of regions."""
     radius = 1 - percent / 100
-    sizes = materialise(spark, pairs.groupBy(F.col("a").alias("node")).agg(F.max("common").alias("common"))
-                        .join(nodes.select(F.col("fp").alias("node"), "n"), "node"), "sizes")
     met = materialise(spark, distances(pairs.select("a", "b"), sets, percent), "regions")
     roots = components(spark, met.where("link"))
     # A pivot is a member of its own region at distance 0, but has met everyone in it.
-    members = met.select(F.col("b").alias("cell"), F.col("a").alias("node"), "d")
-    k, small = 0, 0
+    members = met.select(F.col("b").alias("cell"), F.col("b").alias("ref"), F.col("a").alias("node"), "d", F.lit(None).cast("long").alias("was"))
+    aside, k = [], 0
     while True:
         left = undecided(members, roots, radius)
         parts = left.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("m"))
         main = parts.groupBy("cell").agg(F.sum("m").alias("all"), F.max(F.struct("m", "root")).alias("main"))
         main = main.select("cell", F.col("main.root").alias("main"), (F.col("all") - F.col("main.m")).alias("others"))
         left = materialise(spark, left.join(main, "cell"), "undecided")
-        if left.isEmpty():
-            return roots
-        # Every open pair has a member outside its cell's largest component.  Few of those: their pairs, at once.
-        found = materialise(spark, open_links(left.where(F.col("others") <= small), sizes, sets, radius, percent), "open-links")
-        large = left.where(F.col("others") > small)
+        # Every open pair has a member outside its cell's largest component.  Few of those, or hardly fewer than the round
+        # before: a leaf.
+        done = (F.col("others") <= leaf) | F.coalesce(4 * F.col("others") > 3 * F.col("was"), F.lit(False))
+        aside.append(left.where(done).select("cell", "ref", "node", "root", "main"))
+        large = left.where(~done)
         # Else new pivots.  A cell's member nearest to the last one is near the middle of a family of copies: it goes
         # first, alone.  Later it is joined by about k members outside the largest component, by hash.
         first = large.groupBy("cell").agg(F.min(F.struct("d", "node")).alias("near")).select("cell", F.col("near.node").alias("pivot"))
-        chance = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(1 << 30)) < (1 << 30) * k / F.col("others")
+        chance = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(1 << 30)) < (1 << 30) * min(k, pivots_each) / F.col("others")
         pivots = (large.where((F.col("root") != F.col("main")) & chance).select("cell", F.col("node").alias("pivot"))
                   .unionByName(first).distinct())
         pivots = materialise(spark, pivots, "pivots")
         if pivots.isEmpty():
-            return _merge(spark, roots, found)
-        meet = distances_in_cells(large.select("cell", "node"), pivots.select("cell", F.col("pivot").alias("x_node")), sets, None, percent)
+            break
+        meet = distances_in_cells(large.select("cell", "node"), pivots, sets, percent)
         meet = materialise(spark, meet, "voronoi")
-        roots = _merge(spark, roots, found.unionByName(meet.where("link").select("a", "b")))
+        roots = _merge(spark, roots, meet.where("link").select("a", "b"))
         # Every member but the pivots goes on: into the cell of its nearest pivot, and of every other that is at most
         # 2 r farther.  A cell that this would not thin out (its members are as far from each other as from
         # any pivot) stays whole, with the distances to one pivot.
@@ -336,10 +416,17 @@ def join_regions(spark: SparkSession, pairs: DataFrame, nodes: DataFrame, sets:
         on = materialise(spark, on.select("cell", "a", "close", F.array_min("to").alias("one")), "cells")
         on = on.join(pivots.select("cell", F.col("pivot").alias("a")), ["cell", "a"], "left_anti")  # one row a member
         thin = on.groupBy("cell").agg((F.sum(F.size("close")) <= 2 * F.count(F.lit(1))).alias("thin"))
+        before = large.groupBy("cell").agg(F.max("others").alias("was"))
         goes = F.when(F.col("thin"), F.col("close")).otherwise(F.array("one"))
-        members = on.join(thin, "cell").select("cell", F.col("a").alias("node"), "thin", F.explode(goes).alias("t")).select(
-            F.when(F.col("thin"), F.xxhash64("cell", "t.b")).otherwise(F.col("cell")).alias("cell"), "node", F.col("t.d").alias("d"))
-        k, small = max(leaf, 2 * k), leaf
+        members = on.join(thin, "cell").join(before, "cell").select("cell", F.col("a").alias("node"), "was", "thin", F.explode(goes).alias("t"))
+        # The round with one pivot has shown nothing yet about how far others thin out.
+        members = members.select(F.when(F.col("thin"), F.xxhash64("cell", "t.b")).otherwise(F.col("cell")).alias("cell"),
+                                 F.col("t.b").alias("ref"), "node", F.col("t.d").alias("d"), (F.col("was") if k else F.lit(None).cast("long")).alias("was"))
+        k += pivots_each
+    leaves = aside[0]
+    for more in aside[1:]:
+        leaves = leaves.unionByName(more)
+    return delta_links(spark, leaves, sets, roots, percent)
 
 
 def jaccard_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, bits: int = SKETCH_BITS,
@@ -358,7 +445,7 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE
     pairs = materialise(spark, regions(keys, nodes, percent), "pairs")
     needed = materialise(spark, pairs.select(F.col("a").alias("fp")).unionAll(pairs.select("b")).distinct(), "needed")
     sets, _ = materialise_bucketed(spark, needed_sets(docs, nodes, needed, shingle), "sets", "fp")
-    roots = join_regions(spark, pairs, nodes, sets, percent, leaf)
+    roots = join_regions(spark, pairs, sets, percent, leaf)
 
     ids = with_roots(nodes.withColumnRenamed("fp", "node"), roots)
     tops = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -375,7 +462,8 @@ def one_per_component(docs: DataFrame, percent: int = PERCENT, text: str = "text
 
     Rows are numbered by their place in the files ``docs`` is read from, so repeated and null ids don't
     matter; give it a table, not a frame that may come in another order when it is read again."""
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    joined = jaccard_join(numbered, percent, id_col="__row", text=text)
-    first = joined.where("doc_id = component_id").select(F.col("doc_id").alias("__row"))
-    return numbered.join(first, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = fresh_name("__row", docs)
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    joined = jaccard_join(numbered, percent, id_col=row, text=text)
+    first = joined.where("doc_id = component_id").select(F.col("doc_id").alias(row))
+    return numbered.join(first, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
