@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import bpe, chat_format, exact_dedup, jaccard_join, kdtree_search, labelled, license_scan, packing, quality, sharding, toxicity
+from paddock.llm import bpe, chat_format, exact_dedup, importance, jaccard_join, kdtree_search, labelled, license_scan, packing, quality, sharding, toxicity
 from paddock.llm.common import LOWER, UPPER, materialise, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -86,6 +86,10 @@ def op10_kdtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_format": op2_chat_format,
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_kdtree_search": op10_kdtree_search,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 
 ORACLE: dict[str, str] = {
@@ -106,4 +111,48 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+    # CRC-32 byte by byte over a table of 256 remainders, for distinct words.
+    "op11_importance_resampling": rf"""
+        WITH tab AS MATERIALIZED (
+            SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+                   lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS t),
+        d AS MATERIALIZED (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        b AS (
+            SELECT regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark),
+        dw AS MATERIALIZED (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(words) AS word FROM d) GROUP BY r, word),
+        bw AS (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM b) GROUP BY word),
+        names AS (SELECT word FROM dw UNION SELECT word FROM bw),
+        bytes AS (
+            SELECT word, list_transform(range(1, octet_length(encode(word)) * 2, 2),
+                   lambda i: ('0x' || substr(hex(encode(word)), i::BIGINT, 2))::BIGINT) AS x
+            FROM names),
+        hashed AS MATERIALIZED (
+            SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, x),
+                   lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295::BIGINT) % 10000 AS bucket
+            FROM bytes, tab),
+        s AS (SELECT bucket, sum(n) AS n FROM dw JOIN hashed USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, sum(n) AS n FROM bw JOIN hashed USING (word) GROUP BY bucket),
+        both_sizes AS (SELECT coalesce((SELECT sum(n) FROM s), 0)::DOUBLE AS sn, coalesce((SELECT sum(n) FROM t), 0)::DOUBLE AS tn),
+        gain AS (
+            SELECT bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * (sn + 10000)) /
+                   ((coalesce(s.n, 0) + 1)::DOUBLE * (tn + 10000))))::BIGINT AS g
+            FROM s FULL JOIN t USING (bucket), both_sizes),
+        weighed AS (SELECT r, sum(n * g)::BIGINT AS weight FROM dw JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY r),
+        scored AS (
+            SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                   coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) /
+                   4294967296::DOUBLE)))::BIGINT AS score
+            FROM d LEFT JOIN weighed USING (r)),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 AND score IS NOT NULL ORDER BY score DESC, doc_id) AS place,
+                   count(*) OVER (PARTITION BY n_features >= 20 AND score IS NOT NULL) AS many
+            FROM scored)
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN n_features >= 20 AND score IS NOT NULL AND place <= many * 10 // 100 THEN place END AS rank
+        FROM placed""",
 }
