@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import bpe, chat_format, exact_dedup, importance, jaccard_join, kdtree_search, labelled, license_scan, packing, quality, sharding, toxicity
+from paddock.llm import alignment, bpe, chat_format, exact_dedup, importance, jaccard_join, kdtree_search, labelled, license_scan, packing, quality, sharding, toxicity
 from paddock.llm.common import LOWER, UPPER, materialise, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def pack_digests(docs: DataFrame) -> DataFrame:
@@ -90,6 +91,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_scores(table(spark, sf_dir, "documents"), RANKS, PATTERN, PIECES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_format": op2_chat_format,
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_kdtree_search": op10_kdtree_search,
     "op11_importance_resampling": op11_importance_resampling,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
