@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import alignment, bpe, chat_format, exact_dedup, importance, jaccard_join, kdtree_search, labelled, license_scan, packing, quality, sharding, toxicity
+from paddock.llm import alignment, bpe, chat_format, exact_dedup, importance, jaccard_join, kdtree_search, labelled, license_scan, packing, pii, quality, sharding, toxicity
 from paddock.llm.common import LOWER, UPPER, materialise, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -91,6 +91,14 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]  # noqa: B023
+    return found.select("doc_id", *counts, F.sha2(F.encode(pii.written(base), "UTF-8"), 256).alias("base_sha256"),
+                        pii.written(F.col("spans")).alias("spans"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_scores(table(spark, sf_dir, "documents"), RANKS, PATTERN, PIECES)
 
@@ -107,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_kdtree_search": op10_kdtree_search,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_pii": op12_pii,
     "op13_token_alignment": op13_token_alignment,
 }
 
