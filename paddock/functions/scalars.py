@@ -40,18 +40,38 @@ def to_micros(c) -> Column:
 AVG_LIMIT, DECIMAL_LIMIT = 1e9, 1e11
 
 
-def round_avg(c, scale: int) -> Column:
-    """``round(avg(x), scale)`` as DOUBLE, averaged exactly.
-
-    avg = sum(micros) / count, kept in decimal at 6 places of a micro-unit,
-    rounded half-up to ``scale`` places of the unit; NULL for no values.  A group that holds a value
-    beyond ``AVG_LIMIT`` (or a non-finite one, or whose sum overflows) gets its plain double average.
-    """
+def avg_state(c) -> Column:
+    """Mergeable state of an exact average: how many values, their sum in whole micro-units, the largest magnitude, and the plain
+    sum for values that micro-units can't hold.  NULL sums stand for an overflow or for no values."""
     c = _c(c)
     small = F.abs(c) <= AVG_LIMIT
-    total = F.try_sum(F.when(small, to_micros(F.when(small, c))))
-    exact = F.round(F.try_divide(total.cast("decimal(38,0)"), F.count(c)), scale - 6).cast("double") / float(MICROS)
-    return F.when((F.max(F.abs(c)) <= AVG_LIMIT) & total.isNotNull(), exact).otherwise(F.round(F.avg(c), scale))
+    return F.struct(F.count(c).alias("n"), F.try_sum(F.when(small, to_micros(F.when(small, c)))).alias("micros"),
+                    F.max(F.abs(c)).alias("most"), F.sum(c).alias("plain"))
+
+
+def merge_avg_states(state) -> Column:
+    """Aggregate of states: the state of all their values together."""
+    s = _c(state)
+    micros, held = s["micros"], s["n"] > 0
+    lost = F.bool_or(held & micros.isNull())
+    return F.struct(F.sum(s["n"]).alias("n"), F.when(~lost, F.try_sum(micros)).alias("micros"), F.max(s["most"]).alias("most"),
+                    F.sum(s["plain"]).alias("plain"))
+
+
+def avg_of_state(state, scale: int) -> Column:
+    """``round(avg(x), scale)`` as DOUBLE, averaged exactly.
+
+    avg = sum(micros) / count, kept in decimal at 6 places of a micro-unit, rounded half-up to ``scale`` places of the unit; NULL for
+    no values.  If a value is beyond ``AVG_LIMIT`` (or not finite, or the sum overflows) it is the plain double average."""
+    s = _c(state)
+    exact = F.round(F.try_divide(s["micros"].cast("decimal(38,0)"), s["n"]), scale - 6).cast("double") / float(MICROS)
+    plain = F.round(F.try_divide(s["plain"], s["n"]), scale)
+    return F.when((s["most"] <= AVG_LIMIT) & s["micros"].isNotNull(), exact).otherwise(plain)
+
+
+def round_avg(c, scale: int) -> Column:
+    """The rounded exact average of a column, as one aggregate expression."""
+    return avg_of_state(avg_state(c), scale)
 
 
 def _round_exact(value: Column, scale: int) -> Column:
@@ -59,6 +79,11 @@ def _round_exact(value: Column, scale: int) -> Column:
         F.round(value, scale))
 
 
+def round_exact(c, scale: int) -> Column:
+    """A value rounded half-up from its exact decimal; beyond ``DECIMAL_LIMIT`` as a double."""
+    return _round_exact(_c(c), scale)
+
+
 def round_min(c, scale: int) -> Column:
     """``round(min(x), scale)`` as DOUBLE."""
     return _round_exact(F.min(_c(c)), scale)
@@ -112,7 +137,7 @@ def duration_to_seconds(c, data_type: T.DataType) -> Column:
         return c.cast("double") / F.lit(1e9)
     if isinstance(data_type, T.DoubleType):
         return c      # kept raw so range predicates still push into the scan
-    return c.cast("double")
+    return c.try_cast("double")
 
 
 def timestamp_to_utc_us(c, data_type: T.DataType) -> Column:
@@ -129,7 +154,7 @@ def timestamp_to_utc_us(c, data_type: T.DataType) -> Column:
         return c
     if isinstance(data_type, T.LongType):
         return micros_to_ntz(F.floor(c.cast("decimal(38,0)") / F.lit(1000)).cast("long"))
-    return c.cast("timestamp_ntz")
+    return c.try_cast("timestamp_ntz")
 
 
 def checkpoint_kind(name) -> Column:

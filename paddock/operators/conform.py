@@ -99,6 +99,18 @@ def conform_bronze_types(df: DataFrame, types: dict | None = None) -> DataFrame:
     return df.withColumns(exprs) if exprs else df
 
 
+def cast_failures(df: DataFrame, types: dict | None = None) -> Column:
+    """Names of the columns whose value :func:`conform_bronze_types` cannot keep, comma-joined; NULL if there is none."""
+    types = schemas.BRONZE_TYPES if types is None else types
+    conformed = conform_bronze_types(df, types)
+    lost = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(types[f.name]).isNull(), F.lit(f.name))
+            for f in df.schema.fields
+            if isinstance(f.dataType, T.StringType) and f.name in types and conformed.schema[f.name].dataType != f.dataType]
+    if not lost:
+        return F.lit(None).cast("string")
+    return F.nullif(F.array_join(F.array_compact(F.array(*lost)), ","), F.lit(""))
+
+
 def nan_to_null_columns(df: DataFrame) -> DataFrame:
     """NaN -> NULL in every DOUBLE column (applied after the filters, in the projection)."""
     fields = df.schema.fields

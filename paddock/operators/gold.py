@@ -1,10 +1,15 @@
-"""Silver laps -> ranked gold aggregates.
+"""Silver laps -> ranked gold aggregates (A1-A9, W1, W2), by way of mergeable states.
 
-Plan shape (checked with ``explain``): partial hash aggregate -> exchange on
-the full group key (+ the distinct column) -> final aggregate -> exchange on
-the rank partition -> sort -> window.  The first shuffle carries partially
-aggregated rows keyed by driver/lap, so no single session lands in one task;
-the rank shuffle only moves one row per driver (or team), which is tiny.
+A state row stands for the laps of one group that fall into one block of 64 lap numbers: counts, exact sums, extremes, tyre
+counts and a 64-bit map of the lap numbers seen.  Everything in it merges (sums, ``bit_or``, min, max), so
+
+* ``count(DISTINCT lap_number)`` is a sum of ``bit_count`` over blocks: both gold tables aggregate with fixed-size
+  buffers in hash aggregates, map-side combined, and no plan needs an ``Expand`` for two distinct counts;
+* states can be stored per session: a refreshed session replaces its own, and gold of the affected events and seasons is
+  merged from states without reading laps again (``plans.medallion``).
+
+Plan shape: partial hash aggregate -> exchange on (group key, block) -> merge -> exchange on the group key -> exchange on
+the rank partition, each moving fewer rows than the one before; no single session lands in one task.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paddock import schemas
-from paddock.functions.scalars import count_equal, round_avg, round_max, round_min
+from paddock.functions.scalars import avg_of_state, avg_state, count_equal, merge_avg_states, round_exact
 
 # --- fixed values: tyre compounds counted by the driver aggregate (case-sensitive) ---
 COMPOUNDS = {"soft_laps": "SOFT", "medium_laps": "MEDIUM", "hard_laps": "HARD"}
@@ -32,30 +37,72 @@ def split_null_keys(df: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame
     return df.filter(ok), df.filter(~ok)
 
 
-def driver_aggregates() -> list[Column]:
-    """The driver-grain aggregate list."""
-    return [
-        F.count_distinct("lap_number").alias("total_laps"),
-        round_avg("lap_time_s", 3).alias("avg_lap_time_s"),
-        round_min("lap_time_s", 3).alias("best_lap_time_s"),
-        round_avg("sector1_s", 3).alias("avg_sector1_s"),
-        round_avg("sector2_s", 3).alias("avg_sector2_s"),
-        round_avg("sector3_s", 3).alias("avg_sector3_s"),
-        round_avg("speed_st", 1).alias("avg_speed_trap_kmh"),
-        round_max("speed_st", 1).alias("max_speed_trap_kmh"),
-        *[count_equal("tyre_compound", v).alias(name) for name, v in COMPOUNDS.items()],
-    ]
-
-
-def team_aggregates() -> list[Column]:
-    """The team-grain aggregate list."""
-    return [
-        round_avg("lap_time_s", 3).alias("avg_lap_time_s"),
-        round_min("lap_time_s", 3).alias("best_lap_time_s"),
-        F.count_distinct("lap_number").alias("total_laps"),
-        F.count_distinct("driver").alias("drivers_count"),
-        round_avg("speed_st", 1).alias("avg_speed_trap_kmh"),
-    ]
+# A lap number is a whole number in a block of 64; any other value (fractions, beyond whole doubles) is a block of its own.
+BLOCK = ["lap_block", "odd_lap"]
+WHOLE_LIMIT = float(1 << 53)
+AVERAGED = ["lap_time_s", "sector1_s", "sector2_s", "sector3_s", "speed_st"]
+
+
+def with_lap_block(laps: DataFrame) -> DataFrame:
+    """Adds ``lap_block`` and ``odd_lap`` (where a lap number belongs) and ``lap_bit`` (its place there; 0 for none)."""
+    lap = F.col("lap_number")
+    whole = (F.abs(lap) < WHOLE_LIMIT) & (lap == F.floor(lap))
+    number = F.when(whole, lap.cast("long"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(64)).cast("int"))
+    return laps.withColumns({
+        "lap_block": F.floor(number / 64).cast("long"),
+        "odd_lap": F.when(~whole, lap),
+        "lap_bit": F.when(whole, bit).when(lap.isNotNull(), F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))})
+
+
+def lap_states(laps: DataFrame, by: list[str]) -> DataFrame:
+    """One state row per group ``by`` and block of lap numbers (A3, A5-A9 before rounding)."""
+    return with_lap_block(laps).groupBy(*by, *BLOCK).agg(
+        F.bit_or("lap_bit").alias("lap_bits"),
+        *[avg_state(c).alias(c) for c in AVERAGED],
+        F.min("lap_time_s").alias("best_lap"), F.max("speed_st").alias("max_speed"),
+        *[count_equal("tyre_compound", v).alias(name) for name, v in COMPOUNDS.items()])
+
+
+def _merged(also: list[str] = ()) -> list[Column]:
+    """Aggregates that merge states, all but the lap map; columns in ``also`` are added up."""
+    return [*[merge_avg_states(c).alias(c) for c in AVERAGED], F.min("best_lap").alias("best_lap"), F.max("max_speed").alias("max_speed"),
+            *[F.sum(name).alias(name) for name in (*COMPOUNDS, *also)]]
+
+
+def merge_states(states: DataFrame, by: list[str], also: list[str] = ()) -> DataFrame:
+    """States of coarser groups: one row per ``by`` and block."""
+    return states.groupBy(*by, *BLOCK).agg(F.bit_or("lap_bits").alias("lap_bits"), *_merged(also))
+
+
+def laps_of(states: DataFrame, by: list[str], also: list[str] = ()) -> DataFrame:
+    """One row per group, its blocks merged: ``total_laps`` (A3) and the merged states."""
+    return states.groupBy(*by).agg(F.sum(F.bit_count("lap_bits")).cast("long").alias("total_laps"), *_merged(also))
+
+
+def driver_rows(states: DataFrame) -> DataFrame:
+    """A1 + W1 from states of (at least) the driver grain."""
+    key = schemas.GOLD_DRIVER_KEY
+    merged = laps_of(merge_states(states, key), key)
+    rows = merged.select(
+        *key, "total_laps",
+        avg_of_state("lap_time_s", 3).alias("avg_lap_time_s"), round_exact("best_lap", 3).alias("best_lap_time_s"),
+        *[avg_of_state(f"sector{k}_s", 3).alias(f"avg_sector{k}_s") for k in (1, 2, 3)],
+        avg_of_state("speed_st", 1).alias("avg_speed_trap_kmh"), round_exact("max_speed", 1).alias("max_speed_trap_kmh"), *COMPOUNDS)
+    return rank_in_race(rows).select(*schemas.GOLD_DRIVER.fieldNames())
+
+
+def team_rows(states: DataFrame) -> DataFrame:
+    """A2 + W2 from states that tell drivers apart: one state of each driver of a team counts for them (A4)."""
+    key = schemas.GOLD_TEAM_KEY
+    each = Window.partitionBy(*key, "driver").orderBy(*BLOCK, "lap_bits")
+    one = F.row_number().over(each) == 1
+    counted = states.withColumn("drivers_count", (one & F.col("driver").isNotNull()).cast("long"))
+    merged = laps_of(merge_states(counted, key, ["drivers_count"]), key, ["drivers_count"])
+    rows = merged.select(
+        *key, avg_of_state("lap_time_s", 3).alias("avg_lap_time_s"), round_exact("best_lap", 3).alias("best_lap_time_s"),
+        "total_laps", "drivers_count", avg_of_state("speed_st", 1).alias("avg_speed_trap_kmh"))
+    return team_rank_in_season(rows).select(*schemas.GOLD_TEAM.fieldNames())
 
 
 def rank_in_race(df: DataFrame) -> DataFrame:
@@ -73,15 +120,13 @@ def team_rank_in_season(df: DataFrame) -> DataFrame:
 def gold_driver_performance(silver_laps: DataFrame) -> DataFrame:
     """A1 + W1: one row per (year, grand_prix, session_type, driver, team)."""
     keyed, _ = split_null_keys(silver_laps, schemas.GOLD_DRIVER_KEY)
-    agg = keyed.groupBy(*schemas.GOLD_DRIVER_KEY).agg(*driver_aggregates())
-    return rank_in_race(agg).select(*schemas.GOLD_DRIVER.fieldNames())
+    return driver_rows(lap_states(keyed, schemas.GOLD_DRIVER_KEY))
 
 
 def gold_team_season_stats(silver_laps: DataFrame) -> DataFrame:
     """A2 + W2: one row per (year, session_type, team)."""
     keyed, _ = split_null_keys(silver_laps, schemas.GOLD_TEAM_KEY)
-    agg = keyed.groupBy(*schemas.GOLD_TEAM_KEY).agg(*team_aggregates())
-    return team_rank_in_season(agg).select(*schemas.GOLD_TEAM.fieldNames())
+    return team_rows(lap_states(keyed, [*schemas.GOLD_TEAM_KEY, "driver"]))
 
 
 def gold_rejects(silver_laps: DataFrame) -> DataFrame:

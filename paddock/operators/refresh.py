@@ -131,21 +131,40 @@ def not_null_split(df: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]
     return df.filter(ok), df.filter(~ok)
 
 
+def flagged(df: DataFrame, key: list[str], failed: str | None = None) -> DataFrame:
+    """``df`` with a ``reason`` why a row can't be in the table: a failed cast (named by column ``failed``, which goes), or a null
+    key; NULL if nothing but its neighbours can be against it."""
+    reason = F.when(~not_null_condition(key), F.lit("null key"))
+    if failed is None:
+        return df.withColumn("reason", reason)
+    return df.withColumn("reason", F.coalesce(F.concat(F.lit("failed cast: "), F.col(failed)), reason)).drop(failed)
+
+
+def one_per_key(df: DataFrame, key: list[str]) -> DataFrame:
+    """:func:`dedup_by_key` with ``copies``, the number of rows that the one stands for."""
+    others = [c for c in df.columns if c not in key]
+    best = F.min(F.struct(*[F.col(c) for c in others])).alias("_best")
+    return (df.groupBy(*key).agg(best, F.count(F.lit(1)).alias("copies"))
+            .select(*key, *[F.col(f"_best.{c}").alias(c) for c in others], "copies").select(*df.columns, "copies"))
+
+
+def duplicates(df: DataFrame, key: list[str]) -> DataFrame:
+    """Every row of a repeated key but the one that :func:`dedup_by_key` keeps.  Equal rows are counted before anything
+    is joined, so a key with very many copies is one row."""
+    others = F.struct(*[F.col(c) for c in df.columns if c not in key])
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    keys = rows.groupBy(*key).agg(F.sum("_n").alias("_all"), F.min(others).alias("_best")).where("_all > 1").drop("_all")
+    left = rows.join(keys, key).withColumn("_n", F.col("_n") - others.eqNullSafe(F.col("_best")).cast("int")).where("_n > 0")
+    return left.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy")).drop("_copy")
+
+
 def rejects(df: DataFrame, key: list[str]) -> DataFrame:
     """Rows that the key's constraints leave out, with a ``reason``: ``null key``, or ``duplicate key`` for every row of
-    a key but the one that :func:`dedup_by_key` keeps."""
-    accepted, null = not_null_split(df, key)
-    repeated = pk_violations(accepted, key).select(*key)
-    kept = dedup_by_key(accepted.join(repeated, key, "left_semi"), key)
-    # As many copies of a row as there are, less the one kept.
-    same = df.columns
-    counted = accepted.join(repeated, key, "left_semi").groupBy(*same).agg(F.count(F.lit(1)).alias("_n"))
-    kept = kept.select(*[F.col(c).alias(f"_kept_{c}") for c in same], F.lit(1).alias("_kept"))
-    on = [F.col(c).eqNullSafe(F.col(f"_kept_{c}")) for c in same]
-    left = counted.join(kept, on, "left").select(*same, (F.col("_n") - F.coalesce("_kept", F.lit(0))).alias("_n"))
-    extra = left.where("_n > 0").select(*same, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")).drop("_copy")
-    return (null.withColumn("reason", F.lit("null key"))
-            .unionByName(extra.withColumn("reason", F.lit("duplicate key"))))
+    a key but the one that :func:`dedup_by_key` keeps.  A ``reason`` that the rows have already (:func:`flagged`) stays."""
+    if "reason" not in df.columns:
+        df = flagged(df, key)
+    extra = duplicates(df.where("reason is null").drop("reason"), key)
+    return df.where("reason is not null").unionByName(extra.withColumn("reason", F.lit("duplicate key")))
 
 
 def reject_schema(schema: T.StructType) -> T.StructType:

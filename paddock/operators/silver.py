@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paddock import schemas
 from paddock.operators import conform
@@ -101,38 +102,40 @@ def _project(pairs, session_type: str | None, position: str | None = None) -> li
 def _prepare(bronze: DataFrame, bronze_table: str, required: list[str]) -> DataFrame:
     df = conform.rename_bronze_columns(bronze, bronze_table)
     df = conform.require_columns(df, required + ["session_type"])
-    return conform.conform_bronze_types(df)
+    failed = conform.cast_failures(df)
+    known = conform.has_column(df, schemas.CAST_FAILED)
+    return conform.conform_bronze_types(df.withColumn(schemas.CAST_FAILED, F.coalesce(schemas.CAST_FAILED, failed) if known else failed))
 
 
-def transform_laps(bronze: DataFrame, session_type: str | None = None) -> DataFrame:
+def _cleaned(df: DataFrame, fits: Column, projection: list[str], schema: T.StructType, with_failed: bool) -> DataFrame:
+    """Rows that ``fits`` lets through, in the table's columns; ``with_failed`` lets rows with a failed cast through as
+    well and keeps the column that names it."""
+    if with_failed:
+        fits = fits | F.col(schemas.CAST_FAILED).isNotNull()
+        projection = [*projection, f"`{schemas.CAST_FAILED}`"]
+        schema = T.StructType([*schema.fields, T.StructField(schemas.CAST_FAILED, T.StringType())])
+    return conform.conform_schema(conform.nan_to_null_columns(df.filter(fits).selectExpr(*projection)), schema)
+
+
+def transform_laps(bronze: DataFrame, session_type: str | None = None, with_failed: bool = False) -> DataFrame:
     """P5 + F1-F4: bronze laps -> ``silver_laps`` (23 columns, declared types)."""
     df = _prepare(bronze, "bronze_laps", schemas.LAPS_REQUIRED)
     position = None if conform.has_column(df, "Position") else "CAST(NULL AS double)"   # P3
-    out = (
-        df.filter(lap_time_not_null() & lap_time_positive() & driver_not_null() & is_accurate())
-        .selectExpr(*_project(LAPS_PROJECTION, session_type, position))
-    )
-    return conform.conform_schema(conform.nan_to_null_columns(out), schemas.SILVER_LAPS)
+    fits = lap_time_not_null() & lap_time_positive() & driver_not_null() & is_accurate()
+    return _cleaned(df, fits, _project(LAPS_PROJECTION, session_type, position), schemas.SILVER_LAPS, with_failed)
 
 
-def transform_car_data(bronze: DataFrame, session_type: str | None = None) -> DataFrame:
+def transform_car_data(bronze: DataFrame, session_type: str | None = None, with_failed: bool = False) -> DataFrame:
     """P6 + F3, F5-F7: bronze car data -> ``silver_car_data`` (12 columns)."""
     df = _prepare(bronze, "bronze_car_data", schemas.CAR_DATA_REQUIRED)
-    out = (
-        df.filter(speed_in_range() & rpm_in_range() & throttle_in_range() & driver_not_null("driver"))
-        .selectExpr(*_project(CAR_DATA_PROJECTION, session_type))
-    )
-    return conform.conform_schema(conform.nan_to_null_columns(out), schemas.SILVER_CAR_DATA)
+    fits = speed_in_range() & rpm_in_range() & throttle_in_range() & driver_not_null("driver")
+    return _cleaned(df, fits, _project(CAR_DATA_PROJECTION, session_type), schemas.SILVER_CAR_DATA, with_failed)
 
 
-def transform_weather(bronze: DataFrame, session_type: str | None = None) -> DataFrame:
+def transform_weather(bronze: DataFrame, session_type: str | None = None, with_failed: bool = False) -> DataFrame:
     """P7 + F8, F9: bronze weather -> ``silver_weather`` (12 columns)."""
     df = _prepare(bronze, "bronze_weather", schemas.WEATHER_REQUIRED)
-    out = (
-        df.filter(air_temp_in_range() & humidity_in_range())
-        .selectExpr(*_project(WEATHER_PROJECTION, session_type))
-    )
-    return conform.conform_schema(conform.nan_to_null_columns(out), schemas.SILVER_WEATHER)
+    return _cleaned(df, air_temp_in_range() & humidity_in_range(), _project(WEATHER_PROJECTION, session_type), schemas.SILVER_WEATHER, with_failed)
 
 
 TRANSFORMS = {

@@ -1,16 +1,27 @@
-"""Whole runs: bronze -> silver -> gold (R5), one Spark job per table.
+"""Whole runs: bronze -> silver -> gold -> epoch (R5), one Spark job per table.
 
 Where the original looped over years x tables x sessions issuing one tiny job
 each, a run here scans every selected session of a kind in one multi-file
-read, cleans it, and rewrites exactly the affected session partitions.
+read, cleans it, and publishes exactly the affected sessions.
+
+* A kind's bronze is scanned once: rows are flagged (failed cast, null key), written to the shared folder, and split from there
+  into the silver table and the rejects; duplicates are counted while silver is written, so the rejects cost a second pass
+  over the copy only if there are any.
+* Gold comes from states kept per session (``operators.gold``): refreshed sessions replace theirs, and the events and
+  seasons that they belong to, now or before, are merged anew and replaced as a whole.
+* An epoch is one commit that names a version of each silver and gold table, written last: readers of the epoch never see
+  silver and gold of different runs, and a run that dies in between leaves the epoch before.  A gate publishes an
+  epoch only if the contract's metrics hold on the versions it would name.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paddock import schemas
 from paddock.operators import gold, refresh, silver
@@ -42,27 +53,70 @@ class Layout:
         part = ["year", "session_type"] if table == "gold_driver_performance" else []
         return tables.VersionedTable(f"{self.root}/gold/{table}", schema, key, part)
 
+    def gold_states(self, spark: SparkSession) -> tables.SliceTable:
+        """Mergeable states of each session's laps, of the grain of gold drivers."""
+        return tables.SliceTable(f"{self.root}/state/gold_laps", state_schema(spark), STATE_GRAIN)
+
+    def gold_rejects(self) -> tables.SliceTable:
+        return tables.SliceTable(f"{self.root}/rejects/gold_laps", refresh.reject_schema(schemas.SILVER_LAPS), schemas.SILVER_LAPS_KEY)
+
+    @property
+    def epochs(self) -> tables.CommitLog:
+        return tables.CommitLog(f"{self.root}/_epochs")
+
+    def epoch(self, spark: SparkSession, number: int | None = None) -> dict[str, int]:
+        """table -> version of an epoch (the newest); empty if there is none."""
+        number = self.epochs.current(spark) if number is None else number
+        return json.loads(self.epochs.text(spark, number)) if number else {}
+
+    def read(self, spark: SparkSession, table: str, number: int | None = None) -> DataFrame:
+        """A table as the epoch names it; an empty frame if it names no version."""
+        stored = self.table(table)
+        return stored.read(spark, self.epoch(spark, number).get(table, 0))
+
+    def table(self, name: str) -> "tables.SliceTable | tables.VersionedTable":
+        return self.gold(name) if name in GOLD_TABLES else self.silver(name)
+
+
+GOLD_TABLES = ("gold_driver_performance", "gold_team_season_stats")
+STATE_GRAIN = [*schemas.SLICE_KEY, "grand_prix", "driver", "team"]
+
+
+def state_schema(spark: SparkSession) -> T.StructType:
+    empty = spark.createDataFrame([], schemas.SILVER_LAPS)
+    return gold.lap_states(empty, STATE_GRAIN).schema
+
 
 def silver_rows(spark: SparkSession, layout: Layout, table: str, sessions=None) -> DataFrame:
-    """Bronze of every selected session -> cleaned silver rows, constraints not yet checked."""
+    """Bronze of every selected session -> cleaned silver rows with the ``reason`` why one can't be in the table (or NULL)."""
     _, transform = silver.TRANSFORMS[table]
-    return transform(bronze.scan_bronze(spark, layout.bronze, SILVER_KINDS[table], sessions))
+    rows = transform(bronze.scan_bronze(spark, layout.bronze, SILVER_KINDS[table], sessions), with_failed=True)
+    return refresh.flagged(rows, schemas.key_of(table), schemas.CAST_FAILED)
 
 
-def silver_stage(spark: SparkSession, layout: Layout, table: str, sessions=None,
-                 on_duplicate: str = "dedup") -> DataFrame:
-    """Cleaned silver rows that satisfy NOT NULL (and, with ``dedup``, uniqueness) of their key."""
-    key = schemas.key_of(table)
-    accepted, _ = refresh.not_null_split(silver_rows(spark, layout, table, sessions), key)
-    return refresh.dedup_by_key(accepted, key) if on_duplicate == "dedup" else accepted
-
+def refresh_silver(spark: SparkSession, layout: Layout, table: str, sessions: list[tuple], on_duplicate: str = "dedup") -> dict:
+    """R1, R3, R4 for one table: its bronze is scanned once, then silver and rejects of the sessions are replaced.
 
-def write_rejects(spark: SparkSession, layout: Layout, table: str, sessions=None) -> int:
-    """Rows that silver leaves out for their key, with a reason, kept under ``rejects/<table>``.
-    The rejects of a refreshed session replace those of its last refresh."""
-    rejected = refresh.rejects(silver_rows(spark, layout, table, sessions), schemas.key_of(table))
-    target = layout.rejects(table)
-    return target.refresh(spark, rejected, requested=sessions, check_key=False)["rows"]
+    With ``fail`` a row that would be rejected stops the refresh before anything is published."""
+    key = schemas.key_of(table)
+    seen = Observation()
+    rows = silver_rows(spark, layout, table, sessions).observe(seen, F.count("reason").alias("flagged"))
+
+    def guard(report: dict) -> None:
+        if on_duplicate == "fail" and (left_out := seen.get["flagged"] + (report["observed"]["extra"] or 0)):
+            raise ValueError(f"{left_out} rows violate the primary key {key} of {table}")
+
+    with tables.staged(spark, rows, f"stage-{table}") as stage:
+        good = stage.where("reason is null").drop("reason")
+        report = layout.silver(table).refresh(spark, refresh.one_per_key(good, key), requested=sessions, check_key=False,
+                                              observe={"extra": F.sum(F.col("copies") - 1)}, guard=guard)
+        left_out = seen.get["flagged"] + (report.pop("observed")["extra"] or 0)
+        target = layout.rejects(table)
+        if left_out:
+            target.refresh(spark, refresh.rejects(stage, key), requested=sessions, check_key=False)
+        elif target.exists(spark):  # only the map changes
+            target.refresh(spark, spark.createDataFrame([], target.schema), requested=sessions, check_key=False)
+    return report | {"rejected_rows": left_out}
 
 
 def concurrently(jobs: dict, workers: int = 3) -> dict:
@@ -99,26 +153,85 @@ def run_silver(spark: SparkSession, layout: Layout, sessions: list[tuple] | None
         wanted = present if sessions is None else [tuple(s) for s in sessions if tuple(s) in set(present)]
 
         def job(table=table, wanted=wanted):
-            stage = silver_stage(spark, layout, table, wanted, on_duplicate)
-            report = layout.silver(table).refresh(spark, stage, requested=wanted,
-                                                  check_key=(on_duplicate == "fail"))
-            return report | {"rejected_rows": write_rejects(spark, layout, table, wanted)}
+            return refresh_silver(spark, layout, table, wanted, on_duplicate)
         jobs[table] = job
     out.update(concurrently(jobs, 3 if parallel else 1))
     return {t: out[t] for t in SILVER_KINDS if t in out}
 
 
-def run_gold(spark: SparkSession, layout: Layout, mode: str = "upsert") -> dict:
-    """Gold from the current silver laps; ``upsert`` keeps stale keys, ``rebuild`` replaces."""
-    laps = layout.silver("silver_laps").read(spark)
+def refresh_states(spark: SparkSession, layout: Layout, sessions: list[tuple] | None = None) -> dict:
+    """States (and rejects: laps with a NULL in a gold key) of the given sessions' silver laps, or of all sessions.
+
+    Returns the events and seasons that the sessions belong to, by their old states or their new ones."""
+    stored, silver_laps = layout.gold_states(spark), layout.silver("silver_laps")
+    before = stored.slice_map(spark)
+    sessions = sorted(set(before) | set(silver_laps.slice_map(spark)), key=repr) if sessions is None else sessions
+    events = _events(stored.read(spark, slices=sessions))
+    laps = silver_laps.read(spark, slices=sessions)
+    bad = gold.gold_rejects(laps).withColumn("reason", F.lit("null gold key"))
+    layout.gold_rejects().refresh(spark, bad, requested=sessions, check_key=False)
+    keyed, _ = gold.split_null_keys(laps, schemas.GOLD_TEAM_KEY)
+    stored.refresh(spark, gold.lap_states(keyed, STATE_GRAIN), requested=sessions, check_key=False)
+    events |= _events(stored.read(spark, slices=sessions))
+    seasons = {(y, s) for y, _, s in events} | {(y, s) for y, _, s in sessions}
+    return {"events": sorted(events, key=repr), "seasons": sorted(seasons, key=repr)}
+
+
+EVENT, SEASON = ["year", "grand_prix", "session_type"], ["year", "session_type"]
+
+
+def _events(states: DataFrame) -> set[tuple]:
+    """(year, grand_prix, session_type) of some sessions' states: about one a session."""
+    return {tuple(r) for r in states.select(*EVENT).distinct().collect()}
+
+
+def run_gold(spark: SparkSession, layout: Layout, mode: str = "upsert", sessions: list[tuple] | None = None) -> dict:
+    """Gold from the current silver laps, by way of states; table -> version.
+
+    ``upsert`` keeps stale keys, ``rebuild`` replaces everything.  With ``sessions`` only their states are made anew, and
+    exactly the events and seasons they belong to are replaced (``replace``): the result is that of a rebuild."""
+    touched = refresh_states(spark, layout, sessions)
+    states = layout.gold_states(spark).read(spark)
+    if sessions is not None:
+        states = states.where(F.coalesce(tables.in_slices(touched["seasons"], SEASON), F.lit(False)))
+    named, _ = gold.split_null_keys(states, schemas.GOLD_DRIVER_KEY)
+    if sessions is not None:  # a round's event is its name, which several rounds may carry: all states of the touched events
+        named = named.where(F.coalesce(tables.in_slices(touched["events"], EVENT), F.lit(False)))
     jobs = {}
-    for table, build in (("gold_driver_performance", gold.gold_driver_performance),
-                         ("gold_team_season_stats", gold.gold_team_season_stats)):
-        def job(table=table, build=build):
-            target, frame = layout.gold(table), build(laps)
-            return target.upsert(spark, frame) if mode == "upsert" else target.overwrite(spark, frame)
+    for table, rows, scope, scopes in (("gold_driver_performance", gold.driver_rows(named), EVENT, touched["events"]),
+                                       ("gold_team_season_stats", gold.team_rows(states), SEASON, touched["seasons"])):
+        def job(table=table, rows=rows, scope=scope, scopes=scopes):
+            target = layout.gold(table)
+            if sessions is not None:
+                return target.replace(spark, rows, scopes, scope)
+            return target.upsert(spark, rows) if mode == "upsert" else target.overwrite(spark, rows)
         jobs[table] = job
-    return concurrently(jobs, 2)       # two independent aggregates of the same scan
+    return concurrently(jobs, 2)       # two independent merges of the same states
+
+
+def publish_epoch(spark: SparkSession, layout: Layout, gate: bool = False) -> dict:
+    """Name the current versions of all five tables in one commit.  With ``gate`` only if the contract's metrics (D1-D3) pass on
+    exactly these versions; otherwise the epoch before stays.  Metrics are in the report either way."""
+    versions = {t: layout.table(t).current_version(spark) for t in (*SILVER_KINDS, *GOLD_TABLES)}
+    report: dict = {"versions": versions, "published": True}
+    if gate:
+        metrics = contract_metrics(spark, layout, versions)
+        report |= {"quality": metrics, "published": all(m["passed"] for m in metrics if m["value_pct"] is not None)}
+    if report["published"]:
+        report["epoch"] = layout.epochs.publish_next(spark, lambda base: json.dumps(versions))
+    return report
+
+
+def vacuum(spark: SparkSession, layout: Layout, keep: int = 2) -> None:
+    """Delete what neither the newest ``keep`` versions nor the newest ``keep`` epochs name."""
+    top = layout.epochs.current(spark)
+    kept = [layout.epoch(spark, n) for n in range(max(1, top - keep + 1), top + 1) if layout.epochs.has(spark, n)]
+    for t in (*SILVER_KINDS, *GOLD_TABLES):
+        layout.table(t).vacuum(spark, keep, tuple(e.get(t, 0) for e in kept))
+    for t in SILVER_KINDS:
+        layout.rejects(t).vacuum(spark, 1)
+    layout.gold_states(spark).vacuum(spark, 1)
+    layout.gold_rejects().vacuum(spark, 1)
 
 
 def select_sessions(spark: SparkSession, layout: Layout, seasons=None, rounds=None, session_types=None,
@@ -183,20 +296,20 @@ def conform_car_driver(df: DataFrame) -> DataFrame:
     return conform.rename_bronze_columns(df, "bronze_car_data")
 
 
-def contract_metrics(spark: SparkSession, layout: Layout) -> list[dict]:
-    """D1-D3 over the stored tables, as the contract asks after every run
+def contract_metrics(spark: SparkSession, layout: Layout, versions: dict[str, int] | None = None) -> list[dict]:
+    """D1-D3 over stored tables (the newest versions, or those given), as the contract asks after every run
     (three global aggregates; three small rows reach the driver)."""
     from paddock.operators import quality
 
-    report = quality.quality_report(layout.gold("gold_driver_performance").read(spark),
-                                    layout.silver("silver_laps").read(spark))
+    versions = versions or {}
+    report = quality.quality_report(layout.gold("gold_driver_performance").read(spark, versions.get("gold_driver_performance")),
+                                    layout.silver("silver_laps").read(spark, versions.get("silver_laps")))
     return [r.asDict() for r in report.collect()]
 
 
 def silver_slice_counts(spark: SparkSession, layout: Layout) -> DataFrame:
-    """A10 for all silver tables: rows per (table, slice)."""
-    frames = [refresh.slice_row_counts(layout.silver(t).read(spark)).select(F.lit(t).alias("table_name"), "*")
-              for t in SILVER_KINDS]
+    """A10 for all silver tables: rows per (table, slice), as their writes counted them."""
+    frames = [layout.silver(t).slice_rows(spark).select(F.lit(t).alias("table_name"), "*") for t in SILVER_KINDS]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -256,8 +256,9 @@ def q_missing_sessions(spark, sf_dir):
 
 @query("agg_distinct_laps")
 def q_agg_distinct_laps(spark, sf_dir):
-    return (accepted_laps(spark, sf_dir, schemas.GOLD_TEAM_KEY).groupBy(*schemas.GOLD_TEAM_KEY)
-            .agg(F.count_distinct("lap_number").alias("total_laps")))
+    key = schemas.GOLD_TEAM_KEY
+    states = gold.lap_states(accepted_laps(spark, sf_dir, key), key)
+    return gold.laps_of(states, key).select(*key, "total_laps")
 
 
 @query("agg_distinct_drivers")
@@ -517,7 +518,7 @@ def q_silver_rejects(spark, sf_dir):
     """R4 end to end: what a silver run leaves out for its key, read back with the reasons."""
     from paddock.plans import medallion
     layout = bronze_layout(spark, sf_dir)
-    medallion.write_rejects(spark, layout, "silver_laps")
+    medallion.run_silver(spark, layout)
     stored = layout.rejects("silver_laps").read(spark)
     return stored.groupBy("year", "round", "session_type", "reason").agg(F.count(F.lit(1)).alias("row_count"))
 

@@ -100,12 +100,17 @@ BRONZE_TYPES = {
     "WindDirection": I, "Pressure": D, "Rainfall": B,
 }
 
+# Bronze column naming the raw columns of a row whose value did not fit the declared type (NULL: all did).
+CAST_FAILED = "cast_failed"
+
+
 def bronze_schema(kind: str) -> T.StructType:
     """Declared columns of a kind's bronze files; a column that a file lacks reads as NULL."""
     columns = {"laps": [*LAPS_REQUIRED, "Position"], "tel": CAR_DATA_REQUIRED, "weather": WEATHER_REQUIRED}[kind]
     labels = [c for c in columns if c in SLICE_KEY]
     rest = [c for c in columns if c not in SLICE_KEY]
-    return T.StructType([T.StructField(c, BRONZE_TYPES[c]) for c in [*rest, *labels, "session_type"]])
+    return T.StructType([*[T.StructField(c, BRONZE_TYPES[c]) for c in rest], T.StructField(CAST_FAILED, S),
+                         *[T.StructField(c, BRONZE_TYPES[c]) for c in [*labels, "session_type"]]])
 
 
 # Bronze columns holding durations (seconds once conformed).

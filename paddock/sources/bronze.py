@@ -23,6 +23,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paddock import schemas
 from paddock.functions import scalars
@@ -49,7 +50,11 @@ def write_bronze(df: DataFrame, root: str, kind: str, mode: str = "overwrite") -
     """
     path = f"{root.rstrip('/')}/{kind}"
     table = next(t for t, k in schemas.BRONZE_PREFIX.items() if k == kind)
-    df = conform.conform_bronze_types(conform.rename_bronze_columns(df, table))
+    df = conform.rename_bronze_columns(df, table)
+    failed = conform.cast_failures(df)
+    if any(isinstance(f.dataType, T.StringType) and schemas.BRONZE_TYPES.get(f.name, f.dataType) != f.dataType for f in df.schema.fields):
+        df = df.withColumn(schemas.CAST_FAILED, failed)   # kept with the row: silver sends it to the rejects
+    df = conform.conform_bronze_types(df)
     (clustered_by_slice(df).write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*schemas.SLICE_KEY).parquet(path))
     return path

@@ -2,13 +2,12 @@
 
 Two layouts, both plain Parquet:
 
-* **Slice tables** (silver): partitioned by ``year/round/session_type``.
-  A refresh overwrites only the partitions of the slices it carries
-  (``partitionOverwriteMode=dynamic``: Spark stages the new files and renames
-  each partition directory into place at job commit); requested slices that
-  came out empty are deleted explicitly, because dynamic overwrite leaves a
-  partition untouched when the new frame has no rows for it.  Work is
-  proportional to the refreshed sessions, not to the table.
+* **Slice tables** (silver, rejects, gold states): every refresh writes the slices it carries into folders of their own
+  (``data/year=/round=/session_type=/write=<id>``; nothing is overwritten), then publishes a new *slice map*: session ->
+  write and row count, by renaming a complete commit file.  Readers resolve one map and prune to its folders, so
+  they see a refresh in full or not at all, and a failed write leaves folders that no map names.  A requested
+  slice that came out empty leaves the map.  Work is proportional to the refreshed sessions; the map has one
+  entry per session.
 
 * **Versioned tables** (gold, small): every refresh writes a complete new
   version directory, then publishes it by renaming a complete commit file to
@@ -22,9 +21,11 @@ so the same code runs against local disk, HDFS or an object store.
 
 from __future__ import annotations
 
+import json
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,89 +97,218 @@ def _read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+# ---------------------------------------------------------------- commits
+
+class CommitConflict(RuntimeError):
+    """Another writer published the version this writer was about to publish."""
+
+
+class CommitLog:
+    """Numbered commit files of one table (or lake): each is published whole, once, under the next number."""
+
+    def __init__(self, root: str):
+        self.folder = f"{root.rstrip('/')}/_commits"
+
+    def current(self, spark: SparkSession) -> int:
+        fs, p, _ = _fs(spark, self.folder)
+        if not fs.exists(p):
+            return 0
+        # A commit without content (a writer of another kind died half-way) is none.
+        versions = [int(s.getPath().getName()) for s in fs.listStatus(p)
+                    if s.getPath().getName().isdigit() and s.getLen() > 0]
+        return max(versions) if versions else 0
+
+    def text(self, spark: SparkSession, version: int) -> str:
+        return _read_text(spark, f"{self.folder}/{version:020d}")
+
+    def has(self, spark: SparkSession, version: int) -> bool:
+        return path_exists(spark, f"{self.folder}/{version:020d}")
+
+    def publish(self, spark: SparkSession, version: int, text: str) -> int:
+        """Raises :class:`CommitConflict` if another writer has published that version."""
+        try:
+            _write_text_once(spark, f"{self.folder}/{version:020d}", text)
+        except AlreadyThere as exc:
+            raise CommitConflict(f"version {version} in {self.folder} was published concurrently") from exc
+        return version
+
+    def publish_next(self, spark: SparkSession, text_of, attempts: int = 20) -> int:
+        """Publish ``text_of(current version)`` as the next version, again on top of whoever was faster."""
+        for attempt in range(attempts):
+            base = self.current(spark)
+            try:
+                return self.publish(spark, base + 1, text_of(base))
+            except CommitConflict:
+                if attempt == attempts - 1:
+                    raise
+        raise AssertionError("unreachable")
+
+
 # ------------------------------------------------------------------ slice tables
 
+WRITE = "write"
+COUNTED_SLICES = 20_000   # sessions whose rows one write counts by itself; beyond, footers are asked
+
+
+def in_slices(entries: list[tuple], columns: list[str]) -> Column:
+    """Rows whose ``columns`` equal one of the entries; NULL equals NULL.  Folder columns prune by it."""
+    whole = refresh.slice_predicate(entries, columns)
+    for e in (e for e in entries if any(v is None for v in e)):
+        one = F.lit(True)
+        for c, v in zip(columns, e, strict=True):
+            one = one & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
+        whole = F.coalesce(whole, F.lit(False)) | one
+    return whole
+
+
 class SliceTable:
-    """A silver table partitioned by session, refreshed one slice set at a time."""
+    """A table partitioned by session, refreshed one slice set at a time, published by slice map."""
 
     def __init__(self, root: str, schema: T.StructType, key: list[str]):
         self.root = root.rstrip("/")
         self.schema = schema
         self.key = key
+        self.log = CommitLog(self.root)
+
+    @property
+    def data(self) -> str:
+        return f"{self.root}/data"
 
     def exists(self, spark: SparkSession) -> bool:
-        return path_exists(spark, self.root)
+        return self.log.current(spark) > 0
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Scan with partition pruning and pushed filters; empty frame if absent."""
-        if not self.exists(spark):
+    def current_version(self, spark: SparkSession) -> int:
+        return self.log.current(spark)
+
+    def slice_map(self, spark: SparkSession, version: int | None = None) -> dict[tuple, tuple[str, int]]:
+        """session -> (write, rows) of a version (the newest): one entry per session."""
+        version = self.log.current(spark) if version is None else version
+        if not version:
+            return {}
+        return {tuple(e[:3]): (e[3], e[4]) for e in json.loads(self.log.text(spark, version))["slices"]}
+
+    def stored_schema(self, spark: SparkSession, version: int | None = None) -> T.StructType | None:
+        """The schema that a version's newest write was made with."""
+        version = self.log.current(spark) if version is None else version
+        return T.StructType.fromJson(json.loads(self.log.text(spark, version))["schema"]) if version else None
+
+    def read(self, spark: SparkSession, version: int | None = None, slices=None) -> DataFrame:
+        """Scan of one version with partition pruning and pushed filters; an empty frame if there is none.
+
+        A plan keeps the map it was made with: refreshes published later don't change it."""
+        live = self.slice_map(spark, version)
+        if slices is not None:
+            live = {s: w for s, w in live.items() if s in {tuple(x) for x in slices}}
+        if not live:
             return spark.createDataFrame([], self.schema)
         # Declared schema: no footer inference; partition values parse to the declared types.
-        df = spark.read.schema(self.schema).option("basePath", self.root).parquet(self.root)
+        stored = T.StructType([*self.schema.fields, T.StructField(WRITE, T.StringType())])
+        df = spark.read.schema(stored).option("basePath", self.data).parquet(self.data)
+        df = df.where(in_slices([(*s, w) for s, (w, _) in live.items()], [*schemas.SLICE_KEY, WRITE])).drop(WRITE)
         return conform.conform_schema(df, self.schema)
 
-    def _slice_dir(self, year: int, rnd: int, session_type: str) -> str:
-        return f"{self.root}/year={year}/round={rnd}/session_type={session_type}"
-
     def refresh(self, spark: SparkSession, stage: DataFrame, requested: list[tuple] | None = None,
-                check_key: bool = True) -> dict:
-        """Replace every slice present in ``stage`` and every requested slice.
+                check_key: bool = True, observe: dict | None = None, guard=None) -> dict:
+        """Replace every slice present in ``stage`` and every requested slice, all at once for readers.
 
-        Returns the written row count per slice (A10), measured while writing
-        through an ``Observation`` — no second pass over the data.  With
+        Returns the written row count per slice (A10), counted while writing.  With
         ``check_key`` the stage's primary key is verified first (R3, R4): a
-        violation fails the refresh before anything is touched, as the
-        database constraint did.
+        violation fails the refresh before anything is published, as the
+        database constraint did.  ``observe`` (name -> aggregate) is measured in the same pass and comes back as
+        ``observed``; columns that only it needs are not written.  ``guard``, given the report, may raise: then nothing is
+        published.
         """
-        from pyspark.sql import Observation
-
         from paddock.sources.bronze import clustered_by_slice
 
-        # A stage may be derived from this very table: with *dynamic* partition
-        # overwrite, tasks write to a staging folder and partitions are swapped in
-        # only at job commit, after every read has finished (static overwrite,
-        # which deletes first, is never used here).
-        stage = conform.conform_schema(stage, self.schema)
         if check_key:
             # Computed once, validated and written from the copy in the shared folder.
-            stage = materialize(spark, stage, "slice-stage")
-            _, bad = refresh.not_null_split(stage, self.key)
-            dups = refresh.pk_violations(stage, self.key)
-            if not bad.isEmpty() or not dups.isEmpty():
-                raise ValueError(f"stage violates the primary key {self.key} of {self.root}")
-        # Row count and the set of written sessions are observed during the write:
-        # no second pass over the stage.
-        obs = Observation("slice_rows")
-        observed = clustered_by_slice(stage).observe(
-            obs, F.count(F.lit(1)).alias("rows"),
-            F.collect_set(F.struct(*schemas.SLICE_KEY)).alias("slices"))
-        (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*schemas.SLICE_KEY).parquet(self.root))
-        metrics = obs.get
-        written = metrics.get("rows", 0)
-        present = {tuple(r) for r in (metrics.get("slices") or [])}
-        removed = []
-        for s in requested or []:
-            if tuple(s) not in present and delete_path(spark, self._slice_dir(*s)):
-                removed.append(tuple(s))
-        return {"rows": written, "emptied_slices": removed, "slice_rows": self.slice_rows(spark, sorted(present))}
-
-    def slice_rows(self, spark: SparkSession, slices: list[tuple]) -> list[dict]:
-        """A10: rows per written slice, reading only those partitions (row counts
-        come from Parquet footers; no data columns are read)."""
-        if not slices:
-            return []
-        counts = refresh.slice_row_counts(refresh.restrict_to_slices(self.read(spark), slices))
-        return sorted((r.asDict() for r in counts.collect()),
-                      key=lambda d: (d["year"], d["round"], d["session_type"]))
+            with staged(spark, conform.conform_schema(stage, self.schema), "slice-stage") as copy:
+                _, bad = refresh.not_null_split(copy, self.key)
+                dups = refresh.pk_violations(copy, self.key)
+                if not bad.isEmpty() or not dups.isEmpty():
+                    raise ValueError(f"stage violates the primary key {self.key} of {self.root}")
+                return self.refresh(spark, copy, requested, False, observe, guard)
+        # A stage may be derived from this very table: nothing it reads is touched.
+        measured = Observation(f"measured_{uuid.uuid4().hex}") if observe else None
+        if measured:
+            stage = stage.observe(measured, *[c.alias(n) for n, c in observe.items()])
+        write = uuid.uuid4().hex
+        obs = Observation(f"slice_rows_{write}")
+        stage = clustered_by_slice(conform.conform_schema(stage, self.schema))
+        (stage.observe(obs, F.count(F.lit(1)).alias("rows"), counted_slices().alias("slices"))
+         .withColumn(WRITE, F.lit(write))
+         .write.mode("append").partitionBy(*schemas.SLICE_KEY, WRITE).parquet(self.data))
+        rows, counts = obs.get.get("rows", 0), [(*_slice_of(r["item"]), r["count"]) for r in obs.get.get("slices") or []]
+        if sum(c[-1] for c in counts) != rows:  # more sessions than are counted exactly
+            counts = self._footer_counts(spark, write)
+        written = {tuple(c[:3]): (write, c[3]) for c in counts}
+        report = {"rows": rows, "slice_rows": [
+            {**dict(zip(schemas.SLICE_KEY, s, strict=True)), "row_count": n} for s, (_, n) in sorted(written.items(), key=repr)]}
+        if measured:
+            report["observed"] = measured.get
+        if guard:
+            guard(report)
+        removed: list[tuple] = []
+
+        def next_map(base: int) -> str:
+            live = self.slice_map(spark, base)
+            removed[:] = sorted(s for s in {tuple(r) for r in requested or []} - set(written) if live.pop(s, None))
+            live |= written
+            ordered = sorted(live.items(), key=lambda e: [(v is not None, v) for v in e[0]])
+            return json.dumps({"schema": self.schema.jsonValue(), "slices": [[*s, *w] for s, w in ordered]})
+
+        version = self.log.publish_next(spark, next_map)
+        return report | {"emptied_slices": removed, "version": version}
+
+    def _footer_counts(self, spark: SparkSession, write: str) -> list[tuple]:
+        """Rows per slice of one write from its footers: only partition columns are asked for, no data is read."""
+        stored = T.StructType([*self.schema.fields, T.StructField(WRITE, T.StringType())])
+        df = spark.read.schema(stored).option("basePath", self.data).parquet(self.data).where(F.col(WRITE) == write)
+        return [tuple(r) for r in refresh.slice_row_counts(df).collect()]
+
+    def slice_rows(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """A10: rows per slice of a version, from the counts its writes carried; no data is read."""
+        rows = [(*s, n) for s, (_, n) in self.slice_map(spark, version).items()]
+        return spark.createDataFrame(rows, "year int, round int, session_type string, row_count long")
+
+    def vacuum(self, spark: SparkSession, keep: int = 2, also: tuple = ()) -> int:
+        """Delete slice folders that old maps name and neither the newest ``keep`` versions nor those in ``also`` do; a folder that no
+        map names may be another writer's and is left."""
+        top = self.log.current(spark)
+        live, old = set(), set()
+        for v in range(1, top + 1):
+            if self.log.has(spark, v):
+                named = {(*s, w) for s, (w, _) in self.slice_map(spark, v).items()}
+                (live if v > top - keep or v in also else old).update(named)
+        return sum(delete_path(spark, self._folder(*e)) for e in sorted(old - live, key=repr))
+
+    def _folder(self, year, rnd, session_type, write) -> str:
+        def part(name, value):
+            return f"{name}={'__HIVE_DEFAULT_PARTITION__' if value is None else _escaped(str(value))}"
+
+        named = zip([*schemas.SLICE_KEY, WRITE], (year, rnd, session_type, write), strict=True)
+        return "/".join([self.data, *[part(n, v) for n, v in named]])
+
+
+def _escaped(value: str) -> str:
+    """A partition value as Spark names its folder."""
+    return "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in "\"#%'*/:=?\\\x7f{[]^" else c for c in value)
+
+
+def counted_slices() -> Column:
+    """Aggregate: rows per session as a bounded list of (``item``, ``count``); exact up to ``COUNTED_SLICES`` sessions (the
+    sketch behind it evicts nothing before it is three quarters full), which the sum of the counts shows."""
+    session = ", ".join(f"cast(`{k}` as string)" for k in schemas.SLICE_KEY)
+    return F.expr(f"approx_top_k(to_json(array({session})), {COUNTED_SLICES}, {2 * COUNTED_SLICES})")
+
+
+def _slice_of(item: str) -> tuple:
+    year, rnd, session_type = json.loads(item)
+    return (None if year is None else int(year), None if rnd is None else int(rnd), session_type)
 
 
 # -------------------------------------------------------------- versioned tables
 
-class CommitConflict(RuntimeError):
-    """Another writer published the version this writer was about to publish."""
-
-
 class VersionedTable:
     """A table published as immutable versions behind an atomic commit pointer."""
 
@@ -188,28 +318,24 @@ class VersionedTable:
         self.key = key
         self.partition_by = partition_by or []
 
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.root)
+
     @property
     def commits(self) -> str:
-        return f"{self.root}/_commits"
+        return self.log.folder
 
     def current_version(self, spark: SparkSession) -> int:
-        fs, p, _ = _fs(spark, self.commits)
-        if not fs.exists(p):
-            return 0
-        # A commit without content (a writer of another kind died half-way) is none.
-        versions = [int(s.getPath().getName()) for s in fs.listStatus(p)
-                    if s.getPath().getName().isdigit() and s.getLen() > 0]
-        return max(versions) if versions else 0
+        return self.log.current(spark)
 
-    def current_path(self, spark: SparkSession) -> str | None:
-        v = self.current_version(spark)
-        if v == 0:
-            return None
-        return f"{self.root}/{_read_text(spark, f'{self.commits}/{v:020d}')}"
+    def path_of(self, spark: SparkSession, version: int | None = None) -> str | None:
+        v = self.log.current(spark) if version is None else version
+        return f"{self.root}/{self.log.text(spark, v)}" if v else None
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Newest committed version; an empty frame of the declared schema if none."""
-        path = self.current_path(spark)
+    def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """One committed version (the newest); an empty frame of the declared schema if there is none."""
+        path = self.path_of(spark, version)
         if path is None:
             return spark.createDataFrame([], self.schema)
         reader = spark.read.schema(self.schema)
@@ -230,11 +356,10 @@ class VersionedTable:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.root}/{name}")
         try:
-            _write_text_once(spark, f"{self.commits}/{base + 1:020d}", name)
-        except AlreadyThere as exc:  # someone else won
+            return self.log.publish(spark, base + 1, name)
+        except CommitConflict:  # someone else won
             delete_path(spark, f"{self.root}/{name}")
-            raise CommitConflict(f"version {base + 1} of {self.root} was published concurrently") from exc
-        return base + 1
+            raise
 
     def upsert(self, spark: SparkSession, stage: DataFrame, attempts: int = 5) -> int:
         """R2: delete rows whose key is in ``stage``, insert ``stage``; a no-op for an empty stage.
@@ -252,11 +377,25 @@ class VersionedTable:
         stage = conform.conform_schema(stage, self.schema).checkpoint(eager=True)
         if stage.isEmpty():
             return self.current_version(spark)
+        return self._redo(spark, lambda old: refresh.upsert_by_key(old, stage, self.key), attempts)
+
+    def replace(self, spark: SparkSession, stage: DataFrame, scopes: list[tuple], scope_key: list[str], attempts: int = 5) -> int:
+        """The rows of the given scopes (events, seasons) become exactly those of ``stage``: keys that are gone disappear."""
+        from paddock.session import ensure_checkpoint_dir
+
+        if not scopes:
+            return self.current_version(spark)
+        ensure_checkpoint_dir(spark)
+        stage = conform.conform_schema(stage, self.schema).checkpoint(eager=True)
+        inside = F.coalesce(in_slices(scopes, scope_key), F.lit(False))
+        return self._redo(spark, lambda old: old.where(~inside).unionByName(stage.where(inside)), attempts)
+
+    def _redo(self, spark: SparkSession, merge, attempts: int) -> int:
+        """Publish ``merge(current rows)``, again on top of whoever was faster."""
         for attempt in range(attempts):
             base = self.current_version(spark)
-            merged = refresh.upsert_by_key(self.read(spark), stage, self.key)
             try:
-                return self.commit(spark, merged, base)
+                return self.commit(spark, merge(self.read(spark, base)), base)
             except CommitConflict:
                 if attempt == attempts - 1:
                     raise
@@ -266,13 +405,12 @@ class VersionedTable:
         """Full rebuild: the new version holds exactly ``df`` (stale keys disappear)."""
         return self.commit(spark, df)
 
-    def vacuum(self, spark: SparkSession, keep: int = 2) -> list[str]:
-        """Delete the versions that commits before the newest ``keep`` name; a folder that no commit
+    def vacuum(self, spark: SparkSession, keep: int = 2, also: tuple = ()) -> list[str]:
+        """Delete the versions that commits before the newest ``keep`` (and not those in ``also``) name; a folder that no commit
         names may be another writer's next version and is left."""
         v = self.current_version(spark)
-        named = {n: _read_text(spark, f"{self.commits}/{n:020d}") for n in range(1, v + 1)
-                 if path_exists(spark, f"{self.commits}/{n:020d}")}
-        live = {name for n, name in named.items() if n > v - keep}
+        named = {n: self.log.text(spark, n) for n in range(1, v + 1) if self.log.has(spark, n)}
+        live = {name for n, name in named.items() if n > v - keep or n in also}
         old = sorted(name for name in named.values() if name and name not in live)
         return [name for name in old if delete_path(spark, f"{self.root}/{name}")]
 
@@ -286,6 +424,19 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@contextmanager
+def staged(spark: SparkSession, df: DataFrame, name: str):
+    """``df`` written once below the shared checkpoint folder, as long as the block runs; then the copy is deleted."""
+    from paddock.session import scratch_path
+
+    path, schema = scratch_path(spark, name), df.schema
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(schema).parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
 def table_columns(spark: SparkSession, table: str) -> list[str]:
     """Declared columns of a target table, in order; error for an unknown table."""
     if table not in schemas.TARGETS:

@@ -8,10 +8,10 @@ the last one — no driver-side bookkeeping, and a run killed half-way resumes.
 
 Each micro-batch is used only to *name* the sessions that changed.  Those
 sessions are then re-read whole from bronze (partition-pruned) and replaced
-in silver, so a batch that carries only part of a session's files, or a
+in silver, in its rejects and in the gold states, so a batch that carries only part of a session's files, or a
 batch replayed after a failure, still leaves the right result: the refresh is
-idempotent.  Gold is recomputed for the affected events (driver grain) and
-seasons (team grain) and upserted by key.
+idempotent.  Gold rows of the events and seasons that the sessions belong to, before or now, are merged
+from states and replaced, so gold is that of a full run.  Silver and gold then become an epoch.
 """
 
 from __future__ import annotations
@@ -20,37 +20,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddock import schemas
-from paddock.operators import gold
-from paddock.plans.medallion import SILVER_KINDS, Layout, silver_stage
+from paddock.plans.medallion import SILVER_KINDS, Layout, publish_epoch, refresh_silver, run_gold
 
 
 def _refresh_sessions(spark: SparkSession, layout: Layout, table: str, touched: DataFrame,
                       on_duplicate: str) -> list[tuple]:
     # The session set of one batch is small (sessions, not rows) and bounded by the batch.
     sessions = [tuple(r) for r in touched.select(*schemas.SLICE_KEY).distinct().collect()]
-    if not sessions:
-        return []
-    stage = silver_stage(spark, layout, table, sessions, on_duplicate)
-    layout.silver(table).refresh(spark, stage, requested=sessions, check_key=(on_duplicate == "fail"))
+    if sessions:
+        refresh_silver(spark, layout, table, sessions, on_duplicate)
     return sessions
 
 
-def refresh_gold_for(spark: SparkSession, layout: Layout, sessions: list[tuple]) -> None:
-    """Upsert gold rows of the events and seasons that the given sessions belong to."""
-    if not sessions:
-        return
-    from paddock.operators.refresh import restrict_to_slices, slice_predicate
-
-    laps = layout.silver("silver_laps").read(spark)
-    seasons = sorted({(y, s) for y, _, s in sessions})
-    season_laps = laps.filter(slice_predicate(seasons, ["year", "session_type"]))
-    # A gold row's event is its name, which several rounds may carry: all laps of the touched events.
-    event = ["year", "grand_prix", "session_type"]
-    event_laps = season_laps.join(restrict_to_slices(laps, sessions).select(*event).distinct(), event, "left_semi")
-    layout.gold("gold_driver_performance").upsert(spark, gold.gold_driver_performance(event_laps))
-    layout.gold("gold_team_season_stats").upsert(spark, gold.gold_team_season_stats(season_laps))
-
-
 def start_incremental(spark: SparkSession, layout: Layout, table: str = "silver_laps",
                       with_gold: bool = True, on_duplicate: str = "dedup", checkpoint: str | None = None,
                       available_now: bool = True):
@@ -69,8 +50,10 @@ def start_incremental(spark: SparkSession, layout: Layout, table: str = "silver_
         touched = batch.select(F.col("year").cast("int"), F.col("round").cast("int"),
                                F.col("session_type").cast("string"))
         sessions = _refresh_sessions(batch.sparkSession, layout, table, touched, on_duplicate)
-        if with_gold and table == "silver_laps":
-            refresh_gold_for(batch.sparkSession, layout, sessions)
+        if with_gold and table == "silver_laps" and sessions:
+            run_gold(batch.sparkSession, layout, sessions=sessions)
+        if sessions and with_gold:
+            publish_epoch(batch.sparkSession, layout)
 
     stream = (spark.readStream.schema(schema).option("basePath", source)
               .option("maxFileAge", "36500d")   # a restored archive's files may be old: none is too old to be new
