@@ -243,7 +243,7 @@ class SliceTable:
             counts = self._footer_counts(spark, write)
         written = {tuple(c[:3]): (write, c[3]) for c in counts}
         report = {"rows": rows, "slice_rows": [
-            {**dict(zip(schemas.SLICE_KEY, s, strict=True)), "row_count": n} for s, (_, n) in sorted(written.items(), key=repr)]}
+            {**dict(zip(schemas.SLICE_KEY, s, strict=True)), "row_count": n} for s, (_, n) in sorted(written.items(), key=lambda e: _null_first(e[0]))]}
         if measured:
             report["observed"] = measured.get
         if guard:
@@ -252,9 +252,9 @@ class SliceTable:
 
         def next_map(base: int) -> str:
             live = self.slice_map(spark, base)
-            removed[:] = sorted(s for s in {tuple(r) for r in requested or []} - set(written) if live.pop(s, None))
+            removed[:] = sorted((s for s in {tuple(r) for r in requested or []} - set(written) if live.pop(s, None)), key=_null_first)
             live |= written
-            ordered = sorted(live.items(), key=lambda e: [(v is not None, v) for v in e[0]])
+            ordered = sorted(live.items(), key=lambda e: _null_first(e[0]))
             return json.dumps({"schema": self.schema.jsonValue(), "slices": [[*s, *w] for s, w in ordered]})
 
         version = self.log.publish_next(spark, next_map)
@@ -302,6 +302,10 @@ def counted_slices() -> Column:
     return F.expr(f"approx_top_k(to_json(array({session})), {COUNTED_SLICES}, {2 * COUNTED_SLICES})")
 
 
+def _null_first(values: tuple) -> list:
+    return [(v is not None, v) for v in values]
+
+
 def _slice_of(item: str) -> tuple:
     year, rnd, session_type = json.loads(item)
     return (None if year is None else int(year), None if rnd is None else int(rnd), session_type)
