@@ -3,7 +3,9 @@
 How many pieces there are of each length is all that a packing plan needs, and that histogram has at
 most ``capacity`` entries whatever the size of the corpus.  The plan indexes sums of one, two and
 three lengths, consumes combinations that fill a gap exactly as often as the counts allow, and places
-what remains by best fit.  It is a list of patterns — "these lengths together, n times" — and each
+what remains by best fit; how many lengths such a combination may take at first (three spend the short ones that
+later gaps need) is tried out, plain best fit included, and the smallest plan is improved by packing parts of it anew.
+It is a list of patterns — "these lengths together, n times" — and each
 pattern uses up a length, so the plan is bounded too.  Pieces find their place by their rank among the
 pieces of their length: a running number within the task that tokenised them, plus the counts of the
 tasks before it.  Nothing is sorted, no length (however common) is gathered in one task, and token ids
@@ -34,6 +36,7 @@ from paddock.llm.common import materialise
 
 CAPACITY = 1024
 END_ID = 2
+ROUNDS = 6          # attempts to improve a plan that is above the lower bound
 
 
 # --- the plan: a pure function of the length histogram -------------------------------------------
@@ -64,43 +67,57 @@ def exact_fill(have: np.ndarray, gap: int) -> list[int] | None:
     return None
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Patterns (lengths, how often), covering the histogram exactly."""
-    have = np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in histogram.items():
-        have[length] = n
-    patterns: list[tuple[list[int], int]] = []
+Patterns = list[tuple[list[int], int]]
 
-    def use(lengths: list[int]) -> None:
+
+class _Stock:
+    """Lengths still to place, and the patterns that have used up the others."""
+
+    def __init__(self, histogram: dict[int, int], capacity: int):
+        self.capacity = capacity
+        self.have = np.zeros(capacity + 1, dtype=np.int64)
+        for length, n in histogram.items():
+            self.have[length] = n
+        self.patterns: Patterns = []
+
+    def use(self, lengths: list[int]) -> None:
+        """Take this combination as often as there is enough of all of it."""
         need = Counter(lengths)
-        n = min(int(have[x]) // k for x, k in need.items())
+        n = min(int(self.have[x]) // k for x, k in need.items())
         for x, k in need.items():
-            have[x] -= n * k
-        patterns.append((lengths, n))
+            self.have[x] -= n * k
+        self.patterns.append((lengths, n))
 
-    # Exact combinations of one, two and three, the largest lengths (hardest to place) first.
+
+def complements(stock: _Stock, most: int) -> None:
+    """Use up exact combinations of one, two and up to ``most`` lengths, the largest (hardest to place) first."""
+    have, capacity = stock.have, stock.capacity
     if have[capacity]:
-        use([capacity])
+        stock.use([capacity])
     for a in range(capacity - 1, (capacity - 1) // 2, -1):
         b = capacity - a
-        if have[a] and have[b] and (a != b or have[a] > 1):
-            use([a, b])
+        if most >= 2 and have[a] and have[b] and (a != b or have[a] > 1):
+            stock.use([a, b])
     for a in range(capacity - 1, 0, -1):
-        while have[a]:
+        while most >= 3 and have[a]:
             have[a] -= 1
             two = _pair(have, capacity - a)
             have[a] += 1
             if not two:
                 break
-            use([a, *two])
-    # Residuals: the largest opens a sequence; each gap is filled exactly if three lengths can do it,
-    # else by the best-fitting (largest) length that still goes in.
+            stock.use([a, *two])
+
+
+def fill_gaps(stock: _Stock, exact_from: int = 1) -> None:
+    """The largest length opens a sequence; each gap is filled exactly if three lengths can do it (from lengths of ``exact_from``
+    on), else by the best-fitting (largest) length that still goes in."""
+    have, capacity = stock.have, stock.capacity
     for a in range(capacity, 0, -1):
         while have[a]:
             taken, gap = [a], capacity - a
             have[a] -= 1
             while gap > 0:
-                fill = exact_fill(have, gap)
+                fill = exact_fill(have, gap) if a >= exact_from else None
                 if not fill:
                     fits = np.flatnonzero(have[:gap + 1])
                     if not len(fits):
@@ -112,8 +129,98 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list
                 gap -= sum(fill)
             for x in taken:
                 have[x] += 1
-            use(taken)
-    return patterns
+            stock.use(taken)
+
+
+def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> Patterns:
+    """Best fit decreasing, for all sequences of a gap at once: a length goes where it leaves least, and a sequence that takes
+    one of it then has the smallest gap, so it takes as many as fit."""
+    open_at: dict[int, Patterns] = {capacity: []}
+    for length in sorted(histogram, reverse=True):
+        left = histogram[length]
+        for gap in sorted(g for g in open_at if g >= length and g < capacity) + [capacity]:
+            each = gap // length
+            bins = open_at.pop(gap) if gap < capacity else [([], -(-left // each))]
+            kept: Patterns = []
+            for taken, n in bins:
+                whole = min(n, left // each)
+                rest = left - whole * each if whole < n and left - whole * each < each else 0
+                left -= whole * each + rest
+                for k, m in ((each, whole), (rest, 1 if rest else 0)):
+                    if m:
+                        open_at.setdefault(gap - k * length, []).append(([*taken, *[length] * k], m))
+                if n > whole + (rest > 0):
+                    kept.append((taken, n - whole - (rest > 0)))
+            if gap < capacity and kept:
+                open_at.setdefault(gap, []).extend(kept)
+            if not left:
+                break
+    return [p for g, some in open_at.items() for p in some if p[0]]
+
+
+def _size(patterns: Patterns) -> int:
+    return sum(n for _, n in patterns)
+
+
+def least_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> int:
+    """A lower bound: lengths over half the capacity never meet; what is longer than ``capacity - k`` meets nothing of at
+    least ``k``, and the tokens of the others need room beside those between."""
+    lengths = np.array(sorted(histogram), dtype=np.int64)
+    if not len(lengths):
+        return 0
+    many = np.array([histogram[int(x)] for x in lengths], dtype=np.int64)
+    bounds = [-(-int((lengths * many).sum()) // capacity)]
+    for k in range(1, capacity // 2 + 1):
+        alone, half = lengths > capacity - k, (lengths <= capacity - k) & (2 * lengths > capacity)
+        small = (lengths >= k) & (2 * lengths <= capacity)
+        room = int((many * (capacity - lengths))[half].sum())
+        bounds.append(int(many[alone | half].sum()) + max(0, -(-(int((lengths * many)[small].sum()) - room) // capacity)))
+    return max(bounds)
+
+
+def _plans(histogram: dict[int, int], capacity: int, most: tuple = (3, 2, 1)) -> Iterator[Patterns]:
+    for k in most:
+        for exact_from in (1, capacity // 2 + 1) if k < 3 else (1,):
+            stock = _Stock(histogram, capacity)
+            complements(stock, k)
+            fill_gaps(stock, exact_from)
+            yield stock.patterns
+    stock = _Stock(histogram, capacity)
+    complements(stock, 2)
+    rest = {int(x): int(stock.have[x]) for x in np.flatnonzero(stock.have)}
+    yield stock.patterns + best_fit(rest, capacity)
+    yield best_fit(histogram, capacity)
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Patterns:
+    """Patterns (lengths, how often), covering the histogram exactly: the smallest of the plans that use up exact combinations of
+    three, two or one length first, and of plain best fit; then improved by unpacking what is not full, with some that
+    is, and packing it anew, until the lower bound is met or ``rounds`` are over."""
+    least = least_sequences(histogram, capacity)
+    best: Patterns | None = None
+    for patterns in _plans(histogram, capacity):
+        if best is None or _size(patterns) < _size(best):
+            best = patterns
+        if _size(best) == least:
+            return best
+    rng = np.random.default_rng(len(histogram))
+    for k in range(rounds):
+        keep: Patterns = []
+        loose: Counter = Counter()
+        for lengths, n in best:
+            share = 1.0 if sum(lengths) < capacity else rng.random() * (0.2 + 0.6 * (k % 4) / 3)
+            out = round(n * share)
+            for x in lengths:
+                loose[x] += out
+            if n > out:
+                keep.append((lengths, n - out))
+        loose = {x: n for x, n in loose.items() if n}
+        again = min(_plans(loose, capacity), key=_size)
+        if _size(keep) + _size(again) <= _size(best):
+            best = keep + again
+        if _size(best) == least:
+            break
+    return best
 
 
 def slots(patterns: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:

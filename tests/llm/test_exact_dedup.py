@@ -45,3 +45,30 @@ def test_later_batches_meet_the_index(spark):
     assert "Exchange" not in plan  # the index is never shuffled
     index.drop()
     assert not index.exists()
+
+
+def test_the_report_meets_an_existing_index_and_hot_texts_stay_where_they_are(spark, monkeypatch):
+    plans, real = [], dedup.DigestIndex.append
+
+    def append(self, groups):
+        plans.append(groups._jdf.queryExecution().executedPlan().toString())
+        return real(self, groups)
+
+    monkeypatch.setattr(dedup.DigestIndex, "append", append)
+    rows = [(i, "copy") for i in range(400)] + [(1000 + i, f"t{i // 2}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = dedup.exact_dedup(docs)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == brute(rows)
+    assert len(plans) == 2 and "LeftAnti" in plans[1] and "SortMergeJoin" in plans[1]  # the empty table, then the batch
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan and "Bucketed: true" in plan
+
+
+def test_columns_with_internal_names_are_the_callers(spark):
+    rows = [(1, "a", "same"), (2, "b", "same"), (3, "A", "same")]
+    for name in ("__digest", "digest", "KEEP_ID", "group_size"):
+        docs = spark.createDataFrame(rows, f"doc_id long, text string, {name} string")
+        index = dedup.DigestIndex(spark)
+        dedup.index_batch(docs, index)
+        kept = dedup.unique_rows(docs, index)
+        assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == [(2, "b", "same"), (3, "A", "same")]

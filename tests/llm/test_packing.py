@@ -27,6 +27,26 @@ def test_plan_covers_the_histogram_and_never_overfills(lengths):
     assert used == Counter(lengths)
 
 
+def best_fit_decreasing(lengths, capacity):
+    """One by one, into the fullest sequence that still takes it."""
+    gaps = []
+    for x in sorted(lengths, reverse=True):
+        fits = [g for g in gaps if g >= x]
+        if fits:
+            gaps.remove(min(fits))
+        gaps.append((min(fits) if fits else capacity) - x)
+    return len(gaps)
+
+
+@given(st.lists(st.integers(1, 40), max_size=120))
+@settings(max_examples=80, deadline=None)
+def test_plan_is_never_above_best_fit_nor_below_its_bound(lengths):
+    histogram = Counter(lengths)
+    want = best_fit_decreasing(lengths, 40)
+    assert sum(n for _, n in packing.best_fit(histogram, 40)) == want
+    assert packing.least_sequences(histogram, 40) <= sum(n for _, n in packing.plan(histogram, 40)) <= want
+
+
 def test_plan_fills_exact_combinations():
     assert sum(n for _, n in packing.plan({64: 3, 40: 2, 24: 2, 30: 1, 20: 1, 14: 1}, 64)) == 6
     rng = np.random.default_rng(0)

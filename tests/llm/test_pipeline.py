@@ -52,3 +52,16 @@ def test_empty_and_odd_documents_go_through_every_stage(spark):
             docs = materialise(spark, stage(spark, materialise(spark, docs, "odd"), SF_SMALL), f"odd-{name}")
             docs.collect()
     drop_scratch(spark)
+
+
+def test_callers_columns_survive_the_filtering_stages(spark):
+    base = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs = base.selectExpr("*", "'x' AS __digest", "doc_id + 70 AS __row", "1 AS digest", "2.5 AS __id")
+    docs = materialise(spark, docs, "clashing")
+    for name, stage in cp.STAGES[:-1]:
+        got = materialise(spark, stage(spark, docs, SF_SMALL), f"clash-{name}")
+        plain = stage(spark, materialise(spark, base, "plain"), SF_SMALL)
+        assert got.columns == docs.columns
+        assert sorted(tuple(r) for r in got.select("doc_id", "__digest", "__row").collect()) == sorted(
+            (r.doc_id, "x", r.doc_id + 70) for r in plain.collect())
+    drop_scratch(spark)
