@@ -16,7 +16,7 @@ Defined results
 * a null or empty text has no tokens; nor has one whose bytes a tokenizer doesn't give back (say, with U+2581, which B's
   pieces use for the space): counts 0, empty lists, and '' as digest;
 * strings of special tokens are plain text; null ids and repeated rows have results of their own;
-* very long texts are encoded whole by A; by B in pieces between words, which no piece of its vocabulary spans (checked
+* very long texts are encoded whole by A; by B word by word, which no piece of its vocabulary spans (checked
   when it is loaded; otherwise whole);
 * columns other than id and text are not read; an empty table gives an empty result.
 """
@@ -24,11 +24,14 @@ Defined results
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -39,8 +42,7 @@ from paddock.llm import tokens
 from paddock.llm.common import materialise
 
 LANE = 256                # A tokens of a lane at most
-BLOCK_CHARS = 1 << 21     # characters of a block; a document is never split over blocks
-PIECE_CHARS = 1 << 15     # characters that B encodes at a time
+BLOCK_CHARS = 1 << 20     # characters of a block; a document is never split over blocks
 SPACE = "▁"          # fixed value: B's sign for the space
 
 
@@ -64,20 +66,34 @@ def rank_bytes(path: str) -> list[bytes]:
     return out
 
 
-def encode_pieces(model, text: str, separable: bool, size: int = PIECE_CHARS) -> list[int]:
-    """B's ids; a long text is cut before single spaces, which the encoder adds again to what follows."""
-    if not separable or len(text) <= size:
-        return model.encode(text, num_threads=1)
-    parts, at = [], 0
-    while len(text) - at > size:
-        cut = text.find(" ", at + size)
-        while 0 <= cut and (text[cut - 1] == " " or text[cut + 1:cut + 2] in ("", " ")):
-            cut = text.find(" ", cut + 1)
-        if cut < 0:
-            break
-        parts.append(text[at:cut])
-        at = cut + 1
-    return [i for part in model.encode([*parts, text[at:]], num_threads=1) for i in part]
+_WORD_END = re.compile("(?<=[^ ]) (?=[^ ])")
+
+
+def words_of(text: str, separable: bool) -> list[str]:
+    """What B encodes at a time: a text is cut before single spaces, which the encoder adds again to what follows."""
+    if not separable:
+        return [text]
+    return text.split(" ") if "  " not in text and text[0] != " " and text[-1] != " " else _WORD_END.split(text)
+
+
+def encode_pieces(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """B's ids of some texts one after the other, and how many each has; none where the pieces don't give the text back.
+    Every distinct word of the texts is encoded once."""
+    model, raw, separable = piece_model(path)
+    words = [words_of(t, separable) for t in texts]
+    of_text = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+    code, distinct = pd.factorize(np.array([w for some in words for w in some], object))
+    coded = model.encode(list(distinct), num_threads=1) if len(distinct) else []
+    size = np.fromiter(map(len, coded), np.int64, len(coded))
+    flat = np.fromiter(chain.from_iterable(coded), np.int32, int(size.sum()))
+    good = np.fromiter((b"".join(map(raw.__getitem__, ids)) == b" " + w.encode() for ids, w in zip(coded, distinct, strict=True)), bool, len(coded))
+    sound = np.ones(len(texts), bool)
+    sound[of_text[~good[code]]] = False
+    code, of_text = code[sound[of_text]], of_text[sound[of_text]]
+    many = size[code]
+    upto = np.cumsum(many) - many
+    ids = flat[np.repeat((np.cumsum(size) - size)[code] - upto, many) + np.arange(int(many.sum()))]
+    return ids, np.bincount(of_text, weights=many, minlength=len(texts)).astype(np.int64)
 
 
 def lockstep(a_end: np.ndarray, b_end: np.ndarray, a_from: np.ndarray, lane: int = LANE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,21 +147,21 @@ class Block:
 
 
 def align_block(ids: pa.Array, texts: list[str | None], ranks_path: str, pattern: str, pieces_path: str, lane: int = LANE) -> Block:
-    encode, a_bytes = tokens.encoder(ranks_path, pattern).encode_ordinary, rank_bytes(ranks_path)
-    model, b_bytes, separable = piece_model(pieces_path)
-    a_size, b_size = (np.fromiter(map(len, raw), np.int64, len(raw)) for raw in (a_bytes, b_bytes))
-    a, b = [], []
-    for text in texts:
-        x, y = [], []
-        if text:
-            whole = b" " + text.encode()
-            x, y = encode(" " + text), encode_pieces(model, text, separable)
-            if b"".join(map(a_bytes.__getitem__, x)) != whole or b"".join(map(b_bytes.__getitem__, y)) != whole:
-                x, y = [], []
-        a.append(np.array(x, np.int32))
-        b.append(np.array(y, np.int32))
-    a_at, b_at = (np.concatenate([[0], np.cumsum([len(x) for x in some])]).astype(np.int64) for some in (a, b))
-    a, b = np.concatenate([*a, np.empty(0, np.int32)]), np.concatenate([*b, np.empty(0, np.int32)])
+    encode = tokens.encoder(ranks_path, pattern).encode_ordinary
+    a_size, b_size = (np.fromiter(map(len, raw), np.int64, len(raw)) for raw in (rank_bytes(ranks_path), piece_model(pieces_path)[1]))
+    full = [k for k, text in enumerate(texts) if text]
+    b, n_b = np.empty(0, np.int32), np.zeros(len(texts), np.int64)
+    if full:
+        b, n_b[full] = encode_pieces([texts[k] for k in full], pieces_path)
+    a = []
+    for k, text in enumerate(texts):
+        # A's tokens are pieces of the bytes themselves, so their lengths tell whether all are there.
+        x = np.array(encode(" " + text) if n_b[k] else [], np.int32)
+        if n_b[k] and a_size[x].sum() != len(text.encode()) + 1:
+            raise ValueError("the rank file's pattern leaves out some of a text")
+        a.append(x)
+    a_at, b_at = (np.concatenate([[0], np.cumsum(n)]).astype(np.int64) for n in ([len(x) for x in a], n_b))
+    a = np.concatenate([*a, np.empty(0, np.int32)])
     held = a_at[:-1][a_at[1:] > a_at[:-1]]
     i, j, cut = lockstep(np.cumsum(a_size[a]), np.cumsum(b_size[b]), held, lane)
     group_a, group_b = i[cut] + 1, j[cut] + 1
@@ -194,9 +210,15 @@ def align(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str, limi
     return rows.mapInArrow(run, out)
 
 
-def _digests(k: Block, names: list[str], size: int) -> list[str]:
+@lru_cache(maxsize=2)
+def _written(size: int) -> np.ndarray:
+    """Ids below ``size`` in decimal with what follows them in a digest, padded with zero bytes."""
+    return np.array([f"{i}{after}" for after in ",|;" for i in range(size)], np.bytes_)
+
+
+def _digests(k: Block, size: int) -> list[str]:
     """SHA-256 of every document's groups, written ``a1,a2|b1;a3|b2,b3``; '' without tokens."""
-    number = np.arange(len(k.group_a))
+    written, number = _written(size), np.arange(len(k.group_a))
     len_a, len_b = (np.diff(g, prepend=0) for g in (k.group_a, k.group_b))
     of_a, of_b = np.repeat(number, len_a), np.repeat(number, len_b)
     after_a, after_b = np.zeros(len(k.a), np.int64), np.zeros(len(k.b), np.int64)
@@ -204,15 +226,14 @@ def _digests(k: Block, names: list[str], size: int) -> list[str]:
     row = np.empty(len(k.a) + len(k.b), np.int64)
     row[np.arange(len(k.a)) + (k.group_b - len_b)[of_a]] = k.a + after_a
     row[np.arange(len(k.b)) + k.group_a[of_b]] = k.b + after_b
-    out = []
-    for x, y in zip((k.a_at + k.b_at)[:-1].tolist(), (k.a_at + k.b_at)[1:].tolist(), strict=True):
-        out.append(hashlib.sha256("".join(map(names.__getitem__, row[x:y].tolist()))[:-1].encode()).hexdigest() if y > x else "")
-    return out
+    at = (k.a_at + k.b_at).tolist()
+    return [hashlib.sha256(written[row[x:y]].tobytes().translate(None, b"\0")[:-1]).hexdigest() if y > x else ""
+            for x, y in zip(at[:-1], at[1:], strict=True)]
 
 
 def link_blocks(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str, limit: int = BLOCK_CHARS) -> DataFrame:
     """One row per block: its number ``block``, its documents' counts and digests, its distinct id pairs ``a``, ``b``, ``n``, and the
-    place of every link's pair in that list (``links``, little-endian 32-bit)."""
+    place of every link's pair in that list (``links``, little-endian, of 16 bits if the list is short enough, else 32)."""
     rows = docs.select("doc_id", "text")
     longs, ints = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
     counted = ["n_a", "n_b", "n_groups", "n_links"]
@@ -222,17 +243,17 @@ def link_blocks(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = max(len(rank_bytes(ranks_path)), len(piece_model(pieces_path)[1]))
-        names = [f"{i}{after}" for after in ",|;" for i in range(size)]
         block = TaskContext.get().partitionId() << 33
         for k in blocks(batches, limit, ranks_path, pattern, pieces_path):
-            pairs, place, many = np.unique(k.a[k.i].astype(np.int64) << 32 | k.b[k.j], return_inverse=True, return_counts=True)
+            place, pairs = pd.factorize(k.a[k.i].astype(np.int64) << 32 | k.b[k.j])
+            many = np.bincount(place, minlength=len(pairs))
             one = lambda values, kind: pa.array([values], pa.list_(kind))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(k.ids)], pa.int32()), k.ids),
                  *[one(np.diff(at), pa.int64()) for at in (k.a_at, k.b_at, k.group_at, k.link_at)],
-                 one(_digests(k, names, size), pa.string()),
+                 one(_digests(k, size), pa.string()),
                  one(pairs >> 32, pa.int32()), one(pairs & 0xFFFFFFFF, pa.int32()), one(many, pa.int64()),
-                 pa.array([place.astype("<u4").tobytes()], pa.binary())], names=out.names)
+                 pa.array([place.astype("<u2" if len(pairs) <= 1 << 16 else "<u4").tobytes()], pa.binary())], names=out.names)
             block += 1
 
     return rows.mapInArrow(run, out)
@@ -253,27 +274,24 @@ def link_scores(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     found = materialise(spark, link_blocks(rows, ranks_path, pattern, pieces_path, limit), "link-blocks")
     pairs = found.select("block", F.posexplode(F.arrays_zip("a", "b", "n")).alias("at", "p")).select("block", "at", "p.a", "p.b", "p.n")
-    known = pairs.select("block", "at", "a", "b").join(pair_counts(pairs), ["a", "b"])
-    # A block has no more pairs than links; in the list they may stand in any order.
-    known = known.groupBy("block").agg(F.collect_list(F.struct("at", "count", "best")).alias("known"))
-    both = found.drop("a", "b", "n").join(known, "block", "left")
+    known = pairs.select("block", "at", "a", "b").join(pair_counts(pairs), ["a", "b"]).select(F.col("block").alias("in_block"), "at", "count", "best")
     id_type = rows.schema["doc_id"].dataType
     out = T.StructType([T.StructField("doc_id", id_type), *[T.StructField(n, T.LongType()) for n in
                         ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")], T.StructField("groups_sha256", T.StringType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                col = {name: batch.column(c).slice(r, 1) for c, name in enumerate(batch.schema.names)}
-                flat = {name: col[name].flatten() for name in ("ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "known")}
-                at, count, best = (flat["known"].field(name).to_numpy(zero_copy_only=False) for name in ("at", "count", "best"))
-                counts, bests = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-                counts[at], bests[at] = count, best
-                place = np.frombuffer(col["links"][0].as_py(), "<u4")
-                upto = np.concatenate([[0], np.cumsum(flat["n_links"].to_numpy())])
-                n_best, count_sum = (np.diff(np.concatenate([[0], np.cumsum(v[place])])[upto]) for v in (bests, counts))
-                yield pa.RecordBatch.from_arrays(
-                    [flat["ids"], flat["n_a"], flat["n_b"], flat["n_groups"], flat["n_links"], pa.array(n_best, pa.int64()),
-                     pa.array(count_sum, pa.int64()), flat["groups_sha256"]], names=out.names)
-
-    return both.select("ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "known", "links").mapInArrow(run, out)
+    def score(block: pa.Table, known: pa.Table) -> pa.Table:
+        """One block, a row of its own, and its pairs, in any order: as many as it has links at most."""
+        of = {name: block.column(name).combine_chunks() for name in block.schema.names}
+        flat = {name: of[name].flatten() for name in ("ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
+        counts, bests = np.zeros(known.num_rows, np.int64), np.zeros(known.num_rows, np.int64)
+        at = known.column("at").to_numpy()
+        counts[at], bests[at] = known.column("count").to_numpy(), known.column("best").to_numpy()
+        upto = np.concatenate([[0], np.cumsum(flat["n_links"].to_numpy())])
+        links = of["links"][0].as_py()
+        place = np.frombuffer(links, "<u2" if len(links) == 2 * upto[-1] else "<u4")
+        n_best, count_sum = (np.diff(np.concatenate([[0], np.cumsum(v[place])])[upto]) for v in (bests, counts))
+        return pa.table([flat["ids"], flat["n_a"], flat["n_b"], flat["n_groups"], flat["n_links"], pa.array(n_best, pa.int64()),
+                         pa.array(count_sum, pa.int64()), flat["groups_sha256"]], names=out.names)
+
+    held = found.select("block", "ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links")
+    return held.groupBy("block").cogroup(known.groupBy("in_block")).applyInArrow(score, out)

@@ -121,8 +121,10 @@ def test_lanes_give_the_same_links():
         assert all((p == q).all() for p, q in zip(whole, alignment.lockstep(np.array(a_end), np.array(b_end), np.array(a_from), lane), strict=True))
 
 
-def test_long_texts_in_pieces():
+def test_texts_word_by_word():
     rng = random.Random(2)
-    text = "".join(rng.choice(["the", "Ünder", " ", "  ", "\n", "xyz,", " 東京", " a "]) for _ in range(30_000))
+    texts = ["".join(rng.choice(["the", "Ünder", " ", "  ", "\n", "xyz,", " 東京", " a "]) for _ in range(n)) or "x" for n in (3000, 1, 2, 3, 500)]
     model, _, separable = alignment.piece_model(PIECES)
-    assert separable and alignment.encode_pieces(model, text, True, 500) == model.encode(text)
+    ids, many = alignment.encode_pieces(texts, PIECES)
+    assert separable and ids.tolist() == [i for t in texts for i in model.encode(t)] and many.tolist() == [len(model.encode(t)) for t in texts]
+    assert alignment.encode_pieces(["a b", "no▁give c", "d"], PIECES)[1].tolist() == [2, 0, 1]
