@@ -265,20 +265,15 @@ def estimate(counts: list[tuple[str, int, int]], rounds: int = ROUNDS) -> dict[t
 
 
 def fit(rows: list[tuple[list[int], float]], steps: int = 300, rate: float = 0.5, ridge: float = 1e-3) -> np.ndarray:
-    """Weights of a logistic regression on soft labels."""
+    """Weights of a logistic regression on soft labels; every candidate has the same number of features."""
     w = np.zeros(WIDTH)
     if not rows:
         return w
-    x = np.zeros((len(rows), WIDTH), np.float32)
-    for k, (features, _) in enumerate(rows):
-        np.add.at(x[k], features, 1)
-    y = np.array([p for _, p in rows])
-    used = np.flatnonzero(x.any(axis=0))
-    x, v = x[:, used], np.zeros(len(used))
+    x, y = np.array([features for features, _ in rows]), np.array([p for _, p in rows])
+    used = np.bincount(x.ravel(), minlength=WIDTH) > 0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ v, -50, 50)))
-        v -= rate * (x.T @ (p - y) / len(y) + ridge * v)
-    w[used] = v
+        p = 1 / (1 + np.exp(-np.clip(w[x].sum(1), -50, 50)))
+        w -= rate * (np.bincount(x.ravel(), np.repeat((p - y) / len(y), x.shape[1]), WIDTH) + ridge * w * used)
     return w
 
 
