@@ -8,6 +8,7 @@ the previous run instead of a selection.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
 from paddock.plans import medallion
@@ -25,9 +26,15 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--strict", action="store_true", help="fail if a requested season has no bronze files")
     p.add_argument("--on-duplicate", choices=["dedup", "fail"], default="dedup")
     p.add_argument("--gold", choices=["upsert", "rebuild", "skip"], default="upsert")
+    p.add_argument("--as-of", type=dt.date.fromisoformat, help="leave out events dated later in the calendar (YYYY-MM-DD)")
+    p.add_argument("--calendar", help="Parquet table of events: year, round, event_date (for --as-of)")
+    p.add_argument("--gate", action="store_true", help="publish the run as an epoch only if the contract's metrics hold")
     p.add_argument("--incremental", action="store_true", help="only files new since the last run")
     p.add_argument("--event-log", help="folder for Spark's event log (stage and task timings)")
-    return p.parse_args(argv)
+    args = p.parse_args(argv)
+    if (args.as_of is None) != (args.calendar is None):
+        p.error("--as-of and --calendar go together")
+    return args
 
 
 def main(argv=None, spark=None) -> int:
@@ -50,12 +57,14 @@ def main(argv=None, spark=None) -> int:
         report["incremental"] = "done"
     else:
         sessions = medallion.select_sessions(spark, lake, args.seasons, args.rounds, args.sessions,
-                                             strict=args.strict, resume_year=args.resume_year)
+                                             strict=args.strict, resume_year=args.resume_year, as_of=args.as_of,
+                                             calendar=spark.read.parquet(args.calendar) if args.calendar else None)
         report["sessions"] = len(sessions)
         if sessions:
             report["silver"] = medallion.run_silver(spark, lake, sessions, on_duplicate=args.on_duplicate)
         if args.gold != "skip":
             report["gold_versions"] = medallion.run_gold(spark, lake, mode=args.gold)
+            report["epoch"] = medallion.publish_epoch(spark, lake, gate=args.gate)
     if args.gold != "skip":
         report["quality"] = medallion.contract_metrics(spark, lake)
     print(json.dumps(report, default=str))

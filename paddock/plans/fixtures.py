@@ -44,27 +44,18 @@ TABLE_SCHEMAS = {
 }
 
 
-# A table stored as one Parquet file is split by Spark only at row-group
-# boundaries; the given tables have a single row group, so their whole scan (and
-# everything fused into it: joins, projections, partial aggregates) would run in
-# one task.  Such a file is spread over the cores right after the scan.  A table
-# stored as many files is already read in parallel and is left alone, so at
-# scale this adds no shuffle.
-SPREAD_MIN_BYTES = 4 << 20
+# A caller whose tables are single files of one row group (which Spark reads in one task) may ask for more tasks behind every
+# scan by this session setting.  Unset, a scan is a scan: tables of many files are read in parallel as they are.
+INPUT_PARTITIONS = "paddock.input.partitions"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from paddock.sources.tables import single_file_length
-
-    path = table_path(sf_dir, name)
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
-    df = reader.parquet(path)
-    length = single_file_length(spark, path)
-    if length is not None and length >= SPREAD_MIN_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+    df = reader.parquet(table_path(sf_dir, name))
+    wanted = spark.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def _case(column: str, mapping: dict) -> str:

@@ -16,6 +16,7 @@ read, cleans it, and publishes exactly the affected sessions.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from dataclasses import dataclass
 
@@ -235,10 +236,12 @@ def vacuum(spark: SparkSession, layout: Layout, keep: int = 2) -> None:
 
 
 def select_sessions(spark: SparkSession, layout: Layout, seasons=None, rounds=None, session_types=None,
-                    kind: str | None = None, strict: bool = False, resume_year: int | None = None) -> list[tuple]:
+                    kind: str | None = None, strict: bool = False, resume_year: int | None = None,
+                    calendar: DataFrame | None = None, as_of: dt.date | None = None) -> list[tuple]:
     """Sessions present in bronze (in any kind, unless one is named) that match the filters.
 
-    With ``strict`` a requested season without any session is an error (the
+    With ``as_of``, events that the ``calendar`` (year, round, event_date) dates later are left out (F12); an event that it doesn't
+    list has no date and stays.  With ``strict`` a requested season without any session is an error (the
     original raised when a year had no files).  Returns a session list: small,
     one entry per race or qualifying.
     """
@@ -250,6 +253,10 @@ def select_sessions(spark: SparkSession, layout: Layout, seasons=None, rounds=No
             found = selection.select_rounds_sessions(
                 selection.select_seasons(bronze.discover_partition_sessions(spark, layout.bronze, one), seasons,
                                          resume_year), rounds, session_types)
+            if as_of is not None:
+                future = calendar.join(selection.events_until(calendar, as_of).select("year", "round"), ["year", "round"], "left_anti")
+                found = found.join(future.where("event_date is not null").select("year", "round"), ["year", "round"], "left_anti")
+                found = found.select(*schemas.SLICE_KEY)
             sessions |= {tuple(r) for r in found.collect()}
     sessions = sorted(sessions)
     if strict and seasons is not None:

@@ -263,7 +263,7 @@ ORACLE["evolve_schema"] = with_ctes(["silver_laps"],
 # 2.3 filters
 ORACLE["filter_lap_time_not_null"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE LapTime IS NOT NULL")
 ORACLE["filter_lap_time_positive"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE LapTime > 0")
-ORACLE["filter_driver_not_null"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE Driver IS NOT NULL")
+ORACLE["filter_driver_not_null"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE CASE WHEN DriverNumber <> '7' THEN Driver END IS NOT NULL")
 ORACLE["filter_accurate"] = with_ctes(["laps_raw"], "SELECT * FROM laps_raw WHERE IsAccurate")
 ORACLE["filter_speed_range"] = with_ctes(["car_raw"], "SELECT * FROM car_raw WHERE Speed BETWEEN 0 AND 400")
 ORACLE["filter_rpm_range"] = with_ctes(["car_raw"], "SELECT * FROM car_raw WHERE RPM BETWEEN 0 AND 20000")

@@ -172,7 +172,15 @@ def _laps_filter(pred):
 
 QUERIES["filter_lap_time_not_null"] = _laps_filter(silver.lap_time_not_null)
 QUERIES["filter_lap_time_positive"] = _laps_filter(silver.lap_time_positive)
-QUERIES["filter_driver_not_null"] = _laps_filter(silver.driver_not_null)
+NO_DRIVER = "7"                          # F3: laps of this driver number come without a driver
+
+
+@query("filter_driver_not_null")
+def q_filter_driver_not_null(spark, sf_dir):
+    nameless = F.when(F.col("DriverNumber") != NO_DRIVER, F.col("Driver"))
+    return conformed_laps(spark, sf_dir).withColumn("Driver", nameless).filter(silver.driver_not_null())
+
+
 QUERIES["filter_accurate"] = _laps_filter(silver.is_accurate)
 
 

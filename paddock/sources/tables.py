@@ -44,15 +44,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def single_file_length(spark: SparkSession, path: str) -> int | None:
-    """Length of ``path`` if it is one file (not a folder of files), else None."""
-    fs, p, _ = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    status = fs.getFileStatus(p)
-    return int(status.getLen()) if status.isFile() else None
-
-
 def delete_path(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
     return fs.delete(p, True)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddock import schemas
-from paddock.plans.medallion import SILVER_KINDS, Layout, publish_epoch, refresh_silver, run_gold
+from paddock.plans.medallion import GOLD_TABLES, SILVER_KINDS, Layout, publish_epoch, refresh_silver, run_gold
 
 
 def _refresh_sessions(spark: SparkSession, layout: Layout, table: str, touched: DataFrame,
@@ -34,11 +34,11 @@ def _refresh_sessions(spark: SparkSession, layout: Layout, table: str, touched:
 
 def start_incremental(spark: SparkSession, layout: Layout, table: str = "silver_laps",
                       with_gold: bool = True, on_duplicate: str = "dedup", checkpoint: str | None = None,
-                      available_now: bool = True):
+                      available_now: bool = True, publish: bool = True):
     """Start the stream for one silver table; returns the ``StreamingQuery``.
 
     ``available_now`` processes everything new and stops (a scheduled batch
-    run); without it the query keeps watching the folder.
+    run); without it the query keeps watching the folder.  ``publish``: each batch ends with an epoch.
     """
     kind = SILVER_KINDS[table]
     source = f"{layout.bronze}/{kind}"
@@ -52,7 +52,7 @@ def start_incremental(spark: SparkSession, layout: Layout, table: str = "silver_
         sessions = _refresh_sessions(batch.sparkSession, layout, table, touched, on_duplicate)
         if with_gold and table == "silver_laps" and sessions:
             run_gold(batch.sparkSession, layout, sessions=sessions)
-        if sessions and with_gold:
+        if sessions and publish:
             publish_epoch(batch.sparkSession, layout)
 
     stream = (spark.readStream.schema(schema).option("basePath", source)
@@ -74,5 +74,8 @@ def run_incremental(spark: SparkSession, layout: Layout, tables=tuple(SILVER_KIN
         if not path_exists(spark, f"{layout.bronze}/{SILVER_KINDS[table]}"):
             continue
         ck = f"{checkpoint_base}/{table}" if checkpoint_base else None
-        q = start_incremental(spark, layout, table, with_gold, on_duplicate, ck, available_now=True)
+        q = start_incremental(spark, layout, table, with_gold, on_duplicate, ck, available_now=True, publish=False)
         q.awaitTermination()
+    versions = {t: layout.table(t).current_version(spark) for t in (*SILVER_KINDS, *GOLD_TABLES)}
+    if with_gold and versions != layout.epoch(spark):  # one epoch for the whole run, and none if nothing came
+        publish_epoch(spark, layout)

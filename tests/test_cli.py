@@ -115,3 +115,21 @@ def test_main_end_to_end(spark, tmpdir_fresh, capsys):
         "completeness_avg_lap_time_s", "validity_session_type", "consistency_lap_time"}
     assert main(["--lake", lake, "--incremental"], spark=spark) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["incremental"] == "done"
+
+
+def test_events_after_the_given_day_are_left_out(spark, tmpdir_fresh):
+    import datetime as dt
+
+    from paddock.__main__ import parse_args
+    from paddock.sources import bronze
+
+    from .test_edges import laps_frame
+    lake = medallion.Layout(f"{tmpdir_fresh}/lake")
+    rows = [(2024, r, "R", "GP", "VER", "RB", 1.0, 90.0, 30.0, 300.0, "SOFT", True) for r in (1, 2, 3, 4)]
+    bronze.write_bronze(laps_frame(spark, rows), lake.bronze, "laps")
+    calendar = spark.createDataFrame([(2024, 1, dt.date(2024, 3, 1)), (2024, 2, dt.date(2024, 4, 1)), (2024, 3, None)],
+                                     "year int, round int, event_date date")
+    found = medallion.select_sessions(spark, lake, as_of=dt.date(2024, 3, 1), calendar=calendar)
+    assert found == [(2024, 1, "R"), (2024, 3, "R"), (2024, 4, "R")]   # no date: nothing says that it is still to come
+    with pytest.raises(SystemExit):
+        parse_args(["--lake", "x", "--as-of", "2024-03-01"])
