@@ -6,8 +6,11 @@ engine has published.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paddock import schemas
 from paddock.operators import silver
@@ -15,14 +18,15 @@ from paddock.plans import fixtures as fx
 from paddock.plans import medallion
 from paddock.plans.registry import bronze_layout, query
 from paddock.session import scratch_path
-from paddock.sources import bronze
+from paddock.sources import bronze, ledger
 from paddock.sources.tables import SliceTable
 
 # ---- query parameters (fixed so that Spark and the oracle agree) ----
 SHARED_EVENT = ("GP_34", 3)             # rounds from this one on carry one event name
 EMPTIED, CHANGED, CHANGED_BY = (1996, 4, "R"), (1997, 2, "R"), 5.0
 JUNK_EVERY = 97                          # every so many lap numbers, the trap speed is no number
-OLD_YEARS, EVOLVED = 1995, ["position", "stint"]
+NEW_SEASON, GONE_SEASON = 1998, 1996
+OLD_YEARS = 1995                         # sessions up to this season were written by an older schema
 
 
 def _laps_of_shared_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,3 +126,32 @@ def q_dq_gate(spark, sf_dir):
                  for m in report["quality"]]
     return spark.createDataFrame(rows, "delivery int, metric string, value_pct double, rows_checked long, passed boolean, "
                                        "published boolean, visible_laps long")
+
+
+@query("evolve_stored_table")
+def q_evolve_stored_table(spark, sf_dir):
+    """P14 over stored files: some sessions written before a column was added and while lap numbers were whole, others since."""
+    schema, key = schemas.TARGETS["silver_laps"]
+    rows = silver.transform_laps(fx.laps_raw(spark, sf_dir))
+    before = T.StructType([T.StructField(f.name, T.LongType() if f.name == "lap_number" else f.dataType)
+                           for f in schema.fields if f.name != "tyre_compound"])
+    root = scratch_path(spark, "evolve")
+    SliceTable(root, before, key).refresh(spark, rows.where(F.col("year") <= OLD_YEARS), check_key=False)
+    table = SliceTable(root, schema, key)
+    table.refresh(spark, rows.where(F.col("year") > OLD_YEARS), check_key=False)
+    return table.read(spark)
+
+
+@query("sessions_changed")
+def q_sessions_changed(spark, sf_dir):
+    """A listing against the ledger of an earlier one; lap counts stand for lengths.  Later, races have more bytes, one season
+    is gone and another is new."""
+    laps = fx.laps_raw(spark, sf_dir).groupBy(*schemas.SLICE_KEY).agg(F.count(F.lit(1)).alias("length"))
+    files = fx.checkpoint_files(spark, sf_dir).join(laps, schemas.SLICE_KEY)
+    files = files.withColumn("modified", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp"))
+    first = ledger.entries(files.where(F.col("year") != NEW_SEASON))
+    grown = F.col("length") + F.when((F.col("session_type") == "R") & (F.col("round") == 1), F.lit(1)).otherwise(F.lit(0))
+    second = ledger.entries(files.where(F.col("year") != GONE_SEASON).withColumn("length", grown))
+    book = ledger.IngestLedger(scratch_path(spark, "ledger"))
+    book.record(spark, first)
+    return book.compare(spark, second)

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from paddock import schemas
 from paddock.operators import gold, refresh, silver
-from paddock.sources import bronze, tables
+from paddock.sources import bronze, ledger, tables
 
 # silver table -> bronze kind (file prefix), from the bronze table each transform reads.
 SILVER_KINDS = {table: bronze.bronze_prefix(source) for table, (source, _) in silver.TRANSFORMS.items()}
@@ -61,6 +61,10 @@ class Layout:
     def gold_rejects(self) -> tables.SliceTable:
         return tables.SliceTable(f"{self.root}/rejects/gold_laps", refresh.reject_schema(schemas.SILVER_LAPS), schemas.SILVER_LAPS_KEY)
 
+    @property
+    def ledger(self) -> ledger.IngestLedger:
+        return ledger.IngestLedger(f"{self.root}/ledger")
+
     @property
     def epochs(self) -> tables.CommitLog:
         return tables.CommitLog(f"{self.root}/_epochs")
@@ -272,16 +276,16 @@ def import_archive(spark: SparkSession, archive: str, layout: Layout) -> dict:
 
     Listing reads names only; where a suffixed and a legacy file describe the
     same session the suffixed one wins; rows whose data year/round disagree
-    with their file name are returned as a reject count rather than written.
+    with their file name are kept as rejects rather than written.  The ledger tells what is new or has been
+    delivered again since (S8): nothing else is read, and a session whose rows were all rejected isn't read
+    again for that.
     """
     listing = bronze.parse_checkpoint_listing(bronze.list_files(spark, archive, recursive=True))
-    chosen = bronze.prefer_suffixed(listing.select("kind", "year", "round", "session_type", "file_name",
-                                                   "is_legacy"))
-    for kind in schemas.KINDS:  # S8: sessions that are there already are not read again
-        if tables.path_exists(spark, f"{layout.bronze}/{kind}"):
-            there = bronze.discover_partition_sessions(spark, layout.bronze, kind).withColumn("kind", F.lit(kind))
-            chosen = chosen.join(there, on=["kind", *schemas.SLICE_KEY], how="left_anti")
-    entries = (listing.join(chosen.select("kind", "file_name"), on=["kind", "file_name"], how="left_semi")
+    best = bronze.prefer_suffixed(listing.select("kind", "year", "round", "session_type", "file_name", "is_legacy"))
+    listed = ledger.entries(listing.join(best.select("kind", "file_name"), ["kind", "file_name"], "left_semi"))
+    listed = listed.checkpoint()  # one row per session; as listed now, whatever arrives meanwhile
+    to_read = layout.ledger.compare(spark, listed).where(F.col("status").isin("new", "changed"))
+    entries = (listing.join(to_read.select("kind", "file_name"), on=["kind", "file_name"], how="left_semi")
                .select("kind", "entry").distinct().collect())
     by_kind: dict[str, list[str]] = {}
     for r in entries:
@@ -292,9 +296,15 @@ def import_archive(spark: SparkSession, archive: str, layout: Layout) -> dict:
         if kind == "tel":
             accepted = conform_car_driver(accepted)
         bronze.write_bronze(accepted.drop("_path"), layout.bronze, kind)
+        # By the session of the file: a file that comes again replaces its rejects.
         rejects = f"{layout.root}/rejects/bronze_{kind}"
-        rejected.withColumn("reason", F.lit("labels disagree with the file name")).write.mode("append").parquet(rejects)
-        out[kind] = {"files": len(paths), "rejected_rows": rejected.count()}
+        seen = Observation()
+        (rejected.withColumn("reason", F.lit("labels disagree with the file name")).observe(seen, F.count(F.lit(1)).alias("rows"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("file_year", "file_round", "file_session_type").parquet(rejects))
+        out[kind] = {"files": len(paths), "rejected_rows": seen.get["rows"]}
+    if out:
+        layout.ledger.record(spark, listed)
     return out
 
 

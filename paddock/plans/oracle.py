@@ -546,3 +546,10 @@ ORACLE["dq_gate"] = with_ctes(["silver_dedup"], f""", good AS (
   {_gate(1, "good", "gold_good", "true")}
   UNION ALL
   {_gate(2, "silver_dedup", "gold_all", "false")}""")
+
+ORACLE["evolve_stored_table"] = with_ctes(["silver_laps"], """SELECT * REPLACE (CASE WHEN year > 1995 THEN tyre_compound END AS tyre_compound)
+  FROM silver_laps""")
+ORACLE["sessions_changed"] = with_ctes(["checkpoint_files"], """SELECT kind, year, round, session_type, file_name,
+  CASE WHEN year = 1998 THEN 'new' WHEN year = 1996 THEN 'vanished'
+       WHEN session_type = 'R' AND round = 1 THEN 'changed' ELSE 'unchanged' END AS status
+  FROM checkpoint_files""")

@@ -75,11 +75,11 @@ def clustered_by_slice(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- listing
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet", recursive: bool = False) -> DataFrame:
-    """File listing as a DataFrame (``path``, ``length``); file contents are never read."""
+    """File listing as a DataFrame (``path``, ``length``, ``modified``); file contents are never read."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.load(root).select("path", "length")
+    return reader.load(root).select("path", "length", F.col("modificationTime").alias("modified"))
 
 
 def total_bytes(spark: SparkSession, root: str) -> int:
@@ -94,7 +94,8 @@ def parse_checkpoint_listing(listing: DataFrame) -> DataFrame:
     ``entry`` is the readable path of the checkpoint in both cases.
     """
     name = scalars.checkpoint_entry_name("path")
-    return (listing.select("path", name.alias("file_name"))
+    told = [c for c in ("length", "modified") if c in listing.columns]
+    return (listing.select("path", *told, name.alias("file_name"))
             .filter(F.col("file_name").rlike(scalars.CHECKPOINT_NAME))
             .select(F.expr("substring(path, 1, instr(path, file_name) + length(file_name) - 1)").alias("entry"),
                     "path", "file_name",
@@ -102,7 +103,7 @@ def parse_checkpoint_listing(listing: DataFrame) -> DataFrame:
                     scalars.checkpoint_year("file_name").alias("year"),
                     scalars.checkpoint_round("file_name").alias("round"),
                     scalars.checkpoint_session("file_name").alias("session_type"),
-                    scalars.is_legacy_name("file_name").alias("is_legacy")))
+                    scalars.is_legacy_name("file_name").alias("is_legacy"), *told))
 
 
 def prefer_suffixed(files: DataFrame) -> DataFrame:

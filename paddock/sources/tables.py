@@ -171,32 +171,36 @@ class SliceTable:
     def current_version(self, spark: SparkSession) -> int:
         return self.log.current(spark)
 
-    def slice_map(self, spark: SparkSession, version: int | None = None) -> dict[tuple, tuple[str, int]]:
-        """session -> (write, rows) of a version (the newest): one entry per session."""
+    def _map(self, spark: SparkSession, version: int | None = None) -> dict:
+        """A version's slice map (the newest) as stored: ``schemas``, and per slice its session, write, rows and schema number."""
         version = self.log.current(spark) if version is None else version
-        if not version:
-            return {}
-        return {tuple(e[:3]): (e[3], e[4]) for e in json.loads(self.log.text(spark, version))["slices"]}
+        return json.loads(self.log.text(spark, version)) if version else {"schemas": [], "slices": []}
 
-    def stored_schema(self, spark: SparkSession, version: int | None = None) -> T.StructType | None:
-        """The schema that a version's newest write was made with."""
-        version = self.log.current(spark) if version is None else version
-        return T.StructType.fromJson(json.loads(self.log.text(spark, version))["schema"]) if version else None
+    def slice_map(self, spark: SparkSession, version: int | None = None) -> dict[tuple, tuple[str, int]]:
+        """session -> (write, rows) of a version: one entry per session."""
+        return {tuple(e[:3]): (e[3], e[4]) for e in self._map(spark, version)["slices"]}
 
     def read(self, spark: SparkSession, version: int | None = None, slices=None) -> DataFrame:
         """Scan of one version with partition pruning and pushed filters; an empty frame if there is none.
 
-        A plan keeps the map it was made with: refreshes published later don't change it."""
-        live = self.slice_map(spark, version)
-        if slices is not None:
-            live = {s: w for s, w in live.items() if s in {tuple(x) for x in slices}}
-        if not live:
-            return spark.createDataFrame([], self.schema)
-        # Declared schema: no footer inference; partition values parse to the declared types.
-        stored = T.StructType([*self.schema.fields, T.StructField(WRITE, T.StringType())])
-        df = spark.read.schema(stored).option("basePath", self.data).parquet(self.data)
-        df = df.where(in_slices([(*s, w) for s, (w, _) in live.items()], [*schemas.SLICE_KEY, WRITE])).drop(WRITE)
-        return conform.conform_schema(df, self.schema)
+        A plan keeps the map it was made with: refreshes published later don't change it.  Slices are read by the schema that
+        they were written with and conformed to the declared one (P14): columns added since are NULL, changed types
+        are cast.  All slices of one schema are one scan."""
+        stored = self._map(spark, version)
+        wanted = None if slices is None else {tuple(x) for x in slices}
+        groups: dict[int, list[tuple]] = {}
+        for e in stored["slices"]:
+            if wanted is None or tuple(e[:3]) in wanted:
+                groups.setdefault(e[5], []).append(tuple(e[:4]))
+        out = None
+        for number, entries in sorted(groups.items()):
+            written = T.StructType.fromJson(stored["schemas"][number])
+            # A known schema: no footer inference; partition values parse to the declared types.
+            df = (spark.read.schema(T.StructType([*written.fields, T.StructField(WRITE, T.StringType())]))
+                  .option("basePath", self.data).parquet(self.data))
+            df = conform.conform_schema(df.where(in_slices(entries, [*schemas.SLICE_KEY, WRITE])).drop(WRITE), self.schema)
+            out = df if out is None else out.unionByName(df)
+        return spark.createDataFrame([], self.schema) if out is None else out
 
     def refresh(self, spark: SparkSession, stage: DataFrame, requested: list[tuple] | None = None,
                 check_key: bool = True, observe: dict | None = None, guard=None) -> dict:
@@ -242,11 +246,16 @@ class SliceTable:
         removed: list[tuple] = []
 
         def next_map(base: int) -> str:
-            live = self.slice_map(spark, base)
+            old = self._map(spark, base)
+            live = {tuple(e[:3]): (e[3], e[4], old["schemas"][e[5]]) for e in old["slices"]}
             removed[:] = sorted((s for s in {tuple(r) for r in requested or []} - set(written) if live.pop(s, None)), key=_null_first)
-            live |= written
+            live |= {s: (*w, self.schema.jsonValue()) for s, w in written.items()}
+            kinds: list[dict] = []
+            for _, _, kind in live.values():
+                if kind not in kinds:
+                    kinds.append(kind)
             ordered = sorted(live.items(), key=lambda e: _null_first(e[0]))
-            return json.dumps({"schema": self.schema.jsonValue(), "slices": [[*s, *w] for s, w in ordered]})
+            return json.dumps({"schemas": kinds, "slices": [[*s, w, n, kinds.index(k)] for s, (w, n, k) in ordered]})
 
         version = self.log.publish_next(spark, next_map)
         return report | {"emptied_slices": removed, "version": version}
