@@ -17,12 +17,16 @@ def brute(doc, text):
     places = [(i, label) for p, label in ls.PHRASES.items() for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]
     base = {label for _, label in places}
     found = []
+    far = max(len(re.findall("[0-9a-z]+", t.lower())) * 100 // ls.CONTAINMENT for _, t, *_ in ls.TEMPLATES)
+    first_marks = {marks.split()[0] for *_, marks, _ in ls.TEMPLATES}
     for line in text.split("\n"):
-        have = set(WORD.findall(line))
-        for label, some in ls.template_sets():
-            n = len(have & set(some))
-            if 100 * n >= ls.CONTAINMENT * len(some):
-                found.append((n / len(some), label))
+        have = WORD.findall(line)
+        blocks = [set(have)] if len(have) <= far else [set(have[max(0, i - far + 1):i + far]) for i, x in enumerate(have) if x in first_marks]
+        for block in blocks:
+            for (label, some), (*_, marks, rivals) in zip(ls.template_sets(), ls.TEMPLATES, strict=True):
+                n = len(block & set(some))
+                if 100 * n >= ls.CONTAINMENT * len(some) and set(marks.split()) <= block and not set(rivals.split()) & block:
+                    found.append((n / len(some), label))
     score = 1.0 if base else max(found, default=(0.0,))[0]
     starts = [i for i, _ in places]
     return (doc, len(w), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
@@ -77,7 +81,7 @@ def test_wrapped_notices_count_like_one_line(spark):
     import textwrap
 
     rows = []
-    for i, (_, text) in enumerate(ls.TEMPLATES):
+    for i, (_, text, *_) in enumerate(ls.TEMPLATES):
         rows.append((100 * i, text))
         for j, width in enumerate((12, 30, 72)):
             lines = textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)
@@ -86,3 +90,19 @@ def test_wrapped_notices_count_like_one_line(spark):
     found = {r.doc_id: set(r.labels.split(",")) for r in ls.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(ls.TEMPLATES[d // 100][0] in x for d, x in found.items())
     assert all(found[d] == found[d // 100 * 100] for d in found)
+
+
+def test_marks_tell_templates_apart(spark):
+    texts = {
+        "This program is licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation.": "gpl",
+        "Released under the license of the museum": "",
+        "The long grass hid it; then a hunter released a bird under the trees, and the license to hunt was void.": "",
+        "This program is licensed under the GNU Affero General Public License, version 3.": "agpl",
+        "mit " + "the words go on " * 30 + "released under the license": "",
+        "word " * 100 + "released under the MIT License " + "word " * 100: "mit",
+    }
+    rows = list(enumerate(texts))
+    got_labels = {r.doc_id: r.labels for r in ls.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got_labels[i] for i, _ in rows] == list(texts.values())
