@@ -63,3 +63,49 @@ def test_nulls_non_finite_repeated_rows_lengths_and_clashing_columns(spark):
     df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, shard int, rank int")
     assert got(kd.top_k(df, F.col("vec_id") % 100 == 0)) == brute(rows)
     assert got(kd.top_k(df.limit(0), F.col("vec_id") % 100 == 0)) == []
+
+
+def clustered(n, clusters, dim=6):
+    rng = np.random.default_rng(n)
+    centres = np.random.default_rng(1).normal(0, 1, (64, dim))[:clusters]
+    return (centres[rng.integers(0, clusters, n)] + rng.normal(0, 0.01, (n, dim))).tolist()
+
+
+def test_queries_go_only_where_their_scores_can_be(spark, monkeypatch):
+    """Clustered vectors: (query, leaf) pairs are a fraction of all, and grow less than shards times queries."""
+    sent, real = [], kd.reachable
+
+    def counted(queries, boxes):
+        out = real(queries, boxes)
+        sent.append((out.count(), queries.count() * len(boxes.value[6][0])))
+        return out
+
+    monkeypatch.setattr(kd, "reachable", counted)
+    for n in (1000, 4000):
+        rows = list(enumerate(clustered(n, 40)))
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+        assert got(kd.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=25, leaf_rows=8)) == brute(rows, every=50)
+    (small, all_small), (large, all_large) = sent
+    assert small < 0.5 * all_small and large < 0.25 * all_large
+    assert large / small < 0.7 * all_large / all_small
+
+
+def test_a_vector_that_most_rows_hold_makes_many_small_shards(spark, monkeypatch):
+    sizes, real = [], kd.build_trees
+
+    def seen(vectors, leaf):
+        sizes.extend(r["count"] for r in vectors.groupBy("dim", "leaf", "shard").count().collect())
+        return real(vectors, leaf)
+
+    monkeypatch.setattr(kd, "build_trees", seen)
+    rows = [(i, [1.0, 2.0, 3.0] if i % 3 else [float(i % 7), 0.0, float(i % 11)]) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    assert got(kd.top_k(df, F.col("vec_id") % 90 == 0, shard_rows=40)) == brute(rows, every=90)
+    assert max(sizes) <= 90 and sum(sizes) == 900
+
+
+def test_dealing_splits_at_medians():
+    rows = np.random.default_rng(2).integers(-1000, 1000, (4096, 3))
+    dealer = kd.Dealer(rows, 16)
+    assert dealer.leaves == 16 and np.bincount(dealer.leaf_of(rows)).min() > 150
+    assert kd.Dealer(np.ones((50, 3), np.int64), 16).leaves == 1 and kd.Dealer(np.empty((0, 3), np.int64), 4).leaves == 1
