@@ -43,7 +43,7 @@ class Layout:
 
     def silver(self, table: str) -> tables.SliceTable:
         schema, key = schemas.TARGETS[table]
-        return tables.SliceTable(f"{self.root}/silver/{table}", schema, key)
+        return tables.SliceTable(f"{self.root}/silver/{table}", schema, key, "driver" if "driver" in key else None)
 
     def rejects(self, table: str) -> tables.SliceTable:
         schema, key = schemas.TARGETS[table]

@@ -269,3 +269,25 @@ def test_slices_of_older_schemas_read_by_the_newest(spark, tmpdir_fresh):
     got = {(r["round"], r.lap_number, r.lap_time_s, r.speed_st) for r in table.read(spark).collect()}
     assert got == {(1, 10.0, 90.0, None), (1, 11.0, 90.0, None), (2, 20.0, 80.0, 300.0), (2, 21.0, 80.0, 300.0)}
     assert table.read(spark).schema.simpleString() == schemas.SILVER_LAPS.simpleString()
+
+
+def test_one_drivers_laps_skip_most_row_groups(spark, tmpdir_fresh):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", "65536")
+    try:
+        rows = spark.range(60_000).selectExpr(
+            "2024 AS year", "1 AS round", "'R' AS session_type", "'GP' AS grand_prix", "concat('D', id % 20) AS driver",
+            "CAST(id AS DOUBLE) AS lap_number", "90 + rand(1) AS lap_time_s").repartition(4)
+        table = SliceTable(f"{tmpdir_fresh}/t", schemas.SILVER_LAPS, KEY, "driver")
+        table.refresh(spark, rows, check_key=False)
+    finally:
+        hadoop.unset("parquet.block.size")
+    from paddock.operators.selection import driver_laps
+
+    def scanned(df):
+        assert len(df.collect()) > 0
+        plan = df._jdf.queryExecution().executedPlan()
+        return plan.collectLeaves().head().metrics().get("numOutputRows").get().value()
+
+    assert scanned(table.read(spark)) == 60_000
+    assert scanned(driver_laps(table.read(spark), "D7")) < 15_000 and driver_laps(table.read(spark), "D7").count() == 3_000
