@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -212,11 +213,19 @@ def read_checkpoint_files(spark: SparkSession, paths: Iterable[str]) -> DataFram
             spark.conf.set(NANOS_AS_LONG, before)
 
 
+def _condition(exc: Py4JJavaError) -> str:
+    """The error class of a Spark error; '' for any other."""
+    try:
+        return exc.java_exception.getCondition() or ""
+    except Py4JError:
+        return ""
+
+
 def _conformed_checkpoints(spark: SparkSession, paths: list[str]) -> DataFrame:
     try:
         groups = [spark.read.option("mergeSchema", "true").parquet(*paths)]
-    except Exception as exc:  # noqa: BLE001 - only schema conflicts are expected here
-        if "CANNOT_MERGE" not in str(exc) and "Failed merging" not in str(exc):
+    except Py4JJavaError as exc:  # only conflicting physical types are expected here
+        if not _condition(exc).startswith("CANNOT_MERGE"):
             raise
         groups = [spark.read.parquet(*group) for group in _schemas_by_entry(spark, paths).values()]
     frames = []
