@@ -7,7 +7,7 @@ is tested case-insensitively because Spark resolves names that way: adding
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,12 +140,20 @@ def align_to_target(df: DataFrame, target: T.StructType | str) -> DataFrame:
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
     """P10: drop columns without a single non-NULL value.
 
-    Needs one aggregate pass (``count(c)`` per column, partial aggregation, one
-    row to the driver) — it is the only operator here with an action, so it is
-    opt-in.
+    Needs one pass over the rows, which are counted (``count(c)`` per column, one
+    row to the driver) while they are written below the shared folder; the result
+    reads that copy, so whatever makes ``df`` runs once.  It is the only operator
+    here with an action, so it is opt-in.
     """
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).first().asDict()
-    return df.select(*[c for c in df.columns if counts[c] > 0])
+    from paddock.sources.tables import materialize
+
+    typed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.NullType)]   # VOID holds no value and can't be stored
+    if not typed:
+        return df.select()
+    seen = Observation()
+    copy = materialize(df.sparkSession, df.select(*typed).observe(seen, *[F.count(F.col(c)).alias(c) for c in typed]), "counted")
+    counts = seen.get
+    return copy.select(*[c for c in typed if counts[c] > 0])
 
 
 def conform_schema(df: DataFrame, target: T.StructType, strict: bool = False) -> DataFrame:
