@@ -148,6 +148,38 @@ def one_per_key(df: DataFrame, key: list[str]) -> DataFrame:
             .select(*key, *[F.col(f"_best.{c}").alias(c) for c in others], "copies").select(*df.columns, "copies"))
 
 
+KEY_HASH = "_key_hash"
+FILTER_WORDS = 1 << 19   # 64-bit words of the bit filter over key hashes: 4 MB of bits, whatever the input
+
+
+def key_hash(df: DataFrame, key: list[str]) -> Column:
+    """A 64-bit hash that rows of one key share (0.0 and -0.0 are one value)."""
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType | T.FloatType)}
+    return F.xxhash64(*[F.col(k) + F.lit(0.0) if k in floating else F.col(k) for k in key])
+
+
+def _word() -> Column:
+    return F.pmod(F.col(KEY_HASH), F.lit(FILTER_WORDS))
+
+
+def _bit() -> Column:
+    return F.expr(f"shiftleft(1L, int(pmod(shiftright({KEY_HASH}, 32), 64L)))")
+
+
+def repeated_filter(df: DataFrame) -> DataFrame:
+    """Bit filter (``_filter_word``, ``_filter_bits``) over the key hashes that occur more than once: at most ``FILTER_WORDS`` rows.
+    Only the hashes are read and shuffled."""
+    repeated = df.groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return repeated.groupBy(_word().alias("_filter_word")).agg(F.bit_or(_bit()).alias("_filter_bits"))
+
+
+def with_repeats(df: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``df`` with ``_repeats``: false only for rows whose key no other row has.  A crowded filter says true more often, never less."""
+    met = df.join(F.broadcast(repeated), _word() == F.col("_filter_word"), "left")
+    hit = F.coalesce(F.col("_filter_bits").bitwiseAND(_bit()) != 0, F.lit(False))
+    return met.select(*df.columns, hit.alias("_repeats"))
+
+
 def duplicates(df: DataFrame, key: list[str]) -> DataFrame:
     """Every row of a repeated key but the one that :func:`dedup_by_key` keeps.  Equal rows are counted before anything
     is joined, so a key with very many copies is one row."""

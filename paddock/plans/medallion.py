@@ -6,7 +6,8 @@ read, cleans it, and publishes exactly the affected sessions.
 
 * A kind's bronze is scanned once: rows are flagged (failed cast, null key), written to the shared folder, and split from there
   into the silver table and the rejects; duplicates are counted while silver is written, so the rejects cost a second pass
-  over the copy only if there are any.
+  over the copy only if there are any.  Which keys may repeat is told by a bit filter over their hashes: rows of other
+  keys are neither aggregated nor sorted by key, for silver or for the rejects.
 * Gold comes from states kept per session (``operators.gold``): refreshed sessions replace theirs, and the events and
   seasons that they belong to, now or before, are merged anew and replaced as a whole.
 * An epoch is one commit that names a version of each silver and gold table, written last: readers of the epoch never see
@@ -106,19 +107,25 @@ def refresh_silver(spark: SparkSession, layout: Layout, table: str, sessions: li
     key = schemas.key_of(table)
     seen = Observation()
     rows = silver_rows(spark, layout, table, sessions).observe(seen, F.count("reason").alias("flagged"))
+    rows = rows.withColumn(refresh.KEY_HASH, refresh.key_hash(rows, key))
 
     def guard(report: dict) -> None:
         if on_duplicate == "fail" and (left_out := seen.get["flagged"] + (report["observed"]["extra"] or 0)):
             raise ValueError(f"{left_out} rows violate the primary key {key} of {table}")
 
-    with tables.staged(spark, rows, f"stage-{table}") as stage:
-        good = stage.where("reason is null").drop("reason")
-        report = layout.silver(table).refresh(spark, refresh.one_per_key(good, key), requested=sessions, check_key=False,
+    with (tables.staged(spark, rows, f"stage-{table}") as stage,
+          tables.staged(spark, refresh.repeated_filter(stage.where("reason is null")), f"repeats-{table}") as repeated):
+        marked = refresh.with_repeats(stage, repeated).drop(refresh.KEY_HASH)
+        good = marked.where("reason is null").drop("reason")
+        alone = good.where("not _repeats").drop("_repeats").withColumn("copies", F.lit(1).cast("long"))
+        kept = alone.unionByName(refresh.one_per_key(good.where("_repeats").drop("_repeats"), key))
+        report = layout.silver(table).refresh(spark, kept, requested=sessions, check_key=False,
                                               observe={"extra": F.sum(F.col("copies") - 1)}, guard=guard)
         left_out = seen.get["flagged"] + (report.pop("observed")["extra"] or 0)
         target = layout.rejects(table)
         if left_out:
-            target.refresh(spark, refresh.rejects(stage, key), requested=sessions, check_key=False)
+            against = marked.where("reason is not null or _repeats").drop("_repeats")
+            target.refresh(spark, refresh.rejects(against, key), requested=sessions, check_key=False)
         elif target.exists(spark):  # only the map changes
             target.refresh(spark, spark.createDataFrame([], target.schema), requested=sessions, check_key=False)
     return report | {"rejected_rows": left_out}

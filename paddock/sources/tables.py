@@ -305,8 +305,9 @@ def _escaped(value: str) -> str:
 def counted_slices() -> Column:
     """Aggregate: rows per session as a bounded list of (``item``, ``count``); exact up to ``COUNTED_SLICES`` sessions (the
     sketch behind it evicts nothing before it is three quarters full), which the sum of the counts shows."""
-    session = ", ".join(f"cast(`{k}` as string)" for k in schemas.SLICE_KEY)
-    return F.expr(f"approx_top_k(to_json(array({session})), {COUNTED_SLICES}, {2 * COUNTED_SLICES})")
+    year, rnd, session_type = schemas.SLICE_KEY
+    session = f"concat(ifnull(string(`{year}`), ''), '|', ifnull(string(`{rnd}`), ''), '|', ifnull(concat('=', `{session_type}`), ''))"
+    return F.expr(f"approx_top_k({session}, {COUNTED_SLICES}, {2 * COUNTED_SLICES})")
 
 
 def _null_first(values: tuple) -> list:
@@ -314,8 +315,8 @@ def _null_first(values: tuple) -> list:
 
 
 def _slice_of(item: str) -> tuple:
-    year, rnd, session_type = json.loads(item)
-    return (None if year is None else int(year), None if rnd is None else int(rnd), session_type)
+    year, rnd, session_type = item.split("|", 2)
+    return (int(year) if year else None, int(rnd) if rnd else None, session_type[1:] if session_type else None)
 
 
 # -------------------------------------------------------------- versioned tables
