@@ -6,7 +6,8 @@ counts and a 64-bit map of the lap numbers seen.  Everything in it merges (sums,
 * ``count(DISTINCT lap_number)`` is a sum of ``bit_count`` over blocks: both gold tables aggregate with fixed-size
   buffers in hash aggregates, map-side combined, and no plan needs an ``Expand`` for two distinct counts;
 * states can be stored per session: a refreshed session replaces its own, and gold of the affected events and seasons is
-  merged from states without reading laps again (``plans.medallion``).
+  merged from states without reading laps again (``plans.medallion``).  Stored, measures and lap maps are rows of their own:
+  measures combine to a few rows a session wherever they are read, and only maps (two numbers and a key) are shuffled.
 
 Plan shape: partial hash aggregate -> exchange on (group key, block) -> merge -> exchange on the group key -> exchange on
 the rank partition, each moving fewer rows than the one before; no single session lands in one task.
@@ -55,13 +56,23 @@ def with_lap_block(laps: DataFrame) -> DataFrame:
         "lap_bit": F.when(whole, bit).when(lap.isNotNull(), F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))})
 
 
+def _measured() -> list[Column]:
+    """Aggregates of laps that become a state, all but the lap map."""
+    return [*[avg_state(c).alias(c) for c in AVERAGED], F.min("lap_time_s").alias("best_lap"), F.max("speed_st").alias("max_speed"),
+            *[count_equal("tyre_compound", v).alias(name) for name, v in COMPOUNDS.items()]]
+
+
 def lap_states(laps: DataFrame, by: list[str]) -> DataFrame:
     """One state row per group ``by`` and block of lap numbers (A3, A5-A9 before rounding)."""
-    return with_lap_block(laps).groupBy(*by, *BLOCK).agg(
-        F.bit_or("lap_bit").alias("lap_bits"),
-        *[avg_state(c).alias(c) for c in AVERAGED],
-        F.min("lap_time_s").alias("best_lap"), F.max("speed_st").alias("max_speed"),
-        *[count_equal("tyre_compound", v).alias(name) for name, v in COMPOUNDS.items()])
+    return with_lap_block(laps).groupBy(*by, *BLOCK).agg(F.bit_or("lap_bit").alias("lap_bits"), *_measured())
+
+
+def stored_states(laps: DataFrame, by: list[str]) -> DataFrame:
+    """The states of laps that can be read twice, as two kinds of rows: one per group with its measures and no lap, and one per
+    group and block with its lap map and no measures.  However sparse the lap numbers, only the narrow maps are shuffled."""
+    measures = laps.groupBy(*by).agg(*_measured()).withColumn("lap_bits", F.lit(0).cast("long"))
+    maps = with_lap_block(laps).where("lap_bit <> 0").groupBy(*by, *BLOCK).agg(F.bit_or("lap_bit").alias("lap_bits"))
+    return measures.unionByName(maps, allowMissingColumns=True)
 
 
 def _merged(also: list[str] = ()) -> list[Column]:
@@ -80,10 +91,34 @@ def laps_of(states: DataFrame, by: list[str], also: list[str] = ()) -> DataFrame
     return states.groupBy(*by).agg(F.sum(F.bit_count("lap_bits")).cast("long").alias("total_laps"), *_merged(also))
 
 
+def with_laps(merged: DataFrame, states: DataFrame, by: list[str]) -> DataFrame:
+    """``merged`` (one row per ``by``) with ``total_laps``: the lap maps of the states are merged by themselves."""
+    maps = states.where("lap_bits <> 0").groupBy(*by, *BLOCK).agg(F.bit_or("lap_bits").alias("lap_bits"))
+    laps = maps.groupBy(*by).agg(F.sum(F.bit_count("lap_bits")).cast("long").alias("total_laps"))
+    return merged.join(laps, by, "left").withColumn("total_laps", F.coalesce("total_laps", F.lit(0).cast("long")))
+
+
+def stored_driver_rows(states: DataFrame) -> DataFrame:
+    """:func:`driver_rows` of states that can be read twice (:func:`stored_states`, or rows that hold both)."""
+    key = schemas.GOLD_DRIVER_KEY
+    return _driver_rows(with_laps(states.groupBy(*key).agg(*_merged()), states, key))
+
+
+def stored_team_rows(states: DataFrame) -> DataFrame:
+    """:func:`team_rows` of states that can be read twice: measures are merged by driver, then by team."""
+    key = schemas.GOLD_TEAM_KEY
+    each = states.groupBy(*key, "driver").agg(*_merged()).withColumn("drivers_count", F.col("driver").isNotNull().cast("long"))
+    return _team_rows(with_laps(each.groupBy(*key).agg(*_merged(["drivers_count"])), states, key))
+
+
 def driver_rows(states: DataFrame) -> DataFrame:
     """A1 + W1 from states of (at least) the driver grain."""
     key = schemas.GOLD_DRIVER_KEY
-    merged = laps_of(merge_states(states, key), key)
+    return _driver_rows(laps_of(merge_states(states, key), key))
+
+
+def _driver_rows(merged: DataFrame) -> DataFrame:
+    key = schemas.GOLD_DRIVER_KEY
     rows = merged.select(
         *key, "total_laps",
         avg_of_state("lap_time_s", 3).alias("avg_lap_time_s"), round_exact("best_lap", 3).alias("best_lap_time_s"),
@@ -98,7 +133,11 @@ def team_rows(states: DataFrame) -> DataFrame:
     each = Window.partitionBy(*key, "driver").orderBy(*BLOCK, "lap_bits")
     one = F.row_number().over(each) == 1
     counted = states.withColumn("drivers_count", (one & F.col("driver").isNotNull()).cast("long"))
-    merged = laps_of(merge_states(counted, key, ["drivers_count"]), key, ["drivers_count"])
+    return _team_rows(laps_of(merge_states(counted, key, ["drivers_count"]), key, ["drivers_count"]))
+
+
+def _team_rows(merged: DataFrame) -> DataFrame:
+    key = schemas.GOLD_TEAM_KEY
     rows = merged.select(
         *key, avg_of_state("lap_time_s", 3).alias("avg_lap_time_s"), round_exact("best_lap", 3).alias("best_lap_time_s"),
         "total_laps", "drivers_count", avg_of_state("speed_st", 1).alias("avg_speed_trap_kmh"))

@@ -174,16 +174,18 @@ def run_silver(spark: SparkSession, layout: Layout, sessions: list[tuple] | None
 def refresh_states(spark: SparkSession, layout: Layout, sessions: list[tuple] | None = None) -> dict:
     """States (and rejects: laps with a NULL in a gold key) of the given sessions' silver laps, or of all sessions.
 
-    Returns the events and seasons that the sessions belong to, by their old states or their new ones."""
+    Returns the events and seasons that the given sessions belong to, by their old states or their new ones."""
     stored, silver_laps = layout.gold_states(spark), layout.silver("silver_laps")
-    before = stored.slice_map(spark)
-    sessions = sorted(set(before) | set(silver_laps.slice_map(spark)), key=repr) if sessions is None else sessions
-    events = _events(stored.read(spark, slices=sessions))
+    before, every = stored.slice_map(spark), sessions is None
+    sessions = sorted(set(before) | set(silver_laps.slice_map(spark)), key=repr) if every else sessions
+    events = set() if every else _events(stored.read(spark, slices=sessions))
     laps = silver_laps.read(spark, slices=sessions)
     bad = gold.gold_rejects(laps).withColumn("reason", F.lit("null gold key"))
     layout.gold_rejects().refresh(spark, bad, requested=sessions, check_key=False)
     keyed, _ = gold.split_null_keys(laps, schemas.GOLD_TEAM_KEY)
-    stored.refresh(spark, gold.lap_states(keyed, STATE_GRAIN), requested=sessions, check_key=False)
+    stored.refresh(spark, gold.stored_states(keyed, STATE_GRAIN), requested=sessions, check_key=False)
+    if every:  # whatever there is
+        return {"events": [], "seasons": []}
     events |= _events(stored.read(spark, slices=sessions))
     seasons = {(y, s) for y, _, s in events} | {(y, s) for y, _, s in sessions}
     return {"events": sorted(events, key=repr), "seasons": sorted(seasons, key=repr)}
@@ -210,8 +212,8 @@ def run_gold(spark: SparkSession, layout: Layout, mode: str = "upsert", sessions
     if sessions is not None:  # a round's event is its name, which several rounds may carry: all states of the touched events
         named = named.where(F.coalesce(tables.in_slices(touched["events"], EVENT), F.lit(False)))
     jobs = {}
-    for table, rows, scope, scopes in (("gold_driver_performance", gold.driver_rows(named), EVENT, touched["events"]),
-                                       ("gold_team_season_stats", gold.team_rows(states), SEASON, touched["seasons"])):
+    for table, rows, scope, scopes in (("gold_driver_performance", gold.stored_driver_rows(named), EVENT, touched["events"]),
+                                       ("gold_team_season_stats", gold.stored_team_rows(states), SEASON, touched["seasons"])):
         def job(table=table, rows=rows, scope=scope, scopes=scopes):
             target = layout.gold(table)
             if sessions is not None:
