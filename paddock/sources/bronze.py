@@ -32,6 +32,7 @@ from paddock.operators import conform
 
 PARTITION_PATH = r"/year=(\d+)/round=(\d+)/session_type=([^/]+)/"
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+ARCHIVE_ROW_GROUP = 100_000   # rows of an archive file that a task holds before it writes them
 
 
 def bronze_prefix(bronze_table: str) -> str:
@@ -61,7 +62,7 @@ def write_bronze(df: DataFrame, root: str, kind: str, mode: str = "overwrite") -
     return path
 
 
-def clustered_by_slice(df: DataFrame) -> DataFrame:
+def clustered_by_slice(df: DataFrame, key=schemas.SLICE_KEY) -> DataFrame:
     """Group rows of a session into few tasks before a partitioned write.
 
     Without it every task writes one file per session it happens to hold
@@ -70,7 +71,7 @@ def clustered_by_slice(df: DataFrame) -> DataFrame:
     holds a large share of all rows is split across several tasks instead of
     landing on one.
     """
-    return df.hint("rebalance", *schemas.SLICE_KEY)
+    return df.hint("rebalance", *key)
 
 
 # ------------------------------------------------------------- listing
@@ -285,8 +286,13 @@ def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year"
     BIGINT-nanosecond durations — physical types Spark itself never writes.
     Each task writes only its own rows; nothing passes through the driver, and
     file names are deterministic per task so retries are idempotent.
+    Rows are clustered and sorted by session first, so a task writes one file for each of its few
+    sessions: every reader's driver lists and plans part files, whose number must follow the bytes and
+    the sessions, not batches times sessions.
     Lazy: returns one row per written part file (path, rows).
     """
+    from itertools import groupby
+
     import pandas as pd
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -306,28 +312,41 @@ def write_checkpoint_archive(df: DataFrame, root: str, kind: str, labels=("year"
         from pyarrow import fs as pafs
         from pyspark import TaskContext
 
-        # Names depend only on (partition, batch): a retried or speculative
+        # Names depend only on the partition: a retried or speculative
         # attempt rewrites the same files instead of adding duplicates.
         part = TaskContext.get().partitionId()
         filesystem, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
-        for batch_no, pdf in enumerate(batches):
-            out = []
-            if pdf[labels].isna().any(axis=None):
-                raise ValueError(f"a row without {labels} has no session file to go to")
-            for (y, r, s), rows in pdf.groupby(labels, sort=False):
-                folder = f"{base}/{kind}_checkpoint_{int(y)}_r{int(r)}{'' if legacy else f'_{s}'}.parquet"
-                filesystem.create_dir(folder, recursive=True)
-                data = rows.reset_index(drop=True)
-                for c in durations:
-                    if c in data:
-                        data[c] = (data[c] * 1e9).round().astype("Int64")
-                table = pa.Table.from_pandas(data, schema=target, preserve_index=False)
-                path = f"{folder}/part-{part:05d}-{batch_no:05d}.parquet"
-                pq.write_table(table, path, filesystem=filesystem)
-                out.append((path, len(rows)))
-            yield pd.DataFrame(out, columns=["path", "rows"])
-
-    return df.mapInPandas(write, "path string, rows long")
+
+        def by_folder():
+            for pdf in batches:
+                if pdf[labels].isna().any(axis=None):
+                    raise ValueError(f"a row without {labels} has no session file to go to")
+                for (y, r, s), rows in pdf.groupby(labels, sort=False):
+                    yield f"{base}/{kind}_checkpoint_{int(y)}_r{int(r)}{'' if legacy else f'_{s}'}.parquet", rows
+
+        def to_table(rows):
+            data = rows.reset_index(drop=True)
+            for c in durations:
+                if c in data:
+                    data[c] = (data[c] * 1e9).round().astype("Int64")
+            return pa.Table.from_pandas(data, schema=target, preserve_index=False)
+
+        for folder, runs in groupby(by_folder(), key=lambda run: run[0]):   # rows come sorted: a folder's stand together
+            filesystem.create_dir(folder, recursive=True)
+            path, written, held = f"{folder}/part-{part:05d}.parquet", 0, []
+            with pq.ParquetWriter(path, target, filesystem=filesystem) as out:
+                for _, rows in runs:
+                    held.append(to_table(rows))
+                    written += len(rows)
+                    if sum(t.num_rows for t in held) >= ARCHIVE_ROW_GROUP:
+                        out.write_table(pa.concat_tables(held))
+                        held = []
+                if held:
+                    out.write_table(pa.concat_tables(held))
+            yield pd.DataFrame([(path, written)], columns=["path", "rows"])
+
+    return (clustered_by_slice(df, labels).sortWithinPartitions(*labels)
+            .mapInPandas(write, "path string, rows long"))
 
 
 def union_frames(frames: list[DataFrame]) -> DataFrame:

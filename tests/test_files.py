@@ -126,3 +126,46 @@ def test_rows_without_a_file_label_are_rejected_not_lost(spark):
                                "Year int, Round int, file_year int, file_round int, file_session_type string")
     ok, rejected = bronze.label_from_file(df)
     assert ok.count() == 1 and rejected.count() == 1
+
+
+def test_archive_files_follow_sessions_not_batches(spark, tmpdir_fresh, monkeypatch):
+    import glob
+
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    monkeypatch.setattr(bronze, "ARCHIVE_ROW_GROUP", 30)
+    df = spark.range(0, 400, 1, 8).selectExpr(
+        "2024 AS Year", "CAST(id % 2 + 1 AS INT) AS Round", "IF(id % 4 < 2, 'R', 'Q') AS SessionType", "'VER' AS Driver",
+        "CAST(id AS DOUBLE) AS LapNumber", "IF(id % 5 = 0, NULL, id / 4) AS LapTime")
+    spark.conf.set(batch, "10")
+    try:
+        written = bronze.write_checkpoint_archive(df, tmpdir_fresh, "laps", labels=("Year", "Round", "SessionType"),
+                                                  durations=("LapTime",)).collect()
+    finally:
+        spark.conf.set(batch, before)
+    files = glob.glob(f"{tmpdir_fresh}/*/*.parquet")
+    assert sorted(files) == sorted(r.path for r in written)
+    assert len(files) == 4 and {r.rows for r in written} == {100}   # 160 when each batch wrote its own: 8 tasks x 5 x 4 sessions
+    assert [pq.ParquetFile(f).metadata.num_row_groups for f in files] == [4] * 4
+    ok, rejected = bronze.label_from_file(bronze.read_checkpoint_files(spark, sorted(glob.glob(f"{tmpdir_fresh}/*"))))
+    assert rejected.count() == 0
+    got = sorted((r.round, r.session_type, r.LapNumber, r.LapTime) for r in ok.collect())
+    assert got == sorted((i % 2 + 1, "R" if i % 4 < 2 else "Q", float(i), None if i % 5 == 0 else i / 4) for i in range(400))
+
+
+def test_a_hot_session_is_archived_by_several_tasks(spark, tmpdir_fresh):
+    import glob
+
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    df = spark.range(0, 60_000, 1, 6).selectExpr("2024 AS Year", "IF(id % 100 = 0, 2, 1) AS Round", "'R' AS SessionType", "uuid() AS Driver",
+                                                 "CAST(id AS DOUBLE) AS LapNumber")
+    spark.conf.set(size, "400k")
+    try:
+        written = bronze.write_checkpoint_archive(df, tmpdir_fresh, "laps", labels=("Year", "Round", "SessionType"), legacy=True).collect()
+    finally:
+        spark.conf.unset(size)
+    hot = glob.glob(f"{tmpdir_fresh}/laps_checkpoint_2024_r1.parquet/*.parquet")
+    assert 2 <= len(hot) and len(written) <= 16
+    back = bronze.read_checkpoint_files(spark, glob.glob(f"{tmpdir_fresh}/*"))
+    assert {r.file_round: (r.n, r.d) for r in back.groupBy("file_round").agg(
+        F.count("*").alias("n"), F.countDistinct("LapNumber").alias("d")).collect()} == {1: (59_400, 59_400), 2: (600, 600)}
